@@ -56,9 +56,13 @@ def payment_events(orders: DataFrame, events: DataFrame) -> DataFrame:
     The pre-aggregation (partial + final) collapses a payment with very many
     events map-side, so the join sees one row per payment.
     """
+    # min / max over the TIMESTAMP (fixed width: hash aggregate), formatted afterwards.
     per_payment = events.groupBy("payment_id").agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.min("event_timestamp").alias("first_event"),
-        F.max("event_timestamp").alias("last_event"),
+        F.min("event_time").alias("first_event"),
+        F.max("event_time").alias("last_event"),
     )
-    return orders.select("payment_id", "status").join(per_payment, "payment_id", "inner")
+    fmt = "yyyy-MM-dd HH:mm:ss.SSS"
+    joined = orders.select("payment_id", "status").join(per_payment, "payment_id", "inner")
+    return joined.select("payment_id", "status", "n_events", F.date_format("first_event", fmt).alias("first_event"),
+                         F.date_format("last_event", fmt).alias("last_event"))

@@ -209,7 +209,8 @@ def describe_bronze_schema(spark, sf):
 @query("topic_file_inventory")
 def topic_file_inventory(spark, sf):
     """Files and messages of each topic folder (file listing done by the scan, not the driver)."""
-    frames = [T.read_folder_text(spark, P.topic_path(spark, sf, k), topic=FOLDER_TOPICS[k]) for k in P.KINDS]
+    frames = [T.read_folder_text(spark, P.topic_path(spark, sf, k), topic=FOLDER_TOPICS[k], with_file=True)
+              for k in P.KINDS]
     merged = T.union_topics(frames)
     return merged.groupBy(F.col("_topic_name").alias("topic")).agg(
         F.countDistinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_messages")

@@ -30,14 +30,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_FALLBACK: dict[str, str] = {}
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Root of the shared folder (``spark.checkpoint.dir``), set only if unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is None:
+        root = _FALLBACK.setdefault("root", tempfile.mkdtemp(prefix="topiclake-"))
     if not root:
         root = tempfile.mkdtemp(prefix="topiclake-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 
@@ -57,9 +70,12 @@ def fresh_path(spark: SparkSession, kind: str, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sc = _context(spark)
+    if sc is None:
+        local = local_dir_if_file(path)
+        return os.path.exists(local) if local else False
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
 
 

@@ -94,17 +94,19 @@ def read_folder(
     topic: str | None = None,
     mode: str = "batch",
     max_files_per_trigger: int | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
     """A folder of JSON messages with a fixed schema (no inference), recursive lookup.
 
-    ``topic`` adds ``_topic_name``; ``_file`` keeps the file each row came from.
+    ``topic`` adds ``_topic_name``; ``with_file`` adds ``_file``, the file each row came from.
     """
     reader = spark.read if mode == "batch" else spark.readStream
     reader = reader.schema(schema).option("recursiveFileLookup", "true").option("mode", "PERMISSIVE")
     if mode != "batch" and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.json(path)
-    df = df.withColumn("_file", F.col("_metadata.file_path"))
+    if with_file:
+        df = df.withColumn("_file", F.col("_metadata.file_path"))
     if topic is not None:
         df = df.withColumn("_topic_name", F.lit(topic))
     return df
@@ -116,14 +118,16 @@ def read_folder_text(
     topic: str | None = None,
     mode: str = "batch",
     max_files_per_trigger: int | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
-    """The untouched message lines of a folder as ``value`` (plus ``_file``, ``_topic_name``)."""
+    """The untouched message lines of a folder as ``value`` (plus ``_topic_name``, optionally ``_file``)."""
     reader = spark.read if mode == "batch" else spark.readStream
     reader = reader.option("recursiveFileLookup", "true")
     if mode != "batch" and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.format("text").load(path)
-    df = df.withColumn("_file", F.col("_metadata.file_path"))
+    if with_file:
+        df = df.withColumn("_file", F.col("_metadata.file_path"))
     if topic is not None:
         df = df.withColumn("_topic_name", F.lit(topic))
     return df
