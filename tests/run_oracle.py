@@ -20,7 +20,8 @@ def main(argv: list[str]) -> int:
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     only = set(argv[1:])
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate())
+             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     qs, oracle = entry.queries(), entry.oracle_sql()

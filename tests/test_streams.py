@@ -47,7 +47,7 @@ def test_empty_topic_gives_empty_bronze(spark):
     q = BS.start_bronze_stream([src], path, name="empty_bronze", checkpoint=C.checkpoint_for(spark, "empty"),
                                trigger="availableNow")
     C.run_to_end(q)
-    assert not os.path.exists(os.path.join(path, "_offset_counts"))
+    assert not os.path.exists(BS.counts_path(path))
 
 
 def test_batch_equals_stream(spark, sf):

@@ -267,6 +267,10 @@ SELECT s.topic, s.key, p.partition FROM src s JOIN key_parts p USING (key)""",
     "stream_replay_duplicates": with_topics(
         "SELECT 'kafka-orders' AS topic, 2 * COUNT(*) AS total_rows, COUNT(DISTINCT _sequence_id) AS distinct_keys, "
         "2 * COUNT(*) AS distinct_offsets FROM orders_topic"),
+    "stream_read_from_offset": with_bronze(
+        'SELECT b.key, b.partition, b."offset" + c.n AS "offset" FROM bronze b JOIN '
+        "(SELECT partition, COUNT(*) AS n FROM bronze WHERE topic = 'kafka-orders' GROUP BY partition) c "
+        "ON b.partition = c.partition WHERE b.topic = 'kafka-orders'"),
     "three_queries_total": with_topics(
         "SELECT 'kafka-orders' AS topic, COUNT(*) AS rows FROM orders_topic "
         "UNION ALL SELECT 'kafka-events', COUNT(*) FROM events_topic "

@@ -570,10 +570,10 @@ def value_preview(spark, sf):
 # ================================================================ stream control
 
 
-def _bronze_stream_runs(spark, sf, name: str, runs) -> str:
+def _bronze_stream_runs(spark, sf, name: str, runs, path: str | None = None) -> str:
     """Run the orders bronze stream several times; ``runs`` = list of (checkpoint key, trigger, max files)."""
     P.prepared(spark)
-    path = session.fresh_path(spark, "tables", name)
+    path = path or session.fresh_path(spark, "tables", name)
     cps = {}
     for cp_key, trigger, max_files in runs:
         cp = cps.setdefault(cp_key, C.checkpoint_for(spark, f"{name}_{cp_key}"))
@@ -613,6 +613,21 @@ def stream_replay_duplicates(spark, sf):
                                   F.countDistinct("partition", "offset").alias("distinct_offsets"))
 
 
+@query("stream_read_from_offset")
+def stream_read_from_offset(spark, sf):
+    """A consumer that starts at the latest offsets sees only what is appended afterwards.
+
+    Run 1 writes the orders topic to a streamed bronze table; the consumer takes
+    the latest offset of every partition; run 2 (fresh checkpoint) appends the
+    topic again; the consumer stream delivers run 2's rows only.
+    """
+    path = _bronze_stream_runs(spark, sf, "from_latest", [("a", "availableNow", None)])
+    start = BS.latest_offsets(BS.read_bronze(spark, path))
+    _bronze_stream_runs(spark, sf, "from_latest", [("b", "availableNow", None)], path=path)
+    consumer = BS.read_bronze_stream(spark, path, starting=start).select("key", "partition", "offset")
+    return _stream_to_path(consumer, "consumer_from_latest")
+
+
 @query("three_queries_total")
 def three_queries_total(spark, sf):
     """Three independent named queries on one session, waited for together."""

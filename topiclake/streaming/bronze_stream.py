@@ -35,7 +35,7 @@ from topiclake.schemas import KEY_PARTITIONS
 from topiclake.sources.topics import union_topics
 from topiclake.streaming import control
 
-COUNTS_DIR = "_offset_counts"
+COUNTS_DIR = "__offset_counts"
 
 
 class BronzeBatchWriter:
@@ -45,7 +45,7 @@ class BronzeBatchWriter:
                  time_from: str = "key", method: str = "range", slices: int | None = None):
         self.path = path.rstrip("/")
         self.run = run
-        self.counts_path = f"{self.path}/{COUNTS_DIR}"
+        self.counts_path = counts_path(self.path)
         self.topics = topics
         self.partitions = partitions
         self.keep_raw = keep_raw
@@ -83,9 +83,41 @@ class BronzeBatchWriter:
             .partitionBy("_run", "_batch_id").parquet(self.counts_path))
 
 
+def counts_path(path: str) -> str:
+    """Side table of per-batch counts, next to (not inside) the bronze folder."""
+    return f"{path.rstrip('/')}{COUNTS_DIR}"
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The streamed bronze table (without the side table)."""
-    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/topic=*")
+    """The streamed bronze table."""
+    return spark.read.parquet(path)
+
+
+def read_bronze_stream(spark: SparkSession, path: str, starting: dict | None = None) -> DataFrame:
+    """The bronze table as a stream; ``starting`` = {(topic, partition): offset} keeps later rows only.
+
+    ``starting=latest_offsets(...)`` taken when the consumer starts is the
+    file-table form of Kafka's ``startingOffsets=latest``.
+    """
+    schema = spark.read.parquet(path).schema
+    rows = spark.readStream.schema(schema).parquet(path)
+    if starting:
+        cond = None
+        for (topic, part), off in starting.items():
+            c = (F.col("topic") == topic) & (F.col("partition") == part) & (F.col("offset") > off)
+            cond = c if cond is None else cond | c
+        known = None
+        for topic, part in starting:
+            c = (F.col("topic") == topic) & (F.col("partition") == part)
+            known = c if known is None else known | c
+        rows = rows.where(cond | ~known)
+    return rows
+
+
+def latest_offsets(bronze: DataFrame) -> dict:
+    """{(topic, partition): largest offset} — one row per topic partition, a bounded result."""
+    return {(r["topic"], r["partition"]): r["max_offset"]
+            for r in bronze.groupBy("topic", "partition").agg(F.max("offset").alias("max_offset")).collect()}
 
 
 def start_bronze_stream(
