@@ -93,3 +93,56 @@ def test_kafka_option_maps():
     assert pat == {"subscribePattern": "ordem|eventos|gps"}
     rng = T.kafka_options(T.TopicSpec(topics=["gps"], starting_offsets="earliest", ending_offsets="latest"), batch=True)
     assert rng["endingOffsets"] == "latest"
+
+
+def test_await_any_and_bounded_wait(spark, sf):
+    src = P.parsed_topic(spark, sf, "orders", mode="stream").select("data._sequence_id")
+    out = session.fresh_path(spark, "streams", "aw")
+    q = C.start(src, name="await_orders", checkpoint=C.checkpoint_for(spark, "aw"), sink="parquet", path=out,
+                trigger="availableNow")
+    C.await_any(spark, 120)
+    assert q.awaitTermination(60) is True
+    spark.streams.resetTerminated()
+    assert spark.read.parquet(out).count() == 1500
+
+
+def test_snapshot_of_growing_table(spark, sf):
+    missing = session.fresh_path(spark, "tables", "absent")
+    total, sample = C.snapshot(spark, missing)
+    assert total.count() == 0 and sample.count() == 0
+    path = P.bronze_path(spark, sf)
+    total, sample = C.snapshot(spark, path)
+    assert total.first().total_rows == 4000 and sample.count() == 5
+
+
+def test_create_database_idempotent_and_tables_listed(spark, sf):
+    from topiclake.operators import bronze as B
+
+    for _ in range(2):
+        name = B.register(spark, "bronze", "kafka_multiplex", P.bronze_path(spark, sf))
+    assert name == "bronze.kafka_multiplex"
+    assert spark.table(name).count() == 4000
+    names = {r.tableName for r in R.QUERIES["list_bronze_tables"](spark, sf).collect()}
+    assert names == {"kafka_bronze_ordem", "kafka_bronze_eventos", "kafka_bronze_gps"}
+
+
+def test_ingestion_time_set_and_constant_per_write(spark, sf):
+    b = P.build_bronze(spark, sf)
+    r = b.agg(F.count("ingestion_timestamp").alias("n"), F.countDistinct("ingestion_timestamp").alias("d")).first()
+    assert r.n == 4000 and r.d == 1
+
+
+def test_read_with_rescue_from_folder(spark, sf):
+    path = session.fresh_path(spark, "topics", "rescue")
+    lines = ['{"data":{"_sequence_id":1,"gps_id":"g1","lat":1.5,"extra":"zz"}}', '{bad']
+    spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1).write.text(path)
+    rows = {r._corrupt_record: r for r in T.read_with_rescue(spark, path, "gps").collect()}
+    good = rows[None]
+    assert good.data._sequence_id == 1 and good._rescued == {"extra": "zz"}
+    assert rows["{bad"].data is None
+
+
+def test_schema_growth_read_merges(spark, sf):
+    df = R.QUERIES["bronze_schema_growth"](spark, sf)
+    assert set(df.columns) == {"key", "topic", "event_name"}
+    assert df.where("topic = 'kafka-orders' AND event_name IS NULL").count() == 1500

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -119,3 +120,12 @@ def status(query: StreamingQuery) -> dict:
 def checkpoint_for(spark: SparkSession, name: str) -> str:
     """A fresh checkpoint folder for a query under the shared root."""
     return session.fresh_path(spark, "checkpoints", name)
+
+
+def snapshot(spark: SparkSession, path: str, n: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Monitor a growing table: (row count, first ``n`` rows); empty frames while it does not exist yet."""
+    if not session.path_exists(spark, path):
+        empty = spark.createDataFrame([], "total_rows BIGINT")
+        return empty, empty
+    table = spark.read.parquet(path)
+    return table.agg(F.count(F.lit(1)).alias("total_rows")), table.limit(n)
