@@ -146,3 +146,37 @@ def test_schema_growth_read_merges(spark, sf):
     df = R.QUERIES["bronze_schema_growth"](spark, sf)
     assert set(df.columns) == {"key", "topic", "event_name"}
     assert df.where("topic = 'kafka-orders' AND event_name IS NULL").count() == 1500
+
+
+def test_watermark_drops_late_rows_of_closed_windows(spark):
+    import datetime as dt
+
+    from topiclake.operators import extensions as E
+
+    folder = session.fresh_path(spark, "topics", "late_events")
+    schema = "event_id BIGINT, ts TIMESTAMP, event_type STRING"
+
+    def put(rows, name):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}")
+
+    d = dt.datetime(2024, 1, 1)
+    put([(1, d.replace(minute=5), "click"), (2, d.replace(minute=20), "click"),
+         (3, d.replace(hour=1, minute=10), "click"), (4, d.replace(hour=2, minute=30), "click")], "b1")
+    src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+    counts = E.watermarked_counts(E.event_times(src), "1 hour", "10 minutes")
+    out, cp = session.fresh_path(spark, "streams", "late"), C.checkpoint_for(spark, "late")
+    C.run_to_end(C.start(counts, "late_1", cp, sink="parquet", path=out, trigger="availableNow"))
+    # A row 2 hours late (its window is closed) and one that moves the watermark on.
+    put([(5, d.replace(minute=30), "click"), (6, d.replace(hour=3, minute=40), "click")], "b2")
+    C.run_to_end(C.start(counts, "late_2", cp, sink="parquet", path=out, trigger="availableNow"))
+    got = {r.window_start: r.n for r in spark.read.parquet(out).collect()}
+    assert got == {"2024-01-01 00:00:00": 2, "2024-01-01 01:00:00": 1, "2024-01-01 02:00:00": 1}
+
+
+def test_stream_to_managed_table(spark, sf):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    src = P.parsed_topic(spark, sf, "gps", mode="stream").select("data._sequence_id", "data.order_id")
+    q = C.start(src, "gps_to_table", C.checkpoint_for(spark, "tbl"), sink="table", path="bronze.gps_stream_test",
+                trigger="availableNow")
+    C.run_to_end(q)
+    assert spark.table("bronze.gps_stream_test").count() == 1500

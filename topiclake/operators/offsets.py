@@ -51,9 +51,22 @@ _BASE = "_tl_base"
 _N = "_tl_n"
 
 
+# Target input bytes per slice when the plan's size estimate is known.
+SLICE_BYTES = 256 * 1024 * 1024
+
+
 def default_slices(df: DataFrame) -> int:
+    """Slices for the range plan: ``spark.sql.shuffle.partitions``, raised so that
+    a slice holds about ``SLICE_BYTES`` of the plan's estimated input, and capped
+    so that the count table stays under the broadcast bound."""
     spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        n = max(n, -(-size // SLICE_BYTES))
+    except Exception:  # no JVM handle (Spark Connect) or no estimate
+        pass
+    return int(min(n, BROADCAST_ROWS // 2))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
