@@ -3,9 +3,10 @@
 A window over a stream is refused, and would restart at 0 each micro-batch
 anyway.  So each micro-batch goes through ``foreachBatch``:
 
-1. base offsets = sum of the row counts that batches *before* this one wrote
-   per (topic, partition), from a small side table (one row per topic,
-   partition and batch) — never a scan of bronze itself;
+1. base offsets = the next offset of every (topic, partition) after the
+   batches *before* this one, from a small side table of cumulative counts
+   (one row per topic, partition and batch); batch ``b`` reads only batch
+   ``b - 1``'s rows, by exact path — never bronze, never the whole history;
 2. offsets within the batch (range plan) + base;
 3. rows are written with dynamic partition overwrite on (``_run``,
    ``_batch_id``), then the batch's counts.  A replayed batch id reads the
@@ -54,32 +55,55 @@ class BronzeBatchWriter:
         self.slices = slices
 
     def base(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """(topic, partition, base): the next offset of every group before this batch.
+
+        The side table holds, per batch, the *cumulative* next offset of every
+        group seen so far, so batch ``b`` reads one small partition — batch
+        ``b - 1`` of its run, by exact path (no listing of the history).  Only
+        the first batch of a run (or a batch whose predecessor is missing) reads
+        the whole side table, once, and takes the largest value per group.
+        """
+        prev = f"{self.counts_path}/_run={self.run}/_batch_id={batch_id - 1}"
+        if batch_id > 0 and session.path_exists(spark, prev):
+            return spark.read.parquet(prev).select("topic", "partition", F.col("next").alias("base"))
         if not session.path_exists(spark, self.counts_path):
             return None
         counts = spark.read.parquet(self.counts_path)
-        # Earlier runs were written before this one started; a run's counts
-        # exist once its batch is complete.
         earlier = (F.col("_run") != self.run) | (F.col("_batch_id") < batch_id)
-        return counts.where(earlier).groupBy("topic", "partition").agg(F.sum("n").alias("base"))
+        return counts.where(earlier).groupBy("topic", "partition").agg(F.max("next").alias("base"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = B.bronze_rows(batch, self.keep_raw, self.time_from, self.partitions)
         groups = self.topics * self.partitions
         held: list = []
-        rows = assign_offsets(rows, method=self.method, slices=self.slices, max_groups=groups,
-                              base=self.base(spark, batch_id), persisted=held)
+        base = self.base(spark, batch_id)
+        rows = assign_offsets(rows, method=self.method, slices=self.slices, max_groups=groups, base=base,
+                              persisted=held)
         out = (B.finish(rows).withColumn("_run", F.lit(self.run))
                .withColumn("_batch_id", F.lit(batch_id).cast("long")))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("topic", "_run", "_batch_id").parquet(self.path))
         release(held)
-        # Counts of what was written, read back from this batch's partitions only.
-        written = (spark.read.option("basePath", self.path).parquet(f"{self.path}/topic=*")
-                   .where((F.col("_run") == self.run) & (F.col("_batch_id") == batch_id)))
-        counts = written.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"))
-        counts = counts.withColumn("_run", F.lit(self.run)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        (counts.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # Counts of what was written, read back from this batch's folders only.
+        written = (spark.read.option("basePath", self.path)
+                   .parquet(f"{self.path}/topic=*/_run={self.run}/_batch_id={batch_id}")
+                   if session.path_exists(spark, self.path) else None)
+        counts = None
+        if written is not None and written.inputFiles():
+            counts = written.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"))
+        if counts is None and base is None:
+            return
+        if counts is None:
+            cum = base.select("topic", "partition", F.col("base").alias("next"))
+        elif base is None:
+            cum = counts.select("topic", "partition", F.col("n").alias("next"))
+        else:
+            cum = counts.join(base, ["topic", "partition"], "full_outer").select(
+                "topic", "partition",
+                (F.coalesce("base", F.lit(0)) + F.coalesce("n", F.lit(0))).cast("long").alias("next"))
+        cum = cum.withColumn("_run", F.lit(self.run)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        (cum.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("_run", "_batch_id").parquet(self.counts_path))
 
 
