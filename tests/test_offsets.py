@@ -65,3 +65,41 @@ def test_event_sequence_many_groups(spark):
     a = sorted(tuple(r) for r in event_sequence(df, slices=6).collect())
     b = sorted(tuple(r) for r in event_sequence(df, method="window").collect())
     assert a == b
+
+
+SESSION_ROW = st.tuples(st.integers(0, 3), st.integers(0, 24 * 3600))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(SESSION_ROW, min_size=0, max_size=150), st.integers(1, 9), st.sampled_from([60, 1800, 7200]))
+def test_split_sessions_equal_session_window(spark, rows, slices, gap):
+    from topiclake.operators.extensions import session_counts
+
+    df = spark.createDataFrame(rows, "user_id INT, s INT").selectExpr(
+        "user_id", "timestamp_seconds(1704067200 + s) AS event_time")
+    g = f"{gap} seconds"
+    a = sorted(tuple(r) for r in session_counts(df, g, method="split", slices=slices).collect())
+    b = sorted(tuple(r) for r in session_counts(df, g, method="window").collect())
+    assert a == b
+
+
+def test_split_sessions_hot_user(spark):
+    from topiclake.operators.extensions import session_counts
+
+    rows = [(0, i * 7 % 100000) for i in range(6000)] + [(u, u * 1000) for u in range(1, 300)]
+    df = spark.createDataFrame(rows, "user_id INT, s INT").selectExpr(
+        "user_id", "timestamp_seconds(1704067200 + s) AS event_time")
+    a = sorted(tuple(r) for r in session_counts(df, "30 seconds", slices=16).collect())
+    b = sorted(tuple(r) for r in session_counts(df, "30 seconds", method="window").collect())
+    assert a == b
+
+
+def test_split_sessions_null_keys(spark):
+    from topiclake.operators.extensions import session_counts
+
+    rows = [(None if i % 3 else 1, i * 10) for i in range(900)]
+    df = spark.createDataFrame(rows, "user_id INT, s INT").selectExpr(
+        "user_id", "timestamp_seconds(1704067200 + s) AS event_time")
+    a = sorted(map(str, session_counts(df, "25 seconds", slices=8).collect()))
+    b = sorted(map(str, session_counts(df, "25 seconds", method="window").collect()))
+    assert a == b

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topiclake.operators.sessions import session_spans
+
 WINDOW_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -30,10 +32,32 @@ def sliding_counts(events: DataFrame, size: str, slide: str, by: str = "event_ty
     return g.select(*_window_cols(), by, "n")
 
 
-def session_counts(events: DataFrame, gap: str, by: str = "user_id") -> DataFrame:
-    """Sessions of each ``by``: a new session after ``gap`` without events."""
-    g = events.groupBy(F.session_window("event_time", gap), by).agg(F.count(F.lit(1)).alias("n"))
-    return g.select(*_window_cols("session_window"), by, "n")
+def session_counts(events: DataFrame, gap: str, by: str = "user_id", method: str = "split",
+                   slices: int | None = None) -> DataFrame:
+    """Sessions of each ``by``: a new session after ``gap`` without events.
+
+    ``method="window"`` is ``session_window`` (one task per key; also the form
+    for streams); ``"split"`` cuts a hot key across tasks (operators.sessions).
+    """
+    if method == "window":
+        g = events.groupBy(F.session_window("event_time", gap), by).agg(F.count(F.lit(1)).alias("n"))
+        return g.select(*_window_cols("session_window"), by, "n")
+    spans = session_spans(events, by, "event_time", _seconds(gap), slices=slices)
+    return spans.select(
+        F.date_format("session_start", WINDOW_TEXT).alias("window_start"),
+        F.date_format("session_end", WINDOW_TEXT).alias("window_end"),
+        by, "n",
+    )
+
+
+_UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
+          "day": 86400, "days": 86400}
+
+
+def _seconds(text: str) -> int:
+    """``"30 minutes"`` → 1800."""
+    value, unit = text.split()
+    return int(value) * _UNITS[unit.lower()]
 
 
 def watermarked_counts(events: DataFrame, size: str, delay: str, by: str = "event_type") -> DataFrame:
