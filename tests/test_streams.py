@@ -180,3 +180,24 @@ def test_stream_to_managed_table(spark, sf):
                 trigger="availableNow")
     C.run_to_end(q)
     assert spark.table("bronze.gps_stream_test").count() == 1500
+
+
+def test_any_micro_batch_split_gives_same_rows_and_gap_free_offsets(spark, sf):
+    from topiclake.sources.fixtures import topic_messages
+
+    folder = session.fresh_path(spark, "topics", "split_orders")
+    T.write_topic_folder(topic_messages(spark, sf, "orders").repartition(7), folder)
+    batch = P.build_bronze(spark, sf, kinds=("orders",)).select("key", "topic", "partition")
+    for per_trigger in (1, 3):
+        src = T.read_folder(spark, folder, envelope("orders"), "kafka-orders", mode="stream",
+                            max_files_per_trigger=per_trigger)
+        path = session.fresh_path(spark, "tables", f"split{per_trigger}")
+        q = BS.start_bronze_stream([src], path, name=f"split_{per_trigger}",
+                                   checkpoint=C.checkpoint_for(spark, f"split{per_trigger}"), trigger="availableNow")
+        C.run_to_end(q)
+        got = BS.read_bronze(spark, path)
+        assert got.select("_batch_id").distinct().count() > 1
+        rows = got.select("key", "topic", "partition")
+        assert rows.exceptAll(batch).count() == 0 and batch.exceptAll(rows).count() == 0
+        for n, lo, hi, d in _summary(R._bronze_offsets_summary(got)).values():
+            assert (lo, hi, d) == (0, n - 1, n)

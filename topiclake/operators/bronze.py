@@ -90,7 +90,7 @@ def multiplex(
 
 
 def kafka_records(parsed: DataFrame, message_key: str, keep_raw: bool = True, partitions: int = KEY_PARTITIONS,
-                  method: str = "range", slices: int | None = None) -> DataFrame:
+                  method: str = "range", slices: int | None = None, persisted: list | None = None) -> DataFrame:
     """Kafka-shaped records of one topic read from files: the metadata Kafka would add.
 
     key = the message key (text), partition = key partition of ``_sequence_id``,
@@ -109,7 +109,7 @@ def kafka_records(parsed: DataFrame, message_key: str, keep_raw: bool = True, pa
         seq.alias("_seq"),
     )
     rows = assign_offsets(rows, groups=("topic", "partition"), order=("_seq", "key", "value"),
-                          method=method, slices=slices, max_groups=partitions)
+                          method=method, slices=slices, max_groups=partitions, persisted=persisted)
     return rows.drop("_seq")
 
 

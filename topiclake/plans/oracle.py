@@ -271,6 +271,14 @@ SELECT s.topic, s.key, p.partition FROM src s JOIN key_parts p USING (key)""",
         'SELECT b.key, b.partition, b."offset" + c.n AS "offset" FROM bronze b JOIN '
         "(SELECT partition, COUNT(*) AS n FROM bronze WHERE topic = 'kafka-orders' GROUP BY partition) c "
         "ON b.partition = c.partition WHERE b.topic = 'kafka-orders'"),
+    "describe_bronze_schema": """SELECT * FROM (VALUES ('key', 'bigint', true), ('value', 'string', true),
+  ('topic', 'string', true), ('partition', 'int', true), ('offset', 'bigint', true),
+  ('timestamp', 'timestamp', true), ('ingestion_timestamp', 'timestamp', true)) t("column", "type", nullable)""",
+    "list_bronze_tables": """SELECT * FROM (VALUES ('kafka_bronze_ordem'), ('kafka_bronze_eventos'),
+  ('kafka_bronze_gps')) t("tableName")""",
+    "stream_progress_rows": with_topics(
+        "SELECT 0::BIGINT AS batch_id, COUNT(*) AS num_input_rows FROM orders_topic "
+        "UNION ALL SELECT 0, COUNT(*) FROM events_topic UNION ALL SELECT 0, COUNT(*) FROM gps_topic"),
     "three_queries_total": with_topics(
         "SELECT 'kafka-orders' AS topic, COUNT(*) AS rows FROM orders_topic "
         "UNION ALL SELECT 'kafka-events', COUNT(*) FROM events_topic "

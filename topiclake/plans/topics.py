@@ -10,6 +10,8 @@ registered queries too (``bronze_batch``, ``assign_offsets``, the streams).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from topiclake import session
 from topiclake.functions.envelope import parse
 from topiclake.operators import bronze as B
 from topiclake.operators import silver as S
+from topiclake.operators.offsets import release
 from topiclake.schemas import FOLDER_TOPICS, envelope
 from topiclake.sources import topics as T
 from topiclake.sources.fixtures import MESSAGE_KEY
@@ -41,23 +44,31 @@ def parsed_topic(spark: SparkSession, sf_dir: str, kind: str, mode: str = "batch
 
 
 def build_bronze(spark: SparkSession, sf_dir: str, kinds=KINDS, method: str = "range", time_from: str = "key",
-                 slices: int | None = None) -> DataFrame:
+                 slices: int | None = None, persisted: list | None = None) -> DataFrame:
     """Batch bronze multiplex of the topics, computed (all rows, offsets per topic and partition)."""
     prepared(spark)
     return B.multiplex([parsed_topic(spark, sf_dir, k) for k in kinds], method=method, time_from=time_from,
-                       slices=slices)
+                       slices=slices, persisted=persisted)
+
+
+_BUILD_LOCK = threading.Lock()
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     path = session.shared_path(spark, "tables", T._fingerprint(sf_dir) + "-" + LAYOUT_VERSION, name)
-    if not session.path_exists(spark, f"{path}/_SUCCESS"):
-        B.write_table(build(), path, partition_by=("topic",), mode="overwrite")
+    if session.path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    with _BUILD_LOCK:  # one builder per table when queries run from several threads
+        if not session.path_exists(spark, f"{path}/_SUCCESS"):
+            held: list = []
+            B.write_table(build(held), path, partition_by=("topic",), mode="overwrite")
+            release(held)
     return path
 
 
 def bronze_path(spark: SparkSession, sf_dir: str) -> str:
     """Stored bronze multiplex of the three topics (built on first use)."""
-    return _stored(spark, sf_dir, "kafka_multiplex", lambda: build_bronze(spark, sf_dir))
+    return _stored(spark, sf_dir, "kafka_multiplex", lambda held: build_bronze(spark, sf_dir, persisted=held))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +76,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(bronze_path(spark, sf_dir))
 
 
-def kafka_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+def kafka_records(spark: SparkSession, sf_dir: str, kind: str, persisted: list | None = None) -> DataFrame:
     """Kafka-shaped records (text key, raw value line, partition, offset, …) of one topic, computed."""
     prepared(spark)
     text = T.read_folder_text(spark, topic_path(spark, sf_dir, kind))
@@ -74,13 +85,14 @@ def kafka_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         parse("value", envelope(kind)).getField("data").alias("data"),
         F.lit(FOLDER_TOPICS[kind]).alias("_topic_name"),
     )
-    return B.kafka_records(parsed, MESSAGE_KEY[kind], keep_raw=True)
+    return B.kafka_records(parsed, MESSAGE_KEY[kind], keep_raw=True, persisted=persisted)
 
 
 def per_topic_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     from topiclake.schemas import PER_TOPIC_TABLES
 
-    return _stored(spark, sf_dir, PER_TOPIC_TABLES[kind], lambda: B.per_topic(kafka_records(spark, sf_dir, kind)))
+    return _stored(spark, sf_dir, PER_TOPIC_TABLES[kind],
+                   lambda held: B.per_topic(kafka_records(spark, sf_dir, kind, persisted=held)))
 
 
 def per_topic_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

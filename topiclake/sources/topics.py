@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -190,6 +191,9 @@ def union_topics(frames: Sequence[DataFrame]) -> DataFrame:
 # ------------------------------------------------- topic folders from tables
 
 
+_FOLDER_LOCK = threading.Lock()
+
+
 def _fingerprint(sf_dir: str) -> str:
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
     for name in ("orders", "events"):
@@ -205,8 +209,11 @@ def topic_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     from topiclake.sources.fixtures import topic_messages
 
     path = session.shared_path(spark, "topics", _fingerprint(sf_dir), FOLDER_TOPICS[kind])
-    if not session.path_exists(spark, f"{path}/_SUCCESS"):
-        write_topic_folder(topic_messages(spark, sf_dir, kind), path)
+    if session.path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    with _FOLDER_LOCK:  # one writer per folder when queries run from several threads
+        if not session.path_exists(spark, f"{path}/_SUCCESS"):
+            write_topic_folder(topic_messages(spark, sf_dir, kind), path)
     return path
 
 
