@@ -72,8 +72,9 @@ def bronze_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored bronze multiplex, columns in schema order (``topic`` is the folder partition)."""
     prepared(spark)
-    return spark.read.parquet(bronze_path(spark, sf_dir))
+    return spark.read.parquet(bronze_path(spark, sf_dir)).select(*B.MULTIPLEX_COLUMNS)
 
 
 def kafka_records(spark: SparkSession, sf_dir: str, kind: str, persisted: list | None = None) -> DataFrame:
@@ -97,7 +98,7 @@ def per_topic_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
 def per_topic_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     prepared(spark)
-    return spark.read.parquet(per_topic_path(spark, sf_dir, kind))
+    return spark.read.parquet(per_topic_path(spark, sf_dir, kind)).select(*B.PER_TOPIC_COLUMNS)
 
 
 SILVER = {"orders": S.orders, "events": S.events, "gps": S.gps}

@@ -180,6 +180,15 @@ def read_topic(
     raise ValueError(f"unknown backend {backend!r}")
 
 
+def read_topic_text(spark: SparkSession, kind: str, path: str, mode: str = "batch") -> DataFrame:
+    """Untouched message line (``value``) with its parsed envelope (``data``) and ``_topic_name``.
+
+    The input of bronze with ``keep_raw=True``: the stored value is the line as it arrived.
+    """
+    text = read_folder_text(spark, path, FOLDER_TOPICS[kind], mode)
+    return text.select("value", parse("value", envelope(kind)).getField("data").alias("data"), "_topic_name")
+
+
 def union_topics(frames: Sequence[DataFrame]) -> DataFrame:
     """Several topics in one frame, by column name (duplicates kept, no shuffle)."""
     out = frames[0]
