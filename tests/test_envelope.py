@@ -79,3 +79,12 @@ def test_roundtrip_without_nulls(spark, sf):
     back = rec.select(message_text(F.col("data")).alias("value")).select(
         parse("value", envelope("gps")).getField("data").alias("data"))
     assert rec.exceptAll(back).count() == 0 and back.exceptAll(rec).count() == 0
+
+
+def test_malformed_event_time_is_null_not_an_error(spark):
+    from topiclake.functions.payload import parse_event_time
+
+    df = _text(spark, ["2024-01-02 03:04:05.678", "yesterday", None])
+    got = [r.t for r in df.select(parse_event_time("value").alias("t")).collect()]
+    assert got[0].strftime("%Y-%m-%d %H:%M:%S.%f") == "2024-01-02 03:04:05.678000"
+    assert got[1] is None and got[2] is None

@@ -22,8 +22,8 @@ def event_time_text(ts: Column | str) -> Column:
 
 
 def parse_event_time(text: Column | str) -> Column:
-    """Inverse of :func:`event_time_text`."""
-    return F.to_timestamp(_c(text), EVENT_TIME_FORMAT)
+    """Inverse of :func:`event_time_text`; NULL (not an error, even under ANSI) for malformed text."""
+    return F.try_to_timestamp(_c(text), F.lit(EVENT_TIME_FORMAT))
 
 
 def net_of(amount: Column | str, rate: str = "0.9") -> Column:

@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from topiclake import session
-from topiclake.functions.envelope import flatten, message_text, parse, rescue
+from topiclake.functions.envelope import message_text, parse, rescue
 from topiclake.functions.keys import key_partition, key_time
-from topiclake.functions.payload import event_time_text
+from topiclake.functions.payload import parse_event_time
 from topiclake.operators import bronze as B
 from topiclake.operators import extensions as E
 from topiclake.operators import gold as G
 from topiclake.operators import silver as S
-from topiclake.operators.offsets import assign_offsets
 from topiclake.plans import topics as P
 from topiclake.schemas import (
     BRONZE_DATABASE,
@@ -648,7 +647,7 @@ def three_queries_total(spark, sf):
 
 def order_view(df: DataFrame) -> DataFrame:
     """The one transformation used by batch and by stream."""
-    return df.select("data.*").withColumn("order_time", F.to_timestamp("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))
+    return df.select("data.*").withColumn("order_time", parse_event_time("timestamp"))
 
 
 @query("batch_equals_stream")
