@@ -201,3 +201,16 @@ def test_any_micro_batch_split_gives_same_rows_and_gap_free_offsets(spark, sf):
         assert rows.exceptAll(batch).count() == 0 and batch.exceptAll(rows).count() == 0
         for n, lo, hi, d in _summary(R._bronze_offsets_summary(got)).values():
             assert (lo, hi, d) == (0, n - 1, n)
+
+
+def test_partial_aggregates_merge_like_one_aggregate(spark, sf):
+    from topiclake.operators import gold as G
+
+    gps = P.silver(spark, sf, "gps")
+    pieces = [gps.where(f"offset % 3 = {i}") for i in range(3)]  # any split of the rows
+    parts = pieces[0].transform(lambda d: G.gps_partials(d, "speed_kph"))
+    for p in pieces[1:]:
+        parts = parts.unionByName(G.gps_partials(p, "speed_kph"))
+    a = sorted(tuple(r) for r in G.merge_gps_partials(parts, "speed_kph").collect())
+    b = sorted(tuple(r) for r in G.gps_avg_by(gps, "speed_kph").collect())
+    assert a == b

@@ -125,6 +125,20 @@ def gps_avg_by(gps: DataFrame, by: str, digits: int = 6) -> DataFrame:
     )
 
 
+def gps_partials(gps: DataFrame, by: str) -> DataFrame:
+    """Decomposable pieces of :func:`gps_avg_by` for one slice of the data (e.g. a micro-batch)."""
+    return gps.groupBy(by).agg(
+        F.count(F.lit(1)).alias("points"), F.sum("lat").alias("sum_lat"), F.sum("lon").alias("sum_lon"))
+
+
+def merge_gps_partials(parts: DataFrame, by: str, digits: int = 6) -> DataFrame:
+    """Points and averages per ``by`` from any number of partial rows per group."""
+    g = parts.groupBy(by).agg(F.sum("points").alias("points"), F.sum("sum_lat").alias("sum_lat"),
+                              F.sum("sum_lon").alias("sum_lon"))
+    return g.select(by, "points", F.round(F.col("sum_lat") / F.col("points"), digits).alias("avg_lat"),
+                    F.round(F.col("sum_lon") / F.col("points"), digits).alias("avg_lon"))
+
+
 def gps_count_by(gps: DataFrame, by: str = "speed_kph") -> DataFrame:
     return gps.groupBy(by).agg(F.count(F.lit(1)).alias("count"))
 

@@ -431,8 +431,25 @@ def topic_message_count(spark, sf):
 
 @query("stream_gps_avg_by_order")
 def stream_gps_avg_by_order(spark, sf):
+    """Per-order points and average position from a stream, for a key space that grows with the data.
+
+    Complete mode would rewrite every order each micro-batch and keep one state
+    row per order.  Count and average decompose, so each micro-batch appends
+    its own partial aggregates (overwriting its ``_batch_id`` on replay) and the
+    read merges them: append-only, no state store, exactly once.
+    """
     gps = P.parsed_topic(spark, sf, "gps", mode="stream").select("data.*")
-    return _stream_complete(G.gps_avg_by(gps, "order_id"), "gps_avg_by_order")
+    out = session.fresh_path(spark, "streams", "gps_partials")
+
+    def append_partials(batch: DataFrame, batch_id: int) -> None:
+        parts = G.gps_partials(batch, "order_id").withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        (parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_batch_id").parquet(out))
+
+    q = C.start(gps, name=f"gps_by_order_{out[-12:]}", checkpoint=C.checkpoint_for(spark, "gps_by_order"),
+                sink="foreachBatch", foreach_batch=append_partials, trigger="availableNow")
+    C.run_to_end(q)
+    return G.merge_gps_partials(spark.read.parquet(out), "order_id")
 
 
 @query("stream_gps_avg_by_speed")
