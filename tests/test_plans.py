@@ -67,3 +67,14 @@ def test_last_100_per_topic_uses_group_limit(spark, sf):
 def test_payment_events_pre_aggregated_by_hash(spark, sf):
     text = formatted(Q["ext_payment_events_join"](spark, sf))
     assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_bucketed_silver_join_has_no_exchange(spark, sf):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale: neither side is small
+    try:
+        text = formatted(Q["ext_order_gps_join"](spark, sf))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in text
+    assert "Exchange" not in text

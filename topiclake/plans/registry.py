@@ -721,8 +721,10 @@ def ext_watermark_counts(spark, sf):
 
 @query("ext_order_gps_join")
 def ext_order_gps_join(spark, sf):
-    b = P.bronze(spark, sf)
-    return E.order_gps(S.orders(b), S.gps(b))
+    """Orders with their GPS point, from silver tables bucketed on the order key: no shuffle for the join."""
+    orders = P.bucketed_silver(spark, sf, "orders", "order_key")
+    gps = P.bucketed_silver(spark, sf, "gps", "order_id")
+    return E.order_gps(orders, gps)
 
 
 @query("ext_payment_events_join")

@@ -51,7 +51,7 @@ def build_bronze(spark: SparkSession, sf_dir: str, kinds=KINDS, method: str = "r
                        slices=slices, persisted=persisted)
 
 
-_BUILD_LOCK = threading.Lock()
+_BUILD_LOCK = threading.RLock()  # re-entrant: a stored table may build another
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> str:
@@ -107,3 +107,31 @@ SILVER = {"orders": S.orders, "events": S.events, "gps": S.gps}
 def silver(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Silver rows of one topic, parsed once from the stored bronze value."""
     return SILVER[kind](bronze(spark, sf_dir))
+
+
+SILVER_DATABASE = "silver"
+
+
+def bucketed_silver(spark: SparkSession, sf_dir: str, kind: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Silver of one topic stored bucketed (and sorted) by ``key``, as a catalog table.
+
+    Two such tables with the same bucket count join on their keys without a
+    shuffle: each bucket of one side meets the same bucket of the other.  The
+    files are written once to the shared folder; the catalog entry (which
+    holds the bucket spec) is re-declared over them in any new session.
+    """
+    prepared(spark)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    name = f"{kind}_by_{key}_{n}"
+    path = session.shared_path(spark, "tables", T._fingerprint(sf_dir) + "-" + LAYOUT_VERSION, f"silver_{name}")
+    table = f"`{SILVER_DATABASE}`.`{name}`"
+    with _BUILD_LOCK:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{SILVER_DATABASE}`")
+        if not session.path_exists(spark, f"{path}/_SUCCESS"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            (silver(spark, sf_dir, kind).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+             .option("path", path).saveAsTable(f"{SILVER_DATABASE}.{name}"))
+        elif not spark.catalog.tableExists(f"{SILVER_DATABASE}.{name}"):
+            spark.sql(f"CREATE TABLE {table} USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                      f"INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(f"{SILVER_DATABASE}.{name}")

@@ -200,7 +200,7 @@ def union_topics(frames: Sequence[DataFrame]) -> DataFrame:
 # ------------------------------------------------- topic folders from tables
 
 
-_FOLDER_LOCK = threading.Lock()
+_FOLDER_LOCK = threading.RLock()
 
 
 def _fingerprint(sf_dir: str) -> str:
