@@ -84,14 +84,19 @@ class BronzeBatchWriter:
                .withColumn("_batch_id", F.lit(batch_id).cast("long")))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("topic", "_run", "_batch_id").parquet(self.path))
+        # Counts of what was written: from the persisted rows of the range plan
+        # (exactly the rows written), else read back from this batch's folders.
+        if held:
+            counts = [(r["topic"], r["partition"], r["n"])
+                      for r in held[0].groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).collect()]
+        else:
+            written = spark.read.option("basePath", self.path).parquet(
+                f"{self.path}/topic=*/_run={self.run}/_batch_id={batch_id}")
+            counts = [(r["topic"], r["partition"], r["n"])
+                      for r in written.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).collect()]
         release(held)
-        # Counts of what was written, read back from this batch's folders only.
-        written = (spark.read.option("basePath", self.path)
-                   .parquet(f"{self.path}/topic=*/_run={self.run}/_batch_id={batch_id}")
-                   if session.path_exists(spark, self.path) else None)
-        counts = None
-        if written is not None and written.inputFiles():
-            counts = written.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"))
+        # One row per (topic, partition) of this batch: a bounded list.
+        counts = spark.createDataFrame(counts, "topic STRING, partition INT, n BIGINT") if counts else None
         if counts is None and base is None:
             return
         if counts is None:
