@@ -48,14 +48,17 @@ def shared_root(spark: SparkSession) -> str:
     """Root of the shared folder (``spark.checkpoint.dir``), set only if unset."""
     sc = _context(spark)
     root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not root and sc is None:
-        root = _FALLBACK.setdefault("root", tempfile.mkdtemp(prefix="topiclake-"))
-    if not root:
-        root = tempfile.mkdtemp(prefix="topiclake-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
-    return root
+    if root:
+        return root
+    master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+    if not master.startswith("local"):
+        # Executors on other machines cannot see a local folder of the driver.
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (e.g. HDFS / object store)")
+    if sc is None:
+        return _FALLBACK.setdefault("root", tempfile.mkdtemp(prefix="topiclake-"))
+    root = tempfile.mkdtemp(prefix="topiclake-")  # local mode only, as in tests
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def _local(path: str) -> str:
