@@ -214,3 +214,14 @@ def test_partial_aggregates_merge_like_one_aggregate(spark, sf):
     a = sorted(tuple(r) for r in G.merge_gps_partials(parts, "speed_kph").collect())
     b = sorted(tuple(r) for r in G.gps_avg_by(gps, "speed_kph").collect())
     assert a == b
+
+
+def test_streamed_values_equal_batch_values(spark, sf):
+    frames = [P.parsed_topic(spark, sf, k, mode="stream") for k in P.KINDS]
+    path = session.fresh_path(spark, "tables", "values_eq")
+    q = BS.start_bronze_stream(frames, path, name="values_eq", checkpoint=C.checkpoint_for(spark, "veq"),
+                               trigger="availableNow")
+    C.run_to_end(q)
+    streamed = BS.read_bronze(spark, path).select("key", "topic", "value", "partition", "offset")
+    batch = P.build_bronze(spark, sf).select("key", "topic", "value", "partition", "offset")
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0

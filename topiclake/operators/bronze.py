@@ -97,9 +97,22 @@ def kafka_records(parsed: DataFrame, message_key: str, keep_raw: bool = True, pa
     offset per partition in ``_sequence_id`` order, timestamp = the payload's
     send time (CreateTime, timestampType 0).
     """
+    rows = kafka_rows(parsed, message_key, keep_raw, partitions)
+    rows = assign_offsets(rows, groups=("topic", "partition"), order=KAFKA_ORDER,
+                          method=method, slices=slices, max_groups=partitions, persisted=persisted)
+    return rows.drop("_seq")
+
+
+# Offsets of Kafka-shaped records follow the producer's sequence, then key and value.
+KAFKA_ORDER = ("_seq", "key", "value")
+
+
+def kafka_rows(parsed: DataFrame, message_key: str, keep_raw: bool = True,
+               partitions: int = KEY_PARTITIONS) -> DataFrame:
+    """The metadata of :func:`kafka_records` without offsets (``_seq`` kept for their order)."""
     seq = F.col("data._sequence_id").cast("long")
     value = F.col("value") if keep_raw and "value" in parsed.columns else F.to_json(F.struct(F.col("data").alias("data")))
-    rows = parsed.select(
+    return parsed.select(
         F.col(f"data.{message_key}").cast("string").alias("key"),
         value.cast("string").alias("value"),
         F.col("_topic_name").alias("topic"),
@@ -108,9 +121,6 @@ def kafka_records(parsed: DataFrame, message_key: str, keep_raw: bool = True, pa
         F.lit(0).alias("timestampType"),
         seq.alias("_seq"),
     )
-    rows = assign_offsets(rows, groups=("topic", "partition"), order=("_seq", "key", "value"),
-                          method=method, slices=slices, max_groups=partitions, persisted=persisted)
-    return rows.drop("_seq")
 
 
 def per_topic(records: DataFrame) -> DataFrame:

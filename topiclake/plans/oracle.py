@@ -110,6 +110,17 @@ per_topic AS (
   FROM src s JOIN key_parts p USING (key))"""
 
 
+PER_TOPIC_ALL = f"""WITH {TOPICS},
+src AS (SELECT _sequence_id AS key, order_key AS msg_key, 'kafka-orders' AS topic FROM orders_topic
+  UNION ALL SELECT _sequence_id, payment_id, 'kafka-events' FROM events_topic
+  UNION ALL SELECT _sequence_id, order_id, 'kafka-gps' FROM gps_topic),
+keys AS (SELECT DISTINCT key FROM src),
+{MURMUR_PARTS}
+SELECT s.msg_key AS key, p.partition,
+       row_number() OVER (PARTITION BY s.topic, p.partition ORDER BY s.key) - 1 AS "offset",
+       s.topic, 0 AS "timestampType"
+FROM src s JOIN key_parts p USING (key)"""
+
 PER_TOPIC = {
     "orders": _per_topic("orders_topic", "order_key", "kafka-orders"),
     "events": _per_topic("events_topic", "payment_id", "kafka-events"),
@@ -162,6 +173,7 @@ ORACLE: dict[str, str] = {
     "bronze_schema_growth": with_topics(
         "SELECT _sequence_id AS key, 'kafka-orders' AS topic, CAST(NULL AS VARCHAR) AS event_name FROM orders_topic "
         "UNION ALL SELECT _sequence_id, 'kafka-events', event_name FROM events_topic"),
+    "bronze_per_topic_stream": PER_TOPIC_ALL,
     "stream_gps_to_path": with_topics(f"SELECT {GPS_FIELDS} FROM gps_topic"),
     "bronze_per_topic_orders": PER_TOPIC["orders"] + '\nSELECT key, partition, "offset", topic, "timestampType" FROM per_topic',
     "bronze_per_topic_events": PER_TOPIC["events"] + '\nSELECT key, partition, "offset", topic, "timestampType" FROM per_topic',

@@ -253,6 +253,18 @@ def bronze_schema_growth(spark, sf):
     return B.read_table(spark, path, merge_schema=True).select("key", "topic", "event_name")
 
 
+@query("bronze_per_topic_stream")
+def bronze_per_topic_stream(spark, sf):
+    """The three per-topic bronze tables written by one stream (one folder per topic)."""
+    P.prepared(spark)
+    path = session.fresh_path(spark, "tables", "kafka_bronze_stream")
+    texts = {k: T.read_topic_text(spark, k, P.topic_path(spark, sf, k), mode="stream") for k in P.KINDS}
+    q = BS.start_per_topic_stream(texts, path, name=f"bronze_per_topic_{path[-12:]}",
+                                  checkpoint=C.checkpoint_for(spark, "bronze_per_topic"), trigger="availableNow")
+    C.run_to_end(q)
+    return BS.read_bronze(spark, path).select("key", "partition", "offset", "topic", "timestampType")
+
+
 @query("stream_gps_to_path")
 def stream_gps_to_path(spark, sf):
     df = P.parsed_topic(spark, sf, "gps", mode="stream").select("data.*")
@@ -616,7 +628,7 @@ def stream_replay_idempotent(spark, sf):
     path = _bronze_stream_runs(spark, sf, "replay_same", [("a", "availableNow", None)])
     # Replay batch 0 of the same run, as a restart after a lost commit would.
     run = BS.read_bronze(spark, path).select("_run").distinct().first()["_run"]
-    BS.BronzeBatchWriter(path, topics=1, run=run)(P.parsed_topic(spark, sf, "orders"), 0)
+    BS.BronzeBatchWriter(path, topics=1, run=run)(B.bronze_rows(P.parsed_topic(spark, sf, "orders")), 0)
     return _bronze_offsets_summary(BS.read_bronze(spark, path))
 
 

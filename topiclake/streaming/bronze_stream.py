@@ -40,19 +40,24 @@ COUNTS_DIR = "__offset_counts"
 
 
 class BronzeBatchWriter:
-    """``foreachBatch`` function writing bronze multiplex rows to a Parquet folder."""
+    """``foreachBatch`` function: flat bronze rows of a micro-batch → offsets → Parquet folder.
 
-    def __init__(self, path: str, topics: int, run: str, partitions: int = KEY_PARTITIONS, keep_raw: bool = False,
-                 time_from: str = "key", method: str = "range", slices: int | None = None):
+    ``layout="multiplex"``: rows of :func:`bronze.bronze_rows`, offsets in
+    (key, value) order, multiplex columns.  ``layout="per_topic"``: rows of
+    :func:`bronze.kafka_rows`, offsets in the producer's sequence, per-topic
+    columns (one folder per topic under ``path``).
+    """
+
+    def __init__(self, path: str, topics: int, run: str, partitions: int = KEY_PARTITIONS,
+                 method: str = "range", slices: int | None = None, layout: str = "multiplex"):
         self.path = path.rstrip("/")
         self.run = run
         self.counts_path = counts_path(self.path)
         self.topics = topics
         self.partitions = partitions
-        self.keep_raw = keep_raw
-        self.time_from = time_from
         self.method = method
         self.slices = slices
+        self.layout = layout
 
     def base(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """(topic, partition, base): the next offset of every group before this batch.
@@ -74,14 +79,14 @@ class BronzeBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = B.bronze_rows(batch, self.keep_raw, self.time_from, self.partitions)
         groups = self.topics * self.partitions
         held: list = []
         base = self.base(spark, batch_id)
-        rows = assign_offsets(rows, method=self.method, slices=self.slices, max_groups=groups, base=base,
-                              persisted=held)
-        out = (B.finish(rows).withColumn("_run", F.lit(self.run))
-               .withColumn("_batch_id", F.lit(batch_id).cast("long")))
+        order = ("key", "value") if self.layout == "multiplex" else B.KAFKA_ORDER
+        rows = assign_offsets(batch, order=order, method=self.method, slices=self.slices, max_groups=groups,
+                              base=base, persisted=held)
+        table = B.finish(rows) if self.layout == "multiplex" else B.per_topic(rows)
+        out = table.withColumn("_run", F.lit(self.run)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("topic", "_run", "_batch_id").parquet(self.path))
         # Counts of what was written: from the persisted rows of the range plan
@@ -159,9 +164,46 @@ def start_bronze_stream(
     time_from: str = "key",
     method: str = "range",
 ) -> StreamingQuery:
-    """One query over the union of the topic streams → bronze multiplex at ``path``."""
-    run = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
-    writer = BronzeBatchWriter(path, topics=len(parsed_topics), run=run, keep_raw=keep_raw, time_from=time_from,
-                               method=method)
-    merged = union_topics(parsed_topics)
-    return control.start(merged, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
+    """One query over the union of the topic streams → bronze multiplex at ``path``.
+
+    Each topic becomes flat bronze rows *before* the union, so every value is
+    serialised from its own topic's record (same text as by batch).
+    """
+    run = run_of(checkpoint)
+    writer = BronzeBatchWriter(path, topics=len(parsed_topics), run=run, method=method)
+    rows = union_topics([B.bronze_rows(t, keep_raw, time_from) for t in parsed_topics])
+    return control.start(rows, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
+
+
+def start_per_topic_stream(
+    text_topics: dict[str, DataFrame],
+    path: str,
+    name: str,
+    checkpoint: str,
+    trigger: str | None = "5 seconds",
+    method: str = "range",
+) -> StreamingQuery:
+    """Per-topic bronze (all Kafka metadata) from topic folders: ``{kind: read_topic_text(...)}`` →
+    ``path/topic=<name>/``, offsets per topic partition in the producer's sequence."""
+    from topiclake.sources.fixtures import MESSAGE_KEY
+
+    writer = BronzeBatchWriter(path, topics=len(text_topics), run=run_of(checkpoint), method=method,
+                               layout="per_topic")
+    rows = union_topics([B.kafka_rows(df, MESSAGE_KEY[kind]) for kind, df in text_topics.items()])
+    return control.start(rows, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
+
+
+def start_kafka_bronze(spark: SparkSession, spec, path: str, name: str, checkpoint: str,
+                       trigger: str | None = "5 seconds") -> StreamingQuery:
+    """Per-topic bronze straight from Kafka: partition and offset come from the broker, so this is a
+    plain append stream (the file sink's log makes it exactly once), laid out by ``topic``."""
+    from topiclake.sources.topics import read_kafka, records_as_text
+
+    rows = records_as_text(read_kafka(spark, spec, "stream"))
+    return control.start(B.per_topic(rows), name, checkpoint, sink="parquet", path=path, trigger=trigger,
+                         partition_by=("topic",))
+
+
+def run_of(checkpoint: str) -> str:
+    """The run tag of a checkpoint: a query on a fresh checkpoint is a new run."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
