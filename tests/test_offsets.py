@@ -103,3 +103,17 @@ def test_split_sessions_null_keys(spark):
     a = sorted(map(str, session_counts(df, "25 seconds", slices=8).collect()))
     b = sorted(map(str, session_counts(df, "25 seconds", method="window").collect()))
     assert a == b
+
+
+def test_bronze_order_hashes_values_of_a_key(spark):
+    from topiclake.operators import bronze as B
+
+    rows = [("t", 0, 5, f"v{i}") for i in range(50)] + [("t", 0, 4, "a"), ("t", 0, 6, "z")]
+    df = _frame(spark, rows)
+    got = assign_offsets(df, order=B.multiplex_order(), slices=4, max_groups=1)
+    by_key = {r.key: r.offset for r in got.where("key <> 5").collect()}
+    assert by_key == {4: 0, 6: 51}
+    same = sorted(r.offset for r in got.where("key = 5").collect())
+    assert same == list(range(1, 51))
+    win = assign_offsets(df, order=B.multiplex_order(), method="window")
+    assert _collect(got) == _collect(win)

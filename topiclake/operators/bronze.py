@@ -5,7 +5,11 @@
 * per-topic tables — key, value, partition, offset, timestamp,
   timestampType, topic, bronze_ingestion_timestamp.
 
-Offsets count per (topic, partition), from 0, ordered by (key, value).
+Offsets count per (topic, partition), from 0, ordered by key; records with
+the same key are ordered by a 64-bit hash of their value, then by source
+position (only copies of one record, or a hash collision, get that far).
+Every sort key is fixed-width, so the range sampling that Spark collects on
+the driver holds no message text.
 """
 
 from __future__ import annotations
@@ -85,7 +89,8 @@ def multiplex(
         r = bronze_rows(t, keep_raw, time_from, partitions)
         rows = r if rows is None else rows.unionByName(r)
     max_groups = len(parsed_topics) * partitions
-    rows = assign_offsets(rows, method=method, slices=slices, max_groups=max_groups, base=base, persisted=persisted)
+    rows = assign_offsets(rows, order=multiplex_order(), method=method, slices=slices, max_groups=max_groups,
+                          base=base, persisted=persisted)
     return finish(rows)
 
 
@@ -98,13 +103,19 @@ def kafka_records(parsed: DataFrame, message_key: str, keep_raw: bool = True, pa
     send time (CreateTime, timestampType 0).
     """
     rows = kafka_rows(parsed, message_key, keep_raw, partitions)
-    rows = assign_offsets(rows, groups=("topic", "partition"), order=KAFKA_ORDER,
+    rows = assign_offsets(rows, groups=("topic", "partition"), order=kafka_order(),
                           method=method, slices=slices, max_groups=partitions, persisted=persisted)
     return rows.drop("_seq")
 
 
-# Offsets of Kafka-shaped records follow the producer's sequence, then key and value.
-KAFKA_ORDER = ("_seq", "key", "value")
+def multiplex_order() -> tuple:
+    """Order of records within a topic partition of the multiplex table."""
+    return ("key", F.xxhash64("value"))
+
+
+def kafka_order() -> tuple:
+    """Kafka-shaped records follow the producer's sequence, then a hash of key and value."""
+    return ("_seq", F.xxhash64("key", "value"))
 
 
 def kafka_rows(parsed: DataFrame, message_key: str, keep_raw: bool = True,

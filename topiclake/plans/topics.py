@@ -26,7 +26,7 @@ from topiclake.sources.fixtures import MESSAGE_KEY
 
 KINDS = ("orders", "events", "gps")
 # Bumped when the stored layout changes, so older stored tables are not reused.
-LAYOUT_VERSION = "v1"
+LAYOUT_VERSION = "v2"
 
 
 def prepared(spark: SparkSession) -> SparkSession:

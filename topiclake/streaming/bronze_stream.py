@@ -16,9 +16,9 @@ anyway.  So each micro-batch goes through ``foreachBatch``:
    (its rows come again, as with an append-only table), it never overwrites
    another run's batches.
 
-Offsets of copies of one record (same topic, partition, key, value) are
-ordered by their source position; any order of such copies gives the same
-rows.
+Offsets follow the bronze order (key, hash of value, source position);
+copies of one record are ordered by source position — any order of such
+copies gives the same rows.
 """
 
 from __future__ import annotations
@@ -82,7 +82,7 @@ class BronzeBatchWriter:
         groups = self.topics * self.partitions
         held: list = []
         base = self.base(spark, batch_id)
-        order = ("key", "value") if self.layout == "multiplex" else B.KAFKA_ORDER
+        order = B.multiplex_order() if self.layout == "multiplex" else B.kafka_order()
         rows = assign_offsets(batch, order=order, method=self.method, slices=self.slices, max_groups=groups,
                               base=base, persisted=held)
         table = B.finish(rows) if self.layout == "multiplex" else B.per_topic(rows)
