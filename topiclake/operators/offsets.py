@@ -56,17 +56,19 @@ SLICE_BYTES = 256 * 1024 * 1024
 
 
 def default_slices(df: DataFrame) -> int:
-    """Slices for the range plan: ``spark.sql.shuffle.partitions``, raised so that
-    a slice holds about ``SLICE_BYTES`` of the plan's estimated input, and capped
-    so that the count table stays under the broadcast bound."""
+    """Slices for the range plan, sized by data: about ``SLICE_BYTES`` of the
+    plan's estimated input per slice, at least twice the default parallelism (every
+    core works), capped so that the count table stays under the broadcast bound.
+    Without an estimate: ``spark.sql.shuffle.partitions``."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        n = max(n, -(-size // SLICE_BYTES))
+        floor = 2 * spark.sparkContext.defaultParallelism  # 2 tasks per core
+        n = max(floor, -(-size // SLICE_BYTES))
     except Exception:  # no JVM handle (Spark Connect) or no estimate
         pass
-    return int(min(n, BROADCAST_ROWS // 2))
+    return int(max(1, min(n, BROADCAST_ROWS // 2)))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
