@@ -14,8 +14,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
-    con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
+    con = duckdb.connect()  # no time zone set, as the driver's connection
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
