@@ -39,3 +39,14 @@ def test_per_topic_schema_and_offset_ranges(spark, sf):
     part = B.read_offset_range(t, "kafka-orders", start, end)
     assert part.count() == 30
     assert part.agg(F.min("offset"), F.max("offset")).first() == (10, 19)
+
+
+def test_silver_drops_rows_without_payload(spark, sf):
+    from topiclake.operators import silver as S
+
+    b = P.bronze(spark, sf)
+    holed = b.withColumn("value", F.when(F.col("key") % 97 == 0, F.lit(None)).otherwise(F.col("value")))
+    expect = b.where("topic = 'kafka-orders'").count() - b.where("topic = 'kafka-orders' AND key % 97 = 0").count()
+    out = S.orders(holed)
+    assert out.count() == expect
+    assert out.where("amount IS NULL").count() == 0
