@@ -221,7 +221,7 @@ def topic_file_inventory(spark, sf):
 
 @query("stream_named_orders")
 def stream_named_orders(spark, sf):
-    """Named append query of parsed orders (Kafka-style: key, data.*, kafka_timestamp)."""
+    """Named append query with its own checkpoint: parsed orders as ``key, data.*`` into a file sink."""
     df = P.parsed_topic(spark, sf, "orders", mode="stream")
     out = df.select(F.col("data.order_key").alias("key"), "data.*")
     return _stream_to_path(out, "query_ordem")
