@@ -10,6 +10,7 @@ registered queries too (``bronze_batch``, ``assign_offsets``, the streams).
 
 from __future__ import annotations
 
+import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,8 +123,10 @@ def bucketed_silver(spark: SparkSession, sf_dir: str, kind: str, key: str, bucke
     """
     prepared(spark)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    name = f"{kind}_by_{key}_{n}"
-    path = session.shared_path(spark, "tables", T._fingerprint(sf_dir) + "-" + LAYOUT_VERSION, f"silver_{name}")
+    base = f"{kind}_by_{key}_{n}"
+    path = session.shared_path(spark, "tables", T._fingerprint(sf_dir) + "-" + LAYOUT_VERSION, f"silver_{base}")
+    # The name carries its location, so a persistent catalog never points a name at another folder.
+    name = f"{base}_{hashlib.sha1(path.encode()).hexdigest()[:10]}"
     table = f"`{SILVER_DATABASE}`.`{name}`"
     with _BUILD_LOCK:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{SILVER_DATABASE}`")
