@@ -78,3 +78,19 @@ def test_bucketed_silver_join_has_no_exchange(spark, sf):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in text
     assert "Exchange" not in text
+
+
+def test_hot_order_joined_apart_same_rows(spark, sf):
+    from pyspark.sql import functions as F
+
+    from topiclake.operators import extensions as E
+
+    orders = spark.createDataFrame([(f"ord-{i}", float(i), "pending") for i in range(50)],
+                                   "order_key STRING, amount DOUBLE, status STRING")
+    pts = [("ord-7", -23.5, -46.6, 10)] * 500 + [(f"ord-{i % 50}", -23.6, -46.7, 20) for i in range(200)]
+    gps = spark.createDataFrame(pts, "order_id STRING, lat DOUBLE, lon DOUBLE, speed_kph INT")
+    a = E.order_gps_skew_safe(orders, gps, hot_rows=100)
+    b = E.order_gps(orders, gps)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert "BroadcastHashJoin" in formatted(a)
+    assert a.where(F.col("order_key") == "ord-7").count() == 504

@@ -733,10 +733,11 @@ def ext_watermark_counts(spark, sf):
 
 @query("ext_order_gps_join")
 def ext_order_gps_join(spark, sf):
-    """Orders with their GPS point, from silver tables bucketed on the order key: no shuffle for the join."""
+    """Orders with their GPS points, from silver tables bucketed on the order key: no shuffle for the
+    join, and hot orders (if any) joined apart by broadcast."""
     orders = P.bucketed_silver(spark, sf, "orders", "order_key")
     gps = P.bucketed_silver(spark, sf, "gps", "order_id")
-    return E.order_gps(orders, gps)
+    return E.order_gps_skew_safe(orders, gps)
 
 
 @query("ext_payment_events_join")
