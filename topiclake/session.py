@@ -24,6 +24,8 @@ SESSION_SETTINGS = {
     # RocksDB keeps that state off the JVM heap and on local disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Checkpoint only the changes of each micro-batch, not a snapshot of all state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
