@@ -14,6 +14,7 @@ the driver holds no message text.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -171,17 +172,21 @@ def register(spark: SparkSession, database: str, table: str, path: str) -> str:
 
     Partitions of the folder layout are discovered with ``MSCK REPAIR TABLE``.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     full = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
-    try:
-        spark.sql(f"MSCK REPAIR TABLE {full}")
-    except Exception:  # unpartitioned table
-        pass
+    with _CATALOG_LOCK:  # drop + create is not atomic: one registration at a time
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+        try:
+            spark.sql(f"MSCK REPAIR TABLE {full}")
+        except Exception:  # unpartitioned table
+            pass
     return f"{database}.{table}"
 
 
+_CATALOG_LOCK = threading.RLock()
+
+
 def read_offset_range(bronze: DataFrame, topic: str, starting: dict | str = "earliest",
                       ending: dict | str = "latest") -> DataFrame:
     """Rows of ``topic`` between starting and ending offsets, per partition.

@@ -487,8 +487,9 @@ def avg_amount_by_status(spark, sf):
 
 @query("gold_status_summary")
 def gold_status_summary(spark, sf):
-    P.bronze(spark, sf).createOrReplaceTempView("tl_bronze_multiplex")
-    return spark.sql(G.status_summary_sql("tl_bronze_multiplex"))
+    view = f"tl_bronze_{T._fingerprint(sf)}"  # one view per data set
+    P.bronze(spark, sf).createOrReplaceTempView(view)
+    return spark.sql(G.status_summary_sql(view))
 
 
 @query("orders_count_by_partition")
