@@ -174,7 +174,7 @@ def test_watermark_drops_late_rows_of_closed_windows(spark):
 
 
 def test_stream_to_managed_table(spark, sf):
-    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    session.ensure_database(spark, "bronze")
     src = P.parsed_topic(spark, sf, "gps", mode="stream").select("data._sequence_id", "data.order_id")
     q = C.start(src, "gps_to_table", C.checkpoint_for(spark, "tbl"), sink="table", path="bronze.gps_stream_test",
                 trigger="availableNow")

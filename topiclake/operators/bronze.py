@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topiclake import session
 from topiclake.functions.keys import key_partition, key_time
 from topiclake.functions.payload import parse_event_time
 from topiclake.operators.offsets import assign_offsets
@@ -174,7 +175,7 @@ def register(spark: SparkSession, database: str, table: str, path: str) -> str:
     """
     full = f"`{database}`.`{table}`"
     with _CATALOG_LOCK:  # drop + create is not atomic: one registration at a time
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        session.ensure_database(spark, database)
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
         try:

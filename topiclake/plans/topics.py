@@ -129,7 +129,7 @@ def bucketed_silver(spark: SparkSession, sf_dir: str, kind: str, key: str, bucke
     name = f"{base}_{hashlib.sha1(path.encode()).hexdigest()[:10]}"
     table = f"`{SILVER_DATABASE}`.`{name}`"
     with _BUILD_LOCK:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{SILVER_DATABASE}`")
+        session.ensure_database(spark, SILVER_DATABASE)
         if not session.path_exists(spark, f"{path}/_SUCCESS"):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
             (silver(spark, sf_dir, kind).write.mode("overwrite").bucketBy(n, key).sortBy(key)

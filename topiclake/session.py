@@ -91,3 +91,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def local_dir_if_file(path: str) -> str | None:
     p = _local(path)
     return p if os.path.isabs(p) else None
+
+
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` with its folder in the shared root (not the driver's working dir)."""
+    location = shared_path(spark, "warehouse", f"{name}.db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
