@@ -225,3 +225,11 @@ def test_streamed_values_equal_batch_values(spark, sf):
     streamed = BS.read_bronze(spark, path).select("key", "topic", "value", "partition", "offset")
     batch = P.build_bronze(spark, sf).select("key", "topic", "value", "partition", "offset")
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_kafka_client_timeouts_pass_through():
+    spec = T.TopicSpec(topics=["gps"], starting_offsets="earliest", client=T.REBALANCE_TIMEOUTS)
+    opts = T.kafka_options(spec)
+    assert opts["kafka.session.timeout.ms"] == "30000"
+    assert opts["kafka.request.timeout.ms"] == "40000"
+    assert opts["kafka.heartbeat.interval.ms"] == "3000"

@@ -22,8 +22,9 @@ from topiclake import session
 from topiclake.functions.envelope import CORRUPT, RESCUED, parse, rescue
 from topiclake.schemas import FOLDER_TOPICS, envelope
 
-# Default Kafka client settings passed through as ``kafka.*``.
-DEFAULT_KAFKA_CLIENT = {
+# Kafka client timeouts that stop a consumer group from rebalancing
+# in a loop over a slow link; pass as ``TopicSpec(client=REBALANCE_TIMEOUTS)``.
+REBALANCE_TIMEOUTS = {
     "kafka.session.timeout.ms": "30000",
     "kafka.request.timeout.ms": "40000",
     "kafka.heartbeat.interval.ms": "3000",
