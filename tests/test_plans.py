@@ -94,3 +94,9 @@ def test_hot_order_joined_apart_same_rows(spark, sf):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert "BroadcastHashJoin" in formatted(a)
     assert a.where(F.col("order_key") == "ord-7").count() == 504
+
+
+def test_silver_parse_schema_pruned_to_fields_read(spark, sf):
+    text = formatted(Q["orders_by_method"](spark, sf))
+    assert "from_json(StructField(method,StringType,true), value" in text
+    assert "StructField(amount" not in text

@@ -21,11 +21,14 @@ def _c(c: Column | str) -> Column:
 
 
 def parse(value: Column | str, schema: StructType | str, corrupt: bool = False) -> Column:
-    """``from_json`` with a StructType or a DDL string."""
-    options = {"mode": "PERMISSIVE"}
+    """``from_json`` (PERMISSIVE, the default) with a StructType or a DDL string.
+
+    No options unless the corrupt-record column is asked for: Catalyst then
+    prunes the parse schema to the fields a query reads.
+    """
     if corrupt:
-        options["columnNameOfCorruptRecord"] = CORRUPT
-    return F.from_json(_c(value).cast("string"), schema, options)
+        return F.from_json(_c(value).cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return F.from_json(_c(value).cast("string"), schema)
 
 
 def serialise(struct: Column | str, keep_nulls: bool = False) -> Column:
