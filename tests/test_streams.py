@@ -233,3 +233,28 @@ def test_kafka_client_timeouts_pass_through():
     assert opts["kafka.session.timeout.ms"] == "30000"
     assert opts["kafka.request.timeout.ms"] == "40000"
     assert opts["kafka.heartbeat.interval.ms"] == "3000"
+
+
+def test_streaming_aggregate_update_mode(spark, sf):
+    from topiclake.operators import gold as G
+
+    from topiclake.sources.fixtures import topic_messages
+
+    folder = session.fresh_path(spark, "topics", "gps_5_files")
+    T.write_topic_folder(topic_messages(spark, sf, "gps").repartition(5), folder)
+    src = T.read_folder(spark, folder, envelope("gps"), "kafka-gps", mode="stream",
+                        max_files_per_trigger=1).select("data.*")
+    out = session.fresh_path(spark, "streams", "upd")
+
+    def keep_updates(batch, batch_id):
+        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    q = C.start(G.gps_avg_by(src, "speed_kph"), "gps_update", C.checkpoint_for(spark, "upd"),
+                sink="foreachBatch", foreach_batch=keep_updates, output_mode="update", trigger="availableNow")
+    C.run_to_end(q)
+    ups = spark.read.parquet(out)
+    assert ups.select("_batch_id").distinct().count() > 1  # several micro-batches, updated groups only
+    latest = ups.groupBy("speed_kph").agg(F.max_by(F.struct("points", "avg_lat", "avg_lon"), "_batch_id").alias("s"))
+    got = sorted((r.speed_kph, r.s.points, r.s.avg_lat, r.s.avg_lon) for r in latest.collect())
+    want = sorted(tuple(r) for r in G.gps_avg_by(P.silver(spark, sf, "gps"), "speed_kph").collect())
+    assert got == want
