@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam
+from . import decontam, linedup, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +17,21 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(_table(spark, sf_dir, "documents"))
+
+
+def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op9_simhash": op9_simhash,
+    "op10_line_spread": op10_line_spread,
 }
 
 #: DuckDB SQL where it can express the operator.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_line_spread": linedup.ORACLE,
+}
