@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topiclake.session import fresh_path, shared_root
 
@@ -74,11 +74,17 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def sampled(df: DataFrame, key: str, by: str, rows: int) -> DataFrame:
+def held(key: str, folds: int, fold: int) -> Column:
+    """Whether crc32 of the key as text leaves ``fold``; false for a null key."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def sampled(df: DataFrame, key: str, by: str, rows: int) -> tuple[DataFrame, dict]:
     """About ``rows`` rows of each class ``by`` at most: those whose hash of ``key`` is under the class's share.
 
     The classes are counted first; only that small table reaches the driver.
-    Which rows are taken depends on the rows of ``df`` alone.
+    Which rows are taken depends on the rows of ``df`` alone.  The class sizes
+    come second.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
     part = F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(1_000_000))
@@ -86,7 +92,7 @@ def sampled(df: DataFrame, key: str, by: str, rows: int) -> DataFrame:
     for value, n in sizes.items():
         share = min(1_000_000, -(-rows * 1_000_000 // n))
         keep = keep | ((F.col(by) == F.lit(value)) & (part < share))
-    return df.where(keep)
+    return df.where(keep), sizes
 
 
 def send(spark: SparkSession, value):

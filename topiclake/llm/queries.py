@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linedup, simhash
+from . import decontam, linedup, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +30,7 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_compression_quality": op2_compression_quality,
     "op3_decontamination": op3_decontamination,
     "op9_simhash": op9_simhash,
     "op10_line_spread": op10_line_spread,
