@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, linedup, quality, simhash
+from . import bpe, decontam, linedup, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,21 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer's file, where the package of their files is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op6_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +47,8 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_compression_quality": op2_compression_quality,
     "op3_decontamination": op3_decontamination,
+    "op5_forced_boundary_bpe": op5_forced_boundary_bpe,
+    "op6_factorization_toxicity": op6_factorization_toxicity,
     "op9_simhash": op9_simhash,
     "op10_line_spread": op10_line_spread,
 }
