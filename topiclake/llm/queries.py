@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, linedup, quality, simhash, toxicity
+from . import bpe, decontam, langid, linedup, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixture_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(_table(spark, sf_dir, "documents"))
+
+
 def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -45,6 +49,7 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixture_langid": op1_mixture_langid,
     "op2_compression_quality": op2_compression_quality,
     "op3_decontamination": op3_decontamination,
     "op5_forced_boundary_bpe": op5_forced_boundary_bpe,
