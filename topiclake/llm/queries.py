@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, linedup, quality, simhash, toxicity
+from . import bpe, decontam, langid, linedup, quality, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op6_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(_table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_forced_boundary_bpe": op5_forced_boundary_bpe,
     "op6_factorization_toxicity": op6_factorization_toxicity,
+    "op7_warc_index": op7_warc_index,
     "op9_simhash": op9_simhash,
     "op10_line_spread": op10_line_spread,
 }
