@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, linedup, quality, simhash, toxicity, warc
+from . import bpe, decontam, langid, linedup, quality, search, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(_table(spark, sf_dir, "pages"))
 
 
+def op8_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.digest(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(_table(spark, sf_dir, "documents"))
 
@@ -59,11 +63,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_forced_boundary_bpe": op5_forced_boundary_bpe,
     "op6_factorization_toxicity": op6_factorization_toxicity,
     "op7_warc_index": op7_warc_index,
+    "op8_bm25_search": op8_bm25_search,
     "op9_simhash": op9_simhash,
     "op10_line_spread": op10_line_spread,
 }
 
 #: DuckDB SQL where it can express the operator.
 ORACLE: dict[str, str] = {
+    "op8_bm25_search": search.ORACLE,
     "op10_line_spread": linedup.ORACLE,
 }
