@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, langid, linedup, quality, search, simhash, toxicity, warc
+from . import bpe, chat, decontam, langid, linedup, quality, search, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(_table(spark, sf_dir, "conversations"))
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Path of a public tokenizer's file, where the package of their files is installed."""
     import public_tokenizers
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_langid": op1_mixture_langid,
     "op2_compression_quality": op2_compression_quality,
     "op3_decontamination": op3_decontamination,
+    "op4_tool_calls": op4_tool_calls,
     "op5_forced_boundary_bpe": op5_forced_boundary_bpe,
     "op6_factorization_toxicity": op6_factorization_toxicity,
     "op7_warc_index": op7_warc_index,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL where it can express the operator.
 ORACLE: dict[str, str] = {
+    "op4_tool_calls": chat.ORACLE,
     "op8_bm25_search": search.ORACLE,
     "op10_line_spread": linedup.ORACLE,
 }
