@@ -1,11 +1,35 @@
-"""Corpus pipeline: quality, line dedup, near-dedup, decontamination, tokens; each stage's decisions take effect."""
+"""Corpus pipeline: quality, line dedup, near-dedup, benchmark decontamination, tokens.
+
+Each stage works on all rows its predecessor kept, and its decisions take
+effect.  All stages but the last return the columns of ``documents``; the last
+replaces the text by its token ids and their number.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from topiclake.llm import bpe, decontam, linedup, quality, simhash
+from topiclake.llm.common import fresh, held, shared
+from topiclake.llm.queries import vocabulary
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is 0.5 or more; labels of rows whose crc32 leaves 1 of 3 are not learned from."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held("doc_id", 3, 1))
+    out = quality.scored(docs, quality.fit(docs, labels))
+    return out.where(F.col(out.columns[-1]) >= 0.5).select(*docs.columns)
+
 
-from topiclake.llm import decontam
-from topiclake.llm.common import shared
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without cross-site boilerplate; n_chars follows the text."""
+    out = linedup.without_boilerplate(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +38,21 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return out.where(~decontam.contaminated(out.columns[-1])).select(*docs.columns)
 
 
-STAGES = [("benchmark decontamination", decontamination)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in place of the text."""
+    out = bpe.encoded(docs, vocabulary())
+    return out.withColumn(fresh(out, "n_tokens"), F.size(out.columns[-1]).cast("long"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("BPE encoding", tokens),
+]
 
+# SQL has no zstandard, SimHash or BPE: the stages are tested against brute force.
 ORACLE_SQL = None
 
 
@@ -25,7 +62,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            path = shared(spark, "stage-" + name.replace(" ", "-"))
+            path = shared(spark, "stage-" + name.lower().replace(" ", "-"))
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs

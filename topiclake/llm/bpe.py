@@ -25,6 +25,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -167,19 +168,24 @@ def load(path: str) -> str:
         return f.read()
 
 
-def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", name: str = "ids") -> DataFrame:
-    """``docs`` and the ids of each text as a last column; ``vocabulary`` is a path on the driver."""
-    name = fresh(docs, name)
-    sent, place = send(docs.sparkSession, load(vocabulary)), docs.columns.index(text_col)
+def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", name: str = "ids", batch_ids: int = 1 << 20) -> DataFrame:
+    """``docs`` without the text, and the ids of each text as a last column; ``vocabulary`` is a path on the driver."""
+    docs = docs.select(*(c for c in docs.columns if c != text_col), F.col(text_col).cast("string"))
+    name, sent, place = fresh(docs, name), send(docs.sparkSession, load(vocabulary)), len(docs.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(received(sent))
         for b in batches:
+            lo, ids = 0, []
+            size = 0
             for i in range(b.num_rows):
-                ids = bpe.encode(b.column(place)[i].as_py() or "")
-                yield pa.RecordBatch.from_arrays([*b.slice(i, 1).columns, pa.array([ids], pa.list_(pa.int32()))], [*b.schema.names, name])
+                ids.append(np.array(bpe.encode(b.column(place)[i].as_py() or ""), np.int32))
+                size += len(ids[-1])
+                if size >= batch_ids or i + 1 == b.num_rows:
+                    yield pa.RecordBatch.from_arrays([*b.slice(lo, i + 1 - lo).columns[:place], pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names[:place], name])
+                    lo, ids, size = i + 1, [], 0
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:place], T.StructField(name, T.ArrayType(T.IntegerType()))]))
 
 
 def with_digest(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
