@@ -38,6 +38,8 @@ _CUT = re.compile(r"[ \n]")
 # What the tokenizer file's normaliser takes for white space, where Python's split() takes \x1c-\x1f too.
 _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _MORE = re.compile(r"[\x1c-\x1f]")
+# Characters outside these ranges may be younger than this Python's Unicode tables: texts with them are split by the tokenizer library's own rules.
+_YOUNG = re.compile(r"[^\x00-\u052f\u1e00-\u208e\u20a0-\u2bff\u3000-\u9fff\uac00-\ud7a3\U0001f300-\U0001faff]")
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+"
 
 
@@ -63,6 +65,7 @@ class Bpe:
         self.letters = byte_letters()
         self.piece = regex.compile(_PIECE)
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.spec, self.library = spec, None
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.fragments: dict[tuple[str, ...], tuple[int, ...]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
@@ -115,15 +118,14 @@ class Bpe:
         if got is None:
             if len(self.pieces) >= CACHE:
                 self.pieces.clear()
-            symbols = [self.letters[b] for b in piece.encode()]
-            symbols[-1] += self.end
+            symbols = [*piece[:-1], piece[-1] + self.end]
             parts = list(self.cut(symbols))
             got = self.merged(parts[0]) if len(parts) == 1 else tuple(i for x in parts for i in self._fragment(x))
             self.pieces[piece] = got
         return got
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        pieces = self.piece.findall(chunk)
+        pieces = ["".join([self.letters[b] for b in p.encode()]) for p in self.piece.findall(chunk)]
         got = self._piece(pieces[0]) if len(pieces) == 1 else tuple(i for p in pieces for i in self._piece(p))
         if len(chunk) < 64:
             if len(self.chunks) >= CACHE:
@@ -131,7 +133,17 @@ class Bpe:
             self.chunks[chunk] = got
         return got
 
+    def _young(self, text: str) -> list[int]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.spec)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [i for p, _ in pieces for i in self._piece(p)]
+
     def _plain(self, text: str) -> list[int]:
+        if _YOUNG.search(text):
+            return self._young(text)
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:  # the last letter of a word is no exception
             text = text.replace("Σ", "σ")
