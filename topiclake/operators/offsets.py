@@ -1,28 +1,22 @@
 """Sequential offsets: 0, 1, 2, … per group, in a total order.
 
-Two plans give the same numbers:
-
-* ``window``: ``row_number() OVER (PARTITION BY groups ORDER BY order) - 1``.
-  One task per group — fine for a micro-batch, but a group (one topic
-  partition) can hold a third of all rows, so a backfill would run in a
-  handful of tasks.
-* ``range`` (default): range-partition the rows on (groups, order, tie) into
-  ``n`` slices and sort within each slice; a row's position in its slice is
-  ``monotonically_increasing_id()``.  A small table of (slice, group) counts,
-  prefix-summed over slices, gives each slice's first offset of each group.
-  Work spreads over all ``n`` slices even when one group holds most rows;
-  the hot group is split by its order columns, and copies of one record by
-  the tie (their source position), so no slice holds an unbounded group.
-
-Each slice covers a contiguous run of the sort order, so the count table has
-at most ``n + groups - 1`` rows; it is broadcast only when that bound is known
-and small.  With many groups, rows are numbered within (slice, group) by a
-window and only groups continuing from an earlier slice (at most one per
-slice) take a base from a broadcast table bounded by ``n``.
-
-The range bounds are sampled, with a seed tied to the RDD id, so the counts
-and the rows must come from one evaluation of the exchange: the positioned
-slices are persisted (DISK_ONLY) and both read them.
+``row_number() OVER (PARTITION BY groups ORDER BY order) - 1`` alone runs one task per
+group, and a group (one topic partition) can hold a third of all rows.  So a
+group with more rows than a leaf may have is cut into buckets by a pure function
+of its order columns, and a bucket that is still too large is cut again:
+
+1. a pass over the narrow order columns counts rows, and the least and largest
+   value of each order column, per bucket;
+2. a bucket over the leaf size gets equal ranges of the first order column that
+   varies in it; copies of one record (no column varies) are cut by their source
+   position, which any order of copies allows;
+3. when no bucket is too large, the rows are numbered within their bucket by a
+   window, and a prefix sum over the buckets' counts gives each bucket's first offset.
+
+Nothing is sampled and nothing is kept: every pass evaluates the same function, and the rows
+themselves are shuffled once, on (groups, buckets).  The leaf size grows with
+the input, so that at most ``MAX_CUTS`` buckets are cut per pass: only that many
+(counts and bounds) reach the driver and are broadcast.
 """
 
 from __future__ import annotations
@@ -30,52 +24,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest count table (rows) that is broadcast: ~40 bytes a row.
-BROADCAST_ROWS = 1_000_000
-# Bits of monotonically_increasing_id() that hold the row index in a partition.
-_ROW_BITS = 33
-
-# Frames persisted by the range plan; :func:`release` frees them once the
-# result has been written.
-_PERSISTED: list[DataFrame] = []
+# Bound on the buckets that are cut in one pass, and so on what is broadcast (about 60 bytes each).
+MAX_CUTS = 50_000
+# Leaf size: about a third of a core's share of the rows, within these bounds unless MAX_CUTS asks for more.
+LEAF_ROWS = (20_000, 2_000_000)
 
 TIE = "_tl_tie"
-_POS = "_tl_pos"
-_SLICE = "_tl_slice"
-_FIRST = "_tl_first"
-_BASE = "_tl_base"
-_N = "_tl_n"
-
-
-# Target input bytes per slice when the plan's size estimate is known.
-SLICE_BYTES = 256 * 1024 * 1024
-
-
-def default_slices(df: DataFrame) -> int:
-    """Slices for the range plan, sized by data: about ``SLICE_BYTES`` of the
-    plan's estimated input per slice, at least twice the default parallelism (every
-    core works), capped so that the count table stays under the broadcast bound.
-    Without an estimate: ``spark.sql.shuffle.partitions``."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        floor = 2 * spark.sparkContext.defaultParallelism  # 2 tasks per core
-        n = max(floor, -(-size // SLICE_BYTES))
-    except Exception:  # no JVM handle (Spark Connect) or no estimate
-        pass
-    return int(max(1, min(n, BROADCAST_ROWS // 2)))
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
-    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols])
-    joined = left.join(r, cond, "inner")
-    return joined.drop(*[f"_r_{c}" for c in cols])
+_RANK = "_tl_rank"
+_CUT = "_tl_cut"
+_LEAST = -(1 << 63)
+
+
+def leaf_size(df: DataFrame, total: int) -> int:
+    """Rows one task numbers at most, from the row count."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(min(max(total // (3 * cores), LEAF_ROWS[0]), LEAF_ROWS[1]), total // MAX_CUTS)
 
 
 def with_tie(df: DataFrame) -> DataFrame:
@@ -83,101 +50,100 @@ def with_tie(df: DataFrame) -> DataFrame:
     return df if TIE in df.columns else df.withColumn(TIE, F.monotonically_increasing_id())
 
 
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Join on ``cols``, null equal to null; the columns of ``left`` and what ``right`` adds."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols])
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
+def _ranks(df: DataFrame, order: Sequence[str | Column]) -> tuple[list[Column], bool]:
+    """BIGINTs that sort as the order columns do, and whether equal ranks mean equal values."""
+    ranks: list[Column] = []
+    for c in order:
+        c = F.col(c) if isinstance(c, str) else c
+        kind = df.select(c.alias("c")).schema["c"].dataType
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            ranks.append(c.cast("long"))
+        elif isinstance(kind, T.TimestampType):
+            ranks.append(F.unix_micros(c))
+        elif isinstance(kind, T.StringType):  # 21 bytes, seven at a time
+            raw = F.hex(F.encode(c, "UTF-8"))
+            ranks += [F.conv(F.rpad(F.substring(raw, 14 * i + 1, 14), 14, "0"), 16, 10).cast("long") for i in range(3)]
+            return [F.coalesce(r, F.lit(_LEAST)) for r in ranks], False
+        else:
+            return [F.coalesce(r, F.lit(_LEAST)) for r in ranks], False
+    return [F.coalesce(r, F.lit(_LEAST)) for r in ranks], True
+
+
 def assign_offsets(
     df: DataFrame,
     groups: Sequence[str] = ("topic", "partition"),
     order: Sequence[str | Column] = ("key", "value"),
     column: str = "offset",
-    method: str = "range",
-    slices: int | None = None,
-    max_groups: int | None = None,
+    method: str = "split",
+    leaf_rows: int | None = None,
     base: DataFrame | None = None,
-    persisted: list | None = None,
 ) -> DataFrame:
-    """Add ``column`` = 0-based position of the row in its group, in ``order``.
+    """Add ``column`` = 0-based position of the row in its group, in ``order`` (nulls first).
 
     ``base`` (groups…, ``base``) shifts each group, e.g. by the offsets earlier
-    micro-batches used; it has one row per group, ``max_groups`` at most.
-    The range plan persists one intermediate frame; it is appended to
-    ``persisted`` (or to a module list) so the caller can free it with
-    :func:`release` once the result is written.
+    micro-batches used.  ``method="window"`` is the plain window, one task per group.
     """
     groups = list(groups)
     if method == "window":
         w = Window.partitionBy(*groups).orderBy(*order)
         out = df.withColumn(column, (F.row_number().over(w) - 1).cast("long"))
-    elif method == "range":
-        out = _range_offsets(df, groups, list(order), column, slices or default_slices(df), max_groups,
-                             _PERSISTED if persisted is None else persisted)
+    elif method == "split":
+        out = _split_offsets(df, groups, list(order), column, leaf_rows)
     else:
         raise ValueError(f"unknown method {method!r}")
     if base is not None:
-        b = base.select(*groups, F.col("base").cast("long").alias(_BASE))
-        b = F.broadcast(b) if max_groups is not None and max_groups <= BROADCAST_ROWS else b
-        out = _left_null_safe(out, b, groups)
-        out = out.withColumn(column, F.col(column) + F.coalesce(F.col(_BASE), F.lit(0).cast("long"))).drop(_BASE)
+        out = _same(out, base.select(*groups, F.col("base").cast("long").alias("_tl_base")), groups, "left")
+        out = out.withColumn(column, F.col(column) + F.coalesce(F.col("_tl_base"), F.lit(0).cast("long"))).drop("_tl_base")
     return out
 
 
-def _left_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
-    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(r[f"_r_{c}"]) for c in cols])
-    return left.join(r, cond, "left").drop(*[f"_r_{c}" for c in cols])
-
-
-def _range_offsets(
-    df: DataFrame, groups: list[str], order: list, column: str, slices: int, max_groups: int | None,
-    persisted: list,
-) -> DataFrame:
-    had_tie = TIE in df.columns
+def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, leaf_rows: int | None) -> DataFrame:
     keyed = with_tie(df)
-    sort_cols = [*groups, *order, TIE]
-    ranged = keyed.repartitionByRange(slices, *sort_cols).sortWithinPartitions(*sort_cols)
-    ranged = ranged.withColumn(_POS, F.monotonically_increasing_id())
-    ranged = ranged.withColumn(_SLICE, F.shiftright(F.col(_POS), _ROW_BITS))
-    # The range bounds come from a sample whose seed depends on the RDD id, so
-    # two evaluations of the exchange may cut the slices differently.  The
-    # counts and the rows must see the same slices: both read one persisted
-    # evaluation.  A lost block is recomputed from the same shuffle (same
-    # bounds, same total order), so positions stay the same.
-    ranged = ranged.persist(StorageLevel.DISK_ONLY)
-    persisted.append(ranged)
-    counts = ranged.groupBy(_SLICE, *groups).agg(F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias(_N))
-    before = Window.partitionBy(*groups).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(
-        _SLICE, *groups, _FIRST, F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("long").alias(_BASE)
-    )
-    if max_groups is not None and slices + max_groups <= BROADCAST_ROWS:
-        # Few groups: the whole count table (≤ slices + groups rows) is broadcast;
-        # the rows are numbered where they sit, no further shuffle.
-        out = _null_safe_join(ranged, F.broadcast(counts), [_SLICE, *groups])
-        out = out.withColumn(column, (F.col(_BASE) + F.col(_POS) - F.col(_FIRST)).cast("long"))
-    else:
-        # Many groups: number rows within (slice, group) — each piece is at most
-        # one slice, so a hot group is spread over several tasks — and add the
-        # rows of the same group in earlier slices.  Only a group that continues
-        # from an earlier slice has a base > 0: at most one per slice, so that
-        # table is bounded by ``slices`` and broadcast.
-        within = Window.partitionBy(_SLICE, *groups).orderBy(*order, TIE)
-        out = ranged.withColumn(_N, F.row_number().over(within) - 1)
-        carried = counts.where(F.col(_BASE) > 0).select(_SLICE, *groups, _BASE)
-        carried = F.broadcast(carried) if slices <= BROADCAST_ROWS else carried
-        out = _left_null_safe(out, carried, [_SLICE, *groups])
-        out = out.withColumn(column, (F.coalesce(F.col(_BASE), F.lit(0)) + F.col(_N)).cast("long")).drop(_N)
-    drop = [_POS, _SLICE, _FIRST, _BASE] + ([] if had_tie else [TIE])
-    return out.drop(*[c for c in drop if c in out.columns])
-
-
-def release(persisted: list | None = None) -> int:
-    """Unpersist what the range plan persisted (call after the result is written)."""
-    frames = _PERSISTED if persisted is None else persisted
-    n = 0
-    while frames:
-        frames.pop().unpersist()
-        n += 1
-    return n
-
-
-def next_offsets(df: DataFrame, groups: Sequence[str] = ("topic", "partition"), column: str = "offset") -> DataFrame:
-    """(groups…, ``base``) = one past the largest offset of each group."""
-    return df.groupBy(*groups).agg((F.max(column) + 1).alias("base"))
+    ranks, exact = _ranks(keyed, order)
+    if exact:
+        ranks.append(F.col(TIE))
+    rows = keyed.withColumn(_RANK, F.array(*ranks))
+    rows, cuts = _cut(rows, groups, len(ranks), leaf_rows)
+    keys = [*groups, *cuts]
+    within = Window.partitionBy(*keys).orderBy(*order, TIE)
+    rows = rows.withColumn("_tl_n", F.row_number().over(within) - 1)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_size")) if cuts else None
+    if cuts:
+        before = Window.partitionBy(*groups).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.select(*keys, F.coalesce(F.sum("_tl_size").over(before), F.lit(0)).alias("_tl_first"))
+        rows = _same(rows, counts, keys, "inner").withColumn("_tl_n", F.col("_tl_n") + F.col("_tl_first"))
+    return rows.select(*df.columns, F.col("_tl_n").cast("long").alias(column))
+
+
+def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None) -> tuple[DataFrame, list[str]]:
+    """``rows`` with the columns that name each row's bucket (none where no group is too large)."""
+    narrow = rows.select(*groups, _RANK)
+    total = narrow.count()
+    leaf = leaf_rows or leaf_size(rows, total)
+    spark, cuts = rows.sparkSession, []
+    while total > leaf:
+        keys = [*groups, *cuts]
+        at = [F.element_at(_RANK, i + 1) for i in range(n_ranks)]
+        stats = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.min(x) for x in at]).alias("lo"), F.array(*[F.max(x) for x in at]).alias("hi"))
+        varies = F.expr("filter(sequence(1, size(lo)), i -> element_at(lo, i) < element_at(hi, i))")
+        heavy = stats.where(F.col("n") > leaf).withColumn("by", F.try_element_at(varies, F.lit(1))).where("by is not null")
+        low, high = (F.element_at(c, F.col("by")).cast("decimal(20,0)") for c in ("lo", "hi"))
+        pieces = F.ceil(4 * F.col("n") / leaf)
+        heavy = heavy.select(*keys, F.col("by").alias("_tl_by"), low.alias("_tl_lo"), F.ceil((high - low + 1) / pieces).cast("decimal(20,0)").alias("_tl_w"))
+        found = heavy.collect()  # MAX_CUTS at most: each has more than total / MAX_CUTS rows
+        if not found:
+            break
+        heavy = F.broadcast(spark.createDataFrame(found, heavy.schema))
+        name = f"{_CUT}{len(cuts)}"
+        child = F.floor((F.element_at(_RANK, F.col("_tl_by")).cast("decimal(20,0)") - F.col("_tl_lo")) / F.col("_tl_w")).cast("long")
+        narrow = _same(narrow, heavy, keys, "inner").select(*keys, child.alias(name), _RANK)
+        rows = _same(rows, heavy, keys, "left").withColumn(name, F.coalesce(child, F.lit(0).cast("long"))).drop("_tl_by", "_tl_lo", "_tl_w")
+        cuts.append(name)
+    return rows, cuts

@@ -21,11 +21,11 @@ A session is [first event, last event + gap), as ``session_window`` gives.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiclake.operators.offsets import BROADCAST_ROWS, TIE, default_slices, with_tie
+from topiclake import session
+from topiclake.operators.offsets import MAX_CUTS, TIE, leaf_size, with_tie
 
 _POS, _SLICE = "_tl_pos", "_tl_slice"
 _ROW_BITS = 33
@@ -37,22 +37,23 @@ def session_spans(
     time: str,
     gap_seconds: int,
     slices: int | None = None,
-    persisted: list | None = None,
 ) -> DataFrame:
     """(``by``, ``session_start``, ``session_end``, ``n``) of every session, skew-proof."""
     gap = int(gap_seconds) * 1_000_000
     narrow = df.select(F.col(by).alias("_by"), F.unix_micros(F.col(time).cast("timestamp")).alias("_t"))
     narrow = narrow.where(F.col("_t").isNotNull())  # as session_window: no time, no session
-    n_slices = slices or default_slices(narrow)
+    if slices is None:
+        total = narrow.count()
+        slices = min(MAX_CUTS, -(-total // leaf_size(df, total))) or 1
     keyed = with_tie(narrow)
     order = ["_by", "_t", TIE]
-    ranged = (keyed.repartitionByRange(n_slices, *order).sortWithinPartitions(*order)
+    ranged = (keyed.repartitionByRange(slices, *order).sortWithinPartitions(*order)
               .withColumn(_POS, F.monotonically_increasing_id())
               .withColumn(_SLICE, F.shiftright(F.col(_POS), _ROW_BITS)))
-    # One evaluation of the sampled range bounds for every branch below.
-    ranged = ranged.persist(StorageLevel.DISK_ONLY)
-    if persisted is not None:
-        persisted.append(ranged)
+    # The range bounds are sampled, so every branch below has to read one evaluation: the
+    # narrow rows are cut in the shared checkpoint folder, which goes with the frame.
+    session.shared_root(df.sparkSession)
+    ranged = ranged.checkpoint()
 
     # First key and last (key, time) of every non-empty slice; previous slice's last row.
     ends = ranged.groupBy(_SLICE).agg(
@@ -64,7 +65,7 @@ def session_spans(
         _SLICE, "first_by", F.col("last._by").alias("last_by"),
         F.when(F.col("prev_last._by").eqNullSafe(F.col("first_by")), F.col("prev_last._t")).alias("carry_t"),
     )
-    ends = F.broadcast(ends) if n_slices <= BROADCAST_ROWS else ends
+    ends = F.broadcast(ends)  # a row per slice, MAX_CUTS at most
 
     within = Window.partitionBy(_SLICE, "_by").orderBy("_t", TIE)
     rows = ranged.withColumn("_prev", F.lag("_t").over(within)).join(ends, _SLICE)
@@ -79,7 +80,7 @@ def session_spans(
     earlier = Window.partitionBy("_by").orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.select(F.col(_SLICE).alias("_bs"), F.col("_by").alias("_bb"),
                    F.coalesce(F.sum("_f").over(earlier), F.lit(0)).alias("_base"))
-    bt = F.broadcast(bt) if 2 * n_slices <= BROADCAST_ROWS else bt
+    bt = F.broadcast(bt)  # two rows per slice at most
 
     cond = (F.col(_SLICE) == F.col("_bs")) & F.col("_by").eqNullSafe(F.col("_bb"))
     out = rows.join(bt, cond, "left").drop("_bs", "_bb")
