@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from topiclake import session
@@ -22,22 +22,123 @@ def _summary(df):
 
 
 def test_resume_after_stop_no_loss_no_duplicate(spark, sf):
-    got = _summary(R.QUERIES["stream_resume_no_duplicates"](spark, sf))
+    df = R.QUERIES["stream_resume_no_duplicates"](spark, sf)
+    assert df.where("not several_batches").count() == 0
+    got = _summary(df)
     for (_, _), (n, lo, hi, d) in got.items():
         assert lo == 0 and hi == n - 1 and d == n
-    assert sum(v[0] for v in got.values()) == 1500
+    assert sum(v[0] for v in got.values()) == 4000
 
 
 def test_replayed_batch_adds_nothing(spark, sf):
     got = _summary(R.QUERIES["stream_replay_idempotent"](spark, sf))
-    assert sum(v[0] for v in got.values()) == 1500
+    assert sum(v[0] for v in got.values()) == 4000
     for n, lo, hi, d in got.values():
         assert (lo, hi, d) == (0, n - 1, n)
 
 
 def test_fresh_checkpoint_doubles_rows(spark, sf):
-    r = R.QUERIES["stream_replay_duplicates"](spark, sf).first()
-    assert r.total_rows == 3000 and r.distinct_keys == 1500 and r.distinct_offsets == 3000
+    rows = {r.topic: r for r in R.QUERIES["stream_replay_duplicates"](spark, sf).collect()}
+    assert all(r.total_rows == 2 * r.distinct_keys == r.distinct_offsets for r in rows.values()) and len(rows) == 3
+
+
+def _orders(spark, lo, hi, topic="kafka-orders"):
+    return spark.range(lo, hi).selectExpr("id AS key", "CAST(id AS STRING) AS value", f"'{topic}' AS topic",
+                                          "CAST(id % 3 AS INT) AS partition", "timestamp_seconds(id) AS timestamp")
+
+
+@pytest.mark.parametrize("tag", ["1234567890123", "1234567e8901", "12345678901d", "012345678901", "1234567890"])
+def test_run_tags_and_topics_that_look_like_numbers(spark, tag):
+    path = session.fresh_path(spark, "tables", "numeric_tag")
+    rows = _orders(spark, 0, 60, "2024").unionByName(_orders(spark, 0, 30, "2024-01-01"))
+    for batch in (0, 1, 0):  # the last is a replay
+        BS.BronzeBatchWriter(path, run=tag)(rows, batch)
+    got = BS.read_bronze(spark, path)
+    assert got.count() == 180 and {r[0] for r in got.select("_run").distinct().collect()} == {tag}
+    assert {r[0] for r in got.select("topic").distinct().collect()} == {"2024", "2024-01-01"}
+    assert got.select("topic", "partition", "offset").distinct().count() == 180
+
+
+def test_run_tags_start_with_a_letter():
+    assert all(BS.run_of(f"cp{i}")[0] == "r" for i in range(50))
+
+
+def test_interleaved_runs_and_late_replays(spark):
+    path = session.fresh_path(spark, "tables", "interleave")
+    parts = [_orders(spark, 100 * i, 100 * i + 90) for i in range(4)]
+    for run, batch, i in (("rA", 0, 0), ("rB", 0, 1), ("rA", 1, 2)):
+        BS.BronzeBatchWriter(path, run=run)(parts[i], batch)
+    before = sorted(map(tuple, BS.read_bronze(spark, path).select("key", "partition", "offset").collect()))
+    BS.BronzeBatchWriter(path, run="rA")(parts[0], 0)  # replay of A after B
+    after = sorted(map(tuple, BS.read_bronze(spark, path).select("key", "partition", "offset").collect()))
+    assert before == after and len({(p, o) for _, p, o in after}) == 270
+    BS.BronzeBatchWriter(path, run="rB")(parts[3], 1)
+    for n, lo, hi, d in _summary(R._bronze_offsets_summary(BS.read_bronze(spark, path))).values():
+        assert (lo, hi, d) == (0, n - 1, n) and n == 120
+
+
+def test_second_active_writer_is_refused(spark):
+    path = session.fresh_path(spark, "tables", "two_writers")
+    BS.BronzeBatchWriter(path, run="rA")(_orders(spark, 0, 9), 0)
+    log = BS.CommitLog(spark, path)
+    session.write_text(spark, f"{log.root}/claims/1.json", '["rB", 0]', overwrite=False)  # B has claimed, not yet written
+    with pytest.raises(RuntimeError, match="another writer"):
+        BS.BronzeBatchWriter(path, run="rA")(_orders(spark, 9, 18), 1)
+    BS.BronzeBatchWriter(path, run="rB")(_orders(spark, 9, 18), 0)
+    BS.BronzeBatchWriter(path, run="rA")(_orders(spark, 18, 27), 1)
+    assert sorted(r.offset for r in BS.read_bronze(spark, path).where("partition = 0").collect()) == list(range(9))
+
+
+def test_compaction_keeps_rows_and_last_batches(spark):
+    path = session.fresh_path(spark, "tables", "compact")
+    for batch in range(5):
+        BS.BronzeBatchWriter(path, run="rA")(_orders(spark, 10 * batch, 10 * batch + 10), batch)
+    rows = lambda: sorted(map(tuple, BS.read_bronze(spark, path).select("key", "partition", "offset", "topic").collect()))
+    before = rows()
+    assert BS.compact(spark, path) == 4 and rows() == before
+    BS.BronzeBatchWriter(path, run="rA")(_orders(spark, 40, 50), 4)  # the last batch may still be replayed
+    assert rows() == before and BS.compact(spark, path) == 0
+    assert {r._run for r in BS.read_bronze(spark, path).select("_run").distinct().collect()} == {"rA", BS.COMPACTED}
+
+
+def test_progress_beyond_what_a_query_holds(spark):
+    folder = session.fresh_path(spark, "topics", "many_files")
+    spark.range(0, 130, 1, 130).selectExpr("CAST(id AS STRING) AS value").write.text(folder)
+    src = spark.readStream.option("maxFilesPerTrigger", "1").text(folder)
+    log = C.ProgressLog(spark, every=40)
+    q = C.start(src, "many_batches", C.checkpoint_for(spark, "many"), sink="parquet", path=session.fresh_path(spark, "streams", "many"), trigger="availableNow")
+    C.run_to_end(q)
+    events = log.frame([q]).where(F.col("run_id") == str(q.runId))
+    log.close()
+    assert events.where("num_input_rows > 0").select("batch_id").distinct().count() >= 110
+    assert events.agg(F.sum("num_input_rows")).first()[0] == 130
+    assert len(q.recentProgress) <= 110
+
+
+def test_console_sink_and_as_fast_as_possible(spark, sf):
+    src = P.parsed_topic(spark, sf, "events", mode="stream").select("data.event_id").where("event_id LIKE 'evt-1%'")
+    q = C.start(src, "console_events", C.checkpoint_for(spark, "con"), sink="console", trigger="availableNow")
+    C.run_to_end(q)
+    assert sum(p.numInputRows for p in q.recentProgress) == 1000
+    out = session.fresh_path(spark, "streams", "asap")
+    q = C.start(src, "asap_events", C.checkpoint_for(spark, "asap"), sink="parquet", path=out, trigger=None)
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(out).count() == src.sparkSession.read.parquet(out).distinct().count() > 0
+
+
+def test_admission_options():
+    assert T.admission("stream", 3) == {"maxFilesPerTrigger": "3"} and T.admission("batch", 3) == {}
+    assert T.admission("stream", max_bytes_per_trigger="1g") == {"maxBytesPerTrigger": "1g"}
+    with pytest.raises(ValueError):
+        T.admission("stream", 1, "1g")
+
+
+def test_kafka_sink_options():
+    spec = T.TopicSpec(bootstrap_servers="broker:9092", client={"acks": "all"})
+    assert T.kafka_sink_options(spec) == {"kafka.bootstrap.servers": "broker:9092", "kafka.acks": "all"}
+    with pytest.raises(ValueError):
+        T.kafka_sink_options(T.TopicSpec())
 
 
 def test_empty_topic_gives_empty_bronze(spark):
@@ -47,13 +148,12 @@ def test_empty_topic_gives_empty_bronze(spark):
     q = BS.start_bronze_stream([src], path, name="empty_bronze", checkpoint=C.checkpoint_for(spark, "empty"),
                                trigger="availableNow")
     C.run_to_end(q)
-    assert not os.path.exists(BS.counts_path(path))
+    assert not session.path_exists(spark, path) and BS.CommitLog(spark, path).last() is None
 
 
 def test_batch_equals_stream(spark, sf):
-    streamed = R.QUERIES["batch_equals_stream"](spark, sf)
-    batch = R.order_view(P.parsed_topic(spark, sf, "orders")).select(*R.ORDER_COLS)
-    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    rows = R.QUERIES["batch_equals_stream"](spark, sf).collect()
+    assert sum(r.streamed_rows for r in rows) == 4000 and all(r.differences == 0 for r in rows)
 
 
 def test_console_and_memory_sinks_small(spark, sf):
@@ -96,6 +196,7 @@ def test_kafka_option_maps():
 
 
 def test_await_any_and_bounded_wait(spark, sf):
+    spark.streams.resetTerminated()  # queries that ended earlier would answer at once, or raise again
     src = P.parsed_topic(spark, sf, "orders", mode="stream").select("data._sequence_id")
     out = session.fresh_path(spark, "streams", "aw")
     q = C.start(src, name="await_orders", checkpoint=C.checkpoint_for(spark, "aw"), sink="parquet", path=out,
@@ -145,7 +246,8 @@ def test_read_with_rescue_from_folder(spark, sf):
 def test_schema_growth_read_merges(spark, sf):
     df = R.QUERIES["bronze_schema_growth"](spark, sf)
     assert set(df.columns) == {"key", "topic", "event_name"}
-    assert df.where("topic = 'kafka-orders' AND event_name IS NULL").count() == 1500
+    assert df.where("topic = 'kafka-orders' AND event_name IS NULL").count() == 3000
+    assert df.where("event_name IS NOT NULL").count() == 1000 and df.count() == 8000
 
 
 def test_watermark_drops_late_rows_of_closed_windows(spark):

@@ -7,7 +7,6 @@ local tests, a fresh local folder is made and set as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,10 +62,6 @@ def shared_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared root (not created)."""
     return "/".join([shared_root(spark).rstrip("/"), *parts])
@@ -77,20 +72,67 @@ def fresh_path(spark: SparkSession, kind: str, name: str) -> str:
     return shared_path(spark, kind, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the path (any scheme)."""
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``, any scheme; needs a classic session."""
     sc = _context(spark)
     if sc is None:
-        local = local_dir_if_file(path)
-        return os.path.exists(local) if local else False
+        raise RuntimeError("stored tables need a session with a SparkContext (not Spark Connect)")
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (any scheme)."""
+    fs, jpath = file_system(spark, path)
     return bool(fs.exists(jpath))
 
 
-def local_dir_if_file(path: str) -> str | None:
-    p = _local(path)
-    return p if os.path.isabs(p) else None
+def file_stamps(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of the files at or under ``path``, in name order; none if it is missing."""
+    fs, jpath = file_system(spark, path)
+    if not fs.exists(jpath):
+        return []
+    out, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool) -> bool:
+    """A small text file; without ``overwrite`` False if there is one already (the creation is exclusive)."""
+    fs, jpath = file_system(spark, path)
+    if not overwrite and fs.exists(jpath):
+        return False
+    try:
+        out = fs.create(jpath, overwrite)
+    except Exception:
+        if overwrite or not fs.exists(jpath):
+            raise
+        return False
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file's content; None if it is missing."""
+    fs, jpath = file_system(spark, path)
+    if not fs.exists(jpath):
+        return None
+    source = fs.open(jpath)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote."""
+    fs, jpath = file_system(spark, path)
+    fs.delete(jpath, True)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:

@@ -1,42 +1,88 @@
-"""Streamed bronze multiplex: exactly-once, gap-free offsets across micro-batches.
+"""Streamed bronze: exactly-once, gap-free offsets across micro-batches, restarts and runs.
 
 A window over a stream is refused, and would restart at 0 each micro-batch
 anyway.  So each micro-batch goes through ``foreachBatch``:
 
-1. base offsets = the next offset of every (topic, partition) after the
-   batches *before* this one, from a small side table of cumulative counts
-   (one row per topic, partition and batch); batch ``b`` reads only batch
-   ``b - 1``'s rows, by exact path — never bronze, never the whole history;
-2. offsets within the batch (range plan) + base;
-3. rows are written with dynamic partition overwrite on (``_run``,
-   ``_batch_id``), then the batch's counts.  A replayed batch id reads the
-   same earlier counts, gets the same offsets and overwrites its own
-   partitions: no duplicates.  ``_run`` names the checkpoint: a query started
-   on a fresh checkpoint appends a new run after everything already there
-   (its rows come again, as with an append-only table), it never overwrites
-   another run's batches.
-
-Offsets follow the bronze order (key, hash of value, source position);
-copies of one record are ordered by source position — any order of such
-copies gives the same rows.
+1. the commit log next to the table holds, for every (run, batch), one entry: its
+   place in one global order, and per (topic, partition) the first offset it
+   uses and the next one after it.  A replayed batch reads its own entry;
+   a new batch starts where the log's last entry ends, whichever run wrote it;
+2. a new batch counts its rows, claims the next place in the order (the claim file is
+   created exclusively: a second writer at work on the same table is refused) and
+   writes its entry *before* the rows;
+3. rows get offsets within the batch + the entry's first ones and are written with
+   dynamic partition overwrite on (``topic``, ``_run``, ``_batch_id``): a replay
+   overwrites its own folders with the same rows.
+
+``_run`` names the checkpoint: a query on a fresh checkpoint appends a new run
+after everything already there.  The tag starts with a letter, and tables are
+read with an explicit schema, so no tag or topic name is ever read as a number.
+
+``compact`` merges the folders of finished batches.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 from pyspark.sql.streaming import StreamingQuery
 
 from topiclake import session
 from topiclake.operators import bronze as B
-from topiclake.operators.offsets import assign_offsets, release
-from topiclake.schemas import KEY_PARTITIONS
+from topiclake.operators.offsets import assign_offsets
+from topiclake.schemas import BRONZE_MULTIPLEX, BRONZE_PER_TOPIC
 from topiclake.sources.topics import union_topics
 from topiclake.streaming import control
 
-COUNTS_DIR = "__offset_counts"
+LOG_DIR = "__commits"
+COMPACTED = "r0compacted"
+
+
+class CommitLog:
+    """Entries of one streamed table, each a small JSON file found by its exact path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.root = spark, f"{path.rstrip('/')}{LOG_DIR}"
+
+    def _entry(self, run: str, batch_id: int) -> str:
+        return f"{self.root}/entries/{run}-{batch_id}.json"
+
+    def entry(self, run: str, batch_id: int) -> dict | None:
+        text = session.read_text(self.spark, self._entry(run, batch_id))
+        return json.loads(text) if text else None
+
+    def last(self) -> dict | None:
+        """The entry with the highest place."""
+        head = session.read_text(self.spark, f"{self.root}/head.json")
+        return self.entry(*json.loads(head)) if head else None
+
+    def append(self, run: str, batch_id: int, counts: dict[tuple, int]) -> dict:
+        """A new entry after the last one."""
+        last = self.last()
+        before = {(t, p): n for t, p, n in last["next"]} if last else {}
+        place = last["place"] + 1 if last else 0
+        mine = json.dumps([run, batch_id])
+        claim = f"{self.root}/claims/{place}.json"
+        if not session.write_text(self.spark, claim, mine, overwrite=False) and session.read_text(self.spark, claim) != mine:
+            raise RuntimeError(f"another writer is at work on this table: {claim} is not ours; "
+                               "delete the claim if that writer died before its entry was written")
+        after = before | {k: before.get(k, 0) + n for k, n in counts.items()}
+        entry = {"place": place, "run": run, "batch_id": batch_id,
+                 "base": [[*k, before.get(k, 0)] for k in sorted(counts, key=str)],
+                 "next": [[*k, n] for k, n in sorted(after.items(), key=str)]}
+        session.write_text(self.spark, self._entry(run, batch_id), json.dumps(entry), overwrite=True)
+        self.settle(entry)
+        return entry
+
+    def settle(self, entry: dict) -> None:
+        """Points the head at the entry, unless it is behind."""
+        last = self.last()
+        if last is None or last["place"] < entry["place"]:
+            session.write_text(self.spark, f"{self.root}/head.json", json.dumps([entry["run"], entry["batch_id"]]), overwrite=True)
 
 
 class BronzeBatchWriter:
@@ -45,86 +91,106 @@ class BronzeBatchWriter:
     ``layout="multiplex"``: rows of :func:`bronze.bronze_rows`, offsets in
     (key, value) order, multiplex columns.  ``layout="per_topic"``: rows of
     :func:`bronze.kafka_rows`, offsets in the producer's sequence, per-topic
-    columns (one folder per topic under ``path``).
+    columns (one folder per topic under ``path``).  Columns beyond the layout's
+    are kept, so the table grows with its input.  ``table`` names a catalog table
+    over the folder that learns of each batch as it is written.
     """
 
-    def __init__(self, path: str, topics: int, run: str, partitions: int = KEY_PARTITIONS,
-                 method: str = "range", slices: int | None = None, layout: str = "multiplex"):
+    def __init__(self, path: str, run: str, method: str = "split", leaf_rows: int | None = None,
+                 layout: str = "multiplex", table: str | None = None):
         self.path = path.rstrip("/")
         self.run = run
-        self.counts_path = counts_path(self.path)
-        self.topics = topics
-        self.partitions = partitions
         self.method = method
-        self.slices = slices
+        self.leaf_rows = leaf_rows
         self.layout = layout
-
-    def base(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """(topic, partition, base): the next offset of every group before this batch.
-
-        The side table holds, per batch, the *cumulative* next offset of every
-        group seen so far, so batch ``b`` reads one small partition — batch
-        ``b - 1`` of its run, by exact path (no listing of the history).  Only
-        the first batch of a run (or a batch whose predecessor is missing) reads
-        the whole side table, once, and takes the largest value per group.
-        """
-        prev = f"{self.counts_path}/_run={self.run}/_batch_id={batch_id - 1}"
-        if batch_id > 0 and session.path_exists(spark, prev):
-            return spark.read.parquet(prev).select("topic", "partition", F.col("next").alias("base"))
-        if not session.path_exists(spark, self.counts_path):
-            return None
-        counts = spark.read.parquet(self.counts_path)
-        earlier = (F.col("_run") != self.run) | (F.col("_batch_id") < batch_id)
-        return counts.where(earlier).groupBy("topic", "partition").agg(F.max("next").alias("base"))
+        self.table = table
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        groups = self.topics * self.partitions
-        held: list = []
-        base = self.base(spark, batch_id)
+        log = CommitLog(spark, self.path)
+        entry = log.entry(self.run, batch_id)
+        if entry is None:
+            counts = {(r["topic"], r["partition"]): r["n"]  # a row per topic partition
+                      for r in batch.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if not counts:
+                return
+            entry = log.append(self.run, batch_id, counts)
+        else:
+            log.settle(entry)
+        base = spark.createDataFrame([tuple(x) for x in entry["base"]], "topic STRING, partition INT, base BIGINT")
         order = B.multiplex_order() if self.layout == "multiplex" else B.kafka_order()
-        rows = assign_offsets(batch, order=order, method=self.method, slices=self.slices, max_groups=groups,
-                              base=base, persisted=held)
-        table = B.finish(rows) if self.layout == "multiplex" else B.per_topic(rows)
-        out = table.withColumn("_run", F.lit(self.run)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        rows = assign_offsets(batch, order=order, method=self.method, leaf_rows=self.leaf_rows, base=base)
+        known = {"key", "value", "topic", "partition", "offset", "timestamp", "timestampType", "_seq"}
+        more = [c for c in rows.columns if c not in known and not c.startswith("_tl_")]
+        stamp = "ingestion_timestamp" if self.layout == "multiplex" else "bronze_ingestion_timestamp"
+        columns = B.MULTIPLEX_COLUMNS if self.layout == "multiplex" else B.PER_TOPIC_COLUMNS
+        out = rows.withColumns({stamp: F.current_timestamp(), "_run": F.lit(self.run), "_batch_id": F.lit(batch_id).cast("long")})
+        out = out.select(*columns, *more, "_run", "_batch_id")
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("topic", "_run", "_batch_id").parquet(self.path))
-        # Counts of what was written: from the persisted rows of the range plan
-        # (exactly the rows written), else read back from this batch's folders.
-        if held:
-            counts = [(r["topic"], r["partition"], r["n"])
-                      for r in held[0].groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).collect()]
-        else:
-            written = spark.read.option("basePath", self.path).parquet(
-                f"{self.path}/topic=*/_run={self.run}/_batch_id={batch_id}")
-            counts = [(r["topic"], r["partition"], r["n"])
-                      for r in written.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n")).collect()]
-        release(held)
-        # One row per (topic, partition) of this batch: a bounded list.
-        counts = spark.createDataFrame(counts, "topic STRING, partition INT, n BIGINT") if counts else None
-        if counts is None and base is None:
-            return
-        if counts is None:
-            cum = base.select("topic", "partition", F.col("base").alias("next"))
-        elif base is None:
-            cum = counts.select("topic", "partition", F.col("n").alias("next"))
-        else:
-            cum = counts.join(base, ["topic", "partition"], "full_outer").select(
-                "topic", "partition",
-                (F.coalesce("base", F.lit(0)) + F.coalesce("n", F.lit(0))).cast("long").alias("next"))
-        cum = cum.withColumn("_run", F.lit(self.run)).withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        (cum.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_run", "_batch_id").parquet(self.counts_path))
+        if self.table:
+            parts = " ".join(f"PARTITION (topic={_sql(t)}, _run='{self.run}', _batch_id={batch_id})"
+                             for t in sorted({t for t, _, _ in entry["base"] if t is not None}))
+            spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {parts}")
+            spark.catalog.refreshTable(self.table)
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def counts_path(path: str) -> str:
-    """Side table of per-batch counts, next to (not inside) the bronze folder."""
-    return f"{path.rstrip('/')}{COUNTS_DIR}"
+def table_schema(layout: str = "multiplex", more: ST.StructType | None = None) -> ST.StructType:
+    """Schema of a streamed table: the layout's, columns added since, and the folder columns."""
+    plain = BRONZE_MULTIPLEX if layout == "multiplex" else BRONZE_PER_TOPIC
+    own = [f for f in plain.fields if f.name != "topic"]
+    own += [f for f in (more or ST.StructType()).fields if f.name not in {*plain.names, "_run", "_batch_id"}]
+    return ST.StructType([*own, ST.StructField("topic", ST.StringType()), ST.StructField("_run", ST.StringType()),
+                          ST.StructField("_batch_id", ST.LongType())])
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The streamed bronze table."""
-    return spark.read.parquet(path)
+def declare_table(spark: SparkSession, name: str, path: str, layout: str = "multiplex") -> str:
+    """A catalog table (``database.table``) over a streamed folder, with the folders that are there."""
+    database, _, table = name.partition(".")
+    session.ensure_database(spark, database)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(layout).fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING parquet "
+              f"PARTITIONED BY (topic, _run, _batch_id) LOCATION '{path}'")
+    if session.path_exists(spark, path):
+        spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
+    return f"`{database}`.`{table}`"
+
+
+def read_bronze(spark: SparkSession, path: str, layout: str = "multiplex", merge_schema: bool = False) -> DataFrame:
+    """The streamed bronze table; ``merge_schema`` adds the columns that any batch has beyond the layout's."""
+    more = spark.read.option("mergeSchema", "true").parquet(path).schema if merge_schema else None
+    return spark.read.schema(table_schema(layout, more)).parquet(path)
+
+
+def compact(spark: SparkSession, path: str, layout: str = "multiplex") -> int:
+    """Merges the batches of a table into one folder per topic; returns how many went.
+
+    Only while no query writes or reads the table.  The last batch of each run
+    stays as it is, as a restart may replay it.
+    """
+    rows = read_bronze(spark, path, layout, merge_schema=True)
+    batches = {(r["_run"], r["_batch_id"]) for r in rows.select("_run", "_batch_id").distinct().collect()}
+    newest: dict[str, int] = {}
+    for run, batch in batches:
+        newest[run] = max(newest.get(run, -1), batch)
+    gone = [x for x in batches if x[0] != COMPACTED and x[1] < newest[x[0]]]
+    if not gone:
+        return 0
+    old = spark.createDataFrame(gone, "_run STRING, _batch_id BIGINT")
+    number = newest.get(COMPACTED, -1) + 1
+    kept = rows.join(F.broadcast(old), ["_run", "_batch_id"], "left_semi").drop("_run", "_batch_id")
+    kept = kept.withColumns({"_run": F.lit(COMPACTED), "_batch_id": F.lit(number).cast("long")})
+    topics = [r[0] for r in rows.select("topic").distinct().collect()]
+    (kept.repartition("topic", F.spark_partition_id()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("topic", "_run", "_batch_id").parquet(path))
+    for run, batch in gone:
+        for topic in topics:
+            session.delete(spark, f"{path.rstrip('/')}/topic={topic}/_run={run}/_batch_id={batch}")
+    return len(gone)
 
 
 def read_bronze_stream(spark: SparkSession, path: str, starting: dict | None = None) -> DataFrame:
@@ -133,8 +199,7 @@ def read_bronze_stream(spark: SparkSession, path: str, starting: dict | None = N
     ``starting=latest_offsets(...)`` taken when the consumer starts is the
     file-table form of Kafka's ``startingOffsets=latest``.
     """
-    schema = spark.read.parquet(path).schema
-    rows = spark.readStream.schema(schema).parquet(path)
+    rows = spark.readStream.schema(table_schema()).parquet(path)
     if starting:
         cond = None
         for (topic, part), off in starting.items():
@@ -162,16 +227,18 @@ def start_bronze_stream(
     trigger: str | None = "5 seconds",
     keep_raw: bool = False,
     time_from: str = "key",
-    method: str = "range",
+    method: str = "split",
+    table: str | None = None,
 ) -> StreamingQuery:
     """One query over the union of the topic streams → bronze multiplex at ``path``.
 
     Each topic becomes flat bronze rows *before* the union, so every value is
-    serialised from its own topic's record (same text as by batch).
+    serialised from its own topic's record (same text as by batch).  ``table``
+    (``database.table``) makes the growing folder readable by name in SQL.
     """
-    run = run_of(checkpoint)
-    writer = BronzeBatchWriter(path, topics=len(parsed_topics), run=run, method=method)
     rows = union_topics([B.bronze_rows(t, keep_raw, time_from) for t in parsed_topics])
+    full = declare_table(rows.sparkSession, table, path) if table else None
+    writer = BronzeBatchWriter(path, run=run_of(checkpoint), method=method, table=full)
     return control.start(rows, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
 
 
@@ -181,14 +248,13 @@ def start_per_topic_stream(
     name: str,
     checkpoint: str,
     trigger: str | None = "5 seconds",
-    method: str = "range",
+    method: str = "split",
 ) -> StreamingQuery:
     """Per-topic bronze (all Kafka metadata) from topic folders: ``{kind: read_topic_text(...)}`` →
     ``path/topic=<name>/``, offsets per topic partition in the producer's sequence."""
     from topiclake.sources.fixtures import MESSAGE_KEY
 
-    writer = BronzeBatchWriter(path, topics=len(text_topics), run=run_of(checkpoint), method=method,
-                               layout="per_topic")
+    writer = BronzeBatchWriter(path, run=run_of(checkpoint), method=method, layout="per_topic")
     rows = union_topics([B.kafka_rows(df, MESSAGE_KEY[kind]) for kind, df in text_topics.items()])
     return control.start(rows, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
 
@@ -206,4 +272,4 @@ def start_kafka_bronze(spark: SparkSession, spec, path: str, name: str, checkpoi
 
 def run_of(checkpoint: str) -> str:
     """The run tag of a checkpoint: a query on a fresh checkpoint is a new run."""
-    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    return "r" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]

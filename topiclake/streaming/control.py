@@ -7,11 +7,12 @@ progress, and an unnamed one would silently replay everything.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from topiclake import session
@@ -48,7 +49,8 @@ def start(
     streams only).
     """
     w = df.writeStream.queryName(name).outputMode(output_mode).option("checkpointLocation", checkpoint)
-    w = w.trigger(**trigger_kwargs(trigger))
+    if trigger is not None:
+        w = w.trigger(**trigger_kwargs(trigger))
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if sink == "foreachBatch":
@@ -64,8 +66,8 @@ def start(
     return w.format(sink).start(path)
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float | None = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` / ``once`` query; raise its error if it failed."""
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` / ``once`` query, as long as it takes unless the caller sets a bound; raise its error if it failed."""
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if finished is False:
         query.stop()
@@ -76,10 +78,24 @@ def run_to_end(query: StreamingQuery, timeout_s: float | None = 600) -> Streamin
 
 
 def await_any(spark: SparkSession, timeout_s: float | None = None):
-    """Wait until any active query ends (a failure in any of them is seen)."""
+    """Wait until any active query ends (a failure in any of them is seen).
+
+    Spark answers at once, or raises again, for queries that ended since the last
+    ``spark.streams.resetTerminated()``: reset before starting queries to wait for.
+    """
     return spark.streams.awaitAnyTermination(timeout_s) if timeout_s else spark.streams.awaitAnyTermination()
 
 
+def run_all(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
+    """Wait for several queries at once; the first failure of any is raised when it happens."""
+    queries = list(queries)
+    while any(q.isActive for q in queries):
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+    for q in queries:
+        run_to_end(q)
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     stopped = []
     for q in spark.streams.active:
@@ -99,18 +115,56 @@ PROGRESS_SCHEMA = StructType(
 )
 
 
-def progress_rows(queries: Iterable[StreamingQuery]) -> list[tuple]:
-    """(name, id, run id, batch id, input rows) of every progress event the queries still hold."""
-    rows = []
-    for q in queries:
-        for p in q.recentProgress:
-            rows.append((p.name, str(p.id), str(p.runId), int(p.batchId), int(p.numInputRows)))
-    return rows
+class ProgressLog(StreamingQueryListener):
+    """Every progress event of a session's queries, kept as a table.
 
+    A query itself holds only its last hundred or so events.  The log gets each one
+    as it happens and writes them to ``path`` in parts of ``every``.
+    """
 
-def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """Progress of queries as a DataFrame (a handful of rows per query)."""
-    return spark.createDataFrame(progress_rows(queries), PROGRESS_SCHEMA)
+    def __init__(self, spark: SparkSession, path: str | None = None, every: int = 1000):
+        self.spark, self.every = spark, every
+        self.path = path or session.fresh_path(spark, "tables", "progress")
+        self.rows: list[tuple] = []
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self.news:
+            self.rows.append((p.name, str(p.id), str(p.runId), int(p.batchId), int(p.numInputRows)))
+            if len(self.rows) >= self.every:
+                self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def _write(self) -> None:
+        if self.rows:
+            self.spark.createDataFrame(self.rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self.rows = []
+
+    def frame(self, queries: Iterable[StreamingQuery] = ()) -> DataFrame:
+        """All events so far; waits for the last event of ``queries`` that have ended."""
+        wanted = {str(q.runId) for q in queries if not q.isActive}
+        with self.news:
+            self.news.wait_for(lambda: wanted <= self.ended, timeout=60)
+            self._write()
+        if not session.path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], PROGRESS_SCHEMA)
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
 
 
 def status(query: StreamingQuery) -> dict:
