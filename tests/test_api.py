@@ -30,3 +30,30 @@ def test_api_keep_raw(spark, sf):
     topics = {"gps": P.topic_path(spark, sf, "gps")}
     out = api.build_bronze(spark, topics, session.fresh_path(spark, "tables", "api_raw"), keep_raw=True)
     assert api.bronze(spark, out).where("value LIKE '{\"data\":%'").count() == 1500
+
+
+def test_silver_over_every_form_of_value(spark, sf):
+    topics = {k: P.topic_path(spark, sf, k) for k in P.KINDS}
+    raw = api.build_bronze(spark, topics, session.fresh_path(spark, "tables", "api_forms"), keep_raw=True)
+    assert api.silver(spark, raw, "orders", form="message").where("payment_id IS NOT NULL").count() == 1500
+    per_topic = P.per_topic_path(spark, sf, "events")
+    assert api.silver(spark, per_topic, "events").where("event_name IS NOT NULL").count() == 1000
+
+
+def test_rescue_in_bronze_and_named_stream(spark):
+    path = session.fresh_path(spark, "topics", "api_rescue")
+    lines = ['{"data":{"_sequence_id":1,"gps_id":"g1","lat":1.5,"extra":"zz"}}', "{bad"]
+    spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1).write.text(path)
+    out = api.build_bronze(spark, {"gps": path}, session.fresh_path(spark, "tables", "api_rescued"), rescue_unknown=True)
+    rows = {r["_corrupt_record"]: r for r in api.bronze(spark, out).collect()}
+    assert rows[None]["_rescued"] == {"extra": "zz"} and rows["{bad"]["value"] == "{bad"
+    streamed, name = session.fresh_path(spark, "tables", "api_named"), "bronze.api_named_stream"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for tag in "ab":
+        q = api.stream_bronze(spark, {"gps": path}, streamed, checkpoint=C.checkpoint_for(spark, f"api_{tag}"), trigger="availableNow",
+                              name=f"api_named_{tag}", table=name, rescue_unknown=True, max_files_per_trigger=1)
+        C.run_to_end(q)
+        assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == (2 if tag == "a" else 4)
+    from topiclake.streaming import bronze_stream as BS
+
+    assert BS.read_bronze(spark, streamed, merge_schema=True).where("_rescued IS NOT NULL").count() == 2

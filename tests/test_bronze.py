@@ -39,6 +39,15 @@ def test_per_topic_schema_and_offset_ranges(spark, sf):
     part = B.read_offset_range(t, "kafka-orders", start, end)
     assert part.count() == 30
     assert part.agg(F.min("offset"), F.max("offset")).first() == (10, 19)
+    # A partition that the map does not name is whole.
+    assert B.read_offset_range(t, "kafka-orders", {0: 10}, {}).count() == 1490
+    assert B.read_offset_range(t, "kafka-orders", {}, {1: 10}).where("partition <> 1").count() == t.where("partition <> 1").count()
+
+
+def test_messages_of_a_key_share_a_partition(spark, sf):
+    t = P.per_topic_table(spark, sf, "events")
+    assert t.groupBy("key").agg(F.countDistinct("partition").alias("n")).where("n > 1").count() == 0
+    assert t.select("partition").distinct().count() == 3
 
 
 def test_silver_drops_rows_without_payload(spark, sf):

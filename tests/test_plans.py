@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import __spark_entry__ as entry
-from topiclake.operators.offsets import assign_offsets, release
 from topiclake.plans import topics as P
 from topiclake.sources import topics as T
 
@@ -32,7 +31,7 @@ def test_gold_count_reads_only_key_column(spark, sf):
 
 def test_topic_filter_is_partition_pruning_and_null_filter_pushed(spark, sf):
     text = formatted(Q["orders_by_method"](spark, sf))
-    assert "PartitionFilters: [isnotnull(topic" in text and "kafka-orders" in text
+    assert "PartitionFilters: [topic#" in text and "IN (kafka-orders,ordem)" in text
     assert "PushedFilters: [IsNotNull(value)]" in text
     assert "ReadSchema: struct<value:string>" in text
 
@@ -42,18 +41,18 @@ def test_union_of_topics_has_no_exchange(spark, sf):
     assert "Exchange" not in formatted(frames.select("_topic_name", "data._sequence_id"))
 
 
-def test_range_offsets_plan_broadcasts_bounded_counts(spark, sf):
-    held: list = []
-    rows = spark.range(1000).selectExpr("'t' AS topic", "CAST(id % 3 AS INT) AS partition", "id AS key",
-                                        "CAST(id AS STRING) AS value")
-    df = assign_offsets(rows, max_groups=3, persisted=held)
-    text = formatted(df)
-    assert "InMemoryRelation" in text  # the positioned slices, evaluated once
-    assert "BroadcastExchange" in text and "SortMergeJoin" not in text
-    cached = held[0]._jdf.queryExecution().optimizedPlan().toString()
-    assert "RepartitionByExpression" in cached or "RangePartitioning" in cached or "Sort" in cached
-    assert df.count() == 1000
-    release(held)
+def test_flattening_has_no_exchange(spark, sf):
+    for kind in P.KINDS:
+        assert "Exchange" not in formatted(Q[f"flatten_{kind}"](spark, sf))
+    assert "Exchange" not in formatted(Q["kafka_record_as_text"](spark, sf))
+
+
+def test_nothing_stays_persisted(spark, sf):
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    before = held().size()
+    for name in ("bronze_batch", "assign_offsets", "event_sequence", "ext_events_session", "flatten_orders", "ext_order_gps_join"):
+        Q[name](spark, sf).count()
+        assert held().size() == before, name
 
 
 def test_top10_is_take_ordered(spark, sf):
@@ -69,31 +68,31 @@ def test_payment_events_pre_aggregated_by_hash(spark, sf):
     assert "HashAggregate" in text and "SortAggregate" not in text
 
 
-def test_bucketed_silver_join_has_no_exchange(spark, sf):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale: neither side is small
-    try:
-        text = formatted(Q["ext_order_gps_join"](spark, sf))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "SortMergeJoin" in text
-    assert "Exchange" not in text
-
-
-def test_hot_order_joined_apart_same_rows(spark, sf):
-    from pyspark.sql import functions as F
-
+def test_order_gps_join_splits_a_hot_order(spark):
+    """One order with most of the points: the adaptive join reads its partition in several tasks."""
     from topiclake.operators import extensions as E
 
-    orders = spark.createDataFrame([(f"ord-{i}", float(i), "pending") for i in range(50)],
-                                   "order_key STRING, amount DOUBLE, status STRING")
-    pts = [("ord-7", -23.5, -46.6, 10)] * 500 + [(f"ord-{i % 50}", -23.6, -46.7, 20) for i in range(200)]
-    gps = spark.createDataFrame(pts, "order_id STRING, lat DOUBLE, lon DOUBLE, speed_kph INT")
-    a = E.order_gps_skew_safe(orders, gps, hot_rows=100)
-    b = E.order_gps(orders, gps)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert "BroadcastHashJoin" in formatted(a)
-    assert a.where(F.col("order_key") == "ord-7").count() == 504
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes") if spark.conf.get(k, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+    try:
+        orders = spark.range(50).selectExpr("concat('ord-', id) AS order_key", "CAST(id AS DOUBLE) AS amount", "'pending' AS status")
+        gps = spark.range(40_000).repartition(8).selectExpr("concat('ord-', IF(id % 3 > 0, 7, id % 50)) AS order_id", "rand(1) AS lat", "rand(2) AS lon", "10 AS speed_kph")
+        out = E.order_gps(orders, gps)
+        assert out.count() == 40_000
+        rows = out.groupBy("order_key").count()
+        rows.collect()
+        out.write.format("noop").mode("overwrite").save()
+        assert "SortMergeJoin" in formatted(out)
+        final = out.where("lat >= 0")
+        final.collect()
+        assert "skew=true" in final._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.set(k, keep[k]) if k in keep else spark.conf.unset(k)
 
 
 def test_silver_parse_schema_pruned_to_fields_read(spark, sf):

@@ -17,42 +17,48 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from topiclake import session
 from topiclake.operators import bronze as B
 from topiclake.operators import gold as G
 from topiclake.operators import silver as S
-from topiclake.operators.offsets import release
 from topiclake.sources import topics as T
 from topiclake.streaming import bronze_stream as BS
 
 
-def read_topics(spark: SparkSession, topics: Mapping[str, str], mode: str = "batch", raw: bool = False) -> dict:
+def read_topics(spark: SparkSession, topics: Mapping[str, str], mode: str = "batch", raw: bool = False,
+                rescue_unknown: bool = False, **limits) -> dict:
     """``{kind: folder}`` → ``{kind: parsed frame}`` (``raw=True`` keeps the message line as ``value``)."""
     session.prepare(spark)
     if raw:
-        return {k: T.read_topic_text(spark, k, p, mode) for k, p in topics.items()}
-    return {k: T.read_topic(spark, k, path=p, mode=mode) for k, p in topics.items()}
+        return {k: T.read_topic_text(spark, k, p, mode, **limits) for k, p in topics.items()}
+    return {k: T.read_topic(spark, k, path=p, mode=mode, rescue_unknown=rescue_unknown, **limits) for k, p in topics.items()}
 
 
 def build_bronze(spark: SparkSession, topics: Mapping[str, str], out: str, keep_raw: bool = False,
-                 time_from: str = "key", mode: str = "overwrite") -> str:
-    """Batch bronze multiplex of the topic folders written to ``out`` (Parquet by ``topic``)."""
-    frames = read_topics(spark, topics, raw=keep_raw)
-    held: list = []
-    table = B.multiplex(list(frames.values()), keep_raw=keep_raw, time_from=time_from, persisted=held)
+                 time_from: str = "key", mode: str = "overwrite", rescue_unknown: bool = False) -> str:
+    """Batch bronze multiplex of the topic folders written to ``out`` (Parquet by ``topic``).
+
+    ``rescue_unknown`` keeps members the schema does not know (``_rescued``) and broken lines (``_corrupt_record``).
+    """
+    frames = read_topics(spark, topics, raw=keep_raw, rescue_unknown=rescue_unknown)
+    table = B.multiplex(list(frames.values()), keep_raw=keep_raw, time_from=time_from)
     B.write_table(table, out, partition_by=("topic",), mode=mode)
-    release(held)
     return out
 
 
 def stream_bronze(spark: SparkSession, topics: Mapping[str, str], out: str, checkpoint: str,
                   trigger: str | None = "5 seconds", name: str = "bronze_multiplex", keep_raw: bool = False,
-                  time_from: str = "key") -> StreamingQuery:
-    """The same bronze as a stream: exactly once, offsets continuing across micro-batches and runs."""
-    frames = read_topics(spark, topics, mode="stream", raw=keep_raw)
+                  time_from: str = "key", table: str | None = None, rescue_unknown: bool = False, **limits) -> StreamingQuery:
+    """The same bronze as a stream: exactly once, offsets continuing across micro-batches and runs.
+
+    ``table`` (``database.table``) makes it readable by name in SQL; ``limits``
+    (``max_files_per_trigger`` or ``max_bytes_per_trigger``) bound a micro-batch.
+    """
+    frames = read_topics(spark, topics, mode="stream", raw=keep_raw, rescue_unknown=rescue_unknown, **limits)
     return BS.start_bronze_stream(list(frames.values()), out, name=name, checkpoint=checkpoint, trigger=trigger,
-                                  keep_raw=keep_raw, time_from=time_from)
+                                  keep_raw=keep_raw, time_from=time_from, table=table)
 
 
 def stream_bronze_from_kafka(spark: SparkSession, spec: T.TopicSpec, out: str, checkpoint: str,
@@ -63,20 +69,26 @@ def stream_bronze_from_kafka(spark: SparkSession, spec: T.TopicSpec, out: str, c
 
 
 def bronze(spark: SparkSession, path: str) -> DataFrame:
-    """A stored bronze multiplex (batch-built or streamed)."""
+    """A stored bronze table (batch-built or streamed); topic names stay text."""
     session.prepare(spark)
-    return spark.read.parquet(path)
+    found = spark.read.parquet(path)
+    text = {f.name: "string" for f in found.schema.fields if f.name in ("topic", "_run")}
+    schema = StructType([StructField(f.name, StringType()) if f.name in text else f for f in found.schema.fields])
+    return spark.read.schema(schema).parquet(path)
+
 
+def silver(spark: SparkSession, bronze_path: str, kind: str, form: str | None = None) -> DataFrame:
+    """Typed rows of one topic from bronze (``orders`` / ``events`` / ``gps``).
 
-def silver(spark: SparkSession, bronze_path: str, kind: str) -> DataFrame:
-    """Typed rows of one topic from bronze (``orders`` / ``events`` / ``gps``)."""
-    return {"orders": S.orders, "events": S.events, "gps": S.gps}[kind](bronze(spark, bronze_path))
+    ``form="message"`` for a multiplex table built with ``keep_raw``; per-topic tables are recognised by their columns.
+    """
+    return {"orders": S.orders, "events": S.events, "gps": S.gps}[kind](bronze(spark, bronze_path), form)
 
 
-def gold(spark: SparkSession, bronze_path: str) -> dict[str, DataFrame]:
-    """The reference's gold questions over one bronze table, by name."""
+def gold(spark: SparkSession, bronze_path: str, form: str | None = None) -> dict[str, DataFrame]:
+    """The gold questions over one bronze table, by name."""
     b = bronze(spark, bronze_path)
-    orders, events, gps = S.orders(b), S.events(b), S.gps(b)
+    orders, events, gps = S.orders(b, form), S.events(b, form), S.gps(b, form)
     return {
         "count_by_topic": G.count_by_topic(b),
         "partition_distribution": G.partition_distribution(b),

@@ -22,6 +22,13 @@ def key_partition(key: Column | str, partitions: int = KEY_PARTITIONS) -> Column
     return (F.abs(h) % F.lit(partitions)).cast("int")
 
 
+def message_partition(key: Column | str, partitions: int = KEY_PARTITIONS) -> Column:
+    """Partition of a message by its key's bytes (first 32 bits of their MD5), as an INT; NULL key → 0."""
+    k = F.col(key) if isinstance(key, str) else key
+    bits = F.conv(F.substring(F.md5(k.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(bits % F.lit(partitions), F.lit(0)).cast("int")
+
+
 def key_time(key: Column | str) -> Column:
     """Record time simulated from the key: epoch + key seconds."""
     k = F.col(key) if isinstance(key, str) else key

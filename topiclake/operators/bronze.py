@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclake import session
-from topiclake.functions.keys import key_partition, key_time
+from topiclake.functions.envelope import CORRUPT, RESCUED
+from topiclake.functions.keys import key_partition, key_time, message_partition
 from topiclake.functions.payload import parse_event_time
 from topiclake.operators.offsets import assign_offsets
 from topiclake.schemas import KEY_PARTITIONS
@@ -45,13 +46,15 @@ def bronze_rows(
     """
     key = F.col("data._sequence_id").cast("long")
     value = F.col("value") if keep_raw else F.to_json(F.col("data"))
+    if not keep_raw and CORRUPT in parsed.columns:  # nothing of a broken line is lost
+        value = F.coalesce(F.col(CORRUPT), value)
     if time_from == "key":
         ts = key_time(key)
     elif time_from == "payload":
         ts = parse_event_time(F.col("data.dt_current_timestamp"))
     else:
         raise ValueError(f"time_from must be 'key' or 'payload', not {time_from!r}")
-    extra = [c for c in parsed.columns if c.startswith("_tl_")]
+    extra = [c for c in parsed.columns if c.startswith("_tl_") or c in (RESCUED, CORRUPT)]
     return parsed.select(
         key.alias("key"),
         value.cast("string").alias("value"),
@@ -63,7 +66,10 @@ def bronze_rows(
 
 
 def finish(rows: DataFrame, ingestion: str = "ingestion_timestamp") -> DataFrame:
-    """Cast to the multiplex schema and stamp the ingestion time (constant per query / micro-batch)."""
+    """Cast to the multiplex schema and stamp the ingestion time (constant per query / micro-batch).
+
+    The rescued members and the text of broken lines, where the topics were read with them, are kept.
+    """
     return rows.select(
         F.col("key").cast("long"),
         F.col("value").cast("string"),
@@ -72,6 +78,7 @@ def finish(rows: DataFrame, ingestion: str = "ingestion_timestamp") -> DataFrame
         F.col("offset").cast("long"),
         F.col("timestamp").cast("timestamp"),
         F.current_timestamp().alias(ingestion),
+        *[c for c in (RESCUED, CORRUPT) if c in rows.columns],
     )
 
 
@@ -80,33 +87,45 @@ def multiplex(
     keep_raw: bool = False,
     time_from: str = "key",
     partitions: int = KEY_PARTITIONS,
-    method: str = "range",
-    slices: int | None = None,
+    method: str = "split",
+    leaf_rows: int | None = None,
     base: DataFrame | None = None,
-    persisted: list | None = None,
 ) -> DataFrame:
     """Union the topics by name and give every row its offset (bronze multiplex rows)."""
     rows = None
     for t in parsed_topics:
         r = bronze_rows(t, keep_raw, time_from, partitions)
-        rows = r if rows is None else rows.unionByName(r)
-    max_groups = len(parsed_topics) * partitions
-    rows = assign_offsets(rows, order=multiplex_order(), method=method, slices=slices, max_groups=max_groups,
-                          base=base, persisted=persisted)
+        rows = r if rows is None else rows.unionByName(r, allowMissingColumns=True)
+    rows = assign_offsets(rows, order=multiplex_order(), method=method, leaf_rows=leaf_rows, base=base)
     return finish(rows)
 
 
+def multiplex_from_kafka(records: DataFrame) -> DataFrame:
+    """Bronze multiplex rows out of Kafka records (text key and value, broker metadata).
+
+    ``key`` is the record's ``_sequence_id``, or else the message key where it is a
+    number; ``message_key`` keeps the message key as it came.  Partition, offset and time are the
+    broker's; ``value`` is the record without its envelope.
+    """
+    return records.select(
+        F.coalesce(F.expr("try_cast(get_json_object(value, '$.data._sequence_id') AS BIGINT)"), F.expr("try_cast(key AS BIGINT)")).alias("key"),
+        F.coalesce(F.get_json_object("value", "$.data"), F.col("value")).alias("value"),
+        "topic", "partition", "offset", "timestamp",
+        F.current_timestamp().alias("ingestion_timestamp"),
+        F.col("key").alias("message_key"),
+    )
+
+
 def kafka_records(parsed: DataFrame, message_key: str, keep_raw: bool = True, partitions: int = KEY_PARTITIONS,
-                  method: str = "range", slices: int | None = None, persisted: list | None = None) -> DataFrame:
+                  method: str = "split", leaf_rows: int | None = None) -> DataFrame:
     """Kafka-shaped records of one topic read from files: the metadata Kafka would add.
 
-    key = the message key (text), partition = key partition of ``_sequence_id``,
-    offset per partition in ``_sequence_id`` order, timestamp = the payload's
+    key = the message key (text), partition = a hash of the message key, so all
+    messages of a key share one; offset per partition in ``_sequence_id`` order, timestamp = the payload's
     send time (CreateTime, timestampType 0).
     """
     rows = kafka_rows(parsed, message_key, keep_raw, partitions)
-    rows = assign_offsets(rows, groups=("topic", "partition"), order=kafka_order(),
-                          method=method, slices=slices, max_groups=partitions, persisted=persisted)
+    rows = assign_offsets(rows, groups=("topic", "partition"), order=kafka_order(), method=method, leaf_rows=leaf_rows)
     return rows.drop("_seq")
 
 
@@ -129,7 +148,7 @@ def kafka_rows(parsed: DataFrame, message_key: str, keep_raw: bool = True,
         F.col(f"data.{message_key}").cast("string").alias("key"),
         value.cast("string").alias("value"),
         F.col("_topic_name").alias("topic"),
-        key_partition(seq, partitions).alias("partition"),
+        message_partition(F.col(f"data.{message_key}"), partitions).alias("partition"),
         parse_event_time(F.col("data.dt_current_timestamp")).alias("timestamp"),
         F.lit(0).alias("timestampType"),
         seq.alias("_seq"),
@@ -193,19 +212,11 @@ def read_offset_range(bronze: DataFrame, topic: str, starting: dict | str = "ear
     """Rows of ``topic`` between starting and ending offsets, per partition.
 
     ``starting`` / ``ending`` are ``"earliest"`` / ``"latest"`` or a map
-    ``{partition: offset}`` (start inclusive, end exclusive, as Kafka reads).
+    ``{partition: offset}`` (start inclusive, end exclusive, as Kafka reads);
+    a partition that a map does not name is not bounded by it.
     """
     rows = bronze.where(F.col("topic") == topic)
-    if isinstance(starting, dict):
-        cond = None
-        for p, off in starting.items():
-            c = (F.col("partition") == p) & (F.col("offset") >= off)
-            cond = c if cond is None else cond | c
-        rows = rows.where(cond)
-    if isinstance(ending, dict):
-        cond = None
-        for p, off in ending.items():
-            c = (F.col("partition") == p) & (F.col("offset") < off)
-            cond = c if cond is None else cond | c
-        rows = rows.where(cond)
+    for bounds, inside in ((starting, lambda off: F.col("offset") >= off), (ending, lambda off: F.col("offset") < off)):
+        for p, off in bounds.items() if isinstance(bounds, dict) else ():
+            rows = rows.where((F.col("partition") != p) | inside(off))
     return rows

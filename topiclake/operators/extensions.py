@@ -68,37 +68,14 @@ def watermarked_counts(events: DataFrame, size: str, delay: str, by: str = "even
 
 
 def order_gps(orders: DataFrame, gps: DataFrame) -> DataFrame:
-    """Each order with its GPS point (``order_id`` = ``order_key``); both sides shuffle on the key."""
-    o = orders.select("order_key", "amount", "status")
-    g = gps.select(F.col("order_id").alias("order_key"), "lat", "lon", "speed_kph")
-    return o.join(g, "order_key", "inner")
-
+    """Each order with its GPS points (``order_id`` = ``order_key``).
 
-# A key with more GPS rows than this is "hot": one task would hold too much of it.
-HOT_KEY_ROWS = 1_000_000
-
-
-def order_gps_skew_safe(orders: DataFrame, gps: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """:func:`order_gps` over tables bucketed on the order key, safe against a hot order.
-
-    A bucketed join reads each bucket in one task and AQE cannot split it, so
-    an order with a third of all points would sit in one task.  Points per
-    order are counted first (on the bucketed table: no shuffle, partial
-    aggregation); orders above ``hot_rows`` points — at most total / hot_rows
-    of them, a bounded list — are joined apart: their few order rows are
-    broadcast and their points read in ordinary file splits, in parallel.  All
-    other orders keep the co-located, shuffle-free join.
+    Both sides shuffle on the key; an order with very many points is split over
+    several tasks at run time (adaptive skew join), whichever order it is.
     """
     o = orders.select("order_key", "amount", "status")
     g = gps.select(F.col("order_id").alias("order_key"), "lat", "lon", "speed_kph")
-    counts = gps.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    hot = [r["order_id"] for r in counts.select("order_id").collect()]
-    if not hot:
-        return o.join(g, "order_key", "inner")
-    cold = o.where(~F.col("order_key").isin(hot)).join(g.where(~F.col("order_key").isin(hot)), "order_key")
-    hot_orders = F.broadcast(o.where(F.col("order_key").isin(hot)))
-    hot_part = g.where(F.col("order_key").isin(hot)).join(hot_orders, "order_key")
-    return cold.unionByName(hot_part.select(*cold.columns))
+    return o.join(g, "order_key", "inner")
 
 
 def payment_events(orders: DataFrame, events: DataFrame) -> DataFrame:

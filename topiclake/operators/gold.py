@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclake.functions.payload import money_sum
-from topiclake.schemas import FOLDER_TOPICS, PER_TOPIC_TABLES
+from topiclake.schemas import FOLDER_TOPICS, KAFKA_TOPICS, PER_TOPIC_TABLES
 
 # ------------------------------------------------------------ bronze
 
@@ -49,8 +49,8 @@ def rows_per_table(bronze: DataFrame) -> DataFrame:
 
 
 def last_by_key(bronze: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` records with the largest keys; topic breaks ties (topics share keys)."""
-    return bronze.orderBy(F.col("key").desc(), F.col("topic").desc()).limit(n)
+    """The ``n`` records with the largest keys; topic, offset and partition break ties (topics share keys, replays repeat them)."""
+    return bronze.orderBy(F.col("key").desc(), F.col("topic").desc(), F.col("offset").desc(), F.col("partition").desc()).limit(n)
 
 
 def preview(bronze: DataFrame, n: int = 10, width: int = 100) -> DataFrame:
@@ -61,8 +61,8 @@ def preview(bronze: DataFrame, n: int = 10, width: int = 100) -> DataFrame:
 
 
 def last_per_topic(bronze: DataFrame, n: int = 100) -> DataFrame:
-    """The last ``n`` records (by key) of each topic."""
-    w = Window.partitionBy("topic").orderBy(F.col("key").desc())
+    """The last ``n`` records (by key, then offset and partition) of each topic."""
+    w = Window.partitionBy("topic").orderBy(F.col("key").desc(), F.col("offset").desc(), F.col("partition").desc())
     return bronze.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
 
 
@@ -92,21 +92,23 @@ def orders_by_method(orders: DataFrame) -> DataFrame:
 
 
 def avg_amount_by_status(orders: DataFrame) -> DataFrame:
+    # Summed as decimals: the same for any order of the rows.
     return orders.groupBy("status").agg(
-        F.round(F.avg("amount"), 2).alias("avg_amount"),
+        F.round(F.sum(F.col("amount").cast("decimal(18,2)")).cast("double") / F.count("amount"), 2).alias("avg_amount"),
         F.count(F.lit(1)).alias("count"),
     )
 
 
-def status_summary_sql(bronze_view: str) -> str:
-    """Gold SQL over a bronze view: parse the value once, then group by status."""
-    schema = "status STRING, amount DOUBLE"
+def status_summary_sql(bronze_view: str, form: str = "record") -> str:
+    """Gold SQL over a bronze view: parse the value once (``form`` as in silver), then group by status."""
+    fields = "status STRING, amount DOUBLE"
+    schema, record = (fields, "") if form == "record" else (f"data STRUCT<{fields.replace(' ', ': ').replace(',:', ',')}>", ".data")
     return f"""
         SELECT status, COUNT(*) AS order_count, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
         FROM (
-          SELECT r.status AS status, r.amount AS amount
+          SELECT r{record}.status AS status, r{record}.amount AS amount
           FROM (SELECT from_json(value, '{schema}') AS r FROM {bronze_view}
-                WHERE topic = '{FOLDER_TOPICS["orders"]}' AND value IS NOT NULL) parsed
+                WHERE topic IN ('{FOLDER_TOPICS["orders"]}', '{KAFKA_TOPICS["orders"]}') AND value IS NOT NULL) parsed
         ) s
         GROUP BY status
     """
@@ -131,6 +133,11 @@ def gps_partials(gps: DataFrame, by: str) -> DataFrame:
         F.count(F.lit(1)).alias("points"), F.sum("lat").alias("sum_lat"), F.sum("lon").alias("sum_lon"))
 
 
+def fold_gps_partials(parts: DataFrame, by: str) -> DataFrame:
+    """One partial per group out of any number."""
+    return parts.groupBy(by).agg(*[F.sum(c).alias(c) for c in ("points", "sum_lat", "sum_lon")])
+
+
 def merge_gps_partials(parts: DataFrame, by: str, digits: int = 6) -> DataFrame:
     """Points and averages per ``by`` from any number of partial rows per group."""
     g = parts.groupBy(by).agg(F.sum("points").alias("points"), F.sum("sum_lat").alias("sum_lat"),

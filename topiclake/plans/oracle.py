@@ -97,29 +97,26 @@ EVENT_FIELDS = "_sequence_id, event_id, payment_id, event_name, event_timestamp,
 GPS_FIELDS = "_sequence_id, gps_id, order_id, lat, lon, speed_kph, accuracy_m, timestamp, dt_current_timestamp"
 
 
+# Partition of a message by its text key: the first 32 bits of the key's MD5.
+MESSAGE_PART = "(('0x' || substr(md5({key}), 1, 8))::BIGINT % 3)::INTEGER"
+
+
 def _per_topic(topic_cte: str, key_expr: str, topic: str) -> str:
-    """Per-topic bronze of one topic: message key, partition of the sequence id, offsets by sequence id."""
+    """Per-topic bronze of one topic: message key and its partition, offsets by sequence id."""
     return f"""WITH {TOPICS},
-src AS (SELECT _sequence_id AS key, {key_expr} AS msg_key FROM {topic_cte}),
-keys AS (SELECT DISTINCT key FROM src),
-{MURMUR_PARTS},
+src AS (SELECT _sequence_id, {key_expr} AS key, {MESSAGE_PART.format(key=key_expr)} AS partition FROM {topic_cte}),
 per_topic AS (
-  SELECT s.msg_key AS key, p.partition,
-         row_number() OVER (PARTITION BY p.partition ORDER BY s.key) - 1 AS "offset",
-         '{topic}' AS topic, 0 AS "timestampType", s.key AS _sequence_id
-  FROM src s JOIN key_parts p USING (key))"""
+  SELECT key, partition, row_number() OVER (PARTITION BY partition ORDER BY _sequence_id) - 1 AS "offset",
+         '{topic}' AS topic, 0 AS "timestampType", _sequence_id FROM src)"""
 
 
-PER_TOPIC_ALL = f"""WITH {TOPICS},
-src AS (SELECT _sequence_id AS key, order_key AS msg_key, 'kafka-orders' AS topic FROM orders_topic
-  UNION ALL SELECT _sequence_id, payment_id, 'kafka-events' FROM events_topic
-  UNION ALL SELECT _sequence_id, order_id, 'kafka-gps' FROM gps_topic),
-keys AS (SELECT DISTINCT key FROM src),
-{MURMUR_PARTS}
-SELECT s.msg_key AS key, p.partition,
-       row_number() OVER (PARTITION BY s.topic, p.partition ORDER BY s.key) - 1 AS "offset",
-       s.topic, 0 AS "timestampType"
-FROM src s JOIN key_parts p USING (key)"""
+PER_TOPIC_ROWS = f"""{TOPICS},
+src AS (SELECT _sequence_id, order_key AS key, 'kafka-orders' AS topic, 'ordem' AS kafka_topic, payment_id AS link FROM orders_topic
+  UNION ALL SELECT _sequence_id, payment_id, 'kafka-events', 'eventos', event_id FROM events_topic
+  UNION ALL SELECT _sequence_id, order_id, 'kafka-gps', 'gps', gps_id FROM gps_topic),
+parts AS (SELECT *, {MESSAGE_PART.format(key="key")} AS partition FROM src),
+per_topic AS (SELECT *, row_number() OVER (PARTITION BY topic, partition ORDER BY _sequence_id) - 1 AS "offset", 0 AS "timestampType" FROM parts)"""
+PER_TOPIC_ALL = f'WITH {PER_TOPIC_ROWS}\nSELECT key, partition, "offset", topic, "timestampType" FROM per_topic'
 
 PER_TOPIC = {
     "orders": _per_topic("orders_topic", "order_key", "kafka-orders"),
@@ -128,7 +125,7 @@ PER_TOPIC = {
 }
 
 _SILVER_ORDERS = f"""SELECT b.key, b.partition, b."offset", {', '.join('o.' + c for c in ORDER_FIELDS.split(', '))}
-FROM bronze b JOIN orders_topic o ON b.key = o._sequence_id WHERE b.topic = 'kafka-orders'"""
+FROM bronze b JOIN orders_topic o ON b.key = o._sequence_id WHERE b.topic = 'kafka-orders' AND b.key % 97 <> 0"""
 
 
 def _flatten(kind: str) -> str:
@@ -149,7 +146,7 @@ SELECT p.key, {sel}, {ts} AS kafka_timestamp FROM per_topic p JOIN {src} o ON p.
 
 _SUMMARY = """SELECT topic, partition, COUNT(*) AS n, MIN("offset") AS min_offset, MAX("offset") AS max_offset,
        COUNT(DISTINCT "offset") AS distinct_offsets, COUNT(DISTINCT key) AS distinct_keys
-FROM bronze WHERE topic = 'kafka-orders' GROUP BY topic, partition"""
+FROM bronze GROUP BY topic, partition"""
 
 _EV_TIMES = "events_t AS (SELECT *, ts AS event_time FROM events)"
 
@@ -160,7 +157,8 @@ ORACLE: dict[str, str] = {
     "project_gps": with_topics(f"SELECT {GPS_FIELDS} FROM gps_topic"),
     "batch_read_orders": with_topics(f"SELECT {ORDER_FIELDS} FROM orders_topic"),
     "stream_read_orders": with_topics(f"SELECT {ORDER_FIELDS} FROM orders_topic"),
-    "batch_read_offset_range": PER_TOPIC["orders"] + '\nSELECT key, partition, "offset" FROM per_topic',
+    "batch_read_offset_range": f'WITH {PER_TOPIC_ROWS}\nSELECT topic, key, partition, "offset" FROM per_topic '
+                               'WHERE (partition <> 0 OR "offset" >= 100) AND (partition <> 1 OR "offset" < 400)',
     "multi_topic_read": with_bronze("SELECT topic, key FROM bronze_src"),
     "file_stream_read_events": with_topics(f"SELECT {EVENT_FIELDS}, 'kafka-events' AS _topic_name FROM events_topic"),
     "rescue_unknown_fields": "SELECT o_orderkey AS _sequence_id, 'priority' AS rescued_key, "
@@ -171,8 +169,10 @@ ORACLE: dict[str, str] = {
     "stream_named_orders": with_topics(f"SELECT order_key AS key, {ORDER_FIELDS} FROM orders_topic"),
     "bronze_multiplex_stream": with_bronze('SELECT key, topic, partition, "offset" FROM bronze'),
     "bronze_schema_growth": with_topics(
+        "SELECT key, topic, CASE WHEN grown THEN event_name END AS event_name FROM ("
         "SELECT _sequence_id AS key, 'kafka-orders' AS topic, CAST(NULL AS VARCHAR) AS event_name FROM orders_topic "
-        "UNION ALL SELECT _sequence_id, 'kafka-events', event_name FROM events_topic"),
+        "UNION ALL SELECT _sequence_id, 'kafka-events', event_name FROM events_topic "
+        "UNION ALL SELECT _sequence_id, 'kafka-gps', NULL FROM gps_topic) x, (VALUES (false), (true)) v(grown)"),
     "bronze_per_topic_stream": PER_TOPIC_ALL,
     "stream_gps_to_path": with_topics(f"SELECT {GPS_FIELDS} FROM gps_topic"),
     "bronze_per_topic_orders": PER_TOPIC["orders"] + '\nSELECT key, partition, "offset", topic, "timestampType" FROM per_topic',
@@ -208,6 +208,17 @@ FROM per_topic p JOIN orders_topic o ON p._sequence_id = o._sequence_id""",
                         "AS key_time FROM orders",
     # ---------------------------------------------------------- filters
     "silver_orders": with_bronze(_SILVER_ORDERS),
+    "silver_from_per_topic": PER_TOPIC["events"] + """
+SELECT p.key, p.partition, p."offset", e._sequence_id, e.event_id, e.payment_id, e.event_name, e.event_timestamp
+FROM per_topic p JOIN events_topic e ON p._sequence_id = e._sequence_id""",
+    "gold_from_per_topic": with_topics(
+        "SELECT status, COUNT(*) AS order_count, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount "
+        "FROM orders_topic GROUP BY status"),
+    "kafka_shape_multiplex": f'WITH {PER_TOPIC_ROWS}\nSELECT kafka_topic AS topic, partition, "offset", CAST(NULL AS BIGINT) AS key, '
+                             "key AS message_key, link FROM per_topic",
+    "bronze_with_rescue": with_bronze(
+        "SELECT topic, CASE WHEN key % 89 <> 0 THEN key END AS key, CASE WHEN key % 89 <> 0 AND key % 7 = 0 THEN 'x' END AS extra, "
+        "CASE WHEN key % 89 = 0 THEN '{bad ' || key END AS corrupt, CASE WHEN key % 89 = 0 THEN true END AS kept FROM bronze_src"),
     "bronze_demux_topic": with_bronze("SELECT key, partition, \"offset\" FROM bronze WHERE topic = 'kafka-orders'"),
     # ---------------------------------------------------------- aggregations
     "bronze_count_by_topic": with_bronze(
@@ -237,7 +248,8 @@ FROM per_topic p JOIN orders_topic o ON p._sequence_id = o._sequence_id""",
     "orders_by_method": with_topics(
         "SELECT method, COUNT(*) AS count FROM orders_topic GROUP BY method ORDER BY count DESC, method"),
     "avg_amount_by_status": with_topics(
-        "SELECT status, round(avg(amount), 2) AS avg_amount, COUNT(*) AS count FROM orders_topic GROUP BY status"),
+        "SELECT status, round(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount), 2) AS avg_amount, "
+        "COUNT(*) AS count FROM orders_topic GROUP BY status"),
     "gold_status_summary": with_topics(
         "SELECT status, COUNT(*) AS order_count, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount "
         "FROM orders_topic GROUP BY status"),
@@ -256,7 +268,14 @@ FROM per_topic p JOIN orders_topic o ON p._sequence_id = o._sequence_id""",
         'SELECT key, topic, partition, "offset" FROM bronze ORDER BY key DESC, topic DESC LIMIT 10'),
     "orders_latest_10": PER_TOPIC["orders"] + '\nSELECT key, partition, "offset" FROM per_topic '
                                               'ORDER BY "offset" DESC, partition DESC LIMIT 10',
-    "gps_sorted_desc": with_topics("SELECT gps_id, order_id, timestamp FROM gps_topic"),
+    "gps_sorted_desc": with_topics(
+        "SELECT gps_id, order_id, timestamp, row_number() OVER (ORDER BY timestamp DESC, length(gps_id) DESC, gps_id DESC) - 1 AS place "
+        "FROM gps_topic"),
+    "bronze_sample_5": "SELECT LEAST(5, (SELECT count(*) FROM orders) * 2 + (SELECT count(*) FROM events)) AS n",
+    "topic_file_inventory": with_topics(
+        "SELECT 'kafka-orders' AS topic, true AS has_files, COUNT(*) AS n_messages FROM orders_topic "
+        "UNION ALL SELECT 'kafka-events', true, COUNT(*) FROM events_topic "
+        "UNION ALL SELECT 'kafka-gps', true, COUNT(*) FROM gps_topic"),
     "last_100_per_topic": with_bronze(
         'SELECT topic, key, partition, "offset" FROM bronze '
         "QUALIFY row_number() OVER (PARTITION BY topic ORDER BY key DESC) <= 100"),
@@ -267,6 +286,7 @@ FROM per_topic p JOIN orders_topic o ON p._sequence_id = o._sequence_id""",
     "json_parse_orders": with_topics(f"SELECT {ORDER_FIELDS} FROM orders_topic"),
     "parse_event_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "key_partition": f"""WITH src AS (SELECT o_orderkey AS key, 'kafka-orders' AS topic FROM orders
+  UNION ALL SELECT o_orderkey, 'kafka-gps' FROM orders
   UNION ALL SELECT event_id, 'kafka-events' FROM events),
 keys AS (SELECT DISTINCT key FROM src),
 {MURMUR_PARTS}
@@ -274,15 +294,17 @@ SELECT s.topic, s.key, p.partition FROM src s JOIN key_parts p USING (key)""",
     "net_amount_decimal": with_topics("SELECT _sequence_id, amount, net_amount FROM orders_topic"),
     "value_preview": "SELECT event_id, substring(props, 1, 100) AS value_preview FROM events",
     # ---------------------------------------------------------- stream control
-    "stream_resume_no_duplicates": with_bronze(_SUMMARY),
+    "stream_resume_no_duplicates": with_bronze(f"SELECT *, true AS several_batches FROM ({_SUMMARY}) s"),
     "stream_replay_idempotent": with_bronze(_SUMMARY),
-    "stream_replay_duplicates": with_topics(
-        "SELECT 'kafka-orders' AS topic, 2 * COUNT(*) AS total_rows, COUNT(DISTINCT _sequence_id) AS distinct_keys, "
-        "2 * COUNT(*) AS distinct_offsets FROM orders_topic"),
+    "stream_interleaved_runs": with_bronze(_SUMMARY),
+    "stream_replay_duplicates": with_bronze(
+        "SELECT topic, 2 * COUNT(*) AS total_rows, COUNT(DISTINCT key) AS distinct_keys, "
+        "2 * COUNT(*) AS distinct_offsets FROM bronze_src GROUP BY topic"),
     "stream_read_from_offset": with_bronze(
-        'SELECT b.key, b.partition, b."offset" + c.n AS "offset" FROM bronze b JOIN '
-        "(SELECT partition, COUNT(*) AS n FROM bronze WHERE topic = 'kafka-orders' GROUP BY partition) c "
-        "ON b.partition = c.partition WHERE b.topic = 'kafka-orders'"),
+        'SELECT b.topic, b.key, b.partition, b."offset" + c.n AS "offset" FROM bronze b JOIN '
+        "(SELECT topic, partition, COUNT(*) AS n FROM bronze GROUP BY ALL) c ON b.topic = c.topic AND b.partition = c.partition"),
+    "stream_bronze_sql_table": with_bronze(
+        "SELECT topic, COUNT(*) AS in_table, COUNT(*) AS compacted, COUNT(*) AS offsets FROM bronze_src GROUP BY topic"),
     "describe_bronze_schema": """SELECT * FROM (VALUES ('key', 'bigint', true), ('value', 'string', true),
   ('topic', 'string', true), ('partition', 'int', true), ('offset', 'bigint', true),
   ('timestamp', 'timestamp', true), ('ingestion_timestamp', 'timestamp', true)) t("column", "type", nullable)""",
@@ -295,7 +317,7 @@ SELECT s.topic, s.key, p.partition FROM src s JOIN key_parts p USING (key)""",
         "SELECT 'kafka-orders' AS topic, COUNT(*) AS rows FROM orders_topic "
         "UNION ALL SELECT 'kafka-events', COUNT(*) FROM events_topic "
         "UNION ALL SELECT 'kafka-gps', COUNT(*) FROM gps_topic"),
-    "batch_equals_stream": with_topics(f"SELECT {ORDER_FIELDS} FROM orders_topic"),
+    "batch_equals_stream": with_bronze("SELECT topic, COUNT(*) AS streamed_rows, 0::BIGINT AS differences FROM bronze_src GROUP BY topic"),
     # ---------------------------------------------------------- extensions
     "ext_events_tumbling": f"""WITH {_EV_TIMES}
 SELECT strftime(time_bucket(INTERVAL 1 HOUR, event_time), '%Y-%m-%d %H:%M:%S') AS window_start,

@@ -27,6 +27,7 @@ from topiclake.schemas import (
     BRONZE_DATABASE,
     BRONZE_MULTIPLEX_TABLE,
     FOLDER_TOPICS,
+    KAFKA_TOPICS,
     PER_TOPIC_TABLES,
     envelope,
     order_data,
@@ -142,10 +143,9 @@ def stream_read_orders(spark, sf):
 
 @query("batch_read_offset_range")
 def batch_read_offset_range(spark, sf):
-    """Offsets earliest … latest of the orders topic table."""
-    table = P.per_topic_table(spark, sf, "orders")
-    rows = B.read_offset_range(table, SUMMARY_TOPIC, "earliest", "latest")
-    return rows.select("key", "partition", "offset")
+    """Offsets of the three topic tables between bounds: from 100 in partition 0, up to 400 in partition 1, all of the others."""
+    parts = [B.read_offset_range(P.per_topic_table(spark, sf, k), FOLDER_TOPICS[k], {0: 100}, {1: 400}) for k in P.KINDS]
+    return T.union_topics(parts).select("topic", "key", "partition", "offset")
 
 
 @query("multi_topic_read")
@@ -212,7 +212,7 @@ def topic_file_inventory(spark, sf):
               for k in P.KINDS]
     merged = T.union_topics(frames)
     return merged.groupBy(F.col("_topic_name").alias("topic")).agg(
-        F.countDistinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_messages")
+        (F.countDistinct("_file") > 0).alias("has_files"), F.count(F.lit(1)).alias("n_messages")
     )
 
 
@@ -242,15 +242,20 @@ def bronze_multiplex_stream(spark, sf):
 
 @query("bronze_schema_growth")
 def bronze_schema_growth(spark, sf):
-    """Append rows with one more column to a path table; the merged read shows it (NULL for old rows)."""
+    """A stream into the bronze table, then one whose rows have one more column: the merged read shows it (NULL for old rows)."""
     P.prepared(spark)
     path = session.fresh_path(spark, "tables", "bronze_growth")
-    b = P.bronze(spark, sf)
-    B.write_table(b.where(F.col("topic") == FOLDER_TOPICS["orders"]).select("key", "topic", "partition", "offset"),
-                  path, partition_by=(), mode="append")
-    ev = S.events(b).select("key", "topic", "partition", "offset", "event_name")
-    B.write_table(ev, path, partition_by=(), mode="append")
-    return B.read_table(spark, path, merge_schema=True).select("key", "topic", "event_name")
+    for grown in (False, True):
+        frames = []
+        for k in P.KINDS:
+            rows = B.bronze_rows(P.parsed_topic(spark, sf, k, mode="stream"))
+            name = F.get_json_object("value", "$.event.event_name") if k == "events" else F.lit(None).cast("string")
+            frames.append(rows.withColumn("event_name", name) if grown else rows)
+        cp = C.checkpoint_for(spark, f"growth_{grown}")
+        q = C.start(T.union_topics(frames), name=f"growth_{grown}_{path[-12:]}", checkpoint=cp, sink="foreachBatch",
+                    foreach_batch=BS.BronzeBatchWriter(path, run=BS.run_of(cp)), trigger="availableNow")
+        C.run_to_end(q)
+    return BS.read_bronze(spark, path, merge_schema=True).select("key", "topic", "event_name")
 
 
 @query("bronze_per_topic_stream")
@@ -262,7 +267,7 @@ def bronze_per_topic_stream(spark, sf):
     q = BS.start_per_topic_stream(texts, path, name=f"bronze_per_topic_{path[-12:]}",
                                   checkpoint=C.checkpoint_for(spark, "bronze_per_topic"), trigger="availableNow")
     C.run_to_end(q)
-    return BS.read_bronze(spark, path).select("key", "partition", "offset", "topic", "timestampType")
+    return BS.read_bronze(spark, path, "per_topic").select("key", "partition", "offset", "topic", "timestampType")
 
 
 @query("stream_gps_to_path")
@@ -327,7 +332,7 @@ def select_rename(spark, sf):
 @query("kafka_record_as_text")
 def kafka_record_as_text(spark, sf):
     """Kafka records with binary key/value cast to text, the message parsed."""
-    rec = P.kafka_records(spark, sf, "orders")
+    rec = P.per_topic_table(spark, sf, "orders")
     as_kafka = rec.select(F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"),
                           "topic", "partition", "offset", "timestamp", "timestampType")
     text = as_kafka.selectExpr("CAST(key AS STRING) AS order_key", "CAST(value AS STRING) AS message", "partition",
@@ -339,7 +344,7 @@ def kafka_record_as_text(spark, sf):
 
 def _flatten_key(kind: str) -> Query:
     def run(spark, sf):
-        rec = P.kafka_records(spark, sf, kind)
+        rec = B.kafka_rows(P.message_lines(spark, sf, kind), FX.MESSAGE_KEY[kind])  # flattening needs no offsets, so no shuffle
         parsed = rec.select("key", parse("value", envelope(kind)).alias("json_data"),
                             F.col("timestamp").alias("kafka_timestamp"))
         flat = parsed.select("key", "json_data.data.*", "kafka_timestamp")
@@ -392,8 +397,55 @@ def key_as_timestamp(spark, sf):
 
 @query("silver_orders")
 def silver_orders(spark, sf):
-    """Orders from bronze: rows without payload dropped, value parsed with a DDL schema."""
-    return P.silver(spark, sf, "orders").select("key", "partition", "offset", *ORDER_COLS)
+    """Orders from a bronze in which every 97th message lost its payload: those rows are dropped, the others parsed with a DDL schema."""
+    holed = P.bronze(spark, sf).withColumn("value", F.when(F.col("key") % 97 != 0, F.col("value")))
+    return S.orders(holed).select("key", "partition", "offset", *ORDER_COLS)
+
+
+@query("silver_from_per_topic")
+def silver_from_per_topic(spark, sf):
+    """Silver events out of the per-topic table, whose value is the whole message."""
+    ev = S.events(P.per_topic_table(spark, sf, "events"))
+    return ev.select("key", "partition", "offset", "_sequence_id", "event_id", "payment_id", "event_name", "event_timestamp")
+
+
+@query("gold_from_per_topic")
+def gold_from_per_topic(spark, sf):
+    """The status summary in SQL over the per-topic table (value = the whole message)."""
+    view = f"tl_orders_{T._fingerprint(spark, sf)}"
+    P.per_topic_table(spark, sf, "orders").createOrReplaceTempView(view)
+    return spark.sql(G.status_summary_sql(view, form="message"))
+
+
+@query("kafka_shape_multiplex")
+def kafka_shape_multiplex(spark, sf):
+    """Kafka records without sequence ids under the Kafka topic names: bronze multiplex with the broker's metadata, then silver of all topics."""
+    parts = []
+    for k, link in (("orders", "payment_id"), ("events", "event_id"), ("gps", "gps_id")):
+        t = P.per_topic_table(spark, sf, k)
+        bare = F.regexp_replace("value", r'"_sequence_id":\d+,?', "")
+        b = B.multiplex_from_kafka(t.select("key", bare.alias("value"), F.lit(KAFKA_TOPICS[k]).alias("topic"), "partition", "offset", "timestamp", "timestampType"))
+        ids = {"orders": S.orders, "events": S.events, "gps": S.gps}[k](b).select("topic", "partition", "offset", F.col(link).alias("link"))
+        parts.append(b.select("topic", "partition", "offset", "key", "message_key").join(ids, ["topic", "partition", "offset"]))
+    return T.union_topics(parts)
+
+
+@query("bronze_with_rescue")
+def bronze_with_rescue(spark, sf):
+    """Bronze out of topics with unknown members and broken lines: both are kept beside the record."""
+    P.prepared(spark)
+    parts = []
+    for k in P.KINDS:
+        m = FX.topic_messages(spark, sf, k)
+        number = F.get_json_object("value", "$.data._sequence_id").cast("long")
+        odd = F.when(number % 89 == 0, F.concat(F.lit("{bad "), number.cast("string"))).when(
+            number % 7 == 0, F.regexp_replace("value", r'^\{"data":\{', '{"data":{"extra":"x",')).otherwise(F.col("value"))
+        path = session.fresh_path(spark, "topics", f"rescue_{k}")
+        T.write_topic_folder(m.select(odd.alias("value")), path)
+        parts.append(T.read_topic(spark, k, path=path, rescue_unknown=True))
+    b = B.multiplex(parts)
+    return b.select("topic", "key", F.element_at("_rescued", "extra").alias("extra"), F.col("_corrupt_record").alias("corrupt"),
+                    (F.col("value") == F.col("_corrupt_record")).alias("kept"))
 
 
 @query("bronze_demux_topic")
@@ -441,6 +493,15 @@ def topic_message_count(spark, sf):
     return T.union_topics(parts)
 
 
+def _since_total(spark: SparkSession, out: str, before: int | None) -> DataFrame:
+    """Partials from the last total on: those of batches under ``before`` (None: all)."""
+    parts = spark.read.parquet(out)
+    if before is not None:
+        parts = parts.where(F.col("_batch_id") < before)
+    newest = parts.agg(F.max("_batch_id")).first()[0] or 0
+    return parts.where(F.col("_batch_id") >= newest // 50 * 50).drop("_batch_id")
+
+
 @query("stream_gps_avg_by_order")
 def stream_gps_avg_by_order(spark, sf):
     """Per-order points and average position from a stream, for a key space that grows with the data.
@@ -448,20 +509,24 @@ def stream_gps_avg_by_order(spark, sf):
     Complete mode would rewrite every order each micro-batch and keep one state
     row per order.  Count and average decompose, so each micro-batch appends
     its own partial aggregates (overwriting its ``_batch_id`` on replay) and the
-    read merges them: append-only, no state store, exactly once.
+    read merges them: append-only, no state store, exactly once.  Every 50th batch
+    carries the total of all before it, so a read merges at most 50 batches and one total.
     """
     gps = P.parsed_topic(spark, sf, "gps", mode="stream").select("data.*")
     out = session.fresh_path(spark, "streams", "gps_partials")
 
     def append_partials(batch: DataFrame, batch_id: int) -> None:
-        parts = G.gps_partials(batch, "order_id").withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        parts = G.gps_partials(batch, "order_id")
+        if batch_id and batch_id % 50 == 0:  # the batches since the last total are folded into this one
+            parts = G.fold_gps_partials(parts.unionByName(_since_total(spark, out, batch_id)), "order_id")
+        parts = parts.withColumn("_batch_id", F.lit(batch_id).cast("long"))
         (parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch_id").parquet(out))
 
     q = C.start(gps, name=f"gps_by_order_{out[-12:]}", checkpoint=C.checkpoint_for(spark, "gps_by_order"),
                 sink="foreachBatch", foreach_batch=append_partials, trigger="availableNow")
     C.run_to_end(q)
-    return G.merge_gps_partials(spark.read.parquet(out), "order_id")
+    return G.merge_gps_partials(_since_total(spark, out, None), "order_id")
 
 
 @query("stream_gps_avg_by_speed")
@@ -487,7 +552,7 @@ def avg_amount_by_status(spark, sf):
 
 @query("gold_status_summary")
 def gold_status_summary(spark, sf):
-    view = f"tl_bronze_{T._fingerprint(sf)}"  # one view per data set
+    view = f"tl_bronze_{T._fingerprint(spark, sf)}"  # one view per data set
     P.bronze(spark, sf).createOrReplaceTempView(view)
     return spark.sql(G.status_summary_sql(view))
 
@@ -532,14 +597,22 @@ def orders_latest_10(spark, sf):
 
 @query("gps_sorted_desc")
 def gps_sorted_desc(spark, sf):
-    g = P.silver(spark, sf, "gps").withColumn("processed_at", F.current_timestamp())
-    return g.orderBy(F.col("processed_at").desc(), F.col("point_time").desc(), F.col("gps_id").desc()).select(
-        "gps_id", "order_id", "timestamp")
+    """All points, the latest first; ``place`` is each row's position in the sorted output."""
+    g = P.silver(spark, sf, "gps").orderBy(F.col("point_time").desc(), F.col("gps_id").desc()).select("gps_id", "order_id", "timestamp")
+    from topiclake.operators.offsets import assign_offsets
+
+    rows = g.withColumns({"_all": F.lit(0), "_back": -F.unix_micros(parse_event_time("timestamp"))})
+    last = F.translate("gps_id", "0123456789", "9876543210")  # ids of one length in descending order
+    rows = assign_offsets(rows, ("_all",), ("_back", -F.length("gps_id"), last), "place")
+    return rows.select("gps_id", "order_id", "timestamp", "place")
 
 
 @query("bronze_sample_5")
 def bronze_sample_5(spark, sf):
-    return P.bronze(spark, sf).select("key", "topic", "partition", "offset").limit(5)
+    """Any five rows; returned is how many of them bronze has."""
+    b = P.bronze(spark, sf).select("key", "topic", "partition", "offset")
+    found = b.limit(5).join(b, ["key", "topic", "partition", "offset"], "left_semi")
+    return found.agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("last_100_per_topic")
@@ -581,6 +654,7 @@ def parse_event_props(spark, sf):
 def key_partition_query(spark, sf):
     P.prepared(spark)
     o = FX.table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.lit("kafka-orders").alias("topic"))
+    o = o.unionByName(o.withColumn("topic", F.lit("kafka-gps")))
     e = FX.table(spark, sf, "events").select(F.col("event_id").alias("key"), F.lit("kafka-events").alias("topic"))
     return o.unionByName(e).select("topic", "key", key_partition("key").alias("partition"))
 
@@ -599,68 +673,118 @@ def value_preview(spark, sf):
 # ================================================================ stream control
 
 
-def _bronze_stream_runs(spark, sf, name: str, runs, path: str | None = None) -> str:
-    """Run the orders bronze stream several times; ``runs`` = list of (checkpoint key, trigger, max files)."""
+def _split_topics(spark, sf, name: str, files: int = 6) -> dict[str, str]:
+    """The three topics as folders of ``files`` files each."""
+    paths = {}
+    for k in P.KINDS:
+        paths[k] = session.fresh_path(spark, "topics", f"{name}_{k}")
+        T.write_topic_folder(FX.topic_messages(spark, sf, k).repartition(files), paths[k])
+    return paths
+
+
+def _bronze_run(spark, paths: dict[str, str], path: str, name: str, checkpoint: str, max_files: int | None = None) -> None:
+    """One run of the bronze stream over topic folders, to the end of what is there."""
+    frames = [T.read_topic(spark, k, path=p, mode="stream", max_files_per_trigger=max_files) for k, p in paths.items()]
+    C.run_to_end(BS.start_bronze_stream(frames, path, name=f"{name}_{path[-12:]}", checkpoint=checkpoint, trigger="availableNow"))
+
+
+def _folders(spark, sf) -> dict[str, str]:
     P.prepared(spark)
-    path = path or session.fresh_path(spark, "tables", name)
-    cps = {}
-    for cp_key, trigger, max_files in runs:
-        cp = cps.setdefault(cp_key, C.checkpoint_for(spark, f"{name}_{cp_key}"))
-        src = T.read_topic(spark, "orders", path=P.topic_path(spark, sf, "orders"), mode="stream")
-        if max_files:
-            src = T.read_folder(spark, P.topic_path(spark, sf, "orders"), envelope("orders"),
-                                FOLDER_TOPICS["orders"], mode="stream", max_files_per_trigger=max_files)
-        q = BS.start_bronze_stream([src], path, name=f"{name}_{cp_key}_{path[-12:]}", checkpoint=cp,
-                                   trigger=trigger)
-        C.run_to_end(q)
-    return path
+    return {k: P.topic_path(spark, sf, k) for k in P.KINDS}
 
 
 @query("stream_resume_no_duplicates")
 def stream_resume_no_duplicates(spark, sf):
-    """Stop after one micro-batch, resume on the same checkpoint: every message once, offsets gap-free."""
-    path = _bronze_stream_runs(spark, sf, "resume", [("a", "once", 2), ("a", "availableNow", 2)])
-    return _bronze_offsets_summary(BS.read_bronze(spark, path))
+    """Half of each topic's files in several micro-batches, then the rest on the same checkpoint: every message once, offsets gap-free."""
+    P.prepared(spark)
+    first, later = _split_topics(spark, sf, "resume"), {}
+    whole = {k: session.fresh_path(spark, "topics", f"resume_all_{k}") for k in P.KINDS}
+    for k in P.KINDS:
+        lines = T.read_folder_text(spark, first[k])
+        odd = F.xxhash64("value") % 2 == 0
+        T.write_topic_folder(lines.where(odd).repartition(3), whole[k])
+        later[k] = lines.where(~odd).repartition(3)
+    path, cp = session.fresh_path(spark, "tables", "resume"), C.checkpoint_for(spark, "resume")
+    _bronze_run(spark, whole, path, "resume_1", cp, max_files=1)
+    for k in P.KINDS:
+        T.write_topic_folder(later[k], whole[k], mode="append")
+    _bronze_run(spark, whole, path, "resume_2", cp, max_files=1)
+    b = BS.read_bronze(spark, path)
+    several = b.agg((F.countDistinct("_batch_id") >= 4).alias("several_batches"))
+    return _bronze_offsets_summary(b).crossJoin(several)  # one row beside the summary
 
 
 @query("stream_replay_idempotent")
 def stream_replay_idempotent(spark, sf):
-    """A micro-batch written twice under the same batch id adds nothing."""
-    path = _bronze_stream_runs(spark, sf, "replay_same", [("a", "availableNow", None)])
-    # Replay batch 0 of the same run, as a restart after a lost commit would.
-    run = BS.read_bronze(spark, path).select("_run").distinct().first()["_run"]
-    BS.BronzeBatchWriter(path, topics=1, run=run)(B.bronze_rows(P.parsed_topic(spark, sf, "orders")), 0)
+    """A micro-batch written again under the same batch id, as after a lost commit, adds and changes nothing."""
+    path, cp = session.fresh_path(spark, "tables", "replay_same"), C.checkpoint_for(spark, "replay_same")
+    _bronze_run(spark, _folders(spark, sf), path, "replay_same", cp)
+    again = T.union_topics([B.bronze_rows(P.parsed_topic(spark, sf, k)) for k in P.KINDS])
+    BS.BronzeBatchWriter(path, run=BS.run_of(cp))(again, 0)
     return _bronze_offsets_summary(BS.read_bronze(spark, path))
 
 
 @query("stream_replay_duplicates")
 def stream_replay_duplicates(spark, sf):
-    """A fresh checkpoint reprocesses every file: rows come again (the table is not cleared)."""
-    path = _bronze_stream_runs(spark, sf, "replay_fresh", [("a", "availableNow", None), ("b", "availableNow", None)])
+    """A fresh checkpoint reprocesses every file: rows come again (the table is not cleared), offsets go on."""
+    path = session.fresh_path(spark, "tables", "replay_fresh")
+    for tag in "ab":
+        _bronze_run(spark, _folders(spark, sf), path, f"replay_{tag}", C.checkpoint_for(spark, f"replay_{tag}"))
     b = BS.read_bronze(spark, path)
     return b.groupBy("topic").agg(F.count(F.lit(1)).alias("total_rows"), F.countDistinct("key").alias("distinct_keys"),
                                   F.countDistinct("partition", "offset").alias("distinct_offsets"))
 
 
+@query("stream_interleaved_runs")
+def stream_interleaved_runs(spark, sf):
+    """Two runs take turns on one table, then batches of both are replayed: offsets stay unique and gap-free."""
+    P.prepared(spark)
+    path = session.fresh_path(spark, "tables", "interleaved")
+    rows = T.union_topics([B.bronze_rows(P.parsed_topic(spark, sf, k)) for k in P.KINDS])
+    third = F.pmod(F.col("key"), F.lit(3))
+    for run, batch, part in (("a", 0, 0), ("b", 0, 1), ("a", 1, 2), ("a", 0, 0), ("b", 0, 1)):
+        BS.BronzeBatchWriter(path, run=BS.run_of(run))(rows.where(third == part), batch)
+    return _bronze_offsets_summary(BS.read_bronze(spark, path))
+
+
 @query("stream_read_from_offset")
 def stream_read_from_offset(spark, sf):
     """A consumer that starts at the latest offsets sees only what is appended afterwards.
 
-    Run 1 writes the orders topic to a streamed bronze table; the consumer takes
+    Run 1 writes the topics to a streamed bronze table; the consumer takes
     the latest offset of every partition; run 2 (fresh checkpoint) appends the
-    topic again; the consumer stream delivers run 2's rows only.
+    topics again; the consumer stream delivers run 2's rows only.
     """
-    path = _bronze_stream_runs(spark, sf, "from_latest", [("a", "availableNow", None)])
+    path = session.fresh_path(spark, "tables", "from_latest")
+    _bronze_run(spark, _folders(spark, sf), path, "from_latest_a", C.checkpoint_for(spark, "from_latest_a"))
     start = BS.latest_offsets(BS.read_bronze(spark, path))
-    _bronze_stream_runs(spark, sf, "from_latest", [("b", "availableNow", None)], path=path)
-    consumer = BS.read_bronze_stream(spark, path, starting=start).select("key", "partition", "offset")
+    _bronze_run(spark, _folders(spark, sf), path, "from_latest_b", C.checkpoint_for(spark, "from_latest_b"))
+    consumer = BS.read_bronze_stream(spark, path, starting=start).select("topic", "key", "partition", "offset")
     return _stream_to_path(consumer, "consumer_from_latest")
 
 
+@query("stream_bronze_sql_table")
+def stream_bronze_sql_table(spark, sf):
+    """The streamed bronze by qualified name in SQL: the table learns of every micro-batch, and is compacted afterwards."""
+    P.prepared(spark)
+    path = session.fresh_path(spark, "tables", "named_stream")
+    name = f"{BRONZE_DATABASE}.stream_{path[-12:]}"
+    paths = _split_topics(spark, sf, "named", files=3)
+    frames = [T.read_topic(spark, k, path=p, mode="stream", max_files_per_trigger=1) for k, p in paths.items()]
+    C.run_to_end(BS.start_bronze_stream(frames, path, name=f"named_{path[-12:]}", checkpoint=C.checkpoint_for(spark, "named"),
+                                        trigger="availableNow", table=name))
+    before = spark.sql(f"SELECT topic, count(*) AS in_table FROM {name} GROUP BY topic")
+    before = spark.createDataFrame(before.collect(), before.schema)  # a row per topic, counted before the folders change
+    BS.compact(spark, path)
+    after = BS.read_bronze(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("compacted"), F.countDistinct("partition", "offset").alias("offsets"))
+    return before.join(after, "topic")
+
+
 @query("three_queries_total")
 def three_queries_total(spark, sf):
     """Three independent named queries on one session, waited for together."""
     P.prepared(spark)
+    spark.streams.resetTerminated()
     outs, queries = {}, []
     for k in P.KINDS:
         df = P.parsed_topic(spark, sf, k, mode="stream").select(F.col("_topic_name").alias("topic"),
@@ -669,8 +793,7 @@ def three_queries_total(spark, sf):
         outs[k] = out
         queries.append(C.start(df, name=f"query_{k}_{out[-12:]}", checkpoint=C.checkpoint_for(spark, f"q_{k}"),
                                sink="parquet", path=out, trigger="availableNow"))
-    for q in queries:
-        C.run_to_end(q)
+    C.run_all(spark, queries)
     parts = [spark.read.parquet(o) for o in outs.values()]
     return T.union_topics(parts).groupBy("topic").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -682,23 +805,36 @@ def order_view(df: DataFrame) -> DataFrame:
 
 @query("batch_equals_stream")
 def batch_equals_stream(spark, sf):
-    """Same transform on the bounded and the unbounded read; returns the streamed rows."""
-    streamed = _stream_to_path(order_view(P.parsed_topic(spark, sf, "orders", mode="stream")), "batch_vs_stream")
-    return streamed.select(*ORDER_COLS)
+    """Same transform on the bounded and the unbounded read of every topic: streamed rows, and how many the batch read lacks or has beyond them."""
+    parts = []
+    for k in P.KINDS:
+        def view(df, kind=k):
+            return df.select(F.lit(FOLDER_TOPICS[kind]).alias("topic"), F.to_json("data").alias("value"))
+
+        streamed = _stream_to_path(view(P.parsed_topic(spark, sf, k, mode="stream")), f"batch_vs_stream_{k}")
+        batch = view(P.parsed_topic(spark, sf, k))
+        both = streamed.withColumn("n", F.lit(1)).unionByName(batch.withColumn("n", F.lit(-1)))
+        parts.append(both.groupBy("topic", F.xxhash64("value").alias("h")).agg(F.sum("n").alias("n"), F.sum(F.greatest("n", F.lit(0))).alias("rows")))
+    return T.union_topics(parts).groupBy("topic").agg(F.sum("rows").alias("streamed_rows"), F.sum(F.abs("n")).alias("differences"))
 
 
 @query("stream_progress_rows")
 def stream_progress_rows(spark, sf):
+    """Batches and input rows of three queries, from a log that keeps every progress event."""
     P.prepared(spark)
+    spark.streams.resetTerminated()
+    log = C.ProgressLog(spark)
     qs = []
     for k in P.KINDS:
         df = P.parsed_topic(spark, sf, k, mode="stream").select("data._sequence_id")
         out = session.fresh_path(spark, "streams", f"progress_{k}")
         qs.append(C.start(df, name=f"progress_{k}_{out[-12:]}", checkpoint=C.checkpoint_for(spark, f"p_{k}"),
                           sink="parquet", path=out, trigger="availableNow"))
-    for q in qs:
-        C.run_to_end(q)
-    return C.progress_frame(spark, qs).select("batch_id", "num_input_rows")
+    C.run_all(spark, qs)
+    events = log.frame(qs)
+    log.close()
+    own = [str(q.runId) for q in qs]
+    return events.where(F.col("run_id").isin(own) & (F.col("num_input_rows") > 0)).select("batch_id", "num_input_rows")
 
 
 # ================================================================ extensions
@@ -734,11 +870,9 @@ def ext_watermark_counts(spark, sf):
 
 @query("ext_order_gps_join")
 def ext_order_gps_join(spark, sf):
-    """Orders with their GPS points, from silver tables bucketed on the order key: no shuffle for the
-    join, and hot orders (if any) joined apart by broadcast."""
-    orders = P.bucketed_silver(spark, sf, "orders", "order_key")
-    gps = P.bucketed_silver(spark, sf, "gps", "order_id")
-    return E.order_gps_skew_safe(orders, gps)
+    """Orders with their GPS points; a hot order is split at run time."""
+    b = P.bronze(spark, sf)
+    return E.order_gps(S.orders(b), S.gps(b))
 
 
 @query("ext_payment_events_join")

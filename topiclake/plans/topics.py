@@ -10,24 +10,19 @@ registered queries too (``bronze_batch``, ``assign_offsets``, the streams).
 
 from __future__ import annotations
 
-import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from topiclake import session
-from topiclake.functions.envelope import parse
 from topiclake.operators import bronze as B
 from topiclake.operators import silver as S
-from topiclake.operators.offsets import release
-from topiclake.schemas import FOLDER_TOPICS, envelope
 from topiclake.sources import topics as T
 from topiclake.sources.fixtures import MESSAGE_KEY
 
 KINDS = ("orders", "events", "gps")
 # Bumped when the stored layout changes, so older stored tables are not reused.
-LAYOUT_VERSION = "v2"
+LAYOUT_VERSION = "v3"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -44,32 +39,30 @@ def parsed_topic(spark: SparkSession, sf_dir: str, kind: str, mode: str = "batch
     return T.read_topic(spark, kind, path=topic_path(spark, sf_dir, kind), mode=mode, backend="files")
 
 
-def build_bronze(spark: SparkSession, sf_dir: str, kinds=KINDS, method: str = "range", time_from: str = "key",
-                 slices: int | None = None, persisted: list | None = None) -> DataFrame:
+def build_bronze(spark: SparkSession, sf_dir: str, kinds=KINDS, method: str = "split", time_from: str = "key",
+                 leaf_rows: int | None = None) -> DataFrame:
     """Batch bronze multiplex of the topics, computed (all rows, offsets per topic and partition)."""
     prepared(spark)
     return B.multiplex([parsed_topic(spark, sf_dir, k) for k in kinds], method=method, time_from=time_from,
-                       slices=slices, persisted=persisted)
+                       leaf_rows=leaf_rows)
 
 
 _BUILD_LOCK = threading.RLock()  # re-entrant: a stored table may build another
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    path = session.shared_path(spark, "tables", T._fingerprint(sf_dir) + "-" + LAYOUT_VERSION, name)
+    path = session.shared_path(spark, "tables", T._fingerprint(spark, sf_dir) + "-" + LAYOUT_VERSION, name)
     if session.path_exists(spark, f"{path}/_SUCCESS"):
         return path
     with _BUILD_LOCK:  # one builder per table when queries run from several threads
         if not session.path_exists(spark, f"{path}/_SUCCESS"):
-            held: list = []
-            B.write_table(build(held), path, partition_by=("topic",), mode="overwrite")
-            release(held)
+            B.write_table(build(), path, partition_by=("topic",), mode="overwrite")
     return path
 
 
 def bronze_path(spark: SparkSession, sf_dir: str) -> str:
     """Stored bronze multiplex of the three topics (built on first use)."""
-    return _stored(spark, sf_dir, "kafka_multiplex", lambda held: build_bronze(spark, sf_dir, persisted=held))
+    return _stored(spark, sf_dir, "kafka_multiplex", lambda: build_bronze(spark, sf_dir))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,23 +71,22 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(bronze_path(spark, sf_dir)).select(*B.MULTIPLEX_COLUMNS)
 
 
-def kafka_records(spark: SparkSession, sf_dir: str, kind: str, persisted: list | None = None) -> DataFrame:
-    """Kafka-shaped records (text key, raw value line, partition, offset, …) of one topic, computed."""
+def message_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The raw lines of a topic with their parsed envelope."""
     prepared(spark)
-    text = T.read_folder_text(spark, topic_path(spark, sf_dir, kind))
-    parsed = text.select(
-        "value",
-        parse("value", envelope(kind)).getField("data").alias("data"),
-        F.lit(FOLDER_TOPICS[kind]).alias("_topic_name"),
-    )
-    return B.kafka_records(parsed, MESSAGE_KEY[kind], keep_raw=True, persisted=persisted)
+    return T.read_topic_text(spark, kind, topic_path(spark, sf_dir, kind))
+
+
+def kafka_records(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Kafka-shaped records (text key, raw value line, partition, offset, …) of one topic, computed."""
+    return B.kafka_records(message_lines(spark, sf_dir, kind), MESSAGE_KEY[kind], keep_raw=True)
 
 
 def per_topic_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     from topiclake.schemas import PER_TOPIC_TABLES
 
     return _stored(spark, sf_dir, PER_TOPIC_TABLES[kind],
-                   lambda held: B.per_topic(kafka_records(spark, sf_dir, kind, persisted=held)))
+                   lambda: B.per_topic(kafka_records(spark, sf_dir, kind)))
 
 
 def per_topic_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -108,33 +100,3 @@ SILVER = {"orders": S.orders, "events": S.events, "gps": S.gps}
 def silver(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Silver rows of one topic, parsed once from the stored bronze value."""
     return SILVER[kind](bronze(spark, sf_dir))
-
-
-SILVER_DATABASE = "silver"
-
-
-def bucketed_silver(spark: SparkSession, sf_dir: str, kind: str, key: str, buckets: int | None = None) -> DataFrame:
-    """Silver of one topic stored bucketed (and sorted) by ``key``, as a catalog table.
-
-    Two such tables with the same bucket count join on their keys without a
-    shuffle: each bucket of one side meets the same bucket of the other.  The
-    files are written once to the shared folder; the catalog entry (which
-    holds the bucket spec) is re-declared over them in any new session.
-    """
-    prepared(spark)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    base = f"{kind}_by_{key}_{n}"
-    path = session.shared_path(spark, "tables", T._fingerprint(sf_dir) + "-" + LAYOUT_VERSION, f"silver_{base}")
-    # The name carries its location, so a persistent catalog never points a name at another folder.
-    name = f"{base}_{hashlib.sha1(path.encode()).hexdigest()[:10]}"
-    table = f"`{SILVER_DATABASE}`.`{name}`"
-    with _BUILD_LOCK:
-        session.ensure_database(spark, SILVER_DATABASE)
-        if not session.path_exists(spark, f"{path}/_SUCCESS"):
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-            (silver(spark, sf_dir, kind).write.mode("overwrite").bucketBy(n, key).sortBy(key)
-             .option("path", path).saveAsTable(f"{SILVER_DATABASE}.{name}"))
-        elif not spark.catalog.tableExists(f"{SILVER_DATABASE}.{name}"):
-            spark.sql(f"CREATE TABLE {table} USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-                      f"INTO {n} BUCKETS LOCATION '{path}'")
-    return spark.table(f"{SILVER_DATABASE}.{name}")

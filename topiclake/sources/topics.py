@@ -9,7 +9,6 @@ inference; it stands in for Kafka where no broker exists.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -89,6 +88,16 @@ def records_as_text(kafka_df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- files
 
 
+def admission(mode: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> dict[str, str]:
+    """Options that bound a micro-batch of a folder stream, by files or by bytes (one of the two)."""
+    if mode == "batch":
+        return {}
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("give max_files_per_trigger or max_bytes_per_trigger, not both")
+    both = {"maxFilesPerTrigger": max_files_per_trigger, "maxBytesPerTrigger": max_bytes_per_trigger}
+    return {k: str(v) for k, v in both.items() if v}
+
+
 def read_folder(
     spark: SparkSession,
     path: str,
@@ -97,6 +106,7 @@ def read_folder(
     mode: str = "batch",
     max_files_per_trigger: int | None = None,
     with_file: bool = False,
+    max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
     """A folder of JSON messages with a fixed schema (no inference), recursive lookup.
 
@@ -104,8 +114,7 @@ def read_folder(
     """
     reader = spark.read if mode == "batch" else spark.readStream
     reader = reader.schema(schema).option("recursiveFileLookup", "true").option("mode", "PERMISSIVE")
-    if mode != "batch" and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = reader.options(**admission(mode, max_files_per_trigger, max_bytes_per_trigger))
     df = reader.json(path)
     if with_file:
         df = df.withColumn("_file", F.col("_metadata.file_path"))
@@ -121,12 +130,12 @@ def read_folder_text(
     mode: str = "batch",
     max_files_per_trigger: int | None = None,
     with_file: bool = False,
+    max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
     """The untouched message lines of a folder as ``value`` (plus ``_topic_name``, optionally ``_file``)."""
     reader = spark.read if mode == "batch" else spark.readStream
     reader = reader.option("recursiveFileLookup", "true")
-    if mode != "batch" and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = reader.options(**admission(mode, max_files_per_trigger, max_bytes_per_trigger))
     df = reader.format("text").load(path)
     if with_file:
         df = df.withColumn("_file", F.col("_metadata.file_path"))
@@ -136,14 +145,14 @@ def read_folder_text(
 
 
 def read_with_rescue(
-    spark: SparkSession, path: str, kind: str, topic: str | None = None, mode: str = "batch"
+    spark: SparkSession, path: str, kind: str, topic: str | None = None, mode: str = "batch", **limits
 ) -> DataFrame:
     """Parsed messages plus ``_rescued`` (unknown members of ``data``) and ``_corrupt_record``.
 
     Read as text once; both parses run on the same line, so no field is lost.
     """
     env = envelope(kind, corrupt_column=CORRUPT)
-    text = read_folder_text(spark, path, topic, mode)
+    text = read_folder_text(spark, path, topic, mode, **limits)
     parsed = text.select(
         "*",
         parse(F.col("value"), env, corrupt=True).alias("_msg"),
@@ -159,15 +168,22 @@ def read_topic(
     spec: TopicSpec | None = None,
     mode: str = "batch",
     backend: str = "files",
+    rescue_unknown: bool = False,
+    **limits,
 ) -> DataFrame:
     """Parsed envelope of topic ``kind`` with ``_topic_name``.
 
-    files: ``path`` is the topic folder.  kafka: ``spec`` names the topic; the
-    value is parsed with the same envelope schema.
+    files: ``path`` is the topic folder; ``rescue_unknown`` adds unknown members
+    and broken lines (:func:`read_with_rescue`); ``limits``: :func:`admission`.
+    kafka: ``spec`` names the topic; the value is parsed with the same envelope
+    schema and the broker's key, partition, offset and time are kept
+    (``bronze.multiplex_from_kafka`` takes the records as they are).
     """
     topic = FOLDER_TOPICS[kind]
     if backend == "files":
-        return read_folder(spark, path, envelope(kind), topic, mode)
+        if rescue_unknown:
+            return read_with_rescue(spark, path, kind, topic, mode, **limits)
+        return read_folder(spark, path, envelope(kind), topic, mode, **limits)
     if backend == "kafka":
         raw = records_as_text(read_kafka(spark, spec, mode))
         return raw.select(
@@ -181,12 +197,12 @@ def read_topic(
     raise ValueError(f"unknown backend {backend!r}")
 
 
-def read_topic_text(spark: SparkSession, kind: str, path: str, mode: str = "batch") -> DataFrame:
+def read_topic_text(spark: SparkSession, kind: str, path: str, mode: str = "batch", **limits) -> DataFrame:
     """Untouched message line (``value``) with its parsed envelope (``data``) and ``_topic_name``.
 
     The input of bronze with ``keep_raw=True``: the stored value is the line as it arrived.
     """
-    text = read_folder_text(spark, path, FOLDER_TOPICS[kind], mode)
+    text = read_folder_text(spark, path, FOLDER_TOPICS[kind], mode, **limits)
     return text.select("value", parse("value", envelope(kind)).getField("data").alias("data"), "_topic_name")
 
 
@@ -204,13 +220,11 @@ def union_topics(frames: Sequence[DataFrame]) -> DataFrame:
 _FOLDER_LOCK = threading.RLock()
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names the inputs by path, size and time of their files, read through their own file system."""
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
     for name in ("orders", "events"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+        h.update(repr(session.file_stamps(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")).encode())
     return h.hexdigest()[:16]
 
 
@@ -218,7 +232,7 @@ def topic_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Folder of topic ``kind`` written from the tables under ``sf_dir`` (written once, then reused)."""
     from topiclake.sources.fixtures import topic_messages
 
-    path = session.shared_path(spark, "topics", _fingerprint(sf_dir), FOLDER_TOPICS[kind])
+    path = session.shared_path(spark, "topics", _fingerprint(spark, sf_dir), FOLDER_TOPICS[kind])
     if session.path_exists(spark, f"{path}/_SUCCESS"):
         return path
     with _FOLDER_LOCK:  # one writer per folder when queries run from several threads
@@ -238,3 +252,18 @@ def write_topic_folder(messages: DataFrame, path: str, records_per_file: int | N
 def write_topic_records(messages: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Keyed records of several topics into ``path/topic=<name>/`` as JSON lines (key, value)."""
     messages.select("key", "value", "topic").write.mode(mode).partitionBy("topic").json(path)
+
+
+def kafka_writer(messages: DataFrame, spec: TopicSpec, mode: str = "batch"):
+    """Writer of keyed records (``key``, ``value``, ``topic``) to Kafka: ``.save()`` it, or ``.start()`` it for a stream."""
+    frame = messages.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic")
+    writer = (frame.write if mode == "batch" else frame.writeStream).format("kafka")
+    return writer.options(**kafka_sink_options(spec))
+
+
+def kafka_sink_options(spec: TopicSpec) -> dict[str, str]:
+    """Option map of the Kafka sink: servers and client settings; each record names its topic."""
+    if not spec.bootstrap_servers:
+        raise ValueError("the sink needs bootstrap_servers")
+    client = {k if k.startswith("kafka.") else f"kafka.{k}": str(v) for k, v in spec.client.items()}
+    return {"kafka.bootstrap.servers": spec.bootstrap_servers, **client}
