@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 from collections import Counter
@@ -39,11 +40,16 @@ def test_round_trip(spark):
 
 
 def test_payloads_in_the_files(spark):
+    import pyspark.sql.functions as F
+
+    few = warc.with_digests(spark.range(40).selectExpr("id AS page_id", "'u' AS url", "CAST(id % 9 AS STRING) AS html"))
+    assert sorted(map(tuple, warc.linked(few, broadcast_rows=0).select("page_id", "first").collect())) == sorted(map(tuple, warc.linked(few).select("page_id", "first").collect())) == [(i, i % 9) for i in range(40)]
+    assert few.select(warc.base32(F.sha1(F.lit("x"))).alias("d")).first().d == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
     path = fresh_path(spark, "llm", "warc-test")
     pages = spark.createDataFrame([(1, "a.b/c", "é\r\n\r\n"), (2, "a.b/c", "é\r\n\r\n"), (3, "z", "")], "page_id long, url string, html string")
     warc.write_archives(warc.linked(warc.with_digests(pages)), path, file_rows=1)
     files = spark.read.format("binaryFile").load(path).collect()
-    got = {h["warc-record-id"]: (h["warc-type"], bytes(p)) for f in files for h, p in warc.records(memoryview(bytes(f.content)))}
+    got = {h["warc-record-id"]: (h["warc-type"], bytes(p)) for f in files for h, p in warc.records(memoryview(gzip.decompress(f.content)))}
     assert got == {"<urn:page:1>": ("response", "é\r\n\r\n".encode()), "<urn:page:2>": ("revisit", b""), "<urn:page:3>": ("response", b"")}
 
 

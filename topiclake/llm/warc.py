@@ -4,7 +4,7 @@ Writing.  Each page becomes one record.  Of the pages with equal payloads (same
 SHA-1 and length) the one with the smallest id is the response, the others are
 revisits that name it.  Records are written by Spark's text writer: a row is
 header and payload, the line separator is the two CRLFs that end a record, so the files
-are plain WARC files on any file system Spark knows, committed task by task.
+are WARC files, compressed with gzip, on any file system Spark knows, committed task by task.
 
 Reading.  The files are read back whole (``files_rows`` records each at most)
 and parsed record by record by Content-Length; response payloads are hashed again.
@@ -23,6 +23,7 @@ Repeated rows are records of their own.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .common import cut, shared
 
 FILE_ROWS, RANGE_ROWS = 2000, 20_000
+BROADCAST_ROWS = 200_000  # of about 60 bytes
 END = "\r\n\r\n"
 _START = 1_577_836_800  # a page has no time of its own: seconds from here, by its id
 
@@ -47,9 +49,9 @@ def url_key(url: str | None) -> str:
 
 
 def with_digests(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, html, bytes, digest): the payload's length and its SHA-1 in base32."""
+    """(page_id, url, html, bytes, sha1): the payload's length and its SHA-1 in hexadecimal."""
     slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    return slim.withColumns({"bytes": F.octet_length("html").cast("long"), "digest": base32(F.sha1(F.col("html").cast("binary")))})
+    return slim.withColumns({"bytes": F.octet_length("html").cast("long"), "sha1": F.sha1(F.col("html").cast("binary"))})
 
 
 def base32(digest: Column) -> Column:
@@ -59,10 +61,14 @@ def base32(digest: Column) -> Column:
     return F.concat(*(F.substr(letters, (F.shiftright(g, 35 - 5 * j).bitwiseAND(31) + 1).cast("int"), F.lit(1)) for g in groups for j in range(8)))
 
 
-def linked(pages: DataFrame) -> DataFrame:
-    """``with_digests`` rows with a column first: the smallest id with the payload."""
-    first = pages.groupBy("digest", "bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    j = pages.join(first, ["digest", "bytes"], "left")
+def linked(pages: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``with_digests`` rows with a column first: the smallest id with the payload.
+
+    Only payloads that occur more than once are joined: by broadcast if they are few, else by a shuffle
+    (a payload with very many pages is split there at run time).
+    """
+    first = cut(pages.groupBy("sha1", "bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    j = pages.join(F.broadcast(first) if first.count() <= broadcast_rows else first, ["sha1", "bytes"], "left")
     return j.withColumn("first", F.coalesce("first", "page_id"))
 
 
@@ -75,11 +81,11 @@ def write_archives(pages: DataFrame, path: str, file_rows: int = FILE_ROWS) -> N
     stamp = F.date_format(F.timestamp_seconds(F.lit(_START) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     head = [F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")), F.concat(F.lit("WARC-Record-ID: <urn:page:"), page, F.lit(">")),
             F.concat(F.lit("WARC-Date: "), stamp), F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("-")), r"[\r\n]", "")),
-            F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")), F.concat(F.lit("WARC-Payload-Length: "), F.col("bytes")),
+            F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32(F.col("sha1"))), F.concat(F.lit("WARC-Payload-Length: "), F.col("bytes")),
             F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("first").cast("string"), F.lit(">"))),
             F.concat(F.lit("Content-Length: "), F.octet_length(payload))]
     record = F.concat(F.concat_ws(crlf, *head), F.lit(END), payload)
-    pages.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", file_rows).text(path)
+    pages.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", file_rows).text(path, compression="gzip")
 
 
 def records(content: memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
@@ -108,7 +114,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows = []
-                for head, payload in records(memoryview(content.as_buffer().to_pybytes())):
+                for head, payload in records(memoryview(gzip.decompress(content.as_buffer()))):
                     digest, n = head["warc-payload-digest"].removeprefix("sha1:"), int(head["warc-payload-length"])
                     if head["warc-type"] == "response":
                         if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest or len(payload) != n:
