@@ -9,8 +9,8 @@ have not seen.  Classes are weighted by their whole sizes.
 What is learned comes from a bounded sample: ``rows`` documents of each class,
 half for the dictionaries (of these ``sample_bytes`` of blocks a class), half for the calibration.
 
-Edge cases: null and empty texts have no difference and get the score of the
-constant.  Without labels of both classes every score is 0.5.
+Edge cases: null and empty texts compress to nothing, so they get the share of
+good labels as score.  Without labels of both classes every score is 0.5.
 """
 
 from __future__ import annotations
@@ -92,20 +92,20 @@ def _features(df: DataFrame, good: bytes, bad: bytes) -> DataFrame:
     return df.select("y", "text").mapInArrow(run, "y int, x array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = ROWS, sample_bytes: int = SAMPLE_BYTES) -> tuple[bytes, bytes, np.ndarray] | None:
-    """Both dictionaries and the weights of the calibration; None without both classes."""
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = ROWS, sample_bytes: int = SAMPLE_BYTES) -> tuple[bytes, bytes, np.ndarray, float] | None:
+    """Both dictionaries, the weights of the calibration and the share of good labels; None without both classes."""
     sample, sizes = labelled_sample(docs, labels, label_col, rows)
     if len(sizes) < 2:
         return None
     half = F.pmod(F.xxhash64(F.lit(5), F.col("id")), F.lit(2)) == 0
     parts = _dictionary_blocks(sample.where(half), sample_bytes)
     good, bad = dictionary(parts[1]), dictionary(parts[0])
-    got = _features(sample.where(~half), good, bad).collect()
+    got = _features(sample.where(~half & (F.octet_length("text") > 0)), good, bad).collect()
     y = np.array([r.y for r in got])
     if len(set(y.tolist())) < 2:
         return None
     weight = np.array([sizes[0], sizes[1]], float)[y] / np.bincount(y, minlength=2)[y]
-    return good, bad, logistic(np.array([r.x for r in got]), y, weight / weight.mean())
+    return good, bad, logistic(np.array([r.x for r in got]), y, weight / weight.mean()), sizes[1] / (sizes[0] + sizes[1])
 
 
 def scored(docs: DataFrame, model, text_col: str = "text", name: str = "score") -> DataFrame:
@@ -118,8 +118,9 @@ def scored(docs: DataFrame, model, text_col: str = "text", name: str = "score")
         sizes = Sizes(*known[:2]) if known else None
         for b in batches:
             if known:
-                x = np.array([sizes.features(t) for t in _binary(b.column(place))]).reshape(b.num_rows, 3)
-                score = sigmoid(x @ known[2][:-1] + known[2][-1])
+                texts = _binary(b.column(place))
+                x = np.array([sizes.features(t) for t in texts]).reshape(b.num_rows, 3)
+                score = np.where([bool(t) for t in texts], sigmoid(x @ known[2][:-1] + known[2][-1]), known[3])
             else:
                 score = np.full(b.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], [*b.schema.names, name])
