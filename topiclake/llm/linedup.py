@@ -24,7 +24,7 @@ SITES, MARGIN, LG_K = 10, 0.25, 12
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    slim = docs.select(F.col(id_col).alias("id"), F.col(site_col).alias("site"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.col(text_col).cast("string").alias("text"))
     each = slim.select("id", "site", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
     each = each.withColumn("line", F.trim("line")).where("line <> ''")
     return each.select("id", "site", "of", "place", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"))
