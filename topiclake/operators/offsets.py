@@ -28,10 +28,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topiclake import session
+
 # Bound on the buckets that are cut in one pass, and so on what is broadcast (about 60 bytes each).
 MAX_CUTS = 50_000
 # Leaf size: about a third of a core's share of the rows, within these bounds unless MAX_CUTS asks for more.
-LEAF_ROWS = (20_000, 2_000_000)
+LEAF_ROWS = (250_000, 2_000_000)
 
 TIE = "_tl_tie"
 _RANK = "_tl_rank"
@@ -125,13 +127,15 @@ def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, l
 def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None) -> tuple[DataFrame, list[str]]:
     """``rows`` with the columns that name each row's bucket (none where no group is too large)."""
     narrow = rows.select(*groups, _RANK)
-    total = narrow.count()
-    leaf = leaf_rows or leaf_size(rows, total)
-    spark, cuts = rows.sparkSession, []
-    while total > leaf:
+    spark, cuts, leaf = rows.sparkSession, [], leaf_rows
+    at = [F.element_at(_RANK, i + 1) for i in range(n_ranks)]
+    while True:
         keys = [*groups, *cuts]
-        at = [F.element_at(_RANK, i + 1) for i in range(n_ranks)]
         stats = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.min(x) for x in at]).alias("lo"), F.array(*[F.max(x) for x in at]).alias("hi"))
+        if leaf is None:  # one pass gives the total and the groups that are too large
+            session.shared_root(spark)
+            stats = stats.checkpoint()
+            leaf = leaf_size(rows, stats.agg(F.sum("n")).first()[0] or 0)
         varies = F.expr("filter(sequence(1, size(lo)), i -> element_at(lo, i) < element_at(hi, i))")
         heavy = stats.where(F.col("n") > leaf).withColumn("by", F.try_element_at(varies, F.lit(1))).where("by is not null")
         low, high = (F.element_at(c, F.col("by")).cast("decimal(20,0)") for c in ("lo", "hi"))
