@@ -42,5 +42,14 @@ def test_near_threshold_is_exact(docs_of):
     assert got.where("text = ''").count() == sum(k - 1 for k in range(20, 41)) and len(gone) == 40
 
 
+def test_hot_source_adds_one_site(docs_of):
+    rows = [(i, f"own {i}\nshared by many texts", None, "hot" if i < 8 else f"s{i}") for i in range(12)]  # 5 sites
+    rows += [(20 + i, f"own {20 + i}\nof the hot source", None, "hot" if i < 30 else f"s{i}") for i in range(32)]  # 3 sites
+    got = {r.doc_id: (r.text, r.removed_lines) for r in linedup.without_boilerplate(docs_of(rows)).collect()}
+    assert got[0] == ("own 0\nshared by many texts", [])
+    assert all(got[i] == (f"own {i}", [1]) for i in range(1, 12))
+    assert all(got[i] == (f"own {i}\nof the hot source", []) for i in range(20, 52))
+
+
 def test_empty_table(docs_of):
     assert linedup.digest(docs_of([])).count() == 0
