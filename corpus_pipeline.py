@@ -2,7 +2,7 @@
 
 Each stage works on all rows its predecessor kept, and its decisions take
 effect.  All stages but the last return the columns of ``documents``; the last
-replaces the text by its token ids and their number.
+replaces the text by its token ids, their number and the text decoded from them.
 """
 
 from __future__ import annotations
@@ -39,9 +39,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in place of the text."""
+    """Token ids in place of the text, their number, and the text that they decode to."""
     out = bpe.encoded(docs, vocabulary())
-    return out.withColumn(fresh(out, "n_tokens"), F.size(out.columns[-1]).cast("long"))
+    ids = out.columns[-1]
+    return bpe.decoded(out.withColumn(fresh(out, "n_tokens"), F.size(ids).cast("long")), vocabulary(), ids)
 
 
 STAGES = [

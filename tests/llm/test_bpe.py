@@ -6,6 +6,7 @@ import hashlib
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from topiclake.llm import bpe
 from topiclake.llm.queries import vocabulary
@@ -68,3 +69,16 @@ def test_digest_and_ids(docs_of, both):
     assert "text" not in ids.columns and ids.columns[-1] == "ids"
     assert sorted(len(r.ids) for r in ids.collect()) == sorted(r[1] for r in want)
     assert bpe.digest(docs_of([]), vocabulary()).count() == 0
+
+
+def test_decoded_from_an_ids_column(spark, docs_of, both):
+    own, library = both
+    rows = [(1, "Hello <|endoftext|> World's"), (2, None), (3, ""), (None, "x é 日本"), (4, "long word " * 30_000)]
+    ids = bpe.encoded(docs_of(rows, decoded=F.lit("d")), vocabulary())
+    got = bpe.decoded(ids, vocabulary(), batch_ids=2)
+    assert got.columns == [*ids.columns, "_decoded"]
+    want = {i: library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for i, t in rows}
+    assert {r.doc_id: r["_decoded"] for r in got.collect()} == want
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [5, None, 10**9, 7, -1])], "k int, at array<long>")
+    assert {r.k: r.text for r in bpe.decoded(odd, vocabulary(), "at", "text").collect()} == {1: None, 2: "", 3: library.decode([5, 10**9, 7], skip_special_tokens=False)}
+    assert bpe.decoded(odd.limit(0), vocabulary(), "at").count() == 0

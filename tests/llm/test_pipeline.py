@@ -69,5 +69,11 @@ def test_tokens(inputs):
     assert {r.doc_id: (r.ids, r.n_tokens) for r in after.collect()} == {r.doc_id: (e := own.encode(r.text), len(e)) for r in before.collect()}
 
 
+def test_decoded_tokens(inputs):
+    _, before, after = inputs[4]
+    own = bpe.Bpe(bpe.load(vocabulary()))
+    assert {r.doc_id: r.decoded for r in after.collect()} == {r.doc_id: own.decode(own.encode(r.text)) for r in before.collect()}
+
+
 def test_run(spark, inputs):
     assert corpus_pipeline.run(spark, SF).count() == inputs[-1][2].count()

@@ -13,7 +13,8 @@ and split at white space; chunks are split into contractions, letter runs,
 single digits and runs of other characters; each piece's last byte carries
 the end mark.  Decoding joins the ids' token strings by a space.
 
-Edge cases: null and empty texts have no ids, and decode to the empty text.
+Edge cases: null and empty texts have no ids, and decode to the empty text.  Null ids decode to null;
+ids that the vocabulary lacks, and nulls among ids, are passed over, as the tokenizer library does.
 A long text is taken block by block, cut at white space.
 """
 
@@ -200,6 +201,27 @@ def encoded(docs: DataFrame, vocabulary: str, text_col: str = "text", name: str
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields[:place], T.StructField(name, T.ArrayType(T.IntegerType()))]))
 
 
+def decoded(df: DataFrame, vocabulary: str, ids_col: str = "ids", name: str = "decoded", batch_ids: int = 1 << 20) -> DataFrame:
+    """``df`` and the text of each row's ids as a last column; ``vocabulary`` is a path on the driver."""
+    name, sent, place = fresh(df, name), send(df.sparkSession, load(vocabulary)), df.columns.index(ids_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = Bpe(received(sent))
+        for b in batches:
+            lo, texts = 0, []
+            size = 0
+            for i in range(b.num_rows):
+                ids = b.column(place)[i].values
+                known = [] if ids is None else [x for x in ids.drop_null().to_numpy(zero_copy_only=False).tolist() if x in bpe.tokens]
+                texts.append(None if ids is None else bpe.decode(known))
+                size += len(known)
+                if size >= batch_ids or i + 1 == b.num_rows:
+                    yield pa.RecordBatch.from_arrays([*b.slice(lo, i + 1 - lo).columns, pa.array(texts, pa.string())], [*b.schema.names, name])
+                    lo, texts, size = i + 1, [], 0
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))
+
+
 def with_digest(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
     """``docs`` and a last column ``tokens``: n_tokens, ids_sha256, decoded_sha256 (hashed block by block)."""
     name = fresh(docs, "tokens")
