@@ -2,7 +2,7 @@
 
 Calls and results are first reduced to one row per (conversation, identifier),
 each by a map-side combined aggregate, so neither side of the hash join can hold a frequent
-key.  A call may wait for another call of its conversation; its depth in
+key.  A call may wait for one other call of its conversation, not for several; its depth in
 that order is found for all conversations at once by pointer doubling (a round doubles the
 distance every call has looked ahead, so a chain of n calls takes log2 n
 joins), and a conversation of any length is never gathered in one task.  The
