@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from topiclake.operators import bronze as B
+from topiclake.operators import gold as G
 from topiclake.plans import topics as P
 from topiclake.sources import topics as T
 
@@ -59,3 +60,12 @@ def test_silver_drops_rows_without_payload(spark, sf):
     out = S.orders(holed)
     assert out.count() == expect
     assert out.where("amount IS NULL").count() == 0
+
+
+def test_sampled_rows_are_rows_of_bronze(spark, sf):
+    b = P.bronze(spark, sf)
+    keys = ["key", "topic", "partition", "offset"]
+    rows = [tuple(r) for r in G.sample(b, 5).select(*keys).collect()]
+    assert len(rows) == len(set(rows)) == 5
+    assert set(rows) <= {tuple(r) for r in b.select(*keys).collect()}
+    assert G.sample(b.limit(3), 5).count() == 3

@@ -53,6 +53,11 @@ def last_by_key(bronze: DataFrame, n: int = 10) -> DataFrame:
     return bronze.orderBy(F.col("key").desc(), F.col("topic").desc(), F.col("offset").desc(), F.col("partition").desc()).limit(n)
 
 
+def sample(bronze: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows, all where there are fewer."""
+    return bronze.limit(n)
+
+
 def preview(bronze: DataFrame, n: int = 10, width: int = 100) -> DataFrame:
     """Last records by key with a truncated value."""
     return last_by_key(bronze, n).select(
