@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, langid, linedup, quality, search, simhash, toxicity, warc
+from . import bpe, chat, decontam, langid, linedup, quality, search, simhash, toxicity, trie, urlfilter, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,18 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.digest(_table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.digest(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture_langid": op1_mixture_langid,
     "op2_compression_quality": op2_compression_quality,
@@ -71,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bm25_search": op8_bm25_search,
     "op9_simhash": op9_simhash,
     "op10_line_spread": op10_line_spread,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_whitening": op12_whitening,
+    "op13_url_filter": op13_url_filter,
 }
 
 #: DuckDB SQL where it can express the operator.
@@ -78,4 +93,6 @@ ORACLE: dict[str, str] = {
     "op4_tool_calls": chat.ORACLE,
     "op8_bm25_search": search.ORACLE,
     "op10_line_spread": linedup.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
+    "op13_url_filter": urlfilter.ORACLE,
 }
