@@ -44,5 +44,22 @@ def test_one_row_exchange_and_nothing_persisted(spark):
     out = assign_offsets(df, order=("key", F.xxhash64("value")), leaf_rows=30)
     assert out.count() == 400
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "InMemory" not in plan and "rangepartitioning" not in plan
+    assert "InMemoryTableScan" not in plan and "rangepartitioning" not in plan
+    assert "Range (" not in plan  # every pass reads the rows written once, none makes them again
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_small_inputs_go_through_the_window_in_one_scan(spark, sf):
+    from topiclake.operators import offsets as O
+    from topiclake.plans import topics as P
+
+    out = P.build_bronze(spark, sf)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan json") == 3 and plan.count("Exchange") == 1  # one scan a topic
+    keep, O.SMALL_BYTES = O.SMALL_BYTES, 0
+    try:
+        staged = P.build_bronze(spark, sf)
+        assert "Scan json" not in staged._jdf.queryExecution().executedPlan().toString()
+        assert collected(staged.select("topic", "partition", "offset", "key")) == collected(out.select("topic", "partition", "offset", "key"))
+    finally:
+        O.SMALL_BYTES = keep

@@ -89,6 +89,72 @@ def test_second_active_writer_is_refused(spark):
     assert sorted(r.offset for r in BS.read_bronze(spark, path).where("partition = 0").collect()) == list(range(9))
 
 
+def _named(spark, batches=4):
+    path = session.fresh_path(spark, "tables", "compact_named")
+    name = BS.declare_table(spark, f"bronze.compact_{path[-12:]}", path)
+    for b in range(batches):
+        BS.BronzeBatchWriter(path, run="rx", table=name)(_orders(spark, 30 * b, 30 * b + 30).unionByName(_orders(spark, 30 * b, 30 * b + 10, "a/b c=d")), b)
+    return path, name
+
+
+def _both(spark, path, name):
+    one = sorted(map(tuple, spark.sql(f"SELECT topic, partition, offset, key FROM {name}").collect()))
+    assert one == sorted(map(tuple, BS.read_bronze(spark, path).select("topic", "partition", "offset", "key").collect()))
+    return one
+
+
+def test_compaction_keeps_the_named_table(spark):
+    path, name = _named(spark)
+    before = _both(spark, path, name)
+    assert len(before) == 160
+    assert BS.compact(spark, path) == 3 and _both(spark, path, name) == before
+    BS.BronzeBatchWriter(path, run="rx", table=name)(_orders(spark, 500, 530), 4)
+    assert BS.compact(spark, path) == 1 and len(_both(spark, path, name)) == 190
+    assert BS.CommitLog(spark, path).noted() == (None, None)
+
+
+@pytest.mark.parametrize("step", ["planned", "half written", "written", "swapped", "half deleted", "deleted"])
+def test_compaction_that_died(spark, monkeypatch, step):
+    path, name = _named(spark)
+    before = _both(spark, path, name)
+
+    class Died(Exception):
+        pass
+
+    note, forget, delete = BS.CommitLog.note, BS._forget, session.delete_matching
+    if step in ("planned", "half written", "written"):
+        def dies(self, at, what):
+            if at == "plan" and step == "planned":
+                note(self, at, what)
+                raise Died
+            if at == "swap":  # the merged rows are there, the swap is not
+                if step == "half written":
+                    delete(spark, f"{path}/topic=kafka-orders/_run={BS.COMPACTED}/_batch_id=0")
+                raise Died
+            note(self, at, what)
+        monkeypatch.setattr(BS.CommitLog, "note", dies)
+    elif step == "swapped":
+        monkeypatch.setattr(BS, "_forget", lambda *a: (_ for _ in ()).throw(Died()))
+    else:
+        left = [1 if step == "half deleted" else 3]
+
+        def dies(spark_, pattern):
+            if not left[0]:
+                raise Died
+            left[0] -= 1
+            delete(spark_, pattern)
+        monkeypatch.setattr(session, "delete_matching", dies)
+        if step == "deleted":
+            monkeypatch.setattr(BS.CommitLog, "ended", lambda self: (_ for _ in ()).throw(Died()))
+    with pytest.raises(Died):
+        BS.compact(spark, path)
+    read = BS.read_bronze(spark, path).select("topic", "partition", "offset", "key")
+    assert sorted(map(tuple, read.collect())) == before  # readers by path never see a row twice or not at all
+    monkeypatch.undo()
+    BS.compact(spark, path)
+    assert _both(spark, path, name) == before and BS.CommitLog(spark, path).noted() == (None, None)
+
+
 def test_compaction_keeps_rows_and_last_batches(spark):
     path = session.fresh_path(spark, "tables", "compact")
     for batch in range(5):

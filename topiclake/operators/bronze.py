@@ -65,6 +65,18 @@ def bronze_rows(
     )
 
 
+def pattern_rows(found: DataFrame, partitions: int = KEY_PARTITIONS) -> DataFrame:
+    """Rows of :func:`topics.read_pattern` → the columns of :func:`bronze_rows`; a line of an unknown topic, or one that
+    does not parse, is the value as it came."""
+    return found.select(
+        "key",
+        F.coalesce(F.col("record"), F.col("value")).alias("value"),
+        F.col("_topic_name").alias("topic"),
+        key_partition(F.col("key"), partitions).alias("partition"),
+        key_time(F.col("key")).alias("timestamp"),
+    )
+
+
 def finish(rows: DataFrame, ingestion: str = "ingestion_timestamp") -> DataFrame:
     """Cast to the multiplex schema and stamp the ingestion time (constant per query / micro-batch).
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +29,27 @@ def tumbling_counts(events: DataFrame, size: str, by: str = "event_type") -> Dat
     return g.select(*_window_cols(), by, "n")
 
 
-def sliding_counts(events: DataFrame, size: str, slide: str, by: str = "event_type") -> DataFrame:
-    g = events.groupBy(F.window("event_time", size, slide), by).agg(F.count(F.lit(1)).alias("n"))
-    return g.select(*_window_cols(), by, "n")
+def sliding_counts(events: DataFrame, size: str, slide: str, by: str = "event_type", method: str = "panes") -> DataFrame:
+    """Counts of overlapping windows.
+
+    ``method="panes"``: rows are counted once, per pane (the greatest common divisor of size and slide), and
+    each pane's count is then added to the size / slide windows that hold it, so what is copied is one row per pane and
+    ``by``, not every event.  ``method="window"`` is ``window(time, size, slide)``, which copies every event.
+    """
+    if method == "window":
+        g = events.groupBy(F.window("event_time", size, slide), by).agg(F.count(F.lit(1)).alias("n"))
+        return g.select(*_window_cols(), by, "n")
+    long, step = _seconds(size), _seconds(slide)
+    if step > long:
+        raise ValueError(f"windows of {size} cannot start every {slide}: the slide is longer")
+    pane = math.gcd(long, step)
+    panes = events.groupBy(F.window("event_time", f"{pane} seconds").alias("pane"), by).agg(F.count(F.lit(1)).alias("n"))
+    at = F.unix_timestamp("pane.start")
+    last, least = at - F.pmod(at, F.lit(step)), at - long + pane  # windows that start from least to last hold the pane
+    each = panes.select(by, "n", F.explode(F.sequence(last, least, F.lit(-step).cast("long"))).alias("start"))
+    g = each.groupBy("start", by).agg(F.sum("n").alias("n"))
+    return g.select(F.date_format(F.timestamp_seconds("start"), WINDOW_TEXT).alias("window_start"),
+                    F.date_format(F.timestamp_seconds(F.col("start") + long), WINDOW_TEXT).alias("window_end"), by, "n")
 
 
 def session_counts(events: DataFrame, gap: str, by: str = "user_id", method: str = "split",

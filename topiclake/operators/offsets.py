@@ -5,18 +5,22 @@ group, and a group (one topic partition) can hold a third of all rows.  So a
 group with more rows than a leaf may have is cut into buckets by a pure function
 of its order columns, and a bucket that is still too large is cut again:
 
-1. a pass over the narrow order columns counts rows, and the least and largest
+1. the rows are written once to the shared folder with their source position, so that whatever it takes to
+   make them (parsing messages) is done once, and every later pass sees the same rows;
+2. a pass over the narrow order columns counts rows, and the least and largest
    value of each order column, per bucket;
-2. a bucket over the leaf size gets equal ranges of the first order column that
+3. a bucket over the leaf size gets equal ranges of the first order column that
    varies in it; copies of one record (no column varies) are cut by their source
    position, which any order of copies allows;
-3. when no bucket is too large, the rows are numbered within their bucket by a
+4. when no bucket is too large, the rows are numbered within their bucket by a
    window, and a prefix sum over the buckets' counts gives each bucket's first offset.
 
-Nothing is sampled and nothing is kept: every pass evaluates the same function, and the rows
+Nothing is sampled and nothing is persisted: every pass evaluates the same function, and the rows
 themselves are shuffled once, on (groups, buckets).  The leaf size grows with
 the input, so that at most ``MAX_CUTS`` buckets are cut per pass: only that many
-(counts and bounds) reach the driver and are broadcast.
+(counts and bounds) reach the driver and are broadcast.  An input that Spark estimates at
+``SMALL_BYTES`` or less has no group worth cutting, as one task sorts it in seconds: it goes through the plain
+window straight away.
 """
 
 from __future__ import annotations
@@ -35,6 +39,9 @@ MAX_CUTS = 50_000
 # Leaf size: about a third of a core's share of the rows, within these bounds unless MAX_CUTS asks for more.
 LEAF_ROWS = (250_000, 2_000_000)
 
+# Estimated bytes up to which the plain window numbers the rows.
+SMALL_BYTES = 256 << 20
+
 TIE = "_tl_tie"
 _RANK = "_tl_rank"
 _CUT = "_tl_cut"
@@ -94,8 +101,7 @@ def assign_offsets(
     """
     groups = list(groups)
     if method == "window":
-        w = Window.partitionBy(*groups).orderBy(*order)
-        out = df.withColumn(column, (F.row_number().over(w) - 1).cast("long"))
+        out = _window_offsets(df, groups, list(order), column)
     elif method == "split":
         out = _split_offsets(df, groups, list(order), column, leaf_rows)
     else:
@@ -106,8 +112,18 @@ def assign_offsets(
     return out
 
 
+def _window_offsets(df: DataFrame, groups: list[str], order: list, column: str) -> DataFrame:
+    w = Window.partitionBy(*groups).orderBy(*order)
+    return df.withColumn(column, (F.row_number().over(w) - 1).cast("long"))
+
+
 def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, leaf_rows: int | None) -> DataFrame:
+    if leaf_rows is None and session.estimated_bytes(df) <= SMALL_BYTES:
+        return _window_offsets(df, groups, order, column)
+    path = session.fresh_path(df.sparkSession, "staged", "offsets")
     keyed = with_tie(df)
+    keyed.write.parquet(path)
+    keyed = df.sparkSession.read.schema(keyed.schema).parquet(path)
     ranks, exact = _ranks(keyed, order)
     if exact:
         ranks.append(F.col(TIE))
@@ -127,15 +143,12 @@ def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, l
 def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None) -> tuple[DataFrame, list[str]]:
     """``rows`` with the columns that name each row's bucket (none where no group is too large)."""
     narrow = rows.select(*groups, _RANK)
-    spark, cuts, leaf = rows.sparkSession, [], leaf_rows
+    spark, cuts = rows.sparkSession, []
+    leaf = leaf_rows or leaf_size(rows, rows.count())
     at = [F.element_at(_RANK, i + 1) for i in range(n_ranks)]
     while True:
         keys = [*groups, *cuts]
         stats = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.min(x) for x in at]).alias("lo"), F.array(*[F.max(x) for x in at]).alias("hi"))
-        if leaf is None:  # one pass gives the total and the groups that are too large
-            session.shared_root(spark)
-            stats = stats.checkpoint()
-            leaf = leaf_size(rows, stats.agg(F.sum("n")).first()[0] or 0)
         varies = F.expr("filter(sequence(1, size(lo)), i -> element_at(lo, i) < element_at(hi, i))")
         heavy = stats.where(F.col("n") > leaf).withColumn("by", F.try_element_at(varies, F.lit(1))).where("by is not null")
         low, high = (F.element_at(c, F.col("by")).cast("decimal(20,0)") for c in ("lo", "hi"))

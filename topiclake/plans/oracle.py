@@ -150,6 +150,9 @@ FROM bronze GROUP BY topic, partition"""
 
 _EV_TIMES = "events_t AS (SELECT *, ts AS event_time FROM events)"
 
+# Delivery of an event's time: ten days of January 2024 each.
+_SLICE10 = "LEAST(CAST(floor((epoch(event_timestamp::TIMESTAMP) - 1704067200) / 864000) AS BIGINT), 2)"
+
 ORACLE: dict[str, str] = {
     # ---------------------------------------------------------- sources
     "project_orders": with_topics(f"SELECT {ORDER_FIELDS} FROM orders_topic"),
@@ -344,6 +347,45 @@ c AS (SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS s, event_type, COUNT(*)
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
        event_type, n
 FROM c WHERE s + INTERVAL 1 HOUR <= (SELECT MAX(event_time) FROM events_t) - INTERVAL 10 MINUTE""",
+    "ext_events_sliding_day": f"""WITH {_EV_TIMES},
+p AS (SELECT CAST(floor(epoch(event_time) / 300) AS BIGINT) AS pane, event_type, COUNT(*) AS n FROM events_t GROUP BY ALL),
+w AS (SELECT pane - k AS s, event_type, n FROM p, range(288) AS r(k))
+SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds(s * 300), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(TIMESTAMP '1970-01-01' + to_seconds(s * 300 + 86400), '%Y-%m-%d %H:%M:%S') AS window_end, event_type, SUM(n)::BIGINT AS n
+FROM w GROUP BY s, event_type""",
+    "ext_stream_payment_events": with_topics(
+        "SELECT o.payment_id, strftime(o.paid_at, '%Y-%m-%d %H:%M:%S.%g') AS paid_at, e.event_id, e.event_name, e.event_timestamp AS event_time "
+        "FROM (SELECT payment_id, TIMESTAMP '2024-01-01' + to_hours(4 * (_sequence_id % 174)) AS paid_at FROM orders_topic) o "
+        "LEFT JOIN events_topic e ON o.payment_id = e.payment_id AND e.event_timestamp::TIMESTAMP BETWEEN o.paid_at AND o.paid_at + INTERVAL 1 DAY"),
+    "ext_windows_and_late": with_topics(
+        "SELECT kind, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, event_name, n, event_id FROM ("
+        "WITH e AS (SELECT event_id, event_name, event_timestamp::TIMESTAMP AS t, time_bucket(INTERVAL 1 HOUR, event_timestamp::TIMESTAMP) AS s, "
+        f"CASE WHEN _sequence_id * 7919 % 5 = 0 THEN (_sequence_id * 7919 // 5) % 3 ELSE {_SLICE10} END AS d FROM events_topic), "
+        "m AS (SELECT d, max(t) AS t FROM e GROUP BY d), "
+        "l AS (SELECT e.*, coalesce(s + INTERVAL 1 HOUR <= (SELECT max(t) FROM m WHERE m.d < e.d) - INTERVAL 10 MINUTE, false) AS late FROM e) "
+        "SELECT 'late' AS kind, s, event_name, 1::BIGINT AS n, event_id FROM l WHERE late "
+        "UNION ALL SELECT 'window', s, event_name, count(*), NULL FROM l WHERE NOT late GROUP BY s, event_name) x"),
+    "ext_stream_sessions": with_topics(
+        "SELECT payment_id, strftime(MIN(t), '%Y-%m-%d %H:%M:%S') AS window_start, strftime(MAX(t) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, COUNT(*) AS n FROM ("
+        "SELECT *, SUM(opens) OVER (PARTITION BY payment_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS sid FROM ("
+        "SELECT payment_id, event_timestamp::TIMESTAMP AS t, CASE WHEN lag(event_timestamp::TIMESTAMP) OVER w + INTERVAL 30 MINUTE > event_timestamp::TIMESTAMP THEN 0 ELSE 1 END AS opens "
+        "FROM events_topic WINDOW w AS (PARTITION BY payment_id ORDER BY event_timestamp))) GROUP BY payment_id, sid"),
+    "ext_stream_without_resent": with_topics(
+        "SELECT event_id, event_name, event_timestamp FROM events_topic UNION ALL "
+        "SELECT event_id, event_name, event_timestamp FROM events_topic WHERE _sequence_id % 10 = 7"),
+    "stream_event_sequence": with_topics(
+        "SELECT payment_id, event_id, event_name, row_number() OVER (PARTITION BY payment_id ORDER BY event_timestamp, event_id) AS seq, "
+        f"coalesce(_sequence_id % 11 = 0 AND {_SLICE10} < 2 AND EXISTS (SELECT 1 FROM events_topic o WHERE o.payment_id = e.payment_id "
+        f"AND (o.event_timestamp, o.event_id) > (e.event_timestamp, e.event_id) AND {_SLICE10.replace('event_timestamp', 'o.event_timestamp')} = {_SLICE10.replace('event_timestamp', 'e.event_timestamp')} "
+        "AND o._sequence_id % 11 <> 0), false) AS out_of_order FROM events_topic e"),
+    "stream_pattern_topics": with_topics(
+        "SELECT 'kafka-orders' AS topic, COUNT(*) AS n, COUNT(*) AS keys, 0::BIGINT AS whole_lines, COUNT(*) AS offsets FROM orders_topic "
+        "UNION ALL SELECT 'kafka-events', COUNT(*), COUNT(*), 0, COUNT(*) FROM events_topic "
+        "UNION ALL SELECT 'kafka-unknown', COUNT(*), 0, COUNT(*), COUNT(*) FROM gps_topic"),
+    "ext_position_at_event": with_topics(
+        "SELECT e.payment_id, e.event_id, p.place FROM events_topic e ASOF LEFT JOIN ("
+        "SELECT 'pay-' || l_orderkey AS payment_id, TIMESTAMP '2024-01-01' + to_minutes((l_partkey * 37 + l_suppkey * 11 + l_linenumber * 1009) % 41760) AS t, MAX(l_partkey % 1001)::BIGINT AS place "
+        "FROM lineitem GROUP BY ALL) p ON e.payment_id = p.payment_id AND e.event_timestamp::TIMESTAMP >= p.t"),
     "ext_order_gps_join": with_topics(
         "SELECT o.order_key, o.amount, o.status, g.lat, g.lon, g.speed_kph FROM orders_topic o "
         "JOIN gps_topic g ON o.order_key = g.order_id"),

@@ -18,6 +18,7 @@ from topiclake import session
 from topiclake.functions.envelope import message_text, parse, rescue
 from topiclake.functions.keys import key_partition, key_time
 from topiclake.functions.payload import parse_event_time
+from topiclake.operators import asof as AO
 from topiclake.operators import bronze as B
 from topiclake.operators import extensions as E
 from topiclake.operators import gold as G
@@ -36,6 +37,8 @@ from topiclake.sources import fixtures as FX
 from topiclake.sources import topics as T
 from topiclake.streaming import bronze_stream as BS
 from topiclake.streaming import control as C
+from topiclake.streaming import event_time as ET
+from topiclake.streaming import sequence as SQ
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -765,7 +768,7 @@ def stream_read_from_offset(spark, sf):
 
 @query("stream_bronze_sql_table")
 def stream_bronze_sql_table(spark, sf):
-    """The streamed bronze by qualified name in SQL: the table learns of every micro-batch, and is compacted afterwards."""
+    """The streamed bronze by qualified name in SQL: the table learns of every micro-batch and of the compaction afterwards."""
     P.prepared(spark)
     path = session.fresh_path(spark, "tables", "named_stream")
     name = f"{BRONZE_DATABASE}.stream_{path[-12:]}"
@@ -773,11 +776,10 @@ def stream_bronze_sql_table(spark, sf):
     frames = [T.read_topic(spark, k, path=p, mode="stream", max_files_per_trigger=1) for k, p in paths.items()]
     C.run_to_end(BS.start_bronze_stream(frames, path, name=f"named_{path[-12:]}", checkpoint=C.checkpoint_for(spark, "named"),
                                         trigger="availableNow", table=name))
-    before = spark.sql(f"SELECT topic, count(*) AS in_table FROM {name} GROUP BY topic")
-    before = spark.createDataFrame(before.collect(), before.schema)  # a row per topic, counted before the folders change
     BS.compact(spark, path)
+    named = spark.sql(f"SELECT topic, count(*) AS in_table FROM {name} GROUP BY topic")
     after = BS.read_bronze(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("compacted"), F.countDistinct("partition", "offset").alias("offsets"))
-    return before.join(after, "topic")
+    return named.join(after, "topic")
 
 
 @query("three_queries_total")
@@ -868,6 +870,207 @@ def ext_watermark_counts(spark, sf):
     return _stream_to_path(counts, "watermark_counts")
 
 
+@query("ext_events_sliding_day")
+def ext_events_sliding_day(spark, sf):
+    """Windows of a day that start every 5 minutes: 288 a row, made from 5-minute panes."""
+    P.prepared(spark)
+    return E.sliding_counts(E.event_times(FX.table(spark, sf, "events")), "24 hours", "5 minutes")
+
+
+# ---------------------------------------------------------------- event time on streams
+
+
+def _delivered(messages: DataFrame, name: str, n: int, beat: str):
+    """A topic folder that is filled in ``n`` deliveries: (folder, function that makes delivery i).
+
+    ``messages``: ``value`` and ``delivery`` (0 … n - 1).  Delivery n is the beat alone, a message that only says that the
+    topic has nothing older to come.
+    """
+    spark = messages.sparkSession
+    kept, folder = session.fresh_path(spark, "topics", f"{name}_kept"), session.fresh_path(spark, "topics", name)
+    messages.select("value", "delivery").write.partitionBy("delivery").parquet(kept)
+
+    def deliver(i: int) -> None:
+        lines = spark.read.schema("value STRING, delivery INT").parquet(kept).where(F.col("delivery") == i)
+        T.write_topic_folder(lines if i < n else spark.range(1).select(F.lit(beat).alias("value")), folder, mode="append")
+
+    return folder, deliver
+
+
+def _in_turns(start, deliveries: list, n: int) -> list:
+    """Each delivery is made and streamed to its end by a query that is then over: the next one restarts from the checkpoint."""
+    queries = []
+    for i in range(n + 1):
+        for deliver in deliveries:
+            deliver(i)
+        queries.append(C.run_to_end(start()))
+    return queries
+
+
+def _event_messages(spark, sf, delivery) -> DataFrame:
+    """Messages of the events topic with the delivery they come in (an expression over the events table)."""
+    ev = FX.table(spark, sf, "events")
+    rec = FX.event_record(ev.select("event_id", "ts", "user_id", "event_type"))
+    ids = ev.select(F.col("event_id").alias("id"), delivery.cast("int").alias("delivery"))
+    return rec.join(ids, F.col("data._sequence_id") == F.col("id")).select(message_text(F.col("data")).alias("value"), "delivery")
+
+
+def _slice(ts, days: int, most: int):
+    """The delivery of a time: ``days`` days of January 2024 each."""
+    return F.least(F.floor((F.unix_timestamp(F.col(ts).cast("timestamp")) - FIRST_SECOND) / (86400 * days)), F.lit(most))
+
+
+FIRST_SECOND = 1_704_067_200  # 2024-01-01, the first event
+EVENT_BEAT = '{"data":{"event_id":"beat","payment_id":"beat","event":{"timestamp":"' + ET.BEAT + '.000"},"dt_current_timestamp":"' + ET.BEAT + '.000"}}'
+ORDER_BEAT = '{"data":{"payment_id":"beat","timestamp":"' + ET.BEAT + '.000"}}'
+
+
+def _event_stream(spark, folder: str) -> DataFrame:
+    rows = _flat_events(T.read_topic(spark, "events", path=folder, mode="stream"))
+    return rows.withColumn("event_time", parse_event_time("event_timestamp"))
+
+
+def stream_payment_events(spark, sf) -> tuple[str, list]:
+    """Folder and queries of the streamed join: three deliveries of both topics and a beat, a restart between them."""
+    P.prepared(spark)
+    paid = F.timestamp_seconds(F.lit(FIRST_SECOND) + (F.col("o_orderkey") % 174) * 4 * 3600)
+    orders = FX.table(spark, sf, "orders").withColumn("o_orderdate", paid)
+    orders = FX.order_record(orders).select(message_text(F.col("data")).alias("value"), _slice("data.timestamp", 10, 2).cast("int").alias("delivery"))
+    o_folder, o_deliver = _delivered(orders, "paid_orders", 3, ORDER_BEAT)
+    e_folder, e_deliver = _delivered(_event_messages(spark, sf, _slice("ts", 10, 2)), "paid_events", 3, EVENT_BEAT)
+    out, cp = session.fresh_path(spark, "streams", "payment_events"), C.checkpoint_for(spark, "payment_events")
+
+    def start():
+        o = T.read_topic(spark, "orders", path=o_folder, mode="stream").select("data.payment_id", parse_event_time("data.timestamp").alias("paid_at"))
+        e = _event_stream(spark, e_folder).select("payment_id", "event_id", "event_name", "event_time")
+        joined = ET.left_join_in_time(o, e, "payment_id", "paid_at", "event_time", within="1 DAY")
+        return C.start(joined, f"payment_events_{out[-12:]}", cp, path=out, trigger="availableNow")
+
+    return out, _in_turns(start, [o_deliver, e_deliver], 3)
+
+
+@query("ext_stream_payment_events")
+def ext_stream_payment_events(spark, sf):
+    """Each order with the events of its payment in the day after it, as a stream-stream left outer join restarted in mid-stream."""
+    out, _ = stream_payment_events(spark, sf)
+    fmt = "yyyy-MM-dd HH:mm:ss.SSS"
+    return spark.read.parquet(out).select("payment_id", F.date_format("paid_at", fmt).alias("paid_at"), "event_id", "event_name",
+                                          F.date_format("event_time", fmt).alias("event_time"))
+
+
+@query("ext_windows_and_late")
+def ext_windows_and_late(spark, sf):
+    """Hourly counts closed by a watermark, and the events that came after their window was closed: a fifth is delivered by a hash."""
+    P.prepared(spark)
+    mixed = F.col("event_id") * 7919
+    dealt = F.when(mixed % 5 == 0, F.floor(mixed / 5) % 3).otherwise(_slice("ts", 10, 2))
+    folder, deliver = _delivered(_event_messages(spark, sf, dealt), "late_events", 3, EVENT_BEAT)
+    out, cp = session.fresh_path(spark, "streams", "windows_and_late"), C.checkpoint_for(spark, "windows_and_late")
+    schemas = []
+
+    def start():
+        rows = ET.windows_and_late(_event_stream(spark, folder).select("event_id", "event_name", "event_time"), "event_name", "event_time", 3600, "10 minutes")
+        schemas.append(rows.schema)
+        return C.start(rows, f"windows_and_late_{out[-12:]}", cp, sink="foreachBatch", foreach_batch=ET.WindowSink(out), trigger="availableNow")
+
+    _in_turns(start, [deliver], 3)
+    windows, late = ET.read_windows(spark, out, schemas[0])
+    windows = windows.select(F.lit("window").alias("kind"), _seconds_text("window_start").alias("window_start"), F.col("key").alias("event_name"), "n", F.lit(None).cast("string").alias("event_id"))
+    late = late.select(F.lit("late").alias("kind"), _seconds_text("window_start").alias("window_start"), "event_name", F.lit(1).cast("long").alias("n"), "event_id")
+    return windows.unionByName(late)
+
+
+@query("ext_stream_sessions")
+def ext_stream_sessions(spark, sf):
+    """Sessions of each payment over a stream whose every seventh event comes one delivery late."""
+    P.prepared(spark)
+    late = _slice("ts", 10, 2) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    folder, deliver = _delivered(_event_messages(spark, sf, F.least(late, F.lit(2))), "session_events", 3, EVENT_BEAT)
+    out, cp = session.fresh_path(spark, "streams", "sessions"), C.checkpoint_for(spark, "sessions")
+
+    def start():
+        rows = ET.stream_sessions(_event_stream(spark, folder), "payment_id", "event_time", "30 minutes", delay="11 days")
+        return C.start(rows, f"sessions_{out[-12:]}", cp, path=out, trigger="availableNow")
+
+    _in_turns(start, [deliver], 3)
+    return spark.read.parquet(out).select("payment_id", _seconds_text("session_start").alias("window_start"), _seconds_text("session_end").alias("window_end"), "n")
+
+
+@query("ext_stream_without_resent")
+def ext_stream_without_resent(spark, sf):
+    """Events of which some are sent again after 12 hours (dropped) and some after 15 days, beyond the day that ids are kept (new messages)."""
+    P.prepared(spark)
+    rec = FX.event_record(FX.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type"))
+    sent = parse_event_time("data.dt_current_timestamp")
+    again = [rec.where(F.col("data._sequence_id") % 10 == digit).select(F.col("data").withField("dt_current_timestamp", F.date_format(sent + F.expr(f"INTERVAL {after}"), "yyyy-MM-dd HH:mm:ss.SSS")).alias("data"))
+             for digit, after in ((3, "12 HOURS"), (7, "15 DAYS"))]
+    messages = T.union_topics([rec, *again]).select(message_text(F.col("data")).alias("value"), _slice("data.dt_current_timestamp", 10, 4).cast("int").alias("delivery"))
+    folder, deliver = _delivered(messages, "resent_events", 5, EVENT_BEAT)
+    out, cp = session.fresh_path(spark, "streams", "without_resent"), C.checkpoint_for(spark, "without_resent")
+
+    def start():
+        rows = _event_stream(spark, folder).withColumn("sent_at", parse_event_time("dt_current_timestamp"))
+        return C.start(ET.without_resent(rows, ["event_id"], "sent_at", "1 day"), f"without_resent_{out[-12:]}", cp, path=out, trigger="availableNow")
+
+    _in_turns(start, [deliver], 5)
+    return spark.read.parquet(out).select("event_id", "event_name", "event_timestamp")
+
+
+@query("stream_event_sequence")
+def stream_event_sequence(spark, sf):
+    """Position of each event within its payment, numbered batch by batch; every eleventh event comes a delivery late and moves the others."""
+    P.prepared(spark)
+    late = _slice("ts", 10, 2) + F.when(F.col("event_id") % 11 == 0, 1).otherwise(0)
+    folder, deliver = _delivered(_event_messages(spark, sf, F.least(late, F.lit(2))), "sequence_events", 3, EVENT_BEAT)
+    out, cp = session.fresh_path(spark, "tables", "sequence"), C.checkpoint_for(spark, "sequence")
+    schemas = []
+
+    def start():
+        rows = _event_stream(spark, folder).where(F.col("event_id") != "beat").select("payment_id", "event_id", "event_name", "event_time")
+        schemas.append(rows.schema)
+        return C.start(rows, f"sequence_{out[-12:]}", cp, sink="foreachBatch", foreach_batch=SQ.SequenceWriter(out, BS.run_of(cp), every=2), trigger="availableNow")
+
+    _in_turns(start, [deliver], 3)
+    return SQ.read_sequence(spark, out, schemas[0]).select("payment_id", "event_id", "event_name", "seq", "out_of_order")
+
+
+@query("stream_pattern_topics")
+def stream_pattern_topics(spark, sf):
+    """One running query over every topic that a pattern names: two folders appear while it runs, one of a topic nobody knows; another is not named."""
+    P.prepared(spark)
+    root, path = session.fresh_path(spark, "topics", "pattern"), session.fresh_path(spark, "tables", "pattern")
+    cp = C.checkpoint_for(spark, "pattern")
+
+    def publish(kind: str, topic: str) -> None:
+        T.write_topic_folder(FX.topic_messages(spark, sf, kind), f"{root}/{topic}")
+
+    publish("orders", FOLDER_TOPICS["orders"])
+    q = BS.start_bronze_pattern(spark, root, "kafka-.*", path, name=f"pattern_{path[-12:]}", checkpoint=cp, trigger=None)
+    try:
+        q.processAllAvailable()
+        publish("events", FOLDER_TOPICS["events"])
+        publish("gps", "kafka-unknown")
+        publish("gps", "other")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = BS.read_bronze(spark, path)
+    unknown = F.get_json_object("value", "$.data.gps_id")
+    return rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("key").alias("keys"), F.countDistinct(unknown).alias("whole_lines"), F.countDistinct("partition", "offset").alias("offsets"))
+
+
+@query("ext_position_at_event")
+def ext_position_at_event(spark, sf):
+    """Each payment event with the order's last position at that time; the positions of an order are its line items, spread over the month."""
+    P.prepared(spark)
+    li = FX.table(spark, sf, "lineitem")
+    minute = (F.col("l_partkey") * 37 + F.col("l_suppkey") * 11 + F.col("l_linenumber") * 1009) % 41760
+    points = li.select(F.concat(F.lit("pay-"), F.col("l_orderkey").cast("string")).alias("payment_id"), F.timestamp_seconds(F.lit(FIRST_SECOND) + minute * 60).alias("point_time"),
+                       (F.col("l_partkey") % 1001).cast("long").alias("place"))
+    events = S.events(P.bronze(spark, sf)).select("payment_id", "event_id", "event_time")
+    return AO.as_of(events, points, "payment_id", "event_time", "point_time", ["place"]).select("payment_id", "event_id", "place")
+
+
 @query("ext_order_gps_join")
 def ext_order_gps_join(spark, sf):
     """Orders with their GPS points; a hot order is split at run time."""

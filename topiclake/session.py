@@ -72,6 +72,11 @@ def fresh_path(spark: SparkSession, kind: str, name: str) -> str:
     return shared_path(spark, kind, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def estimated_bytes(df) -> int:
+    """Spark's estimate of the bytes that ``df`` has; very large where it cannot tell."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def file_system(spark: SparkSession, path: str):
     """(Hadoop file system, Hadoop path) of ``path``, any scheme; needs a classic session."""
     sc = _context(spark)
@@ -129,6 +134,29 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file put in place whole: written beside it, then renamed."""
+    beside = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    write_text(spark, beside, text, overwrite=True)
+    fs, source = file_system(spark, beside)
+    target = file_system(spark, path)[1]
+    fs.delete(target, False)
+    if not fs.rename(source, target):
+        raise RuntimeError(f"cannot write {path}")
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob pattern finds."""
+    fs, jpath = file_system(spark, pattern)
+    return [str(f.getPath().toString()) for f in (fs.globStatus(jpath) or [])]
+
+
+def delete_matching(spark: SparkSession, pattern: str) -> None:
+    """Deletes the folders that a glob pattern finds; this library wrote them."""
+    for path in matching(spark, pattern):
+        delete(spark, path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this library wrote."""
     fs, jpath = file_system(spark, path)

@@ -206,6 +206,31 @@ def read_topic_text(spark: SparkSession, kind: str, path: str, mode: str = "batc
     return text.select("value", parse("value", envelope(kind)).getField("data").alias("data"), "_topic_name")
 
 
+def read_pattern(spark: SparkSession, root: str, pattern: str, kinds: Mapping[str, str] | None = None, mode: str = "stream",
+                 **limits) -> DataFrame:
+    """Every topic below ``root`` whose name matches ``pattern`` (a regular expression on the whole name), in one frame.
+
+    A topic is a folder below ``root``; new ones are found while the query runs, as Kafka's ``subscribePattern`` finds
+    them.  ``kinds`` maps topic names to record kinds (by default the known folder topics); their lines are parsed by their own
+    schema.  Lines of other topics are kept whole.  Columns: ``_topic_name``, ``_kind`` (null for an unknown topic), ``value`` (the
+    untouched line), ``key`` (the record's sequence) and ``record`` (the record as JSON), both null where there is none.
+    """
+    kinds = dict(kinds) if kinds is not None else {name: kind for kind, name in FOLDER_TOPICS.items()}
+    base = session.file_system(spark, root)[1].toUri().getPath().rstrip("/")
+    text = read_folder_text(spark, root, None, mode, with_file=True, **limits)
+    name = F.regexp_extract("_file", f"\\Q{base}\\E/+([^/]+)/", 1)
+    rows = text.select("value", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("_topic_name"))
+    rows = rows.where(F.col("_topic_name").rlike(f"^(?:{pattern})$"))
+    key, record, known = (F.lit(None).cast(t) for t in ("long", "string", "string"))
+    for topic, kind in kinds.items():
+        mine = F.col("_topic_name") == topic
+        data = parse(F.when(mine, F.col("value")), envelope(kind)).getField("data")
+        key = F.coalesce(data.getField("_sequence_id").cast("long"), key)
+        record = F.coalesce(F.to_json(data), record)
+        known = F.when(mine, kind).otherwise(known)
+    return rows.select("_topic_name", known.alias("_kind"), "value", key.alias("key"), record.alias("record"))
+
+
 def union_topics(frames: Sequence[DataFrame]) -> DataFrame:
     """Several topics in one frame, by column name (duplicates kept, no shuffle)."""
     out = frames[0]

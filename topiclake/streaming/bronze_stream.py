@@ -18,13 +18,16 @@ anyway.  So each micro-batch goes through ``foreachBatch``:
 after everything already there.  The tag starts with a letter, and tables are
 read with an explicit schema, so no tag or topic name is ever read as a number.
 
-``compact`` merges the folders of finished batches.
+``compact`` merges the folders of finished batches.  What it is about to do stands in the commit log first: a plan
+before the merged rows are written, a swap before the old folders go.  Readers leave out merged rows that are only planned and old
+rows that are swapped, and the next ``compact`` ends what a crash left, so a row is there once at any moment.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +88,29 @@ class CommitLog:
             session.write_text(self.spark, f"{self.root}/head.json", json.dumps([entry["run"], entry["batch_id"]]), overwrite=True)
 
 
+    # ------------------------------------------------------------ compaction
+
+    def note(self, step: str, what: dict) -> None:
+        """The step of the compaction in progress: ``plan``, then ``swap``."""
+        session.replace_text(self.spark, f"{self.root}/compaction/{step}.json", json.dumps(what))
+
+    def noted(self) -> tuple[dict | None, dict | None]:
+        """(plan, swap) of a compaction that has not ended."""
+        plan, swap = (session.read_text(self.spark, f"{self.root}/compaction/{s}.json") for s in ("plan", "swap"))
+        return (json.loads(plan) if plan else None), (json.loads(swap) if swap else None)
+
+    def ended(self) -> None:
+        for step in ("plan", "swap"):  # in this order: a swap alone is ended again, a plan alone would be undone
+            session.delete(self.spark, f"{self.root}/compaction/{step}.json")
+
+    def follow(self, table: str) -> None:
+        """A catalog table that shows this folder, and is to learn of compactions."""
+        session.write_text(self.spark, f"{self.root}/tables/{hashlib.sha1(table.encode()).hexdigest()}.txt", table, overwrite=True)
+
+    def followers(self) -> list[str]:
+        return [session.read_text(self.spark, f) for f, _, _ in session.file_stamps(self.spark, f"{self.root}/tables") if f.endswith(".txt")]
+
+
 class BronzeBatchWriter:
     """``foreachBatch`` function: flat bronze rows of a micro-batch → offsets → Parquet folder.
 
@@ -107,6 +133,14 @@ class BronzeBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        staged = f"{self.path}__staged/{self.run}-{batch_id}"
+        batch.write.mode("overwrite").parquet(staged)  # the messages are parsed once; counts and rows are read from here
+        try:
+            self._write(spark, spark.read.schema(batch.schema).parquet(staged), batch_id)
+        finally:
+            session.delete(spark, staged)
+
+    def _write(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         log = CommitLog(spark, self.path)
         entry = log.entry(self.run, batch_id)
         if entry is None:
@@ -157,42 +191,97 @@ def declare_table(spark: SparkSession, name: str, path: str, layout: str = "mult
               f"PARTITIONED BY (topic, _run, _batch_id) LOCATION '{path}'")
     if session.path_exists(spark, path):
         spark.sql(f"MSCK REPAIR TABLE `{database}`.`{table}`")
+    CommitLog(spark, path).follow(f"`{database}`.`{table}`")
     return f"`{database}`.`{table}`"
 
 
 def read_bronze(spark: SparkSession, path: str, layout: str = "multiplex", merge_schema: bool = False) -> DataFrame:
     """The streamed bronze table; ``merge_schema`` adds the columns that any batch has beyond the layout's."""
     more = spark.read.option("mergeSchema", "true").parquet(path).schema if merge_schema else None
-    return spark.read.schema(table_schema(layout, more)).parquet(path)
+    rows = spark.read.schema(table_schema(layout, more)).parquet(path)  # lists the files before the log is asked
+    plan, swap = CommitLog(spark, path).noted()
+    if swap:
+        return _without(rows, swap["gone"])
+    if plan:
+        return rows.where((F.col("_run") != COMPACTED) | (F.col("_batch_id") != plan["number"]))
+    return rows
+
+
+def _without(rows: DataFrame, batches: list) -> DataFrame:
+    """``rows`` of other batches: folder columns alone, so the folders are not opened."""
+    by_run: dict[str, list[int]] = {}
+    for run, batch in batches:
+        by_run.setdefault(run, []).append(batch)
+    gone = F.lit(False)
+    for run, ids in by_run.items():
+        gone = gone | ((F.col("_run") == run) & F.col("_batch_id").isin(ids))
+    return rows.where(~gone)
 
 
 def compact(spark: SparkSession, path: str, layout: str = "multiplex") -> int:
     """Merges the batches of a table into one folder per topic; returns how many went.
 
-    Only while no query writes or reads the table.  The last batch of each run
-    stays as it is, as a restart may replay it.
+    Only while no query writes the table.  The last batch of each run stays as it
+    is, as a restart may replay it.  Catalog tables over the folder (``declare_table``) get the new
+    folders and lose the old ones; a reader by name meanwhile may see either.  A compaction that
+    died is ended first: undone up to its swap, carried through after it.
     """
+    path = path.rstrip("/")
+    log = CommitLog(spark, path)
+    plan, swap = log.noted()
+    if swap:
+        _swap(spark, log, path, swap)
+    elif plan:
+        _forget(spark, log, [[COMPACTED, plan["number"]]])
+        session.delete_matching(spark, f"{path}/topic=*/_run={COMPACTED}/_batch_id={plan['number']}")
+        log.ended()
     rows = read_bronze(spark, path, layout, merge_schema=True)
     batches = {(r["_run"], r["_batch_id"]) for r in rows.select("_run", "_batch_id").distinct().collect()}
     newest: dict[str, int] = {}
     for run, batch in batches:
         newest[run] = max(newest.get(run, -1), batch)
-    gone = [x for x in batches if x[0] != COMPACTED and x[1] < newest[x[0]]]
+    gone = sorted(x for x in batches if x[0] != COMPACTED and x[1] < newest[x[0]])
     if not gone:
         return 0
+    step = {"number": newest.get(COMPACTED, -1) + 1, "gone": gone}
+    log.note("plan", step)
     old = spark.createDataFrame(gone, "_run STRING, _batch_id BIGINT")
-    number = newest.get(COMPACTED, -1) + 1
     kept = rows.join(F.broadcast(old), ["_run", "_batch_id"], "left_semi").drop("_run", "_batch_id")
-    kept = kept.withColumns({"_run": F.lit(COMPACTED), "_batch_id": F.lit(number).cast("long")})
-    topics = [r[0] for r in rows.select("topic").distinct().collect()]
+    kept = kept.withColumns({"_run": F.lit(COMPACTED), "_batch_id": F.lit(step["number"]).cast("long")})
     (kept.repartition("topic", F.spark_partition_id()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("topic", "_run", "_batch_id").parquet(path))
-    for run, batch in gone:
-        for topic in topics:
-            session.delete(spark, f"{path.rstrip('/')}/topic={topic}/_run={run}/_batch_id={batch}")
+    log.note("swap", step)
+    _swap(spark, log, path, step)
     return len(gone)
 
 
+def _forget(spark: SparkSession, log: CommitLog, batches: list) -> None:
+    """Takes the folders of batches out of the catalog tables (the files stay)."""
+    gone = {(run, str(batch)) for run, batch in batches}
+    for table in log.followers():
+        if spark.catalog.tableExists(table):
+            parts = [dict(x.split("=", 1) for x in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+            old = [f"PARTITION (topic={_sql(unquote(p['topic']))}, _run='{p['_run']}', _batch_id={p['_batch_id']})"
+                   for p in parts if (p["_run"], p["_batch_id"]) in gone]
+            if old:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(old))
+
+
+def _swap(spark: SparkSession, log: CommitLog, path: str, step: dict) -> None:
+    """Merged folder in, old folders out: first in the catalog tables, then on disk, then in the log."""
+    merged = session.matching(spark, f"{path}/topic=*/_run={COMPACTED}/_batch_id={step['number']}")
+    parts = " ".join(f"PARTITION (topic={_sql(unquote(p.split('/topic=')[-1].split('/')[0]))}, _run='{COMPACTED}', _batch_id={step['number']})" for p in merged)
+    tables = [t for t in log.followers() if spark.catalog.tableExists(t)]
+    for table in tables:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    _forget(spark, log, step["gone"])
+    for run, batch in step["gone"]:
+        session.delete_matching(spark, f"{path}/topic=*/_run={run}/_batch_id={batch}")
+    for table in tables:
+        spark.catalog.refreshTable(table)
+    log.ended()
+
+
 def read_bronze_stream(spark: SparkSession, path: str, starting: dict | None = None) -> DataFrame:
     """The bronze table as a stream; ``starting`` = {(topic, partition): offset} keeps later rows only.
 
@@ -242,6 +331,17 @@ def start_bronze_stream(
     return control.start(rows, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
 
 
+def start_bronze_pattern(spark: SparkSession, root: str, pattern: str, path: str, name: str, checkpoint: str, trigger: str | None = "5 seconds",
+                         kinds: dict[str, str] | None = None, table: str | None = None, **limits) -> StreamingQuery:
+    """One query over every topic folder below ``root`` whose name matches ``pattern``, whenever it appears → bronze multiplex."""
+    from topiclake.sources.topics import read_pattern
+
+    full = declare_table(spark, table, path) if table else None
+    rows = B.pattern_rows(read_pattern(spark, root, pattern, kinds, **limits))
+    writer = BronzeBatchWriter(path, run=run_of(checkpoint), table=full)
+    return control.start(rows, name, checkpoint, sink="foreachBatch", foreach_batch=writer, trigger=trigger)
+
+
 def start_per_topic_stream(
     text_topics: dict[str, DataFrame],
     path: str,

@@ -153,11 +153,12 @@ class ProgressLog(StreamingQueryListener):
             self.spark.createDataFrame(self.rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
             self.rows = []
 
-    def frame(self, queries: Iterable[StreamingQuery] = ()) -> DataFrame:
-        """All events so far; waits for the last event of ``queries`` that have ended."""
+    def frame(self, queries: Iterable[StreamingQuery] = (), timeout_s: float = 600) -> DataFrame:
+        """All events so far; waits for the last event of ``queries`` that have ended, and raises if it doesn't come."""
         wanted = {str(q.runId) for q in queries if not q.isActive}
         with self.news:
-            self.news.wait_for(lambda: wanted <= self.ended, timeout=60)
+            if not self.news.wait_for(lambda: wanted <= self.ended, timeout=timeout_s):
+                raise TimeoutError(f"no end of {len(wanted - self.ended)} queries seen in {timeout_s}s: their events may be missing")
             self._write()
         if not session.path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], PROGRESS_SCHEMA)
