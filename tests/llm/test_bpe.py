@@ -82,3 +82,22 @@ def test_decoded_from_an_ids_column(spark, docs_of, both):
     odd = spark.createDataFrame([(1, None), (2, []), (3, [5, None, 10**9, 7, -1])], "k int, at array<long>")
     assert {r.k: r.text for r in bpe.decoded(odd, vocabulary(), "at", "text").collect()} == {1: None, 2: "", 3: library.decode([5, 10**9, 7], skip_special_tokens=False)}
     assert bpe.decoded(odd.limit(0), vocabulary(), "at").count() == 0
+
+
+def test_million_characters_without_white_space(both):
+    """Long chunks take n log n; up to the library's own reach they equal it, and a heap equals the scan."""
+    import random
+    import time
+
+    own, library = both
+    rng = random.Random(1)
+    for text in ("a" * 3000, "ab" * 2000, "".join(rng.choices("abcdefghij", k=4000)), "".join(rng.choices("ACGT", k=3000)), "".join(rng.choices("aé漢1!", k=2000))):
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+    for _ in range(200):
+        symbols = tuple(rng.choices("eastinrt", k=rng.randrange(1, 60)))
+        assert own.merged(symbols) == own._merged_long(symbols)
+    began = time.time()
+    for text in ("a" * 1_000_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))):
+        ids = own.encode(text)
+        assert own.decode(ids).replace(" ", "").replace(own.end, "") == text
+    assert time.time() - began < 120 and max(map(len, own.pieces)) <= bpe.LONGEST

@@ -51,5 +51,42 @@ def test_hot_source_adds_one_site(docs_of):
     assert all(got[i] == (f"own {i}\nof the hot source", []) for i in range(20, 52))
 
 
+def test_many_removed_lines_in_linear_time(docs_of):
+    """Texts of 200,000 lines that lose all but a few: a lookup per line, not a search through all places."""
+    import time
+
+    body = "\n".join(f"line {i}" for i in range(200_000))
+    rows = [(i, body + f"\nown {i}", None, f"s{i}") for i in range(5)]
+    began = time.time()
+    got = {r.doc_id: (r.text, len(r.removed_lines)) for r in linedup.without_boilerplate(docs_of(rows)).collect()}
+    assert time.time() - began < 120
+    assert got == {0: (rows[0][1], 0)} | {i: (f"own {i}", 200_000) for i in range(1, 5)}
+
+
+def test_clashing_columns(docs_of, spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"own {i}\nshared by many texts", None, f"s{i}") for i in range(6)]
+    got = linedup.without_boilerplate(docs_of(rows, of=F.lit(5), removed_lines=F.lit("r"), gone=F.lit("g"), flags=F.lit(1.5)))
+    assert got.columns[-5:] == ["of", "removed_lines", "gone", "flags", "_removed_lines"]
+    assert {(r.of, r.removed_lines, r.gone, r.flags) for r in got.collect()} == {(5, "r", "g", 1.5)}
+    assert sum(len(r["_removed_lines"]) for r in got.collect()) == 5
+
+
+def test_only_near_lines_shuffle_their_sites(docs_of):
+    """The sketches are merged from partial ones; a site is grouped by only under the join with the lines near the threshold."""
+    rows = [(i, f"own {i}\nshared by many texts", None, f"s{i}") for i in range(6)]
+    lines = linedup._lines(docs_of(rows), "doc_id", "text", "source")
+    plans = []
+    keep = linedup.cut
+    linedup.cut = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df)
+    try:
+        linedup.boilerplate(lines).count()
+    finally:
+        linedup.cut = keep
+    assert len(plans) == 1 and "partial_hll_sketch_agg" in plans[0]
+    assert all("site" not in x for x in plans[0].splitlines() if "Exchange hashpartitioning" in x)
+
+
 def test_empty_table(docs_of):
     assert linedup.digest(docs_of([])).count() == 0

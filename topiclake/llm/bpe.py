@@ -15,12 +15,14 @@ the end mark.  Decoding joins the ids' token strings by a space.
 
 Edge cases: null and empty texts have no ids, and decode to the empty text.  Null ids decode to null;
 ids that the vocabulary lacks, and nulls among ids, are passed over, as the tokenizer library does.
-A long text is taken block by block, cut at white space.
+A long text is taken block by block, cut at white space; a long run without white space is one fragment at worst, merged
+with a heap, and not cached.  Repeated rows are encoded each; an empty table gives no row; other columns pass through, the new one gets a free name.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -33,7 +35,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import fresh, received, send
 
-CACHE = 300_000
+# Entries of each cache, symbols of the longest one kept there, symbols up to which a scan finds the next merge faster than a heap.
+CACHE, LONGEST, SCAN = 300_000, 256, 64
 _BLOCK = 1 << 18
 _CUT = re.compile(r"[ \n]")
 # What the tokenizer file's normaliser takes for white space, where Python's split() takes \x1c-\x1f too.
@@ -93,6 +96,8 @@ class Bpe:
 
     def merged(self, symbols: tuple[str, ...]) -> tuple[int, ...]:
         """Ids of one fragment: the adjacent pair of least rank is merged until none is left."""
+        if len(symbols) > SCAN:
+            return self._merged_long(symbols)
         s, none = list(symbols), len(self.rank)
         of = self.rank.get
         ranks = [of(p, none) for p in zip(s, s[1:], strict=False)]
@@ -106,7 +111,30 @@ class Bpe:
                 ranks[i] = of((s[i], s[i + 1]), none)
         return tuple(self.ids[x] for x in s)
 
+    def _merged_long(self, symbols: tuple[str, ...]) -> tuple[int, ...]:
+        """The same with a heap of (rank, place) over linked symbols; an entry that no longer names its pair's rank is passed over."""
+        s, n, of = list(symbols), len(symbols), self.rank.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := of((s[i], s[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if s[i] is None or j >= n or of((s[i], s[j])) != r:
+                continue
+            s[i], s[j], after[i] = s[i] + s[j], None, after[j]
+            k, h = after[i], before[i]
+            if k < n:
+                before[k] = i
+                if (r := of((s[i], s[k]))) is not None:
+                    heapq.heappush(heap, (r, i))
+            if h >= 0 and (r := of((s[h], s[i]))) is not None:
+                heapq.heappush(heap, (r, h))
+        return tuple(self.ids[x] for x in s if x is not None)
+
     def _fragment(self, symbols: tuple[str, ...]) -> tuple[int, ...]:
+        if len(symbols) > LONGEST:
+            return self.merged(symbols)
         got = self.fragments.get(symbols)
         if got is None:
             if len(self.fragments) >= CACHE:
@@ -117,12 +145,13 @@ class Bpe:
     def _piece(self, piece: str) -> tuple[int, ...]:
         got = self.pieces.get(piece)
         if got is None:
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
             symbols = [*piece[:-1], piece[-1] + self.end]
             parts = list(self.cut(symbols))
             got = self.merged(parts[0]) if len(parts) == 1 else tuple(i for x in parts for i in self._fragment(x))
-            self.pieces[piece] = got
+            if len(piece) <= LONGEST:
+                if len(self.pieces) >= CACHE:
+                    self.pieces.clear()
+                self.pieces[piece] = got
         return got
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:

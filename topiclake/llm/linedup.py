@@ -1,9 +1,9 @@
 """Line dedup by distinct-site spread: boilerplate is a line that stands on many sites.
 
-Lines are keyed by 96 bits of hash of the trimmed line.  Rows are reduced to one per line
-and site before the shuffle; per line a HyperLogLog sketch of the sites is
-merged by aggregation.  A line whose estimate is near the threshold (within
-``margin``) gets an exact distinct count instead; lines well under or over it
+Lines are keyed by 96 bits of hash of the trimmed line.  Each task makes one HyperLogLog sketch of the sites per line it
+has; the sketches of a line are merged by aggregation, so what is shuffled is a row per task and line, whatever the number of
+its occurrences.  A line whose estimate is near the threshold (within ``margin``) gets an exact distinct count, for which
+only such lines' sites are shuffled; lines well under or over it
 are decided by the sketch, whose relative error at 2^lg_k registers is far smaller than the margin.
 The threshold is low because a hot source adds one site only, whatever its number of documents.
 Every occurrence of a boilerplate line goes but one: the first in the row with
@@ -12,7 +12,9 @@ the smallest id, so text that only copies carry is not lost altogether.
 Edge cases: blank lines are never boilerplate and stay.  A null site counts as
 no site; a null text stays null; a text all of whose lines go becomes empty.
 Occurrences in rows without id never are the one that stays, unless no row has
-an id.  Repeated rows (same id and text) are treated alike.
+an id.  Repeated rows (same id and text) are treated alike.  Ties for the first occurrence (one id, several texts) go to the
+least hash of the text.  Very long texts are split once and lose their lines in one pass; an empty table gives no row; other columns pass
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ SITES, MARGIN, LG_K = 4, 0.25, 12
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     slim = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.col(text_col).cast("string").alias("text"))
-    each = slim.select("id", "site", F.xxhash64("text").alias("of"), F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    whole = slim.select("id", "site", F.xxhash64("text").alias("of"), F.split("text", "\n", -1).alias("all"))  # hashed before the lines come apart, not for each
+    each = whole.select("id", "site", "of", F.posexplode("all").alias("place", "line"))
     each = each.withColumn("line", F.trim("line")).where("line <> ''")
     return each.select("id", "site", "of", "place", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"))
 
@@ -35,11 +38,11 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFr
 def boilerplate(lines: DataFrame, sites: int = SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
     """(h1, h2, first) of the lines on at least ``sites`` sites."""
     spot = F.struct(F.col("id").isNull(), F.col("id"), F.col("of"), F.col("place"))
-    by_site = cut(lines.groupBy("h1", "h2", "site").agg(F.min(spot).alias("first")))
-    spread = cut(by_site.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("about"), F.min("first").alias("first"))
-                 .where(F.col("about") >= sites * (1 - margin)))
+    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("about"), F.min(spot).alias("first"))
+    spread = cut(spread.where(F.col("about") >= sites * (1 - margin)))
     near = spread.where(F.col("about") < sites * (1 + margin))
-    exact = by_site.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count("site").alias("n")).where(F.col("n") >= sites)
+    their = lines.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    exact = their.distinct().groupBy("h1", "h2").agg(F.count("site").alias("n")).where(F.col("n") >= sites)
     far = spread.where(F.col("about") >= sites * (1 + margin))
     return far.drop("about").unionByName(near.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi").drop("about"))
 
@@ -50,16 +53,24 @@ def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spot = F.struct(F.col("id").isNull(), F.col("id"), F.col("of"), F.col("place"))
     hits = lines.join(boilerplate(lines, sites), ["h1", "h2"]).where(~spot.eqNullSafe(F.col("first")))
     gone = hits.groupBy("id", "of").agg(F.sort_array(F.collect_set("place")).alias("gone"))
+    gone = gone.withColumn("flags", _flags(F.col("gone")))  # made before the join, so looked up and not made again per line
     of, name = fresh(docs, "of"), fresh(docs, "removed_lines")
     keyed = docs.withColumn(of, F.xxhash64(F.col(text_col).cast("string")))
     j = keyed.join(gone, (keyed[of] == gone["of"]) & keyed[id_col].eqNullSafe(gone["id"]), "left")
     places = F.coalesce(gone["gone"], F.array().cast("array<int>"))
-    return j.select(*(_text(keyed[c], places).alias(c) if c == text_col else keyed[c] for c in docs.columns), places.alias(name))
+    return j.select(*(_text(keyed[c], gone["flags"]).alias(c) if c == text_col else keyed[c] for c in docs.columns), places.alias(name))
 
 
-def _text(text: Column, places: Column) -> Column:
-    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(places, i))
-    return F.when(F.size(places) == 0, text).otherwise(F.array_join(kept, "\n"))
+def _flags(places: Column) -> Column:
+    """For each place up to the last of ``places`` whether it is one of them."""
+    all_of = F.sequence(F.lit(0), F.array_max(places))
+    mark = lambda p, is_gone: F.transform(p, lambda i: F.struct(i.alias("i"), F.lit(is_gone).alias("gone")))
+    return F.transform(F.sort_array(F.concat(mark(places, True), mark(F.array_except(all_of, places), False))), lambda m: m["gone"])
+
+
+def _text(text: Column, flags: Column) -> Column:
+    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.coalesce(F.get(flags, i), F.lit(False)))
+    return F.when(flags.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
