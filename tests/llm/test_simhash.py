@@ -46,12 +46,59 @@ def test_any_depth_and_grid(spark, leaf, part):
     assert got == {p: r for p, r in label.items() if any(p in x for x in near)}
 
 
-def test_ball_covers_each_pair_once():
-    for levels in (0, 1, 2, 3):
-        moves = simhash.ball(levels, 2)
-        assert len(set(moves)) == len(moves)
-        both = {tuple(m) for m in moves} | {tuple(-x for x in m) for m in moves}
-        assert len(both) == 2 * len(moves) - 1
+def near_pairs(points):
+    return {(a, b) for i, a in enumerate(points) for b in points[:i] if (a ^ b).bit_count() <= 2}
+
+
+def clouds(seed, centres=12, each=40, far=300):
+    """Near copies around centres, and points of their own."""
+    rng = np.random.default_rng(seed)
+    c = rng.integers(0, 2**63, centres, dtype=np.uint64)
+    near = [int(x) ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(e)) for x in c for a, b, e in rng.integers(0, 64, (each, 3))]
+    return np.array(sorted({*near, *map(int, rng.integers(0, 2**64, far, dtype=np.uint64)), 0, 2**64 - 1}), np.uint64)
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 9, 64, 400])
+def test_tree_covers_each_near_pair_once(leaves):
+    x = clouds(2)
+    tree = simhash.Tree(x[::3], leaves)
+    assert tree.leaves <= leaves + 1
+    at, cell, guest = tree.visits(x, 2)
+    home = dict(zip(at[~guest].tolist(), cell[~guest].tolist()))
+    assert sorted(home) == list(range(len(x))) and len(at[~guest]) == len(x)
+    visits = set(zip(at[guest].tolist(), cell[guest].tolist()))
+    assert len(visits) == guest.sum() and all(home[i] != c for i, c in visits)
+    place = {int(v): i for i, v in enumerate(x)}
+    for a, b in near_pairs([int(v) for v in x]):
+        i, j = place[a], place[b]
+        assert home[i] == home[j] or ((i, home[j]) in visits) != ((j, home[i]) in visits)
+
+
+@pytest.mark.parametrize("pairs", [1, 50, 1 << 19])
+def test_links_of_a_task(monkeypatch, pairs):
+    monkeypatch.setattr(simhash, "PAIRS", pairs)
+    x = clouds(7)
+    u, v = x[::2], x[1::2]
+    want = near_pairs([int(p) for p in x])
+
+    def sets(found):
+        found.shrink()
+        return {int(m): int(r) for m, r in zip(*simhash.stars(found.a[0], found.b[0]))}
+
+    def of(links):
+        a, b = (np.array([p[i] for p in links], np.uint64) for i in (0, 1))
+        return {int(m): int(r) for m, r in zip(*simhash.stars(a, b))}
+
+    whole = simhash.Links(2)
+    whole.within(x)
+    assert sets(whole) == of(sorted(want))
+    both = simhash.Links(2)
+    both.between(u, v)
+    both.within(u)
+    both.within(v)
+    assert sets(both) == of(sorted(want))
+    if pairs == 50:
+        assert whole.compared < len(x) ** 2 / 2  # fewer than all pairs
 
 
 def test_chain_component(spark):

@@ -1,23 +1,22 @@
 """SimHash near-dedup: exact pairs of fingerprints within a few bits, found with a sharded vantage-point tree.
 
-The tree.  Level i has a vantage point and looks at one block of the 64 bits;
-a fingerprint goes to the child named by its Hamming distance from the vantage
-point within that block.  The blocks are disjoint, so by the triangle bound the
-children of two fingerprints within r bits differ by r at most, *summed over
-the levels*: a query goes down only to children within what is left of r.  The
-path is the shard.  Every distinct fingerprint lives in one shard and visits
-the shards that its ball of radius r overlaps; of the two directions of a pair
-only one is visited.  With n distinct fingerprints the depth is chosen so that a
-shard holds about ``leaf`` of them; a shard with more (many near copies) is cut
-into a grid of home parts and visitor parts, each pair of parts a task of its own.
-
-In a shard all pairs are compared with xor and popcount; what leaves the task
-is a spanning star of each linked set, so no link between sets is lost and no
-group is written as all its pairs.
+The tree is chosen from the data: a sample of the distinct fingerprints (those of least hash, at most ``SAMPLE``) is split again
+and again by the distance from a vantage point, one of themselves, at its median.  The vantage point is that of a few
+candidates whose distances spread most.  A leaf of the tree is a shard.  Every distinct fingerprint lives in the one shard that its distances lead
+to, and visits the others that its ball of radius r overlaps: by the triangle bound, two fingerprints within r bits lie at most r
+apart in their distance from any vantage point, so a child whose side of the median is further away than r is pruned.
+Of the two directions of a pair only one is visited: where two paths part for the first time, the outer one visits the inner side.  Depth
+grows with the number of fingerprints; a shard too large for a task is cut into a grid of home parts and visitor parts.
+
+Within a task the same is done on: the fingerprints at home are split by one of them, visitors follow where the bound lets them, until few
+enough are left to compare them all with xor and popcount.  What lies within r of a vantage point links to it, so
+such fingerprints (a group of near copies) are not compared with each other.  What leaves the task is a spanning star of each linked
+set, so no link between sets is lost and no group is written as all its pairs.
 
 Edge cases: a null or empty text has fingerprint zero, and zero links like any
 other.  Equal texts share a fingerprint, hence a component.  A component's id
-is its smallest doc_id, null only if all its ids are null.
+is its smallest doc_id, null only if all its ids are null.  Repeated rows are rows of one group.  Very long texts are hashed block
+by block; an empty table gives no row; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,13 +31,13 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut, fresh, with_row_id
+from .common import cut, fresh, received, send, with_row_id
 from .graph import components
 
 SHINGLE, BITS, SEED = 3, 2, 42
-LEAF, PART = 2000, 20_000
-_BLOCK_BITS = 8
-_VANTAGE = 0x6A09E667F3BCC908
+# Fingerprints at home in a shard, rows of a home or visitor part of a crowded one, sampled fingerprints that the tree is chosen from at most,
+# pairs compared at once in a task.
+LEAF, PART, SAMPLE, PAIRS = 1000, 8000, 1 << 18, 1 << 19
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -76,48 +75,183 @@ def with_fingerprint(docs: DataFrame, text_col: str, name: str, shingle: int = S
     return docs.select(*rest, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
-def ball(levels: int, bits: int) -> list[tuple[int, ...]]:
-    """Differences between the shards of two fingerprints within ``bits``; of each and its negative only one."""
-    out = [()]
-    for _ in range(levels):
-        out = [(*x, d) for x in out for d in range(-bits, bits + 1) if sum(map(abs, x)) + abs(d) <= bits]
-    return [x for x in out if next((d for d in x if d), 1) > 0]
-
-
-def _shards(points: DataFrame, levels: int, bits: int) -> DataFrame:
-    """(cell, visitor, fp): each fingerprint at home, and in each shard it visits (its own too)."""
-    side = _BLOCK_BITS + 1
-    moves = ball(levels, bits)
+def _apart(x: np.ndarray, vantage: np.uint64) -> np.ndarray:
+    return np.bitwise_count(x ^ vantage).astype(np.int16)
+
+
+def _vantage(x: np.ndarray, candidates: int = 8) -> tuple[np.uint64, np.ndarray, int]:
+    """Of a few points of ``x`` (spread evenly over it) the one whose distances to it vary most, these, and their median."""
+    best = None
+    for v in x[np.linspace(0, len(x) - 1, min(candidates, len(x))).astype(int)]:
+        d = _apart(x, v)
+        if best is None or d.var() > best[1].var():
+            best = v, d
+    return best[0], best[1], int(np.median(best[1]))
+
+
+class Tree:
+    """Vantage points, radii and children of the inner nodes; a child under zero is leaf -1 - child."""
+
+    def __init__(self, sample: np.ndarray, leaves: int) -> None:
+        self.vantage, self.radius, self.child = [], [], []
+        self.leaves = 0
+        self._grow(sample, leaves)
+        self.vantage, self.radius = np.array(self.vantage, np.uint64), np.array(self.radius, np.int16)
+        self.child = np.array(self.child, np.int64).reshape(-1, 2)
+
+    def _leaf(self) -> int:
+        self.leaves += 1
+        return -self.leaves
+
+    def _grow(self, x: np.ndarray, leaves: int) -> int:
+        """The node over the part ``x`` of the sample that is to have ``leaves`` leaves."""
+        if leaves < 2 or len(x) < 4:
+            return self._leaf()
+        v, d, radius = _vantage(x)
+        if (d <= radius).all():  # as many as half lie at the largest distance: they are the outer side
+            radius -= 1
+        inside = d <= radius
+        if inside.all() or not inside.any():
+            return self._leaf()
+        node = len(self.child)
+        self.vantage.append(v)
+        self.radius.append(radius)
+        self.child.append(None)
+        inner = max(1, round(leaves * inside.mean()))
+        self.child[node] = (self._grow(x[inside], inner), self._grow(x[~inside], max(1, leaves - inner)))
+        return node
+
+    def visits(self, x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in x, leaf, visitor) of every shard that a fingerprint lives in or visits."""
+        at, node, guest = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        out = []
+        if not len(self.child):
+            return at, node, guest
+        while len(at):
+            d, r = np.bitwise_count(x[at] ^ self.vantage[node]).astype(np.int16), self.radius[node]
+            near, far = d <= r + bits, d > r - bits
+            home_in = d <= r
+            inner = np.where(guest, near, home_in)
+            outer = np.where(guest, far, ~home_in)
+            also = ~guest & ~home_in & near  # a home path that turns outside visits the inner side, and from there on follows the bound
+            at = np.concatenate([at[inner], at[outer], at[also]])
+            child = np.concatenate([self.child[node[inner], 0], self.child[node[outer], 1], self.child[node[also], 0]])
+            guest = np.concatenate([guest[inner], guest[outer], np.ones(int(also.sum()), bool)])
+            done = child < 0
+            out.append((at[done], -1 - child[done], guest[done]))
+            at, node, guest = at[~done], child[~done], guest[~done]
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def planted(points: DataFrame, n: int, leaf: int, sample: int = SAMPLE) -> Tree:
+    """The tree for ``n`` points: from at least eight of them a leaf, ``sample`` at most, taken by least hash."""
+    leaves = -(-n // leaf)
+    wanted = min(sample, max(1024, 8 * leaves))
+    order = F.xxhash64(F.lit(5), "fp")
+    share = min(1.0, 1.5 * wanted / max(n, 1) + 1e-6)  # a hash this small, then the least of them: the limit is exact, its input bounded
+    taken = points.where(F.pmod(order, F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(F.pmod(order, F.lit(1 << 30)), "fp").limit(wanted)
+    return Tree(np.array([r["fp"] for r in taken.collect()], np.int64).view(np.uint64), min(leaves, wanted // 8))
+
+
+def _shards(points: DataFrame, tree: Tree, bits: int) -> DataFrame:
+    """(cell, visitor, fp): each fingerprint at home, and in each shard it visits."""
+    sent = send(points.sparkSession, tree)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = received(sent)
         for b in batches:
             signed = b.column(0).to_numpy()
-            for part in np.array_split(signed, len(signed) // 50_000 + 1):
-                x = part.view(np.uint64) ^ np.uint64(_VANTAGE)
-                at = [np.bitwise_count(x >> np.uint64(_BLOCK_BITS * i) & np.uint64(255)).astype(np.int64) for i in range(levels)]
-                home = sum((d * side**i for i, d in enumerate(at)), np.zeros(len(x), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(np.zeros(len(x), bool)), pa.array(part)], ["cell", "visitor", "fp"])
-                for move in moves:
-                    ok = np.ones(len(x), bool)
-                    for d, m in zip(at, move, strict=True):
-                        ok &= (d + m >= 0) & (d + m < side)
-                    if ok.any():
-                        cell = home[ok] + sum(m * side**i for i, m in enumerate(move))
-                        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.ones(len(cell), bool)), pa.array(part[ok])], ["cell", "visitor", "fp"])
+            for part in np.array_split(signed, len(signed) // 5000 + 1):
+                at, cell, guest = tree.visits(part.view(np.uint64), bits)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(guest), pa.array(part[at])], ["cell", "visitor", "fp"])
 
     return points.select("fp").mapInArrow(run, "cell long, visitor boolean, fp long")
 
 
-def stars(home: np.ndarray, guests: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Members and roots of the sets that the links between ``home`` and ``guests`` make."""
-    u, v = home.view(np.uint64), guests.view(np.uint64)
-    step, a, b = max(1, (1 << 21) // max(1, len(v))), [], []
-    for i in range(0, len(u), step):
-        x = u[i : i + step, None] ^ v[None, :]
-        p, q = np.nonzero((np.bitwise_count(x) <= bits) & (x != 0))
-        a.append(home[i + p])
-        b.append(guests[q])
-    a, b = np.concatenate(a or [home[:0]]), np.concatenate(b or [home[:0]])
+class Links:
+    """The links within ``bits`` found in one task, kept as spanning stars."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits, self.a, self.b, self.size, self.compared = bits, [], [], 0, 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a.append(a)
+        self.b.append(b)
+        self.size += len(a)
+        if self.size > 1 << 20:
+            self.shrink()
+
+    def shrink(self) -> None:
+        member, root = stars(np.concatenate(self.a or [_NONE]), np.concatenate(self.b or [_NONE]))
+        keep = member != root
+        self.a, self.b, self.size = [member[keep]], [root[keep]], 0
+
+    def all_pairs(self, u: np.ndarray, v: np.ndarray) -> None:
+        step = max(1, PAIRS // max(1, len(v)))
+        for i in range(0, len(u) if len(v) else 0, step):
+            p, q = np.nonzero(np.bitwise_count(u[i : i + step, None] ^ v[None, :]) <= self.bits)
+            self.compared += len(u[i : i + step]) * len(v)
+            self.add(u[i + p], v[q])
+
+    def between(self, u: np.ndarray, v: np.ndarray) -> None:
+        """Links between ``u`` and ``v`` (and maybe others that hold), by vantage points of u."""
+        todo = [(u, v)]
+        while todo:
+            u, v = todo.pop()
+            if len(u) < len(v) // 8:
+                u, v = v, u
+            if len(u) * len(v) <= PAIRS:
+                self.all_pairs(u, v)
+                continue
+            w, d, radius = _vantage(u)
+            e = _apart(v, w)
+            self.compared += len(u) + len(v)
+            close, near, inside = d <= self.bits, e <= self.bits, d <= radius
+            # What is close to the vantage point is linked by it: it meets only what isn't, and that only within twice the bits.
+            parts = [(u[close], v[~near & (e <= 2 * self.bits)]), (u[~close & (d <= 2 * self.bits)], v[near]),
+                     (u[~close & inside], v[~near & (e <= radius + self.bits)]), (u[~close & ~inside], v[~near & (e > radius - self.bits)])]
+            if sum(len(x) * len(y) for x, y in parts) > _WORTH * len(u) * len(v):
+                self.all_pairs(u, v)  # no bound prunes enough here
+                continue
+            self.add(u[close], np.full(int(close.sum()), w))
+            self.add(v[near], np.full(int(near.sum()), w))
+            todo += [(x, y) for x, y in parts if len(x) and len(y)]
+
+    def within(self, u: np.ndarray) -> None:
+        """Links among ``u``."""
+        todo = [u]
+        while todo:
+            u = todo.pop()
+            if len(u) ** 2 <= PAIRS:
+                self.all_pairs(u, u)
+                continue
+            w, d, radius = _vantage(u)
+            self.compared += len(u)
+            close, inside = d <= self.bits, d <= radius
+            mixed = [(u[close], u[~close & (d <= 2 * self.bits)]),
+                     (u[~close & inside & (d > radius - self.bits)], u[~close & ~inside & (d <= radius + self.bits)])]
+            parts = [u[~close & inside], u[~close & ~inside]]
+            if sum(len(x) * len(y) for x, y in mixed) + sum(len(x) ** 2 for x in parts) / 2 > _WORTH * len(u) ** 2 / 2:
+                self.all_pairs(u, u)
+                continue
+            self.add(u[close], np.full(int(close.sum()), w))
+            for x, y in mixed:
+                if len(x) and len(y):
+                    self.between(x, y)
+            todo += [x for x in parts if len(x)]
+
+    def table(self) -> pa.Table:
+        self.shrink()
+        return pa.table({"a": self.a[0].view(np.int64), "b": self.b[0].view(np.int64)})
+
+
+_NONE = np.zeros(0, np.uint64)
+# Share of the pairs that a split may leave to compare, or it is not made: so each level leaves less.
+_WORTH = 0.9
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Members and roots of the sets that the links (a, b) make."""
     nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     p, q = place[: len(a)], place[len(a) :]
     label = np.arange(len(nodes))
@@ -132,24 +266,29 @@ def stars(home: np.ndarray, guests: np.ndarray, bits: int) -> tuple[np.ndarray,
 
 def links(points: DataFrame, bits: int = BITS, leaf: int = LEAF, part: int = PART) -> DataFrame:
     """Edges (a, b) that connect all fingerprints of ``points`` (distinct column fp) within ``bits``."""
-    n, levels = points.count(), 0
-    while levels < 64 // _BLOCK_BITS and n > leaf * 5**levels:  # a block's distances are worth about five equal children
-        levels += 1
-    rows = _shards(points, levels, bits)
+    rows = _shards(points, planted(points, points.count(), leaf), bits)
     size = rows.groupBy("cell").agg(F.count_if(~F.col("visitor")).alias("h"), F.count_if("visitor").alias("g"))
     hot = size.where((F.col("h") > part) | (F.col("g") > part)).select("cell", F.ceil(F.col("h") / part).cast("int").alias("hs"), F.ceil(F.col("g") / part).cast("int").alias("gs"))
     rows = rows.join(hot, "cell", "left").withColumns({"hs": F.greatest(F.coalesce("hs", F.lit(1)), F.lit(1)), "gs": F.greatest(F.coalesce("gs", F.lit(1)), F.lit(1))})
+    # Home parts i against visitor parts j, and home parts i against later home parts (j under zero names the other one).
     salt = F.xxhash64("fp")
-    own = F.when(F.col("visitor"), F.pmod(salt, F.col("gs"))).otherwise(F.pmod(salt, F.col("hs"))).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("visitor"), F.col("hs")).otherwise(F.col("gs")) - 1)))
-    rows = rows.select("cell", F.when(F.col("visitor"), F.col("other")).otherwise(F.col("own")).alias("i"), F.when(F.col("visitor"), F.col("own")).otherwise(F.col("other")).alias("j"), "visitor", "fp")
+    home = F.pmod(salt, F.col("hs")).cast("int")
+    homes, guests = F.sequence(F.lit(0), F.col("hs") - 1), F.sequence(F.lit(0), F.col("gs") - 1)
+    pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    as_guest = F.transform(homes, lambda i: pair(i, F.pmod(salt, F.col("gs"))))
+    as_home = F.concat(F.transform(guests, lambda j: pair(home, j)), F.transform(F.filter(homes, lambda k: k != home), lambda k: pair(F.least(home, k), -1 - F.greatest(home, k))))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("visitor"), as_guest).otherwise(as_home))).withColumn("home", F.when(~F.col("visitor"), home))
+    rows = rows.select("cell", "at.i", "at.j", "home", "fp")
 
     def run(t: pa.Table) -> pa.Table:
-        guest = t.column("visitor").to_numpy()
-        fp = t.column("fp").to_numpy()
-        member, root = stars(fp[~guest], fp[guest], bits)
-        keep = member != root
-        return pa.table({"a": member[keep], "b": root[keep]})
+        home, j = t.column("home"), t.column("j")[0].as_py()
+        fp = t.column("fp").to_numpy().view(np.uint64)
+        first = pc.fill_null(pc.equal(home, t.column("i")[0].as_py()), False).to_numpy()
+        found = Links(bits)
+        if j == 0:  # with the first part of visitors, each home part is compared with itself once
+            found.within(fp[first])
+        found.between(fp[first], fp[~first])
+        return found.table()
 
     return rows.groupBy("cell", "i", "j").applyInArrow(run, "a long, b long")
 
