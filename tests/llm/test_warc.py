@@ -48,18 +48,51 @@ def test_payloads_in_the_files(spark):
     path = fresh_path(spark, "llm", "warc-test")
     pages = spark.createDataFrame([(1, "a.b/c", "é\r\n\r\n"), (2, "a.b/c", "é\r\n\r\n"), (3, "z", "")], "page_id long, url string, html string")
     warc.write_archives(warc.linked(warc.with_digests(pages)), path, file_rows=1)
-    files = spark.read.format("binaryFile").load(path).collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()
     got = {h["warc-record-id"]: (h["warc-type"], bytes(p)) for f in files for h, p in warc.records(memoryview(gzip.decompress(f.content)))}
     assert got == {"<urn:page:1>": ("response", "é\r\n\r\n".encode()), "<urn:page:2>": ("revisit", b""), "<urn:page:3>": ("response", b"")}
 
 
+def _runs(spark, captures):
+    """Captures (file, key, stamp, page_id, offset) as rows of read_archives."""
+    files = sorted({c[0] for c in captures})
+    rows = [warc.sorted_run([(k, t, p, f, o, 1, "u", "response", None, 0, "d") for f, k, t, p, o in captures if f == file], file).to_pylist()[0] for file in files]
+    return spark.createDataFrame([(r["file"], r["n"], bytearray(r["run"])) for r in rows], "file string, n long, run binary")
+
+
 def test_merge_over_many_ranges(spark):
-    rows = [(f"f{i % 7}", f"k{min(i % 9, 3)}", str(i * 7919 % 400), None if i % 50 == 0 else i) for i in range(1000)]
-    df = spark.createDataFrame(rows, "file string, key string, stamp string, page_id long")
-    got = sorted(warc.merged_history(df, range_rows=60).collect(), key=lambda r: r.place)
-    assert [r.place for r in got] == list(range(1000))
-    order = [(r.key, r.stamp, r.page_id is None, r.page_id or 0) for r in got]
-    assert order == sorted(order)
+    """A hot key, one page id and null ids are all cut over ranges; nothing is sorted after the runs."""
+    captures = [(f"f{i % 7}", f"k{min(i % 9, 3)}", str(i * 7919 % 400), None if i % 50 == 0 else i, i) for i in range(1000)]
+    captures += [(f"g{i % 3}", "k3", "7", 5, i) for i in range(400)] + [(f"g{i % 3}", "k3", "7", None, 1000 + i) for i in range(300)]
+    runs = _runs(spark, captures)
+    assert len(warc.range_bounds(runs, 60)) > 20
+    out = warc.merged_history(runs, range_rows=60)
+    got = sorted(out.collect(), key=lambda r: r.place)
+    assert [r.place for r in got] == list(range(1700))
+    order = [(r.key, r.stamp, r.page_id is None, r.page_id or 0, r.file, r.offset) for r in got]
+    assert order == sorted(order) and len(set(order)) == 1700
+
+
+def test_no_range_is_much_larger(spark):
+    captures = [(f"f{i % 5}", "hot", "same", None, i) for i in range(3000)]
+    bounds = warc.range_bounds(_runs(spark, captures), 100)
+    import bisect
+
+    sizes = Counter(bisect.bisect_right(bounds, (k, t, True, 0, f, o)) for f, k, t, _, o in captures)
+    assert max(sizes.values()) <= 200
+
+
+def test_files_are_bounded_by_bytes(spark):
+    """Long pages are written a few a file, the longest alone; every record can be cut out of its file by offset and length."""
+    path = fresh_path(spark, "llm", "warc-sizes")
+    pages = spark.createDataFrame([(i, f"http://a.b/{i}", "x" * n + str(i)) for i, n in enumerate([10] * 30 + [40_000] * 8 + [2_000_000] * 3)], "page_id long, url string, html string")
+    warc.write_archives(warc.linked(warc.with_digests(pages.coalesce(1))), path, file_bytes=1 << 20)
+    files = {f.path.rpartition("/")[2]: gzip.decompress(f.content) for f in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()}
+    assert max(len(f) for f in files.values()) < 2_001_000 and sum(len(f) > 1 << 20 for f in files.values()) == 3
+    for r in warc.merged_history(warc.read_archives(spark, path)).collect():
+        one = files[r.file][r.offset : r.offset + r.length]
+        ((head, payload),) = warc.records(memoryview(one))
+        assert head["warc-record-id"] == f"<urn:page:{r.page_id}>" and bytes(payload).endswith(str(r.page_id).encode()) and head["content-type"].startswith("text/html")
 
 
 def test_empty_table(spark):
