@@ -41,6 +41,45 @@ def test_order_of_chains_and_cycles(spark):
     assert own == [f"{i}" for i in range(n)]
 
 
+def longest(calls, waits):
+    """Depth of every call by plain search; None in or behind a cycle."""
+    before = {c: {a for x, a in waits if x == c and a in calls} for c in calls}
+    depth, todo = {}, set(calls)
+    while ready := [c for c in todo if before[c] <= depth.keys()]:
+        for c in ready:
+            depth[c] = max((depth[a] + 1 for a in before[c]), default=0)
+        todo -= set(ready)
+    return depth | dict.fromkeys(todo)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_order_of_any_graph(spark, seed):
+    """Diamonds, chains into and out of them, cycles, calls that wait for absent ones."""
+    import random
+
+    rng = random.Random(seed)
+    names = [f"n{i}" for i in range(40)]
+    waits = [(b, a) for i, b in enumerate(names) for a in rng.sample(names[:i], min(i, rng.choice([0, 1, 1, 1, 2, 3])))]
+    waits += [("top", "left"), ("top", "right"), ("left", "base"), ("right", "mid"), ("mid", "base"), ("base", "absent"), ("n5", "n5"), ("n7", "n9"), ("n9", "n7"), ("top", "left")]
+    names += ["top", "left", "right", "mid", "base"]
+    calls = spark.createDataFrame([("c", n) for n in names] + [("d", n) for n in names[:20]], "conv_id string, call_id string")
+    rows = [("c", *w) for w in waits] + [("d", b, a) for b, a in waits if b not in ("n5", "n7", "n9")]
+    got = {(r.conv_id, r.call_id): r.depth for r in chat.depths(calls, spark.createDataFrame(rows, "conv_id string, call_id string, after string")).collect()}
+    want = {("c", n): d for n, d in longest(names, waits).items()}
+    want |= {("d", n): d for n, d in longest(names[:20], [w for w in waits if w[0] not in ("n5", "n7", "n9")]).items()}
+    assert got == want and want["c", "top"] == 3 and None in want.values()
+
+
+def test_further_waits_and_extra_columns(spark):
+    calls = [("c", "1", 1, "f", '{"a":1}', None), ("c", "2", 2, "f", '{"a":1}', "1"), ("c", "3", 3, "f", '{"a":1}', "1"), ("c", "4", 4, "f", '{"a":1,"b":"' + "x" * 300_000 + '"}', "2")]
+    df = spark.createDataFrame([(*c, "n", 5) for c in calls], CALLS + ", content string, depth int")
+    waits = spark.createDataFrame([("c", "4", "3"), ("c", "3", "2"), ("c", None, "1"), ("c", "4", None)], "conv_id string, call_id string, after string")
+    results = spark.createDataFrame([("c", "4", 5, "é" * 100_000, "clash")], RESULTS + ", name string")
+    rows = chat.linked(df, results, spark.createDataFrame([("f", SCHEMA)], "name string, schema string"), waits).collect()
+    assert {r.call_id: r.depth for r in rows} == {"1": 0, "2": 1, "3": 2, "4": 3}
+    assert [r.call_id for r in rows] == ["1", "2", "3", "4"] and len(rows[3].json) > 400_000 and len(rows[3].errors) == 1
+
+
 @pytest.mark.parametrize("text,errors", [('{"a":1}', 0), ('{"a":0}', 1), ('{"a":1.5}', 1), ('{"a":true}', 1), ("{}", 1), ('{"a":1,"z":1}', 1), ('{"a":1,"b":"y"}', 1), ('{"a":1,"c":["xy","xyz",1]}', 2), ('{"a":NaN}', None), ('{"a":1e999}', None), ("[" * 100_000, None)])
 def test_validation(text, errors):
     if errors is None:

@@ -2,10 +2,11 @@
 
 Calls and results are first reduced to one row per (conversation, identifier),
 each by a map-side combined aggregate, so neither side of the hash join can hold a frequent
-key.  A call may wait for one other call of its conversation, not for several; its depth in
-that order is found for all conversations at once by pointer doubling (a round doubles the
-distance every call has looked ahead, so a chain of n calls takes log2 n
-joins), and a conversation of any length is never gathered in one task.  The
+key.  A call may wait for any number of other calls of its conversation; what it waits for are rows, so a
+call that waits for very many is no long value.  Its depth is the longest path to it, found for all conversations at once:
+runs of calls that wait for one other call each are crossed by pointer doubling (a round doubles the distance every call has looked
+ahead, so a chain of n calls takes log2 n joins), and the calls that wait for several take a round of joins per level of
+such calls, each the maximum over what it waits for once all of that is known.  A conversation of any length is never gathered in one task.  The
 result has one row per call or orphan result, written in the order conversation, depth, turn,
 identifier by a range exchange.  Arguments are validated row by row against the tool's schema.
 
@@ -13,7 +14,8 @@ Edge cases: a call without result is ``unanswered``, a result without call an
 ``orphan``; of repeated calls or results with one identifier the first by turn
 (then by text) counts, and their number is kept.  Waiting for a call that is not there is
 waiting for none; calls in or behind a cycle have a null depth.  Null identifiers link with
-nothing and keep a row each.  Arguments that are null or no JSON object are errors, as is a tool without schema.
+nothing and keep a row each.  Arguments that are null or no JSON object are errors, as is a tool without schema.  Very long texts and
+arguments are taken whole; empty tables give no row; columns beyond the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -93,24 +95,48 @@ def violations(value: object, schema: dict, at: str = "$") -> Iterator[str]:
                 yield f"{at}.{name}: not allowed"
 
 
-def depths(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, depth): how many calls come before, from ``after``; null in or behind a cycle."""
-    here = calls.select("conv_id", "call_id", "after")
-    known = here.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("there"))
-    p = here.join(known, ["conv_id", "after"], "left")
-    p = cut(p.select("conv_id", "call_id", F.when(F.col("there"), F.col("after")).alias("ptr"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("dist")))
+def depths(calls: DataFrame, waits: DataFrame) -> DataFrame:
+    """(conv_id, call_id, depth) of distinct ``calls``: the longest chain of calls that come before, by ``waits`` (conv_id, call_id, after).
+
+    Null in or behind a cycle.
+    """
+    keys = ["conv_id", "call_id"]
+    here = calls.select(*keys)
+    there = here.withColumnRenamed("call_id", "after")
+    edges = cut(waits.select(*keys, "after").distinct().join(here, keys, "left_semi").join(there, ["conv_id", "after"], "left_semi"))
+    degree = edges.groupBy(*keys).agg(F.count("*").alias("n"), F.min("after").alias("after"))
+    # Calls that wait for one other point at it, the others (none, or several) at nothing: after the rounds each knows the first such call before it.
+    p = here.join(degree, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n") == 1, F.col("after")).alias("ptr"))
+    p = cut(p.select(*keys, "n", "ptr", F.col("call_id").alias("root"), F.lit(0).cast("long").alias("dist")).withColumns(
+        {"root": F.coalesce("ptr", "root"), "dist": F.when(F.col("ptr").isNotNull(), 1).otherwise(0).cast("long")}))
     rounds = 2 + max(1, p.count()).bit_length()
     while rounds and not p.where("ptr is not null").isEmpty():
         rounds -= 1
-        b = p.select("conv_id", F.col("call_id").alias("ptr"), F.col("ptr").alias("next"), F.col("dist").alias("more"))
-        p = cut(p.where("ptr is not null").join(b, ["conv_id", "ptr"]).select("conv_id", "call_id", F.col("next").alias("ptr"), (F.col("dist") + F.col("more")).alias("dist"))
-                .union(p.where("ptr is null")))
-    return p.select("conv_id", "call_id", F.when(F.col("ptr").isNull(), F.col("dist")).alias("depth"))
-
-
-def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
+        b = p.select("conv_id", F.col("call_id").alias("ptr"), F.col("ptr").alias("next"), F.col("root").alias("to"), F.col("dist").alias("more"))
+        p = cut(p.where("ptr is not null").join(b, ["conv_id", "ptr"]).select(*keys, "n", F.col("next").alias("ptr"), F.col("to").alias("root"), (F.col("dist") + F.col("more")).alias("dist"))
+                .unionByName(p.where("ptr is null")))
+    known = p.where("ptr is null AND n = 0").select(*keys, F.lit(0).cast("long").alias("depth"))
+    # Calls that wait for several: edges to the roots of what they wait for.
+    ways = p.where("ptr is null").select("conv_id", F.col("call_id").alias("after"), "root", (F.col("dist") + 1).alias("far"))
+    many = p.where("ptr is null AND n > 1").select(*keys, "n")
+    left = cut(edges.join(many, keys).join(ways, ["conv_id", "after"], "left").select(*keys, "n", "root", "far"))
+    while not left.isEmpty():
+        at = known.select("conv_id", F.col("call_id").alias("root"), "depth")
+        found = left.join(at, ["conv_id", "root"]).groupBy(*keys, "n").agg(F.count("*").alias("have"), F.max(F.col("depth") + F.col("far")).alias("depth"))
+        new = cut(found.where("have = n").select(*keys, "depth"))
+        if new.isEmpty():
+            break  # what is left is in or behind a cycle
+        known = cut(known.unionByName(new))
+        left = cut(left.join(new.select(*keys), keys, "left_anti"))
+    at = known.select("conv_id", F.col("call_id").alias("root"), "depth")
+    out = p.join(at, ["conv_id", "root"], "left")
+    return out.select(*keys, F.when(F.col("ptr").isNull(), F.col("depth") + F.col("dist")).alias("depth"))
+
+
+def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame, waits: DataFrame | None = None) -> DataFrame:
     """Links ``calls`` (conv_id, call_id, turn, name, arguments, after) with ``results`` (conv_id, call_id, turn, content).
 
+    ``after`` is the one call that a call waits for; ``waits`` (conv_id, call_id, after) has a row for each further one.
     ``schemas`` has (name, schema) as JSON text.  Returned: conv_id, call_id,
     turn, depth, status, n_calls, n_results, errors, json.
     """
@@ -121,7 +147,9 @@ def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFram
     one_result = results.where(whole).groupBy(*keys).agg(F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
     one_result = one_result.select(*keys, F.col("r.turn").alias("result_turn"), "r.content", "n_results")
     nothing = [F.lit(0).cast("long").alias("depth")]
-    j = one_call.join(depths(one_call), keys, "left").join(one_result, keys, "full")
+    edges = one_call.where("after IS NOT NULL").select(*keys, "after")
+    edges = edges if waits is None else edges.unionByName(waits.where(whole & F.col("after").isNotNull()).select(*keys, "after"))
+    j = one_call.join(depths(one_call, edges), keys, "left").join(one_result, keys, "full")
     lone_call = calls.where(~whole).select(*keys, "turn", "name", "arguments", "after", F.lit(1).cast("long").alias("n_calls"), *nothing)
     lone_result = results.where(~whole).select(*keys, F.col("turn").alias("result_turn"), "content", F.lit(1).cast("long").alias("n_results"))
     j = j.unionByName(lone_call, allowMissingColumns=True).unionByName(lone_result, allowMissingColumns=True)
@@ -172,12 +200,13 @@ SCHEMAS = {
 }
 
 
-def derived(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results out of a table that has none.
+def derived(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and further waits out of a table that has none.
 
     Every user turn is a call whose arguments are its text, length and turn;
     every assistant turn is the result of the turn before.  In even conversations a
-    call waits for the one two turns before, in odd ones for the one two turns after.
+    call waits for the one two turns before, in odd ones for the one two turns after; in even ones also for
+    the one four turns before.
     """
     c = conversations.select(F.col("conv_id").cast("string").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
     step = F.when(F.col("conv_id").cast("long") % 2 == 0, -2).otherwise(2)
@@ -185,7 +214,8 @@ def derived(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     calls = c.where("role = 'user'").select("conv_id", F.concat_ws("-", "conv_id", "turn").alias("call_id"), "turn", F.when(F.col("turn") % 2 == 0, "search").otherwise("lookup").alias("name"),
                                             arguments.alias("arguments"), F.concat_ws("-", "conv_id", F.col("turn") + step).alias("after"))
     results = c.where("role = 'assistant'").select("conv_id", F.concat_ws("-", "conv_id", F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
-    return calls, results
+    waits = calls.where(F.col("conv_id").cast("long") % 2 == 0).select("conv_id", "call_id", F.concat_ws("-", "conv_id", F.col("turn") - 4).alias("after"))
+    return calls, results, waits
 
 
 def quoted(col: str):
@@ -197,7 +227,8 @@ def quoted(col: str):
 def digest(conversations: DataFrame) -> DataFrame:
     """One row per call or orphan result of the derived calls; the JSON as SHA-256."""
     spark: SparkSession = conversations.sparkSession
-    out = linked(*derived(conversations), spark.createDataFrame(list(SCHEMAS.items()), "name string, schema string"))
+    calls, results, waits = derived(conversations)
+    out = linked(calls, results, spark.createDataFrame(list(SCHEMAS.items()), "name string, schema string"), waits)
     return out.select("conv_id", "call_id", "turn", "depth", "status", "n_calls", "n_results", F.size("errors").alias("n_errors"), F.sha2("json", 256).alias("json_sha256"))
 
 
@@ -206,7 +237,8 @@ ORACLE = """
 WITH c AS (SELECT conv_id::VARCHAR AS conv_id, conv_id AS n, turn::BIGINT AS turn, role, coalesce(text, '') AS text FROM conversations),
 k AS (SELECT conv_id, n, conv_id || '-' || turn AS call_id, turn, CASE WHEN turn % 2 = 0 THEN 'search' ELSE 'lookup' END AS name, text, length(text) AS chars,
         conv_id || '-' || (turn + CASE WHEN n % 2 = 0 THEN -2 ELSE 2 END) AS after FROM c WHERE role = 'user'),
-g AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM k),
+b AS (SELECT *, CASE WHEN turn - lag(turn) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) <= CASE WHEN n % 2 = 0 THEN 4 ELSE 2 END THEN 0 ELSE 1 END AS opens FROM k),
+g AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM b),
 d AS (SELECT *, CASE WHEN n % 2 = 0 THEN row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) ELSE row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn DESC) END - 1 AS depth FROM g),
 r AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn AS rturn, text AS content FROM c WHERE role = 'assistant'),
 j AS (SELECT coalesce(d.conv_id, r.conv_id) AS conv_id, coalesce(d.call_id, r.call_id) AS call_id, coalesce(turn, rturn) AS turn, depth, d.call_id IS NOT NULL AS has_call, r.call_id IS NOT NULL AS has_result, name, text, chars, after, content
