@@ -25,6 +25,8 @@ from .common import cut, fresh
 
 # Fixed value, from the spread of repeated lines in the given tables (README): 5 sites leave twice as many of them in on skewed sources, 3 take twice as many lines of copies out.
 SITES, MARGIN, LG_K = 4, 0.25, 12
+# Lines (of about 100 bytes) up to which a set of lines is broadcast to the texts; a larger one is joined by a shuffle whose hot lines are split.
+BROADCAST_LINES = 200_000
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
@@ -35,13 +37,18 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFr
     return each.select("id", "site", "of", "place", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"))
 
 
+def _small(lines: DataFrame) -> DataFrame:
+    """``lines`` (computed before) marked for broadcast if they are few."""
+    return F.broadcast(lines) if lines.count() <= BROADCAST_LINES else lines
+
+
 def boilerplate(lines: DataFrame, sites: int = SITES, margin: float = MARGIN, lg_k: int = LG_K) -> DataFrame:
     """(h1, h2, first) of the lines on at least ``sites`` sites."""
     spot = F.struct(F.col("id").isNull(), F.col("id"), F.col("of"), F.col("place"))
     spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("about"), F.min(spot).alias("first"))
     spread = cut(spread.where(F.col("about") >= sites * (1 - margin)))
     near = spread.where(F.col("about") < sites * (1 + margin))
-    their = lines.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    their = lines.select("h1", "h2", "site").join(_small(near.select("h1", "h2")), ["h1", "h2"], "left_semi")
     exact = their.distinct().groupBy("h1", "h2").agg(F.count("site").alias("n")).where(F.col("n") >= sites)
     far = spread.where(F.col("about") >= sites * (1 + margin))
     return far.drop("about").unionByName(near.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi").drop("about"))
@@ -51,7 +58,7 @@ def without_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with the lines gone, and a column ``removed_lines``: the places (from 0) of those that went."""
     lines = _lines(docs, id_col, text_col, site_col)
     spot = F.struct(F.col("id").isNull(), F.col("id"), F.col("of"), F.col("place"))
-    hits = lines.join(boilerplate(lines, sites), ["h1", "h2"]).where(~spot.eqNullSafe(F.col("first")))
+    hits = lines.join(_small(cut(boilerplate(lines, sites))), ["h1", "h2"]).where(~spot.eqNullSafe(F.col("first")))
     gone = hits.groupBy("id", "of").agg(F.sort_array(F.collect_set("place")).alias("gone"))
     gone = gone.withColumn("flags", _flags(F.col("gone")))  # made before the join, so looked up and not made again per line
     of, name = fresh(docs, "of"), fresh(docs, "removed_lines")
