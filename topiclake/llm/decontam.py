@@ -13,7 +13,8 @@ a benchmark of more words takes more passes, whose hits are merged per text.
 
 Edge cases: a null text has no words; empty texts have none either.  An item
 without words has no window.  Items with the same id are one item; a null id is
-written as an empty string.  Repeated documents get a row each.
+written as an empty string.  Repeated documents get a row each.  Very long texts are searched whole; an empty benchmark hits
+nothing and an empty table gives no row; other columns pass through and the new one gets a free name.
 """
 
 from __future__ import annotations
@@ -251,3 +252,20 @@ def brute_force(texts: list[str | None], items: list[tuple[object, str | None]],
                     own |= wins[x]
         out.append((len(w), len(hit), len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: The same in DuckDB: every window of every document joined with every window of the benchmark.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 13) AS size FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+a AS (SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS span FROM i, unnest(generate_series(1, len(w) - size + 1)) AS g(p)),
+s AS (SELECT DISTINCT size FROM i),
+b AS (SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS span FROM d, s, unnest(generate_series(1, len(w) - size + 1)) AS g(p) WHERE len(w) >= size),
+h AS (SELECT doc_id, p, size, item_id FROM b JOIN a USING (size, span)),
+n AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + size - 1)) AS place FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -90,7 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL where it can express the operator.
 ORACLE: dict[str, str] = {
+    "op3_decontamination": decontam.ORACLE,
     "op4_tool_calls": chat.ORACLE,
+    "op7_warc_index": warc.ORACLE,
     "op8_bm25_search": search.ORACLE,
     "op10_line_spread": linedup.ORACLE,
     "op11_prefix_trie": trie.ORACLE,
