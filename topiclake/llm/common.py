@@ -84,14 +84,17 @@ def sampled(df: DataFrame, key: str, by: str, rows: int) -> tuple[DataFrame, dic
 
     The classes are counted first; only that small table reaches the driver.
     Which rows are taken depends on the rows of ``df`` alone.  The class sizes
-    come second.
+    come second.  A class of over a million times ``rows`` is thinned by a second hash, so the bound holds at any size.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
     part = F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(1_000_000))
     keep = F.lit(False)
     for value, n in sizes.items():
         share = min(1_000_000, -(-rows * 1_000_000 // n))
-        keep = keep | ((F.col(by) == F.lit(value)) & (part < share))
+        taken = (F.col(by) == F.lit(value)) & (part < share)
+        if n > rows * 1_000_000:
+            taken = taken & (F.pmod(F.xxhash64(F.lit(18), F.col(key)), F.lit(1_000_000)) < -(-rows * 1_000_000**2 // n))
+        keep = keep | taken
     return df.where(keep), sizes
 
 

@@ -12,7 +12,9 @@ The distributions come from a bounded sample of ``ROWS`` documents a language;
 every document is classified from its whole text.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and
-so is every text where nothing was learned.  Ties go to the language first in string order.
+so is every text where nothing was learned.  Ties go to the language first in string order.  Very long texts are
+taken whole, one at a time.  Repeated rows are judged alike, each; an empty table gives no row; other columns pass through and
+the new one gets a free name.
 """
 
 from __future__ import annotations

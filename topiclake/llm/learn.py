@@ -12,12 +12,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: in
     """(id, text, y) of about ``rows`` labelled documents of each class at most, and the class sizes.
 
     The sample of the labels is of bounded size and joins the documents by broadcast.
-    Labels other than 0 and 1, null ids and documents without label are not taken.
+    Labels other than 0 and 1, null ids and documents without label are not taken.  Of documents that share an id the
+    least text is, so repeated rows don't enlarge the sample.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
     few, sizes = sampled(known, "id", "y", rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return cut(texts.join(F.broadcast(few), "id")), sizes
+    return cut(texts.join(F.broadcast(few), "id").groupBy("id", "y").agg(F.min("text").alias("text")).select("id", "text", "y")), sizes
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:

@@ -10,7 +10,9 @@ What is learned comes from a bounded sample: ``rows`` documents of each class,
 half for the dictionaries (of these ``sample_bytes`` of blocks a class), half for the calibration.
 
 Edge cases: null and empty texts compress to nothing, so they get the share of
-good labels as score.  Without labels of both classes every score is 0.5.
+good labels as score.  Without labels of both classes every score is 0.5.  Very long texts are compressed whole, block
+by block.  Equal texts have equal scores; of repeated ids one text is learned from; a document labelled both ways counts for both.  An
+empty table gives no row; other columns pass through and the score gets a free name.
 """
 
 from __future__ import annotations

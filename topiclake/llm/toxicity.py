@@ -9,7 +9,9 @@ classes weighted to be equal, over the terms of at least ``MIN_DOCS`` of them, t
 fifth of the sample that the machine has not seen.
 
 Edge cases: a null or empty text, or one without words, has the score of the
-constant.  Without labels of both classes every score is 0.5.
+constant.  Without labels of both classes every score is 0.5.  Very long texts are hashed whole.  Equal texts have
+equal scores; of repeated ids one text is learned from; a document labelled both ways counts for both.  An empty table gives no row; other
+columns pass through and the score gets a free name.
 """
 
 from __future__ import annotations
