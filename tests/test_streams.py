@@ -426,3 +426,35 @@ def test_streaming_aggregate_update_mode(spark, sf):
     got = sorted((r.speed_kph, r.s.points, r.s.avg_lat, r.s.avg_lon) for r in latest.collect())
     want = sorted(tuple(r) for r in G.gps_avg_by(P.silver(spark, sf, "gps"), "speed_kph").collect())
     assert got == want
+
+
+def _offset_table(spark, batches):
+    path = session.fresh_path(spark, "tables", "ranges")
+    for b in range(batches):
+        BS.BronzeBatchWriter(path, run="rx" if b % 2 else "ry")(_orders(spark, 30 * b, 30 * b + 30).unionByName(_orders(spark, 30 * b, 30 * b + 3, "a/b c=d")), b)
+    return path
+
+
+@pytest.mark.parametrize("topic", ["kafka-orders", "a/b c=d"])
+def test_offset_ranges_open_what_they_need(spark, topic):
+    path = _offset_table(spark, 8)
+    per = 10 if topic == "kafka-orders" else 1  # rows of a partition per batch
+
+    def check():
+        whole = BS.read_bronze(spark, path).where(F.col("topic") == topic)
+        for lo, hi in ((0, None), (2 * per, 5 * per), (7 * per, 7 * per + 1), (3 * per, 3 * per), (99 * per, None), (0, 99 * per)):
+            got = BS.read_offsets(spark, path, topic, {0: lo, 2: lo}, {0: hi} if hi is not None else None)
+            want = whole.where(F.col("partition").isin(0, 2) & (F.col("offset") >= lo) & ((F.col("partition") == 2) | (F.lit(hi).isNull()) | (F.col("offset") < F.lit(hi))))
+            assert sorted(map(tuple, got.select("partition", "offset", "key").collect())) == sorted(map(tuple, want.select("partition", "offset", "key").collect())), (lo, hi)
+
+    check()
+    few = lambda p: len(BS.read_offsets(spark, p, topic, {0: 2 * per}, {0: 3 * per}).inputFiles())
+    assert few(path) == few(_offset_table(spark, 3)) > 0
+    BS.compact(spark, path)
+    check()
+
+
+def test_offset_range_of_an_empty_log(spark):
+    path = _offset_table(spark, 1)
+    assert BS.read_offsets(spark, path, "nobody", {0: 0}).count() == 0
+    assert BS.read_offsets(spark, session.fresh_path(spark, "tables", "none"), "x", {0: 0}).count() == 0

@@ -53,9 +53,16 @@ def last_by_key(bronze: DataFrame, n: int = 10) -> DataFrame:
     return bronze.orderBy(F.col("key").desc(), F.col("topic").desc(), F.col("offset").desc(), F.col("partition").desc()).limit(n)
 
 
-def sample(bronze: DataFrame, n: int = 5) -> DataFrame:
-    """Any ``n`` rows, all where there are fewer."""
-    return bronze.limit(n)
+def sample(bronze: DataFrame, n: int = 5, repeatable: bool = False) -> DataFrame:
+    """Any ``n`` rows, all where there are fewer.
+
+    ``repeatable`` takes the same rows of the same table every time: those of least mixed key, partition and offset
+    (each task keeps its ``n`` least, nothing is shuffled but these).
+    """
+    if not repeatable:
+        return bronze.limit(n)
+    mixed = F.pmod(F.coalesce("key", F.lit(0)) % 1_000_003 * 7919 + F.col("partition") * 104_729 + F.col("offset") % 1_000_003 * 611_953, F.lit(1_000_003))
+    return bronze.orderBy(mixed, "topic", "partition", "offset").limit(n)
 
 
 def preview(bronze: DataFrame, n: int = 10, width: int = 100) -> DataFrame:
@@ -155,6 +162,14 @@ def gps_count_by(gps: DataFrame, by: str = "speed_kph") -> DataFrame:
     return gps.groupBy(by).agg(F.count(F.lit(1)).alias("count"))
 
 
+def column_rows(df: DataFrame) -> DataFrame:
+    """(column, type, nullable, n_values) of a stored table: its schema as rows, with the values that are not null, counted in one pass."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    facts = F.array(*[F.struct(F.lit(name).alias("column"), F.lit(kind).alias("type"), F.lit(nullable).alias("nullable"), F.col(name).alias("n_values"))
+                      for name, kind, nullable in schema_rows(df)])
+    return counts.select(F.inline(facts))
+
+
 def schema_rows(df: DataFrame) -> list[tuple[str, str, bool]]:
     """(column, type, nullable) of a frame's schema — ``printSchema`` as data."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]

@@ -274,11 +274,13 @@ FROM per_topic p JOIN events_topic e ON p._sequence_id = e._sequence_id""",
     "gps_sorted_desc": with_topics(
         "SELECT gps_id, order_id, timestamp, row_number() OVER (ORDER BY timestamp DESC, length(gps_id) DESC, gps_id DESC) - 1 AS place "
         "FROM gps_topic"),
-    "bronze_sample_5": "SELECT LEAST(5, (SELECT count(*) FROM orders) * 2 + (SELECT count(*) FROM events)) AS n",
+    "bronze_sample_5": with_bronze(
+        'SELECT topic, key, partition, "offset" FROM bronze ORDER BY (key % 1000003 * 7919 + partition * 104729 + "offset" % 1000003 * 611953) % 1000003, topic, partition, "offset" LIMIT 5'),
     "topic_file_inventory": with_topics(
-        "SELECT 'kafka-orders' AS topic, true AS has_files, COUNT(*) AS n_messages FROM orders_topic "
-        "UNION ALL SELECT 'kafka-events', true, COUNT(*) FROM events_topic "
-        "UNION ALL SELECT 'kafka-gps', true, COUNT(*) FROM gps_topic"),
+        "SELECT topic, COUNT(*) AS n_files, SUM(n)::BIGINT AS n_messages, MAX(n) AS largest_file FROM ("
+        "SELECT 'kafka-orders' AS topic, _sequence_id // 1000 AS f, COUNT(*) AS n FROM orders_topic GROUP BY ALL "
+        "UNION ALL SELECT 'kafka-events', _sequence_id // 1000, COUNT(*) FROM events_topic GROUP BY ALL "
+        "UNION ALL SELECT 'kafka-gps', _sequence_id // 1000, COUNT(*) FROM gps_topic GROUP BY ALL) GROUP BY topic"),
     "last_100_per_topic": with_bronze(
         'SELECT topic, key, partition, "offset" FROM bronze '
         "QUALIFY row_number() OVER (PARTITION BY topic ORDER BY key DESC) <= 100"),
@@ -308,11 +310,22 @@ SELECT s.topic, s.key, p.partition FROM src s JOIN key_parts p USING (key)""",
         "(SELECT topic, partition, COUNT(*) AS n FROM bronze GROUP BY ALL) c ON b.topic = c.topic AND b.partition = c.partition"),
     "stream_bronze_sql_table": with_bronze(
         "SELECT topic, COUNT(*) AS in_table, COUNT(*) AS compacted, COUNT(*) AS offsets FROM bronze_src GROUP BY topic"),
-    "describe_bronze_schema": """SELECT * FROM (VALUES ('key', 'bigint', true), ('value', 'string', true),
+    "describe_bronze_schema": with_bronze(
+        """SELECT t.*, COALESCE(CASE "column" WHEN 'key' THEN c.k WHEN 'partition' THEN c.p WHEN 'offset' THEN c.o ELSE c.n END, 0) AS n_values
+  FROM (VALUES ('key', 'bigint', true), ('value', 'string', true),
   ('topic', 'string', true), ('partition', 'int', true), ('offset', 'bigint', true),
-  ('timestamp', 'timestamp', true), ('ingestion_timestamp', 'timestamp', true)) t("column", "type", nullable)""",
-    "list_bronze_tables": """SELECT * FROM (VALUES ('kafka_bronze_ordem'), ('kafka_bronze_eventos'),
-  ('kafka_bronze_gps')) t("tableName")""",
+  ('timestamp', 'timestamp', true), ('ingestion_timestamp', 'timestamp', true)) t("column", "type", nullable),
+  (SELECT COUNT(key) AS k, COUNT(partition) AS p, COUNT("offset") AS o, COUNT(*) AS n FROM bronze) c"""),
+    "list_bronze_tables": with_topics(
+        "SELECT 'kafka_bronze_ordem' AS \"tableName\", COUNT(*) AS n_rows FROM orders_topic "
+        "UNION ALL SELECT 'kafka_bronze_eventos', COUNT(*) FROM events_topic UNION ALL SELECT 'kafka_bronze_gps', COUNT(*) FROM gps_topic"),
+    "stream_offset_range": with_bronze(
+        "SELECT partition, \"offset\", m AS merged FROM bronze, (VALUES (false), (true)) AS v(m) "
+        "WHERE topic = 'kafka-orders' AND ((partition = 0 AND \"offset\" >= 100 AND \"offset\" < 400) OR (partition = 1 AND \"offset\" >= 50))"),
+    "bronze_typed_growth": """SELECT 'bigint' AS units_type, 'decimal(22,2)' AS weight_type, 'string' AS lot_type,
+  'struct<row:decimal(2,1),shelf:bigint>' AS place_type, 'array<bigint>' AS tags_type, SUM(o_orderkey % 50)::BIGINT AS units,
+  SUM(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey ELSE o_orderkey + 0.25 END)::DOUBLE AS weight, COUNT(DISTINCT o_orderkey) AS lots,
+  SUM(o_orderkey % 7)::BIGINT AS shelves, SUM(CASE WHEN o_orderkey % 5 = 0 THEN 1.5 END)::DOUBLE AS "rows", SUM(o_orderkey % 4)::BIGINT AS tags, 0::BIGINT AS left_over FROM orders""",
     "stream_progress_rows": with_topics(
         "SELECT 0::BIGINT AS batch_id, COUNT(*) AS num_input_rows FROM orders_topic "
         "UNION ALL SELECT 0, COUNT(*) FROM events_topic UNION ALL SELECT 0, COUNT(*) FROM gps_topic"),

@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from topiclake import session
 from topiclake.functions.envelope import message_text, parse, rescue
@@ -22,6 +21,7 @@ from topiclake.operators import asof as AO
 from topiclake.operators import bronze as B
 from topiclake.operators import extensions as E
 from topiclake.operators import gold as G
+from topiclake.operators import growth as GR
 from topiclake.operators import silver as S
 from topiclake.plans import topics as P
 from topiclake.schemas import (
@@ -201,22 +201,22 @@ def sql_select_bronze(spark, sf):
 
 @query("describe_bronze_schema")
 def describe_bronze_schema(spark, sf):
-    """The bronze schema as rows (column, type, nullable)."""
-    rows = G.schema_rows(P.bronze(spark, sf).select(*B.MULTIPLEX_COLUMNS))
-    schema = StructType([StructField("column", StringType()), StructField("type", StringType()),
-                         StructField("nullable", BooleanType())])
-    return spark.createDataFrame(rows, schema)
+    """The schema of the stored bronze as rows, with how many values each column holds."""
+    return G.column_rows(P.bronze(spark, sf).select(*B.MULTIPLEX_COLUMNS))
 
 
 @query("topic_file_inventory")
 def topic_file_inventory(spark, sf):
-    """Files and messages of each topic folder (file listing done by the scan, not the driver)."""
-    frames = [T.read_folder_text(spark, P.topic_path(spark, sf, k), topic=FOLDER_TOPICS[k], with_file=True)
-              for k in P.KINDS]
-    merged = T.union_topics(frames)
-    return merged.groupBy(F.col("_topic_name").alias("topic")).agg(
-        (F.countDistinct("_file") > 0).alias("has_files"), F.count(F.lit(1)).alias("n_messages")
-    )
+    """Files and messages of each topic written with 1000 messages a file (file listing done by the scan, not the driver)."""
+    P.prepared(spark)
+    frames = []
+    for k in P.KINDS:
+        path = session.fresh_path(spark, "topics", f"inventory_{k}")
+        records = FX.records(spark, sf, k)
+        T.write_topic_files(records.select(message_text(F.col("data")).alias("value"), F.col("data._sequence_id").alias("n")), path, "n", 1000)
+        frames.append(T.read_folder_text(spark, path, topic=FOLDER_TOPICS[k], with_file=True))
+    per_file = T.union_topics(frames).groupBy(F.col("_topic_name").alias("topic"), "_file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("topic").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_messages"), F.max("n").alias("largest_file"))
 
 
 # ================================================================ sinks
@@ -312,9 +312,11 @@ def topic_files_roundtrip(spark, sf):
 
 @query("list_bronze_tables")
 def list_bronze_tables(spark, sf):
+    """The per-topic tables that the catalog lists, with the rows that each holds."""
     for k in P.KINDS:
         B.register(spark, BRONZE_DATABASE, PER_TOPIC_TABLES[k], P.per_topic_path(spark, sf, k))
-    return spark.sql(f"SHOW TABLES IN {BRONZE_DATABASE} LIKE 'kafka_bronze*'").select("tableName")
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {BRONZE_DATABASE} LIKE 'kafka_bronze*'").collect()]
+    return T.union_topics([spark.table(f"{BRONZE_DATABASE}.{n}").agg(F.lit(n).alias("tableName"), F.count(F.lit(1)).alias("n_rows")) for n in names])
 
 
 # ================================================================ projections
@@ -612,10 +614,8 @@ def gps_sorted_desc(spark, sf):
 
 @query("bronze_sample_5")
 def bronze_sample_5(spark, sf):
-    """How many of any five rows bronze has, as its SQL asks; the rows themselves are ``G.sample``'s."""
-    b = P.bronze(spark, sf).select("key", "topic", "partition", "offset")
-    found = G.sample(b, 5).join(b, ["key", "topic", "partition", "offset"], "left_semi")
-    return found.agg(F.count(F.lit(1)).alias("n"))
+    """Five rows of bronze, the same ones every time."""
+    return G.sample(P.bronze(spark, sf).select("topic", "key", "partition", "offset"), 5, repeatable=True)
 
 
 @query("last_100_per_topic")
@@ -782,6 +782,42 @@ def stream_bronze_sql_table(spark, sf):
     return named.join(after, "topic")
 
 
+@query("stream_offset_range")
+def stream_offset_range(spark, sf):
+    """Offsets of a streamed bronze table between bounds, before and after some of its batches are merged: the commit log names the folders to open."""
+    P.prepared(spark)
+    path, cp = session.fresh_path(spark, "tables", "offset_range"), C.checkpoint_for(spark, "offset_range")
+    paths = _split_topics(spark, sf, "offset_range", files=4)
+    _bronze_run(spark, paths, path, "offset_range", cp, max_files=1)
+    topic = FOLDER_TOPICS["orders"]
+    parts = [BS.read_offsets(spark, path, topic, {0: 100, 1: 50}, {0: 400}).withColumn("merged", F.lit(False))]
+    rows = parts[0].select("partition", "offset", "merged")
+    kept = session.fresh_path(spark, "tables", "offset_range_kept")
+    rows.write.parquet(kept)  # read before the folders change
+    BS.compact(spark, path)
+    after = BS.read_offsets(spark, path, topic, {0: 100, 1: 50}, {0: 400}).select("partition", "offset", F.lit(True).alias("merged"))
+    return spark.read.parquet(kept).unionByName(after)
+
+
+@query("bronze_typed_growth")
+def bronze_typed_growth(spark, sf):
+    """Orders with members that the schema lacks, of types that differ from row to row: each becomes a column of the least type that holds its values."""
+    P.prepared(spark)
+    k = F.col("o_orderkey")
+    number = F.when(k % 3 == 0, k.cast("string")).otherwise(F.concat(k.cast("string"), F.lit(".25")))
+    mixed = F.when(k % 2 == 0, k.cast("string")).otherwise(F.concat(F.lit('"p'), k.cast("string"), F.lit('"')))
+    place = F.concat(F.lit('{"shelf":'), (k % 7).cast("string"), F.when(k % 5 == 0, F.lit(',"row":1.5}')).otherwise(F.lit("}")))
+    more = F.concat(F.lit(',"units":'), (k % 50).cast("string"), F.lit(',"weight":'), number, F.lit(',"lot":'), mixed, F.lit(',"place":'), place, F.lit(',"tags":['), (k % 4).cast("string"), F.lit("]"))
+    orders = FX.order_record(FX.table(spark, sf, "orders")).select(F.col("data"), F.to_json("data").alias("json")).withColumn("o_orderkey", F.col("data._sequence_id"))
+    lines = orders.select(F.concat(F.lit('{"data":'), F.expr("substring(json, 1, length(json) - 1)"), more, F.lit("}}")).alias("value"))
+    rows = lines.select(parse("value", envelope("orders")).getField("data").getField("_sequence_id").alias("key"), F.lit("orders").alias("topic"), rescue("value", order_data()).alias("_rescued"))
+    out = GR.grown(rows)
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    return out.agg(*[F.lit(types[c]).alias(f"{c}_type") for c in ("units", "weight", "lot", "place", "tags")], F.sum("units").alias("units"), F.sum(F.col("weight").cast("decimal(38,2)")).cast("double").alias("weight"),
+                   F.countDistinct("lot").alias("lots"), F.sum("place.shelf").cast("long").alias("shelves"), F.sum("place.row").cast("double").alias("rows"), F.sum(F.col("tags")[0]).cast("long").alias("tags"),
+                   F.count(F.when(F.size("_rescued") > 0, 1)).alias("left_over"))
+
+
 @query("three_queries_total")
 def three_queries_total(spark, sf):
     """Three independent named queries on one session, waited for together."""

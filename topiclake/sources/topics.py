@@ -274,6 +274,15 @@ def write_topic_folder(messages: DataFrame, path: str, records_per_file: int | N
     w.text(path)
 
 
+def write_topic_files(messages: DataFrame, path: str, number: str, records_per_file: int) -> None:
+    """Messages in files of ``records_per_file`` each, the last with the rest: file i holds those whose ``number`` (0, 1, 2, …)
+    is in [i, i + 1) times that.  One task writes a file, so files are written in parallel and hold the same records every time.
+    """
+    file = F.floor(F.col(number) / records_per_file)
+    rows = messages.select("value", file.alias("file"))
+    rows.repartition("file").sortWithinPartitions("file").write.partitionBy("file").text(path)
+
+
 def write_topic_records(messages: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Keyed records of several topics into ``path/topic=<name>/`` as JSON lines (key, value)."""
     messages.select("key", "value", "topic").write.mode(mode).partitionBy("topic").json(path)

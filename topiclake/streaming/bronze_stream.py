@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ from topiclake.streaming import control
 
 LOG_DIR = "__commits"
 COMPACTED = "r0compacted"
+_PLAIN = "!$&()+,;@ -._~|<>`"  # what a partition folder's name keeps as it is, besides letters and digits
 
 
 class CommitLog:
@@ -88,6 +89,43 @@ class CommitLog:
             session.write_text(self.spark, f"{self.root}/head.json", json.dumps([entry["run"], entry["batch_id"]]), overwrite=True)
 
 
+    # ------------------------------------------------------------ bounded reads
+
+    def at(self, place: int) -> dict | None:
+        """The entry of a place."""
+        claim = session.read_text(self.spark, f"{self.root}/claims/{place}.json")
+        return self.entry(*json.loads(claim)) if claim else None
+
+    def _first(self, last: int, holds) -> int:
+        """The first place up to ``last`` whose entry holds; ``last`` + 1 if none does.  Entries grow with their place, so halves are enough."""
+        lo, hi = 0, last + 1
+        while lo < hi:
+            mid = (lo + hi) // 2
+            entry = self.at(mid)
+            if entry is not None and holds(entry):
+                hi = mid
+            else:
+                lo = mid + 1
+        return lo
+
+    def places(self, topic: str, partition: int, start: int, end: int | None) -> tuple[int, int]:
+        """Places [first, last) whose entries have offsets of a topic partition from ``start`` to ``end`` (excluded; None: no end)."""
+        newest = self.last()
+        if newest is None:
+            return 0, 0
+        after = lambda e: next((n for t, p, n in e["next"] if (t, p) == (topic, partition)), 0)
+        first = self._first(newest["place"], lambda e: after(e) > start)
+        last = newest["place"] + 1 if end is None else self._first(newest["place"], lambda e: after(e) >= end) + 1
+        return first, max(first, min(last, newest["place"] + 1))
+
+    def batches(self, first: int, last: int) -> list[tuple[str, int]]:
+        """(run, batch) of the places [first, last)."""
+        return [(e["run"], e["batch_id"]) for e in map(self.at, range(first, last)) if e]
+
+    def merged(self) -> list[dict]:
+        """What each compaction merged: number, and per topic partition the first and the next offset."""
+        return [json.loads(session.read_text(self.spark, f)) for f, _, _ in session.file_stamps(self.spark, f"{self.root}/merged") if f.endswith(".json")]
+
     # ------------------------------------------------------------ compaction
 
     def note(self, step: str, what: dict) -> None:
@@ -207,6 +245,34 @@ def read_bronze(spark: SparkSession, path: str, layout: str = "multiplex", merge
     return rows
 
 
+def read_offsets(spark: SparkSession, path: str, topic: str, starting: dict[int, int], ending: dict[int, int] | None = None,
+                 layout: str = "multiplex") -> DataFrame:
+    """Rows of ``topic`` from ``starting`` to ``ending`` offsets per partition (start included, end excluded; partitions not in
+    ``starting`` are not read, those not in ``ending`` have no end).
+
+    The commit log says which micro-batches hold these offsets (halving over its places, whose offsets grow), so only their folders
+    are listed and opened: what is read follows the range, not the table.
+    """
+    path, ending = path.rstrip("/"), ending or {}
+    log = CommitLog(spark, path)
+    spans = {p: log.places(topic, p, lo, ending.get(p)) for p, lo in starting.items()}
+    wanted = {x for first, last in spans.values() for x in log.batches(first, last)}
+    wanted |= {(COMPACTED, m["number"]) for m in log.merged()
+               if any(t == topic and p in starting and hi > starting[p] and (p not in ending or lo < ending[p]) for t, p, lo, hi in m["spans"])}
+    plan, swap = log.noted()
+    wanted -= {(r, b) for r, b in swap["gone"]} if swap else {(COMPACTED, plan["number"])} if plan else set()
+    folder = f"{path}/topic={quote(topic, safe=_PLAIN)}"
+    folders = [f for r, b in sorted(wanted) if session.path_exists(spark, f := f"{folder}/_run={r}/_batch_id={b}")]
+    if not folders:
+        return spark.createDataFrame([], table_schema(layout))
+    rows = spark.read.schema(table_schema(layout)).option("basePath", path).parquet(*folders)
+    bounds = F.lit(False)
+    for p, lo in starting.items():
+        one = (F.col("partition") == p) & (F.col("offset") >= lo)
+        bounds = bounds | (one & (F.col("offset") < ending[p]) if p in ending else one)
+    return rows.where(bounds)
+
+
 def _without(rows: DataFrame, batches: list) -> DataFrame:
     """``rows`` of other batches: folder columns alone, so the folders are not opened."""
     by_run: dict[str, list[int]] = {}
@@ -244,6 +310,14 @@ def compact(spark: SparkSession, path: str, layout: str = "multiplex") -> int:
     if not gone:
         return 0
     step = {"number": newest.get(COMPACTED, -1) + 1, "gone": gone}
+    spans: dict[tuple, list[int]] = {}
+    for run, batch in gone:
+        entry = log.entry(run, batch)
+        after = {(t, p): n for t, p, n in entry["next"]}
+        for t, p, base in entry["base"]:
+            span = spans.setdefault((t, p), [base, after[t, p]])
+            spans[t, p] = [min(span[0], base), max(span[1], after[t, p])]
+    session.replace_text(spark, f"{log.root}/merged/{step['number']}.json", json.dumps({"number": step["number"], "spans": [[*k, *v] for k, v in spans.items()]}))
     log.note("plan", step)
     old = spark.createDataFrame(gone, "_run STRING, _batch_id BIGINT")
     kept = rows.join(F.broadcast(old), ["_run", "_batch_id"], "left_semi").drop("_run", "_batch_id")
