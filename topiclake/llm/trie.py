@@ -214,10 +214,13 @@ def trie(turns: DataFrame, most: int = MOST_COUNTERS) -> DataFrame:
     roots = roots.select("n", "conv", *[zero.alias(c) for c in ("x", "y", "depth", "chars")], *[null.alias(c) for c in ("px", "py", "from_conv", "from_pos")])
     shared_nodes = cut(exact.where("n > 1").drop("len").unionByName(roots))
 
-    # Tails: those under a prefix that may be shared look for it, the others stand under their own conversation's.
-    known = shared_nodes.select(F.col("x").alias("px"), F.col("y").alias("py"), F.col("conv").alias("over"))
+    # Tails: those under a prefix that may be shared look for it, the others stand under their own conversation's.  The root, over which
+    # very many can stand, is one row and needs no join.
+    top = roots.first()
+    known = shared_nodes.where("depth > 0").select(F.col("x").alias("px"), F.col("y").alias("py"), F.col("conv").alias("over"))
     alone = rows.where("alone AND NOT parent_alone").select(*tail).unionByName(exact.where("n = 1").select(*tail))
-    tops = alone.join(known, ["px", "py"], "left")
+    tops = alone.where("depth > 1").join(known, ["px", "py"], "left")
+    tops = tops.unionByName(alone.where("depth = 1").withColumn("over", F.lit(top["conv"] if top else None).cast("long")))
     inner = rows.where("alone AND parent_alone").withColumn("over", F.col("conv")).select(*tail, "over")
     single = tops.select(*tail, F.coalesce("over", "conv").alias("over")).unionByName(inner)
     single = single.select(F.col("conv").alias("conv_id"), "depth", F.col("over").alias("parent_conv_id"), F.lit(1).cast("long").alias("n_convs"),
