@@ -57,3 +57,25 @@ def test_rescue_in_bronze_and_named_stream(spark):
     from topiclake.streaming import bronze_stream as BS
 
     assert BS.read_bronze(spark, streamed, merge_schema=True).where("_rescued IS NOT NULL").count() == 2
+
+
+def test_pattern_offsets_compaction_and_typed_columns(spark):
+    root, out = session.fresh_path(spark, "topics", "api_pattern"), session.fresh_path(spark, "tables", "api_pattern")
+    lines = ['{"data":{"_sequence_id":%d,"gps_id":"g%d","lat":1.5}}' % (i, i) for i in range(12)]
+    for topic in ("kafka-gps", "new topic+1", "skipped"):
+        spark.createDataFrame([(x,) for x in [*lines, "{bad"]], "value STRING").repartition(4).write.text(f"{root}/{topic}")
+    q = api.stream_bronze_pattern(spark, root, "kafka-.*|new.*", out, C.checkpoint_for(spark, "api_pattern"), trigger="availableNow", max_files_per_trigger=2)
+    C.run_to_end(q)
+    rows = api.bronze(spark, out)
+    assert {(r.topic, r.n) for r in rows.groupBy("topic").count().withColumnRenamed("count", "n").collect()} == {("kafka-gps", 13), ("new topic+1", 13)}
+    assert rows.where("topic = 'kafka-gps' AND key IS NULL").select("value").collect()[0].value == "{bad"
+    assert rows.where("topic = 'new topic+1' AND key IS NULL").count() == 13  # whole lines of a topic that nobody knows
+    part = api.read_offsets(spark, out, "new topic+1", {0: 3}, {0: 9})
+    assert sorted(r.offset for r in part.collect()) == [3, 4, 5, 6, 7, 8]
+    assert api.compact(spark, out) > 0 and api.bronze(spark, out).count() == 26
+    assert sorted(r.offset for r in api.read_offsets(spark, out, "new topic+1", {0: 3}, {0: 9}).collect()) == [3, 4, 5, 6, 7, 8]
+    extra = session.fresh_path(spark, "topics", "api_typed")
+    lines = ['{"data":{"_sequence_id":1,"gps_id":"g1","extra":%s}}' % x for x in ("1", "2.5")]
+    spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1).write.text(extra)
+    grown = api.typed_bronze(spark, api.build_bronze(spark, {"gps": extra}, session.fresh_path(spark, "tables", "api_grown"), rescue_unknown=True))
+    assert sorted(float(r.extra) for r in grown.collect()) == [1.0, 2.5]

@@ -22,6 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from topiclake import session
 from topiclake.operators import bronze as B
 from topiclake.operators import gold as G
+from topiclake.operators import growth as GR
 from topiclake.operators import silver as S
 from topiclake.sources import topics as T
 from topiclake.streaming import bronze_stream as BS
@@ -61,6 +62,13 @@ def stream_bronze(spark: SparkSession, topics: Mapping[str, str], out: str, chec
                                   keep_raw=keep_raw, time_from=time_from, table=table)
 
 
+def stream_bronze_pattern(spark: SparkSession, root: str, pattern: str, out: str, checkpoint: str, trigger: str | None = "5 seconds",
+                          name: str = "bronze_pattern", kinds: Mapping[str, str] | None = None, table: str | None = None, **limits) -> StreamingQuery:
+    """Bronze of every topic folder below ``root`` whose name matches ``pattern``, those that appear later included."""
+    session.prepare(spark)
+    return BS.start_bronze_pattern(spark, root, pattern, out, name, checkpoint, trigger, dict(kinds) if kinds else None, table, **limits)
+
+
 def stream_bronze_from_kafka(spark: SparkSession, spec: T.TopicSpec, out: str, checkpoint: str,
                              trigger: str | None = "5 seconds", name: str = "kafka_bronze") -> StreamingQuery:
     """Per-topic bronze straight from a Kafka subscription (broker partitions and offsets kept)."""
@@ -74,7 +82,25 @@ def bronze(spark: SparkSession, path: str) -> DataFrame:
     found = spark.read.parquet(path)
     text = {f.name: "string" for f in found.schema.fields if f.name in ("topic", "_run")}
     schema = StructType([StructField(f.name, StringType()) if f.name in text else f for f in found.schema.fields])
-    return spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    return BS.settled(rows, path) if "_run" in found.columns else rows
+
+
+def typed_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """Bronze that was built with ``rescue_unknown``, its rescued members as columns of the least type that holds their values."""
+    return GR.grown(bronze(spark, path))
+
+
+def read_offsets(spark: SparkSession, path: str, topic: str, starting: Mapping[int, int], ending: Mapping[int, int] | None = None) -> DataFrame:
+    """Rows of a streamed bronze between offsets per partition (end excluded), opening only the micro-batches that hold them."""
+    session.prepare(spark)
+    return BS.read_offsets(spark, path, topic, dict(starting), dict(ending or {}))
+
+
+def compact(spark: SparkSession, path: str) -> int:
+    """Merges the finished micro-batches of a streamed bronze; tables over it by name follow.  Returns how many were merged."""
+    session.prepare(spark)
+    return BS.compact(spark, path)
 
 
 def silver(spark: SparkSession, bronze_path: str, kind: str, form: str | None = None) -> DataFrame:

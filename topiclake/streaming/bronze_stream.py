@@ -236,8 +236,12 @@ def declare_table(spark: SparkSession, name: str, path: str, layout: str = "mult
 def read_bronze(spark: SparkSession, path: str, layout: str = "multiplex", merge_schema: bool = False) -> DataFrame:
     """The streamed bronze table; ``merge_schema`` adds the columns that any batch has beyond the layout's."""
     more = spark.read.option("mergeSchema", "true").parquet(path).schema if merge_schema else None
-    rows = spark.read.schema(table_schema(layout, more)).parquet(path)  # lists the files before the log is asked
-    plan, swap = CommitLog(spark, path).noted()
+    return settled(spark.read.schema(table_schema(layout, more)).parquet(path), path)  # lists the files before the log is asked
+
+
+def settled(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of the streamed table at ``path`` without what a compaction in progress has there twice."""
+    plan, swap = CommitLog(rows.sparkSession, path).noted()
     if swap:
         return _without(rows, swap["gone"])
     if plan:
