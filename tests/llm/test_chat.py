@@ -52,8 +52,8 @@ def longest(calls, waits):
     return depth | dict.fromkeys(todo)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_order_of_any_graph(spark, seed):
+@pytest.mark.parametrize("seed,most", [(0, 0), (1, 40), (2, 10**6), (3, 40)])
+def test_order_of_any_graph(spark, seed, most):
     """Diamonds, chains into and out of them, cycles, calls that wait for absent ones."""
     import random
 
@@ -64,12 +64,20 @@ def test_order_of_any_graph(spark, seed):
     names += ["top", "left", "right", "mid", "base"]
     calls = spark.createDataFrame([("c", n) for n in names] + [("d", n) for n in names[:20]], "conv_id string, call_id string")
     rows = [("c", *w) for w in waits] + [("d", b, a) for b, a in waits if b not in ("n5", "n7", "n9")]
-    got = {(r.conv_id, r.call_id): r.depth for r in chat.depths(calls, spark.createDataFrame(rows, "conv_id string, call_id string, after string")).collect()}
+    got = {(r.conv_id, r.call_id): r.depth for r in chat.depths(calls, spark.createDataFrame(rows, "conv_id string, call_id string, after string"), most).collect()}
     want = {("c", n): d for n, d in longest(names, waits).items()}
     want |= {("d", n): d for n, d in longest(names[:20], [w for w in waits if w[0] not in ("n5", "n7", "n9")]).items()}
     assert got == want and want["c", "top"] == 3 and None in want.values()
 
 
+def test_long_chain_of_calls_that_wait_for_two(spark):
+    """A level for each of 3,000 calls, in one task."""
+    n = 3000
+    calls = spark.range(n).selectExpr("'c' AS conv_id", "CAST(id AS STRING) AS call_id")
+    waits = spark.range(n).selectExpr("'c' AS conv_id", "CAST(id AS STRING) AS call_id", "explode(array(CAST(id - 1 AS STRING), CAST(id - 2 AS STRING))) AS after")
+    assert {int(r.call_id): r.depth for r in chat.depths(calls, waits).collect()} == {i: i for i in range(n)}
+
+
 def test_further_waits_and_extra_columns(spark):
     calls = [("c", "1", 1, "f", '{"a":1}', None), ("c", "2", 2, "f", '{"a":1}', "1"), ("c", "3", 3, "f", '{"a":1}', "1"), ("c", "4", 4, "f", '{"a":1,"b":"' + "x" * 300_000 + '"}', "2")]
     df = spark.createDataFrame([(*c, "n", 5) for c in calls], CALLS + ", content string, depth int")

@@ -3,10 +3,11 @@
 Calls and results are first reduced to one row per (conversation, identifier),
 each by a map-side combined aggregate, so neither side of the hash join can hold a frequent
 key.  A call may wait for any number of other calls of its conversation; what it waits for are rows, so a
-call that waits for very many is no long value.  Its depth is the longest path to it, found for all conversations at once:
+call that waits for very many is no long value.  Its depth is the longest path to it.  A conversation of up to ``WAITS`` waits is
+ordered in one task, each call taken once all that it waits for is.  Longer ones are ordered all at once by joins:
 runs of calls that wait for one other call each are crossed by pointer doubling (a round doubles the distance every call has looked
 ahead, so a chain of n calls takes log2 n joins), and the calls that wait for several take a round of joins per level of
-such calls, each the maximum over what it waits for once all of that is known.  A conversation of any length is never gathered in one task.  The
+such calls, each the maximum over what it waits for once all of that is known.  So no conversation without bound is gathered in one task.  The
 result has one row per call or orphan result, written in the order conversation, depth, turn,
 identifier by a range exchange.  Arguments are validated row by row against the tool's schema.
 
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import cut
 
+# Waits up to which a conversation is ordered in one task.
+WAITS = 100_000
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
@@ -95,7 +98,7 @@ def violations(value: object, schema: dict, at: str = "$") -> Iterator[str]:
                 yield f"{at}.{name}: not allowed"
 
 
-def depths(calls: DataFrame, waits: DataFrame) -> DataFrame:
+def depths(calls: DataFrame, waits: DataFrame, most: int = WAITS) -> DataFrame:
     """(conv_id, call_id, depth) of distinct ``calls``: the longest chain of calls that come before, by ``waits`` (conv_id, call_id, after).
 
     Null in or behind a cycle.
@@ -104,6 +107,43 @@ def depths(calls: DataFrame, waits: DataFrame) -> DataFrame:
     here = calls.select(*keys)
     there = here.withColumnRenamed("call_id", "after")
     edges = cut(waits.select(*keys, "after").distinct().join(here, keys, "left_semi").join(there, ["conv_id", "after"], "left_semi"))
+    long = cut(edges.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > most).select("conv_id"))
+    free = here.join(edges.select(*keys).distinct(), keys, "left_anti").withColumn("depth", F.lit(0).cast("long"))  # wait for nothing that is there
+    if long.isEmpty():
+        return _ordered(edges).unionByName(free)
+    short = _ordered(edges.join(long, "conv_id", "left_anti")).unionByName(free.join(long, "conv_id", "left_anti"))
+    return short.unionByName(_joined(here.join(long, "conv_id", "left_semi"), edges.join(long, "conv_id", "left_semi")))
+
+
+def _ordered(edges: DataFrame) -> DataFrame:
+    """``depths`` of the calls that wait, conversation by conversation."""
+
+    def run(t: pa.Table) -> pa.Table:
+        behind: dict[str, list[str]] = {}
+        left: dict[str, int] = {}
+        for call, after in zip(t.column("call_id").to_pylist(), t.column("after").to_pylist(), strict=True):
+            behind.setdefault(after, []).append(call)
+            left[call] = left.get(call, 0) + 1
+        depth = dict.fromkeys(left)
+        ready = [(a, 0) for a in behind if a not in left]
+        level: dict[str, int] = {}
+        while ready:
+            call, d = ready.pop()
+            for other in behind.get(call, ()):
+                level[other] = max(level.get(other, 0), d + 1)
+                left[other] -= 1
+                if not left[other]:
+                    depth[other] = level[other]
+                    ready.append((other, level[other]))
+        return pa.table({"conv_id": pa.array([t.column("conv_id")[0].as_py()] * len(depth), pa.string()), "call_id": pa.array(list(depth), pa.string()), "depth": pa.array(list(depth.values()), pa.int64())})
+
+    return edges.groupBy("conv_id").applyInArrow(run, "conv_id string, call_id string, depth long")
+
+
+def _joined(here: DataFrame, edges: DataFrame) -> DataFrame:
+    """``depths`` of conversations of any length, by joins."""
+    keys = ["conv_id", "call_id"]
+    edges = cut(edges)
     degree = edges.groupBy(*keys).agg(F.count("*").alias("n"), F.min("after").alias("after"))
     # Calls that wait for one other point at it, the others (none, or several) at nothing: after the rounds each knows the first such call before it.
     p = here.join(degree, keys, "left").select(*keys, F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n") == 1, F.col("after")).alias("ptr"))
