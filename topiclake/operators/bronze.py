@@ -184,7 +184,7 @@ def per_topic(records: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("topic",), mode: str = "append",
                 merge_schema: bool = False) -> None:
     """Path-based Parquet table, partitioned for pruning (``topic`` by default)."""
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if merge_schema:

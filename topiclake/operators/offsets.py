@@ -13,7 +13,8 @@ of its order columns, and a bucket that is still too large is cut again:
    varies in it; copies of one record (no column varies) are cut by their source
    position, which any order of copies allows;
 4. when no bucket is too large, the rows are numbered within their bucket by a
-   window, and a prefix sum over the buckets' counts gives each bucket's first offset.
+   window, and a prefix sum over the counts of the buckets of cut groups gives each bucket's first offset. These are a few
+   per leaf, so they are broadcast: the rows are neither shuffled nor sorted again to learn them.
 
 Nothing is sampled and nothing is persisted: every pass evaluates the same function, and the rows
 themselves are shuffled once, on (groups, buckets).  The leaf size grows with
@@ -39,12 +40,13 @@ MAX_CUTS = 50_000
 # Leaf size: about a third of a core's share of the rows, within these bounds unless MAX_CUTS asks for more.
 LEAF_ROWS = (250_000, 2_000_000)
 
-# Estimated bytes up to which the plain window numbers the rows.
-SMALL_BYTES = 256 << 20
+# Estimated bytes (of compressed files) up to which the plain window numbers the rows.
+SMALL_BYTES = 64 << 20
 
 TIE = "_tl_tie"
 _RANK = "_tl_rank"
 _CUT = "_tl_cut"
+_HOT = "_tl_hot"  # whether the row's group is cut
 _LEAST = -(1 << 63)
 
 
@@ -93,21 +95,23 @@ def assign_offsets(
     method: str = "split",
     leaf_rows: int | None = None,
     base: DataFrame | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Add ``column`` = 0-based position of the row in its group, in ``order`` (nulls first).
 
     ``base`` (groups…, ``base``) shifts each group, e.g. by the offsets earlier
     micro-batches used.  ``method="window"`` is the plain window, one task per group.
+    ``written`` says that ``df`` reads rows written once with :func:`with_tie`, so they are not written again.
     """
     groups = list(groups)
     if method == "window":
         out = _window_offsets(df, groups, list(order), column)
     elif method == "split":
-        out = _split_offsets(df, groups, list(order), column, leaf_rows)
+        out = _split_offsets(df, groups, list(order), column, leaf_rows, written)
     else:
         raise ValueError(f"unknown method {method!r}")
     if base is not None:
-        out = _same(out, base.select(*groups, F.col("base").cast("long").alias("_tl_base")), groups, "left")
+        out = _same(out, F.broadcast(base.select(*groups, F.col("base").cast("long").alias("_tl_base"))), groups, "left")
         out = out.withColumn(column, F.col(column) + F.coalesce(F.col("_tl_base"), F.lit(0).cast("long"))).drop("_tl_base")
     return out
 
@@ -117,26 +121,28 @@ def _window_offsets(df: DataFrame, groups: list[str], order: list, column: str)
     return df.withColumn(column, (F.row_number().over(w) - 1).cast("long"))
 
 
-def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, leaf_rows: int | None) -> DataFrame:
+def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, leaf_rows: int | None, written: bool = False) -> DataFrame:
     if leaf_rows is None and session.estimated_bytes(df) <= SMALL_BYTES:
         return _window_offsets(df, groups, order, column)
-    path = session.fresh_path(df.sparkSession, "staged", "offsets")
-    keyed = with_tie(df)
-    keyed.write.parquet(path)
-    keyed = df.sparkSession.read.schema(keyed.schema).parquet(path)
+    keyed = df
+    if not written:
+        path = session.fresh_path(df.sparkSession, "staged", "offsets")
+        keyed = with_tie(df)
+        keyed.write.option("compression", "zstd").parquet(path)
+        keyed = df.sparkSession.read.schema(keyed.schema).parquet(path)
     ranks, exact = _ranks(keyed, order)
     if exact:
         ranks.append(F.col(TIE))
     rows = keyed.withColumn(_RANK, F.array(*ranks))
-    rows, cuts = _cut(rows, groups, len(ranks), leaf_rows)
+    cut, cuts = _cut(rows, groups, len(ranks), leaf_rows)
     keys = [*groups, *cuts]
     within = Window.partitionBy(*keys).orderBy(*order, TIE)
-    rows = rows.withColumn("_tl_n", F.row_number().over(within) - 1)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_size")) if cuts else None
+    rows = cut.withColumn("_tl_n", F.row_number().over(within) - 1)
     if cuts:
+        counts = cut.where(F.col(_HOT)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_size"))
         before = Window.partitionBy(*groups).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.select(*keys, F.coalesce(F.sum("_tl_size").over(before), F.lit(0)).alias("_tl_first"))
-        rows = _same(rows, counts, keys, "inner").withColumn("_tl_n", F.col("_tl_n") + F.col("_tl_first"))
+        rows = _same(rows, F.broadcast(counts), keys, "left").withColumn("_tl_n", F.col("_tl_n") + F.coalesce("_tl_first", F.lit(0)))
     return rows.select(*df.columns, F.col("_tl_n").cast("long").alias(column))
 
 
@@ -161,6 +167,7 @@ def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None
         name = f"{_CUT}{len(cuts)}"
         child = F.floor((F.element_at(_RANK, F.col("_tl_by")).cast("decimal(20,0)") - F.col("_tl_lo")) / F.col("_tl_w")).cast("long")
         narrow = _same(narrow, heavy, keys, "inner").select(*keys, child.alias(name), _RANK)
-        rows = _same(rows, heavy, keys, "left").withColumn(name, F.coalesce(child, F.lit(0).cast("long"))).drop("_tl_by", "_tl_lo", "_tl_w")
+        rows = _same(rows, heavy, keys, "left").withColumn(name, F.coalesce(child, F.lit(0).cast("long")))
+        rows = (rows if cuts else rows.withColumn(_HOT, child.isNotNull())).drop("_tl_by", "_tl_lo", "_tl_w")
         cuts.append(name)
     return rows, cuts

@@ -188,7 +188,7 @@ def rescue_unknown_fields(spark, sf):
 def read_back_gps(spark, sf):
     """GPS silver written to a path, read back by path."""
     out = session.fresh_path(spark, "tables", "gps_silver")
-    P.silver(spark, sf, "gps").select(*GPS_COLS).write.parquet(out)
+    P.silver(spark, sf, "gps").select(*GPS_COLS).write.option("compression", "zstd").parquet(out)
     return B.read_table(spark, out)
 
 

@@ -243,6 +243,8 @@ def union_topics(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 _FOLDER_LOCK = threading.RLock()
+# Messages of a file at most: a compressed file is read by one task.
+RECORDS_PER_FILE = 500_000
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -262,13 +264,13 @@ def topic_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
         return path
     with _FOLDER_LOCK:  # one writer per folder when queries run from several threads
         if not session.path_exists(spark, f"{path}/_SUCCESS"):
-            write_topic_folder(topic_messages(spark, sf_dir, kind), path)
+            write_topic_folder(topic_messages(spark, sf_dir, kind), path, RECORDS_PER_FILE)
     return path
 
 
 def write_topic_folder(messages: DataFrame, path: str, records_per_file: int | None = None, mode: str = "overwrite") -> None:
-    """One JSON message per line; ``records_per_file=1`` gives one document per file."""
-    w = messages.select("value").write.mode(mode)
+    """One JSON message per line, snappy files, as the member names repeat in every line; ``records_per_file=1`` gives one document per file."""
+    w = messages.select("value").write.mode(mode).option("compression", "snappy")
     if records_per_file:
         w = w.option("maxRecordsPerFile", str(records_per_file))
     w.text(path)

@@ -36,7 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topiclake import session
 from topiclake.operators import bronze as B
-from topiclake.operators.offsets import assign_offsets
+from topiclake.operators.offsets import assign_offsets, with_tie
 from topiclake.schemas import BRONZE_MULTIPLEX, BRONZE_PER_TOPIC
 from topiclake.sources.topics import union_topics
 from topiclake.streaming import control
@@ -172,7 +172,8 @@ class BronzeBatchWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{self.path}__staged/{self.run}-{batch_id}"
-        batch.write.mode("overwrite").parquet(staged)  # the messages are parsed once; counts and rows are read from here
+        batch = with_tie(batch)
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(staged)  # the messages are parsed once; counts, offsets and rows are read from here
         try:
             self._write(spark, spark.read.schema(batch.schema).parquet(staged), batch_id)
         finally:
@@ -191,14 +192,14 @@ class BronzeBatchWriter:
             log.settle(entry)
         base = spark.createDataFrame([tuple(x) for x in entry["base"]], "topic STRING, partition INT, base BIGINT")
         order = B.multiplex_order() if self.layout == "multiplex" else B.kafka_order()
-        rows = assign_offsets(batch, order=order, method=self.method, leaf_rows=self.leaf_rows, base=base)
+        rows = assign_offsets(batch, order=order, method=self.method, leaf_rows=self.leaf_rows, base=base, written=True)
         known = {"key", "value", "topic", "partition", "offset", "timestamp", "timestampType", "_seq"}
         more = [c for c in rows.columns if c not in known and not c.startswith("_tl_")]
         stamp = "ingestion_timestamp" if self.layout == "multiplex" else "bronze_ingestion_timestamp"
         columns = B.MULTIPLEX_COLUMNS if self.layout == "multiplex" else B.PER_TOPIC_COLUMNS
         out = rows.withColumns({stamp: F.current_timestamp(), "_run": F.lit(self.run), "_batch_id": F.lit(batch_id).cast("long")})
         out = out.select(*columns, *more, "_run", "_batch_id")
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
             .partitionBy("topic", "_run", "_batch_id").parquet(self.path))
         if self.table:
             parts = " ".join(f"PARTITION (topic={_sql(t)}, _run='{self.run}', _batch_id={batch_id})"
@@ -326,7 +327,7 @@ def compact(spark: SparkSession, path: str, layout: str = "multiplex") -> int:
     old = spark.createDataFrame(gone, "_run STRING, _batch_id BIGINT")
     kept = rows.join(F.broadcast(old), ["_run", "_batch_id"], "left_semi").drop("_run", "_batch_id")
     kept = kept.withColumns({"_run": F.lit(COMPACTED), "_batch_id": F.lit(step["number"]).cast("long")})
-    (kept.repartition("topic", F.spark_partition_id()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (kept.repartition("topic", F.spark_partition_id()).write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
      .partitionBy("topic", "_run", "_batch_id").parquet(path))
     log.note("swap", step)
     _swap(spark, log, path, step)
