@@ -59,3 +59,20 @@ def test_topic_folders_and_tables_are_compressed(spark, sf):
     table = session.fresh_path(spark, "tables", "zstd")
     B.write_table(_rows(spark), table)
     assert all(".zstd." in f for f in _names(spark, table))
+
+
+def test_as_of_makes_its_rows_once(spark):
+    from topiclake.operators.asof import as_of
+
+    made = spark.sparkContext.accumulator(0)
+
+    def place(i):
+        made.add(1)
+        return i % 7
+
+    points = spark.range(200).repartition(4).select((F.col("id") % 3).alias("k"), F.timestamp_seconds(F.col("id")).alias("at"), F.udf(place, "long")("id").alias("place"))
+    events = spark.range(40).select((F.col("id") % 4).alias("k"), F.timestamp_seconds(F.col("id") * 5).alias("t"), F.col("id").alias("event"))
+    got = as_of(events, points, "k", "t", "at", ["place"], slices=5)
+    rows = sorted(map(str, got.collect()))
+    assert made.value == 200
+    assert rows == sorted(map(str, as_of(events, points, "k", "t", "at", ["place"], method="window").collect()))

@@ -46,14 +46,19 @@ def as_of(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time
 
 
 def _sliced(both: DataFrame, slices: int | None) -> DataFrame:
+    # Written once before the rows are counted, sampled and dealt: else each of the three would group the right side again.
+    spark = both.sparkSession
+    kept = session.fresh_path(spark, "staged", "asof_rows")
+    both.write.option("compression", "zstd").parquet(kept)
+    both = spark.read.schema(both.schema).parquet(kept)
     # Written once: the range bounds are sampled, so slices and carried values have to come from one evaluation.
-    path = session.fresh_path(both.sparkSession, "staged", "asof")
+    path = session.fresh_path(spark, "staged", "asof")
     if slices is None:
         total = both.count()
         slices = min(MAX_CUTS, -(-total // leaf_size(both, total))) or 1
     ranged = both.repartitionByRange(slices, _KEY, _AT, _SIDE).withColumn(_SLICE, F.spark_partition_id())
-    ranged.write.parquet(path)
-    ranged = both.sparkSession.read.schema(ranged.schema).parquet(path)
+    ranged.write.option("compression", "zstd").parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     so_far = Window.partitionBy(_SLICE, _KEY).orderBy(_AT, _SIDE).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn(_VALUE, F.last(_VALUE, ignorenulls=True).over(so_far))
 
