@@ -76,3 +76,28 @@ def test_as_of_makes_its_rows_once(spark):
     rows = sorted(map(str, got.collect()))
     assert made.value == 200
     assert rows == sorted(map(str, as_of(events, points, "k", "t", "at", ["place"], method="window").collect()))
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_groups_that_are_all_small_are_not_written_aside(spark):
+    from topiclake.operators import offsets as O
+
+    staged = lambda: session.matching(spark, session.shared_path(spark, "staged", "offsets-*"))
+    rows = spark.range(3000).select((F.col("id") % 50).alias("payment"), (F.col("id") * 7 % 11).alias("t"), "id")
+    rows = rows.unionByName(spark.range(40).select(F.lit(None).cast("long").alias("payment"), F.lit(1).cast("long").alias("t"), "id"))
+    want = sorted(map(str, O.assign_offsets(rows, ("payment",), ("t", "id"), method="window").collect()))
+    before = staged()
+    got = O.assign_offsets(rows, ("payment",), ("t", "id"), leaf_rows=60, many_groups=True)
+    assert staged() == before and sorted(map(str, got.collect())) == want
+    hot = O.assign_offsets(rows, ("payment",), ("t", "id"), leaf_rows=50, many_groups=True)  # these groups are cut
+    assert len(staged()) == len(before) + 1 and sorted(map(str, hot.collect())) == want
+
+
+def test_the_hash_of_the_order_is_computed_after_the_shuffle(spark):
+    out = assign_offsets(_rows(spark), order=B.multiplex_order(), leaf_rows=20)
+    lines = out._jdf.queryExecution().sparkPlan().toString().splitlines()
+    hashed = [i for i, x in enumerate(lines) if "xxhash64" in x and "_w" in x]
+    assert hashed and hashed[0] < min(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)

@@ -13,9 +13,12 @@ of its order columns, and a bucket that is still too large is cut again:
    varies in it; copies of one record (no column varies) are cut by their source
    position, which any order of copies allows;
 4. when no bucket is too large, the rows are numbered within their bucket by a
-   window, and a prefix sum over the counts of the buckets of cut groups gives each bucket's first offset. These are a few
+   window (what is computed for the order, such as a hash, is computed after the shuffle and doesn't travel), and a prefix sum over the counts of the buckets of cut groups gives each bucket's first offset. These are a few
    per leaf, so they are broadcast: the rows are neither shuffled nor sorted again to learn them.
 
+Where groups are many (``many_groups``, e.g. payments), their sizes are counted first, from the group columns alone: if none is too large, the
+plain window numbers the rows and nothing is written aside; else bounds are looked for in the groups that are.
+
 Nothing is sampled and nothing is persisted: every pass evaluates the same function, and the rows
 themselves are shuffled once, on (groups, buckets).  The leaf size grows with
 the input, so that at most ``MAX_CUTS`` buckets are cut per pass: only that many
@@ -96,18 +99,20 @@ def assign_offsets(
     leaf_rows: int | None = None,
     base: DataFrame | None = None,
     written: bool = False,
+    many_groups: bool = False,
 ) -> DataFrame:
     """Add ``column`` = 0-based position of the row in its group, in ``order`` (nulls first).
 
     ``base`` (groups…, ``base``) shifts each group, e.g. by the offsets earlier
     micro-batches used.  ``method="window"`` is the plain window, one task per group.
     ``written`` says that ``df`` reads rows written once with :func:`with_tie`, so they are not written again.
+    ``many_groups`` says that most groups are small, so that it pays to look at their sizes before anything else.
     """
     groups = list(groups)
     if method == "window":
         out = _window_offsets(df, groups, list(order), column)
     elif method == "split":
-        out = _split_offsets(df, groups, list(order), column, leaf_rows, written)
+        out = _split_offsets(df, groups, list(order), column, leaf_rows, written, many_groups)
     else:
         raise ValueError(f"unknown method {method!r}")
     if base is not None:
@@ -121,9 +126,15 @@ def _window_offsets(df: DataFrame, groups: list[str], order: list, column: str)
     return df.withColumn(column, (F.row_number().over(w) - 1).cast("long"))
 
 
-def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, leaf_rows: int | None, written: bool = False) -> DataFrame:
+def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, leaf_rows: int | None, written: bool = False,
+                   many_groups: bool = False) -> DataFrame:
     if leaf_rows is None and session.estimated_bytes(df) <= SMALL_BYTES:
         return _window_offsets(df, groups, order, column)
+    if many_groups:
+        sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+        leaf_rows = leaf_rows or leaf_size(df, sizes["all"] or 0)
+        if (sizes["most"] or 0) <= leaf_rows:
+            return _window_offsets(df, groups, order, column)
     keyed = df
     if not written:
         path = session.fresh_path(df.sparkSession, "staged", "offsets")
@@ -134,10 +145,10 @@ def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, l
     if exact:
         ranks.append(F.col(TIE))
     rows = keyed.withColumn(_RANK, F.array(*ranks))
-    cut, cuts = _cut(rows, groups, len(ranks), leaf_rows)
+    cut, cuts = _cut(rows, groups, len(ranks), leaf_rows, many_groups)
     keys = [*groups, *cuts]
     within = Window.partitionBy(*keys).orderBy(*order, TIE)
-    rows = cut.withColumn("_tl_n", F.row_number().over(within) - 1)
+    rows = cut.repartition(*keys).withColumn("_tl_n", F.row_number().over(within) - 1)  # the window would compute its order before its own shuffle
     if cuts:
         counts = cut.where(F.col(_HOT)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_size"))
         before = Window.partitionBy(*groups).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
@@ -146,12 +157,16 @@ def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, l
     return rows.select(*df.columns, F.col("_tl_n").cast("long").alias(column))
 
 
-def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None) -> tuple[DataFrame, list[str]]:
+def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None, many_groups: bool = False) -> tuple[DataFrame, list[str]]:
     """``rows`` with the columns that name each row's bucket (none where no group is too large)."""
     narrow = rows.select(*groups, _RANK)
     spark, cuts = rows.sparkSession, []
     leaf = leaf_rows or leaf_size(rows, rows.count())
     at = [F.element_at(_RANK, i + 1) for i in range(n_ranks)]
+    if many_groups:
+        large = narrow.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).select(*groups)
+        large = spark.createDataFrame(large.collect(), large.schema)  # MAX_CUTS at most
+        narrow = _same(narrow, F.broadcast(large), groups, "left_semi")
     while True:
         keys = [*groups, *cuts]
         stats = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.min(x) for x in at]).alias("lo"), F.array(*[F.max(x) for x in at]).alias("hi"))

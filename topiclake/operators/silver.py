@@ -74,7 +74,7 @@ def event_sequence(events_df: DataFrame, method: str = "split", leaf_rows: int |
     the default splits a payment with very many events over several tasks.
     """
     out = assign_offsets(events_df, groups=("payment_id",), order=(parse_event_time("event_timestamp"), "event_id"),
-                         column="seq", method=method, leaf_rows=leaf_rows)
+                         column="seq", method=method, leaf_rows=leaf_rows, many_groups=True)
     return out.withColumn("seq", (F.col("seq") + 1).cast("int"))
 
 

@@ -37,7 +37,7 @@ class SequenceWriter:
         place = F.struct(F.col(self.time).alias("t"), F.col("event_id").alias("id"))
         touched = rows.select(F.col("payment_id").alias("_payment")).distinct()
         before = self.last_numbers(spark, batch_id).join(touched, F.col("payment_id").eqNullSafe(F.col("_payment")), "left_semi")
-        numbered = assign_offsets(rows, groups=("payment_id",), order=(self.time, "event_id"), column="_pos")
+        numbered = assign_offsets(rows, groups=("payment_id",), order=(self.time, "event_id"), column="_pos", many_groups=True)
         numbered = numbered.join(before.withColumnRenamed("payment_id", "_payment"), F.col("payment_id").eqNullSafe(F.col("_payment")), "left")
         numbered = numbered.select(*batch.columns, (F.coalesce("last_seq", F.lit(0)) + F.col("_pos") + 1).alias("seq"),
                                    F.coalesce(place < F.col("last"), F.lit(False)).alias("out_of_order"), F.lit(batch_id).cast("long").alias("_batch_id"))
@@ -84,6 +84,6 @@ def read_sequence(spark: SparkSession, path: str, schema: StructType, time: str
     rows = spark.read.schema(_stored(schema)).parquet(f"{path.rstrip('/')}/rows").drop("_batch_id")
     moved = rows.where("out_of_order").select(F.col("payment_id").alias("_payment")).distinct()
     same = F.col("payment_id").eqNullSafe(F.col("_payment"))
-    again = assign_offsets(rows.join(moved, same, "left_semi").drop("seq"), groups=("payment_id",), order=(time, "event_id"), column="seq")
+    again = assign_offsets(rows.join(moved, same, "left_semi").drop("seq"), groups=("payment_id",), order=(time, "event_id"), column="seq", many_groups=True)
     again = again.withColumn("seq", F.col("seq") + 1)
     return rows.join(moved, same, "left_anti").unionByName(again)
