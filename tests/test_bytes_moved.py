@@ -101,3 +101,18 @@ def test_the_hash_of_the_order_is_computed_after_the_shuffle(spark):
     lines = out._jdf.queryExecution().sparkPlan().toString().splitlines()
     hashed = [i for i, x in enumerate(lines) if "xxhash64" in x and "_w" in x]
     assert hashed and hashed[0] < min(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)
+
+
+def test_files_are_put_together_without_a_shuffle(spark, sf):
+    many = spark.range(0, 500, 1, 8).select(F.col("id").cast("string").alias("value"))
+    few = many.coalesce(2)
+    kept = F.col("value").cast("int") % 3 == 0
+    for rows, shuffled in ((many, 0), (few, 1)):
+        dealt = T.in_files(rows, 3, kept)
+        assert _shuffles(dealt) == shuffled and dealt.rdd.getNumPartitions() == 3
+        path = session.fresh_path(spark, "topics", "in_files")
+        T.write_topic_folder(dealt, path)
+        assert len(_names(spark, path)) == 3
+        assert sorted(int(r.value) for r in T.read_folder_text(spark, path).collect()) == list(range(0, 500, 3))
+    lop = spark.range(0, 500, 1, 8).where("id >= 400").select(F.col("id").cast("string").alias("value"))  # six empty partitions
+    assert _shuffles(T.in_files(lop, 3)) == 1

@@ -681,7 +681,7 @@ def _split_topics(spark, sf, name: str, files: int = 6) -> dict[str, str]:
     paths = {}
     for k in P.KINDS:
         paths[k] = session.fresh_path(spark, "topics", f"{name}_{k}")
-        T.write_topic_folder(FX.topic_messages(spark, sf, k).repartition(files), paths[k])
+        T.write_topic_folder(T.in_files(FX.topic_messages(spark, sf, k), files), paths[k])
     return paths
 
 
@@ -699,14 +699,13 @@ def _folders(spark, sf) -> dict[str, str]:
 @query("stream_resume_no_duplicates")
 def stream_resume_no_duplicates(spark, sf):
     """Half of each topic's files in several micro-batches, then the rest on the same checkpoint: every message once, offsets gap-free."""
-    P.prepared(spark)
-    first, later = _split_topics(spark, sf, "resume"), {}
+    first, later = _folders(spark, sf), {}
     whole = {k: session.fresh_path(spark, "topics", f"resume_all_{k}") for k in P.KINDS}
     for k in P.KINDS:
         lines = T.read_folder_text(spark, first[k])
         odd = F.xxhash64("value") % 2 == 0
-        T.write_topic_folder(lines.where(odd).repartition(3), whole[k])
-        later[k] = lines.where(~odd).repartition(3)
+        T.write_topic_folder(T.in_files(lines, 3, odd), whole[k])
+        later[k] = T.in_files(lines, 3, ~odd)
     path, cp = session.fresh_path(spark, "tables", "resume"), C.checkpoint_for(spark, "resume")
     _bronze_run(spark, whole, path, "resume_1", cp, max_files=1)
     for k in P.KINDS:

@@ -13,7 +13,7 @@ import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -276,6 +276,15 @@ def write_topic_folder(messages: DataFrame, path: str, records_per_file: int | N
     w.text(path)
 
 
+def in_files(messages: DataFrame, files: int, kept: Column | None = None) -> DataFrame:
+    """``messages`` (those ``kept``) in ``files`` partitions, so that they are written as that many files: partitions that are there are put
+    together, without a shuffle; messages that lie in too few of them for that are dealt anew."""
+    filled = messages.select(F.spark_partition_id().alias("at")).distinct().count()
+    empty = messages.rdd.getNumPartitions() - filled
+    rows = messages if kept is None else messages.where(kept)
+    return rows.coalesce(files) if empty < (filled + empty) // files else rows.repartition(files)
+
+
 def write_topic_files(messages: DataFrame, path: str, number: str, records_per_file: int) -> None:
     """Messages in files of ``records_per_file`` each, the last with the rest: file i holds those whose ``number`` (0, 1, 2, …)
     is in [i, i + 1) times that.  One task writes a file, so files are written in parallel and hold the same records every time.
