@@ -116,3 +116,20 @@ def test_files_are_put_together_without_a_shuffle(spark, sf):
         assert sorted(int(r.value) for r in T.read_folder_text(spark, path).collect()) == list(range(0, 500, 3))
     lop = spark.range(0, 500, 1, 8).where("id >= 400").select(F.col("id").cast("string").alias("value"))  # six empty partitions
     assert _shuffles(T.in_files(lop, 3)) == 1
+
+
+def test_a_task_numbers_few_rows_whatever_the_number_of_shuffle_partitions(spark, monkeypatch):
+    from topiclake.operators import offsets as O
+
+    for name, value in (("SMALL_BYTES", 0), ("TASK_ROWS", 100)):
+        monkeypatch.setattr(O, name, value, raising=False)
+    rows = spark.range(4000).selectExpr("CAST(id % 2 AS STRING) AS topic", "0 AS partition", "id % 900 AS key", "CAST(id % 7 AS STRING) AS value")
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        out = assign_offsets(rows, order=B.multiplex_order())
+        most = out.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+        assert most <= 600
+        assert sorted(map(str, out.collect())) == sorted(map(str, assign_offsets(rows, order=B.multiplex_order(), method="window").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)

@@ -20,8 +20,9 @@ Where groups are many (``many_groups``, e.g. payments), their sizes are counted
 plain window numbers the rows and nothing is written aside; else bounds are looked for in the groups that are.
 
 Nothing is sampled and nothing is persisted: every pass evaluates the same function, and the rows
-themselves are shuffled once, on (groups, buckets).  The leaf size grows with
-the input, so that at most ``MAX_CUTS`` buckets are cut per pass: only that many
+themselves are shuffled once, on (groups, buckets), into as many partitions as their number asks for, whatever the session's
+number of shuffle partitions: what a task sorts and numbers stays in memory, however large the input.  A leaf has ``TASK_ROWS`` rows, more only so
+that at most ``MAX_CUTS`` buckets are cut per pass: only that many
 (counts and bounds) reach the driver and are broadcast.  An input that Spark estimates at
 ``SMALL_BYTES`` or less has no group worth cutting, as one task sorts it in seconds: it goes through the plain
 window straight away.
@@ -42,6 +43,8 @@ from topiclake import session
 MAX_CUTS = 50_000
 # Leaf size: about a third of a core's share of the rows, within these bounds unless MAX_CUTS asks for more.
 LEAF_ROWS = (250_000, 2_000_000)
+# Rows that one task sorts and numbers, on average; also the leaf size of rows that are moved whole.
+TASK_ROWS = 250_000
 
 # Estimated bytes (of compressed files) up to which the plain window numbers the rows.
 SMALL_BYTES = 64 << 20
@@ -141,14 +144,16 @@ def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, l
         keyed = with_tie(df)
         keyed.write.option("compression", "zstd").parquet(path)
         keyed = df.sparkSession.read.schema(keyed.schema).parquet(path)
+    total = keyed.count()
     ranks, exact = _ranks(keyed, order)
     if exact:
         ranks.append(F.col(TIE))
     rows = keyed.withColumn(_RANK, F.array(*ranks))
-    cut, cuts = _cut(rows, groups, len(ranks), leaf_rows, many_groups)
+    cut, cuts = _cut(rows, groups, len(ranks), leaf_rows or max(TASK_ROWS, total // MAX_CUTS), many_groups)
     keys = [*groups, *cuts]
     within = Window.partitionBy(*keys).orderBy(*order, TIE)
-    rows = cut.repartition(*keys).withColumn("_tl_n", F.row_number().over(within) - 1)  # the window would compute its order before its own shuffle
+    tasks = max(-(-total // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    rows = cut.repartition(tasks, *keys).withColumn("_tl_n", F.row_number().over(within) - 1)  # the window would compute its order before its own shuffle
     if cuts:
         counts = cut.where(F.col(_HOT)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_size"))
         before = Window.partitionBy(*groups).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
@@ -157,11 +162,10 @@ def _split_offsets(df: DataFrame, groups: list[str], order: list, column: str, l
     return rows.select(*df.columns, F.col("_tl_n").cast("long").alias(column))
 
 
-def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf_rows: int | None, many_groups: bool = False) -> tuple[DataFrame, list[str]]:
+def _cut(rows: DataFrame, groups: list[str], n_ranks: int, leaf: int, many_groups: bool = False) -> tuple[DataFrame, list[str]]:
     """``rows`` with the columns that name each row's bucket (none where no group is too large)."""
     narrow = rows.select(*groups, _RANK)
     spark, cuts = rows.sparkSession, []
-    leaf = leaf_rows or leaf_size(rows, rows.count())
     at = [F.element_at(_RANK, i + 1) for i in range(n_ranks)]
     if many_groups:
         large = narrow.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).select(*groups)
