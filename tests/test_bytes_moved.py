@@ -133,3 +133,20 @@ def test_a_task_numbers_few_rows_whatever_the_number_of_shuffle_partitions(spark
         assert sorted(map(str, out.collect())) == sorted(map(str, assign_offsets(rows, order=B.multiplex_order(), method="window").collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", keep)
+
+
+def test_sorted_points_come_sorted_where_they_are_cut(spark, sf, monkeypatch):
+    from topiclake.operators import offsets as O
+    from topiclake.plans import registry, topics
+
+    topics.bronze_path(spark, sf)
+    for name, value in (("SMALL_BYTES", 0), ("TASK_ROWS", 100), ("LEAF_ROWS", (100, 100))):
+        monkeypatch.setattr(O, name, value, raising=False)
+    for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"):  # so that partitions aren't put together
+        spark.conf.set(f"spark.sql.adaptive.{name}", "1")
+    try:
+        places = [r.place for r in registry.QUERIES["gps_sorted_desc"](spark, sf).collect()]
+    finally:
+        for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"):
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    assert places == list(range(len(places))) and len(places) > 100

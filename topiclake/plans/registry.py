@@ -603,13 +603,13 @@ def orders_latest_10(spark, sf):
 @query("gps_sorted_desc")
 def gps_sorted_desc(spark, sf):
     """All points, the latest first; ``place`` is each row's position in the sorted output."""
-    g = P.silver(spark, sf, "gps").orderBy(F.col("point_time").desc(), F.col("gps_id").desc()).select("gps_id", "order_id", "timestamp")
+    g = P.silver(spark, sf, "gps").select("gps_id", "order_id", "timestamp")
     from topiclake.operators.offsets import assign_offsets
 
     rows = g.withColumns({"_all": F.lit(0), "_back": -F.unix_micros(parse_event_time("timestamp"))})
     last = F.translate("gps_id", "0123456789", "9876543210")  # ids of one length in descending order
     rows = assign_offsets(rows, ("_all",), ("_back", -F.length("gps_id"), last), "place")
-    return rows.select("gps_id", "order_id", "timestamp", "place")
+    return rows.select("gps_id", "order_id", "timestamp", "place").orderBy("place")  # numbering deals the rows out, so they are sorted after it
 
 
 @query("bronze_sample_5")
