@@ -50,6 +50,25 @@ def test_join_restarts_and_lets_go_of_state(spark, sf):
     assert got.select("payment_id").distinct().count() == n and got.where("event_id IS NULL").count() > 0
 
 
+def test_a_restarted_join_does_not_put_in_what_it_let_go(spark, sf, monkeypatch):
+    cp, most = session.fresh_path(spark, "checkpoints", "join_state"), spark.sparkContext.defaultParallelism + 3
+    monkeypatch.setattr(C, "checkpoint_for", lambda *_: cp)
+    name = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    with session.settings(spark, {"spark.sql.shuffle.partitions": str(most)}):
+        _, queries = R.stream_payment_events(spark, sf)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(most) and spark.conf.get(name) == "true"
+    (state,) = queries[0].lastProgress["stateOperators"]
+    assert state["numShufflePartitions"] == most - 3  # few messages: one a core
+    stored = [f.rsplit("/", 1)[1] for f, _, _ in session.file_stamps(spark, f"{cp}/state")]
+    assert sum(f.endswith(".zip") for f in stored) >= most - 3 and not any(f.endswith(".changelog") for f in stored)
+
+
+def test_state_partitions_follow_the_messages(spark):
+    with session.settings(spark, {"spark.sql.shuffle.partitions": "100"}):
+        n = [int(ET.join_state(spark, m)["spark.sql.shuffle.partitions"]) for m in (0, 90 * ET.STATE_MESSAGES - 1, 10**12)]
+    assert n == [min(100, spark.sparkContext.defaultParallelism), 90, 100]
+
+
 @pytest.mark.parametrize("seed,salts", [(1, 1), (2, 3)])
 def test_windows_and_late_rows_are_all_rows(spark, seed, salts):
     rows, rng = events(seed)

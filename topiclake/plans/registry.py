@@ -927,7 +927,7 @@ def _delivered(messages: DataFrame, name: str, n: int, beat: str):
 
     def deliver(i: int) -> None:
         lines = spark.read.schema("value STRING, delivery INT").parquet(kept).where(F.col("delivery") == i)
-        T.write_topic_folder(lines if i < n else spark.range(1).select(F.lit(beat).alias("value")), folder, mode="append")
+        T.write_topic_folder(lines if i < n else spark.range(1).select(F.lit(beat).alias("value")), folder, T.RECORDS_PER_FILE, mode="append")
 
     return folder, deliver
 
@@ -974,12 +974,14 @@ def stream_payment_events(spark, sf) -> tuple[str, list]:
     o_folder, o_deliver = _delivered(orders, "paid_orders", 3, ORDER_BEAT)
     e_folder, e_deliver = _delivered(_event_messages(spark, sf, _slice("ts", 10, 2)), "paid_events", 3, EVENT_BEAT)
     out, cp = session.fresh_path(spark, "streams", "payment_events"), C.checkpoint_for(spark, "payment_events")
+    state = ET.join_state(spark, sum(FX.table(spark, sf, name).count() for name in ("orders", "events")))
 
     def start():
         o = T.read_topic(spark, "orders", path=o_folder, mode="stream").select("data.payment_id", parse_event_time("data.timestamp").alias("paid_at"))
         e = _event_stream(spark, e_folder).select("payment_id", "event_id", "event_name", "event_time")
         joined = ET.left_join_in_time(o, e, "payment_id", "paid_at", "event_time", within="1 DAY")
-        return C.start(joined, f"payment_events_{out[-12:]}", cp, path=out, trigger="availableNow")
+        with session.settings(spark, state):
+            return C.start(joined, f"payment_events_{out[-12:]}", cp, path=out, trigger="availableNow")
 
     return out, _in_turns(start, [o_deliver, e_deliver], 3)
 

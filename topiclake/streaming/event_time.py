@@ -35,6 +35,22 @@ def after_beats(df: DataFrame, time: str, delay: str) -> DataFrame:
 
 # ------------------------------------------------------------------ joins
 
+# Messages of all deliveries that a state partition is made for; each has a state store, opened at every start and committed with every micro-batch.
+STATE_MESSAGES = 200_000
+
+
+def join_state(spark: SparkSession, messages: int) -> dict[str, str]:
+    """Settings to start a stream-stream join of about ``messages`` messages under, if it comes in few large micro-batches with restarts between them.
+
+    A partition's four tables are in one RocksDB store, and there are no more partitions than the messages need (never more than the
+    session's).  The state's files are stored with each micro-batch: a log of changes would hold every row that ever came, and a restart
+    would put them all in again.
+    """
+    most, least = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    return {"spark.sql.streaming.join.stateFormatVersion": "3",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+            "spark.sql.shuffle.partitions": str(min(most, max(least, -(-messages // STATE_MESSAGES))))}
+
 
 def left_join_in_time(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, within: str,
                       delay: str = "10 minutes") -> DataFrame:
